@@ -1,0 +1,12 @@
+"""Streaming.
+
+The original program is a single batch job: it has no stream source, no
+watermark, no window and no state, so nothing here re-implements one.
+
+What carries over: every row-level step in ``tessera.operators.clean`` and
+``tessera.functions`` (sentinel -> NULL, casts, flag and range filters,
+placeholder fill, day parts, entity age) is a stateless projection or filter,
+so it applies unchanged to a ``readStream`` frame, and a fitted
+``PipelineModel`` or regression model can ``transform`` a stream. Fitting
+(imputers, indexers, selectors, models) needs a batch frame.
+"""
