@@ -55,14 +55,21 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     return df
 
 
+_FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4, T.DecimalType: 16}
+
+
 def _row_bytes(schema: T.StructType) -> F.Column:
-    """Upper-bound-ish size of one row in bytes (strings by octet length)."""
+    """Size of one row in bytes: strings by octet length, fixed-width types by
+    width, anything nested by the length of its JSON text."""
     parts = []
     for f in schema.fields:
+        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + F.lit(8))
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + F.lit(16))
         else:
-            parts.append(F.lit(max(f.dataType.defaultSize(), 8)))
+            parts.append(F.lit(_FIXED_WIDTH.get(type(f.dataType), 8)))
     if not parts:
         return F.lit(0)
     total = parts[0]
