@@ -51,11 +51,31 @@ def string_index(df: DataFrame, cols: Sequence[str], handle_invalid: str = "erro
     return model.transform(df), model
 
 
+def _fit_indexer(df: DataFrame, cols: Sequence[str], handle_invalid: str):
+    """Fit the indexer once; split the columns into encodable ones and those with a
+    single label (one category carries no information: its one-hot vector with
+    the last slot dropped has size 0, which the encoder refuses to build)."""
+    model = indexer_stage(cols, handle_invalid).fit(df)
+    sizes = [len(labels) for labels in model.labelsArray]
+    extra = 1 if handle_invalid == "keep" else 0
+    multi = [c for c, n in zip(cols, sizes) if n + extra > 1]
+    single = [c for c, n in zip(cols, sizes) if n + extra <= 1]
+    return model, multi, single
+
+
 def one_hot(df: DataFrame, cols: Sequence[str], drop_last: bool = True) -> tuple[DataFrame, object]:
-    """Index then one-hot encode ``cols`` (outputs ``<c>Cat`` vectors)."""
+    """Index then one-hot encode ``cols`` (outputs ``<c>Cat`` vectors); a
+    single-category column gets an empty ``<c>Cat`` vector."""
     cols = present(df, cols)
-    model = Pipeline(stages=[indexer_stage(cols), encoder_stage(cols, drop_last)]).fit(df)
-    return model.transform(df), model
+    idx, multi, single = _fit_indexer(df, cols, "error")
+    stages = [idx] + ([encoder_stage(multi, drop_last)] if multi else [])
+    model = Pipeline(stages=stages).fit(df)
+    out = model.transform(df)
+    if single:
+        from pyspark.ml.functions import array_to_vector
+
+        out = out.withColumns({c + ENCODED_SUFFIX: array_to_vector(F.array().cast("array<double>")) for c in single})
+    return out, model
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features", handle_invalid: str = "error") -> DataFrame:
@@ -88,7 +108,10 @@ def build_features(
     categorical = present(df, categorical)
     stages = []
     if categorical:
-        stages += [indexer_stage(categorical, handle_invalid), encoder_stage(categorical)]
+        idx, categorical, _single = _fit_indexer(df, categorical, handle_invalid)
+        stages.append(idx)
+        if categorical:
+            stages.append(encoder_stage(categorical))
     ass_cols = numeric + [c + ENCODED_SUFFIX for c in categorical]
     if not ass_cols:
         raise ValueError("no feature column left to assemble")

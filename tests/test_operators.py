@@ -1,0 +1,305 @@
+"""Operators on literal frames: cleaning, join, profiles, imputation, features, models."""
+
+import math
+import os
+import tempfile
+
+import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from tessera.operators import clean, profile
+from tessera.operators.evaluate import evaluate
+from tessera.operators.features import assemble, build_features, feature_count, l1_normalize, one_hot, select_features, string_index
+from tessera.operators.impute import impute
+from tessera.operators.join import dim_join, entity_age, gated_join
+from tessera.operators.models import add_fold_column, hash_split
+from tessera.session import bounded_size, materialize
+from tessera.sources import load_tables, preview, schema_report
+from tessera.spec import TableSpec
+
+
+# ---------------------------------------------------------------- sources ---
+def test_csv_short_rows_and_blank_fields(spark):
+    d = tempfile.mkdtemp(prefix="tessera-csv-")
+    with open(os.path.join(d, "t.csv"), "w") as fh:
+        fh.write("a,b,c\n1,2,3\n4,5\n6,,\n7, ,x\n")
+    df = load_tables(spark, d, ["t"])
+    assert df.dtypes == [("a", "string"), ("b", "string"), ("c", "string")]
+    rows = [tuple(r) for r in df.orderBy("a").collect()]
+    assert rows == [("1", "2", "3"), ("4", "5", None), ("6", None, None), ("7", " ", "x")]
+
+
+def test_load_tables_union_and_last(spark):
+    d = tempfile.mkdtemp(prefix="tessera-multi-")
+    with open(os.path.join(d, "a.csv"), "w") as fh:
+        fh.write("k,v\n1,x\n2,y\n")
+    with open(os.path.join(d, "b.csv"), "w") as fh:
+        fh.write("k,w\n3,z\n")
+    u = load_tables(spark, d, ["a", "b"], combine="union")
+    assert sorted(u.columns) == ["k", "v", "w"] and u.count() == 3
+    last = load_tables(spark, d, ["a", "b"], combine="last")
+    assert [tuple(r) for r in last.collect()] == [("3", "z")]
+    with pytest.raises(ValueError):
+        load_tables(spark, d, [])
+
+
+def test_preview_and_schema_report(spark):
+    df = spark.range(100).withColumn("s", F.lit("a"))
+    assert [r.id for r in preview(df, 5, order_by=["id"]).collect()] == [0, 1, 2, 3, 4]
+    rep = [tuple(r) for r in schema_report(df).collect()]
+    assert rep == [(0, "id", "bigint", False), (1, "s", "string", False)]
+
+
+# ------------------------------------------------------------------ clean ---
+def test_drop_columns_case_insensitive_and_missing(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "A int, b int, c int")
+    assert clean.drop_columns(df, ["a", "nope", "C"]).columns == ["b"]
+
+
+def test_filter_flag_legacy_compare(spark):
+    df = spark.createDataFrame([(v,) for v in ["0", "0.00", "0.4", "1", "abc", None]], "f string")
+    assert [r.f for r in clean.filter_flag(df, "f", 0).collect()] == ["0", "0.00", "0.4"]
+
+
+def test_filter_upper_drops_null(spark):
+    df = spark.createDataFrame([(1, 2400), (2, 2401), (3, None), (4, 10)], "k int, t int")
+    assert [r.k for r in clean.filter_upper(df, {"t": 2400}).collect()] == [1, 4]
+
+
+def test_withcolumns_is_one_projection(spark):
+    df = spark.createDataFrame([("NA", "x", "1")], "a string, b string, c string")
+    out = clean.sentinel_to_null(df, ["a", "b", "c"])
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Project") == 1
+
+
+# ------------------------------------------------------------------- join ---
+def _fact_dim(spark):
+    fact = spark.createDataFrame(
+        [(1, "A", 10.0), (2, "A", 11.0), (3, "B", 12.0), (4, None, 13.0), (5, "Z", 14.0)], "id int, TailNum string, v double"
+    )
+    dim = spark.createDataFrame([("A", "jet", "1/1/2000", 1999), ("B", "prop", "2/2/2001", 2001)], "tailnum string, type string, issue_date string, year int")
+    return fact, dim
+
+
+def test_dim_join_using_semantics(spark):
+    fact, dim = _fact_dim(spark)
+    out = dim_join(fact, dim.drop("year"), "tailNum")
+    assert out.columns[0] == "TailNum"  # key first, fact spelling
+    assert sorted(r.id for r in out.collect()) == [1, 2, 3]  # NULL and unmatched keys lost
+
+
+def test_salted_join_equals_broadcast_join(spark):
+    fact = spark.range(0, 3000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k")
+    )
+    dim = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("attr"))
+    a = sorted(tuple(r) for r in dim_join(fact, dim, "k", broadcast=True).collect())
+    b = sorted(tuple(r) for r in dim_join(fact, dim, "k", broadcast=False, hot_key_rows=100, salt_buckets=8).collect())
+    assert a == b and len(a) == 3000
+
+
+def test_broadcast_only_with_proven_bound(spark):
+    dim = spark.range(0, 1000)
+    assert bounded_size(dim, 5000, 10**6) == (1000, 8000)
+    assert bounded_size(dim, 999, 10**6) is None
+    assert bounded_size(dim, 5000, 100) is None
+
+
+def test_dim_join_rejects_duplicate_columns(spark):
+    fact, dim = _fact_dim(spark)
+    with pytest.raises(ValueError):
+        dim_join(fact.withColumn("year", F.lit(1)), dim, "TailNum")
+
+
+def test_gated_join_gate(spark):
+    fact, dim = _fact_dim(spark)
+    out, inc = gated_join(fact, dim, "TailNum", dim_drop=("year",))
+    assert inc and out.count() == 3
+    na = fact.withColumn("TailNum", F.lit("NA"))
+    out, inc = gated_join(na, dim, "TailNum", dim_drop=("year",))
+    assert not inc and out.count() == 5
+    # {NA, NULL} are two groups -> the join runs (and matches nothing)
+    mixed = fact.withColumn("TailNum", F.when(F.col("id") < 3, F.lit("NA")))
+    out, inc = gated_join(mixed, dim, "TailNum", dim_drop=("year",))
+    assert inc and out.count() == 0
+
+
+def test_entity_age_drop_and_keep(spark):
+    df = spark.createDataFrame([(2005, "1/1/2000"), (1999, "1/1/2000"), (2005, "13/45/2001")], "Year int, issue_date string")
+    kept = [r.PlaneAge for r in entity_age(df, "Year", "issue_date", "PlaneAge", age_null="keep").collect()]
+    assert kept == [5, 0, None]
+    assert entity_age(df, "Year", "issue_date", "PlaneAge").count() == 2
+
+
+# --------------------------------------------------------------- profiles ---
+def test_informative_matches_group_count_gate(spark):
+    df = spark.createDataFrame(
+        [(None, "a", "a", "a", 1.0), (None, "a", None, "b", 1.0), (None, "a", "a", None, 1.0)],
+        "all_null string, const string, const_null string, two string, dbl double",
+    )
+    inf = {r["column"]: r["informative"] for r in profile.informative_columns(df).collect()}
+    groups = {r["column"]: r["groups"] for r in profile.distinct_groups(df).collect()}
+    assert inf == {"all_null": False, "const": False, "const_null": True, "two": True, "dbl": False}
+    assert all(inf[c] == (groups[c] > 1) for c in inf)
+
+
+def test_informative_empty_frame(spark):
+    df = spark.createDataFrame([], "a string")
+    assert profile.constant_columns(df) == ["a"]
+
+
+def test_drop_constant_with_exempt_and_spec(spark):
+    df = spark.createDataFrame([(2008, 1, "x", 5), (2008, 2, "x", 6)], "Year int, Month int, c string, t int")
+    spec = TableSpec(target="t", numeric_mode=("Year", "Month"), categorical=("c",))
+    out, spec2, dropped = profile.drop_constant_columns(df, spec, exempt=("Year",))
+    assert dropped == ["c"] and out.columns == ["Year", "Month", "t"]
+    assert spec2.categorical == () and spec2.numeric_mode == ("Year", "Month")
+
+
+def test_corr_null_policies_and_constant(spark):
+    rows = [(1.0, 2.0, 5.0), (2.0, None, 5.0), (3.0, 6.0, 5.0), (4.0, 8.0, 5.0)]
+    df = spark.createDataFrame(rows, "a double, b double, k double")
+    zero = {(r.a, r.b): r.r for r in profile.corr_matrix(df, ["a", "b", "k"], "zero").collect()}
+    pair = {(r.a, r.b): r.r for r in profile.corr_matrix(df, ["a", "b"], "pairwise").collect()}
+    assert math.isclose(pair[("a", "b")], 1.0, rel_tol=1e-12)
+    assert zero[("a", "b")] < 0.99  # the NULL counts as 0.0
+    assert zero[("a", "k")] is None and zero[("b", "k")] is None  # constant: NULL, no error
+
+
+def test_corr_matrix_wide_path_matches_pairs(spark):
+    cols = [f"c{i}" for i in range(profile.MATRIX_PATH_MIN_COLS)]
+    df = spark.range(200).select(*[((F.col("id") * (i + 1)) % (7 + i)).cast("double").alias(c) for i, c in enumerate(cols)])
+    wide = {(r.a, r.b): r.r for r in profile.corr_matrix(df, cols).collect()}
+    narrow = {(r.a, r.b): r.r for r in profile._pairs_frame(df, [("c0", "c1"), ("c3", "c9")], "zero").collect()}
+    for k, v in narrow.items():
+        assert math.isclose(wide[k], v, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_drop_collinear_threshold_keeps_first(spark):
+    df = spark.range(100).select(F.col("id").cast("double").alias("a"), (F.col("id") * 2 + 1).cast("double").alias("b"), ((F.col("id") * 7) % 13).cast("double").alias("c"))
+    out, _, dropped = profile.drop_collinear(df, threshold=0.95, cols=["a", "b", "c"])
+    assert dropped == ["b"] and out.columns == ["a", "c"]
+
+
+def test_f_regression_formula(spark):
+    df = spark.range(50).select(F.col("id").cast("double").alias("x"), (F.col("id") * 3 + (F.col("id") % 5)).cast("double").alias("y"))
+    row = profile.f_regression(df, "y", ["x"]).first()
+    assert math.isclose(row.f, row.r**2 / (1 - row.r**2) * 48, rel_tol=1e-9)
+
+
+# ----------------------------------------------------------------- impute ---
+def test_impute_mode_ties_smallest_and_mean_truncates(spark):
+    df = spark.createDataFrame([(3, 10), (1, 11), (3, 12), (1, 12), (None, None)], "m int, x int")
+    out, _ = impute(df, ["m"], "mode")
+    assert [r.m for r in out.collect()][-1] == 1
+    out, _ = impute(df, ["x"], "mean")
+    assert [r.x for r in out.collect()][-1] == 11  # 11.25 truncated
+    out, _ = impute(df, ["x"], "mean", keep_double=True)
+    assert [r.x for r in out.collect()][-1] == 11.25
+
+
+def test_impute_guards(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "b")], "n int, s string")
+    assert impute(df, [], "mean")[1] is None
+    with pytest.raises(ValueError):
+        impute(df, ["s"], "mode")
+    with pytest.raises(ValueError):
+        impute(df, ["n"], "mean")
+
+
+# --------------------------------------------------------------- features ---
+def test_string_index_frequency_then_alphabetical(spark):
+    df = spark.createDataFrame([(v,) for v in ["b", "a", "c", "c", "b", "a", "d"]], "k string")
+    out, _ = string_index(df, ["k"])
+    idx = {r.k: r.kIndexed for r in out.collect()}
+    assert idx == {"a": 0.0, "b": 1.0, "c": 2.0, "d": 3.0}
+
+
+def test_one_hot_width_and_single_category(spark):
+    df = spark.createDataFrame([("x", "s"), ("y", "s"), ("z", "s")], "a string, one string")
+    out, _ = one_hot(df, ["a", "one"])
+    sizes = out.select(F.size(vector_to_array("aCat")).alias("n"), F.size(vector_to_array("oneCat")).alias("m")).first()
+    assert (sizes.n, sizes.m) == (2, 0)
+
+
+def test_assemble_errors_on_null(spark):
+    df = spark.createDataFrame([(1.0, None)], "a double, b double")
+    with pytest.raises(Exception):
+        assemble(df, ["a", "b"]).collect()
+
+
+def test_l1_rows_sum_to_one_or_zero(spark):
+    df = spark.createDataFrame([(1.0, -3.0), (0.0, 0.0), (2.0, 2.0)], "a double, b double")
+    out = l1_normalize(assemble(df, ["a", "b"]))
+    sums = [sum(abs(x) for x in r.normFeatures.toArray()) for r in out.collect()]
+    assert [round(s, 12) for s in sums] == [1.0, 0.0, 1.0]
+
+
+def _signal_frame(spark, n=400):
+    return spark.range(n).select(
+        F.col("id").alias("k"),
+        ((F.col("id") * 37) % 101).cast("double").alias("a"),
+        ((F.col("id") * 53) % 97).cast("double").alias("b"),
+        ((F.col("id") * 17) % 89).cast("double").alias("noise"),
+        F.when(F.col("id") % 3 == 0, "p").when(F.col("id") % 3 == 1, "q").otherwise("r").alias("cat"),
+    ).withColumn("y", F.col("a") * 3 + F.col("b") * 2)
+
+
+def test_build_features_and_count(spark):
+    df = _signal_frame(spark)
+    feats, model, cols = build_features(df, ["a", "b", "noise"], ["cat"], "y", keep=["k"])
+    assert feats.columns == ["k", "y", "normFeatures"]
+    assert cols == ["a", "b", "noise", "catCat"]
+    assert feature_count(feats, "normFeatures") == 5
+
+
+def test_selection_fwe_subset_of_fdr_and_empty_guard(spark):
+    df = _signal_frame(spark)
+    feats, _, _ = build_features(df, ["a", "b", "noise"], [], "y", normalize=None)
+    _, fdr, _ = select_features(feats, "normFeatures", "y", "fdr")
+    _, fwe, _ = select_features(feats, "normFeatures", "y", "fwe")
+    assert set(fwe) <= set(fdr) and {0, 1} <= set(fdr)
+    noise = spark.range(300).select(((F.col("id") * 7) % 11).cast("double").alias("x"), ((F.col("id") * 13) % 17).cast("double").alias("y"))
+    nf = assemble(noise, ["x"], "v")
+    out, picked, _ = select_features(nf, "v", "y", "fwe", threshold=1e-12)
+    assert picked == [] and feature_count(out, "selectedFeatures") == 1
+    with pytest.raises(ValueError):
+        select_features(nf, "v", "y", "fwe", threshold=1e-12, on_empty="error")
+
+
+# ----------------------------------------------------------------- models ---
+def test_hash_split_partition_independent(spark):
+    df = spark.range(5000).withColumnRenamed("id", "k")
+    tr, te = hash_split(df, ["k"])
+    a = {r.k for r in tr.collect()}
+    b = {r.k for r in te.collect()}
+    assert not (a & b) and len(a | b) == 5000 and 0.65 < len(a) / 5000 < 0.75
+    tr2, _ = hash_split(df.repartition(7), ["k"])
+    assert {r.k for r in tr2.collect()} == a
+
+
+def test_fold_column_range(spark):
+    df = add_fold_column(spark.range(1000).withColumnRenamed("id", "k"), ["k"], 5)
+    counts = {r.fold: r["count"] for r in df.groupBy("fold").count().collect()}
+    assert set(counts) == {0, 1, 2, 3, 4} and min(counts.values()) > 150
+
+
+def test_evaluate_one_pass_equals_evaluator(spark):
+    df = spark.range(300).select(F.col("id").cast("double").alias("y"), (F.col("id") * 0.9 + 3).alias("p"))
+    row = evaluate(df, "y", "p").first()
+    rmse = RegressionEvaluator(labelCol="y", predictionCol="p", metricName="rmse").evaluate(df)
+    r2 = RegressionEvaluator(labelCol="y", predictionCol="p", metricName="r2").evaluate(df)
+    assert math.isclose(row.rmse, rmse, rel_tol=1e-9) and math.isclose(row.r2, r2, rel_tol=1e-9)
+    assert row.rmse >= 0
+    const = spark.range(10).select(F.lit(1.0).alias("y"), F.lit(1.0).alias("p"))
+    assert evaluate(const, "y", "p").first().r2 is None
+
+
+def test_materialize_checkpoints_when_dir_set(spark):
+    df = spark.range(100).withColumn("x", F.col("id") * 2)
+    out = materialize(df)
+    assert out.count() == 100
+    assert "LogicalRDD" in out._jdf.queryExecution().analyzed().toString() or out.is_cached
