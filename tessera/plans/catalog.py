@@ -80,7 +80,7 @@ def _dim(spark, sf):
 
 def _fact_features(spark, sf, normalize="l1"):
     feats, _, _ = build_features(
-        _fact(spark, sf), FACT_NUMERIC, FACT_CATEGORICAL, "y", normalize=normalize, keep=KEYS
+        ensure_parallelism(_fact(spark, sf)), FACT_NUMERIC, FACT_CATEGORICAL, "y", normalize=normalize, keep=KEYS
     )
     return materialize(ensure_parallelism(feats))
 

@@ -1,11 +1,12 @@
 """End-to-end run: prepare -> features -> select -> split -> cross-validated models -> report.
 
 Jobs, in order (each a single pass unless noted): key gate (1 global
-aggregate), single-valued test (1), correlation profile (1), mode + mean
-surrogates (2), indexer fit (1), FDR and FWE fits (2), then the model fits.
-The prepared and the feature tables are materialised once each (checkpoint
-into the shared folder when the cluster names one, else persisted), and all
-metrics come out of one final job.
+aggregate over the key column), materialisation of the joined table (1),
+single-valued test (1), mode + mean surrogates (2), indexer fit (1),
+materialisation of the feature table (1), FDR and FWE fits (2), then the model
+fits; the correlation profile is a lazy one-aggregate frame. Materialising
+means a checkpoint into the shared folder when the cluster names one, else a
+persist. All metrics come out of one final job.
 """
 
 from __future__ import annotations
@@ -41,7 +42,9 @@ def prepare(
 ) -> PrepResult:
     """Clean a fact table (and join its dimension) into a model-ready frame."""
     t = spec.target
-    df = clean.drop_columns(fact, spec.leak)
+    # A source with fewer splits than cores (one row group, or a broadcast
+    # join fed by one) would run every preparation pass as a single task.
+    df = clean.drop_columns(ensure_parallelism(fact), spec.leak)
     df = clean.drop_missing_target(df, t, NA_SENTINELS)
     if spec.flag:
         df = clean.filter_flag(df, spec.flag, spec.flag_value)
@@ -66,14 +69,16 @@ def prepare(
     # Sentinel text -> NULL on every column but the target.
     df = clean.sentinel_to_null(df, [c for c in df.columns if c != t], NA_SENTINELS)
 
-    # Single-valued columns: one aggregate over all columns.
+    # Materialise once (the joined, cleaned table is read by every later job),
+    # then find single-valued columns with one aggregate over that copy;
+    # dropping them afterwards is only a projection.
+    df = materialize(df, materialize_how)
     keys = set(spec.key_cols)
     df, spec, constant = profile.drop_constant_columns(
         df, spec, exempt=spec.exempt_constant, cols=[c for c in df.columns if c not in keys]
     )
     if spec.date_col and spec.date_col in constant:
         spec = replace(spec, date_col=None)
-    df = materialize(df, materialize_how)
 
     df = clean.cast_numeric(df, spec.numeric + (t,))
     df = df.filter(F.col(t).isNotNull())
