@@ -112,7 +112,10 @@ def _salted_join(
         )
         .drop(_HOT_KEY, _HOT)
     )
-    return f.join(d, on=[key, _SALT], how="inner").drop(_SALT)
+    # This path runs when the dimension is not provably small, so the join must
+    # not fall back to a broadcast chosen from size estimates: force a
+    # sort-merge join (AQE may still split a skewed partition further).
+    return f.join(d.hint("merge"), on=[key, _SALT], how="inner").drop(_SALT)
 
 
 def gated_join(

@@ -63,6 +63,8 @@ def _staging(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     if base:
         return f"{base.rstrip('/')}/tessera_staging/{name}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared folder: executors cannot read a driver-local folder")
     return os.path.join(tempfile.mkdtemp(prefix="tessera-"), name)
 
 
