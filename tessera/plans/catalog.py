@@ -41,7 +41,7 @@ from tessera.operators.models import (
     hash_split,
 )
 from tessera.plans.fixtures import DIM, DIRTY_EVENTS, FACT, FACT_NO_KEY, table, with_ctes
-from tessera.session import checkpoint_dir, ensure_parallelism, materialize
+from tessera.session import checkpoint_dir, materialize
 from tessera.sources.sinks import predictions_sample, preview, schema_report
 from tessera.sources.tables import load_tables
 
@@ -82,9 +82,9 @@ def _dim(spark, sf):
 
 def _fact_features(spark, sf, normalize="l1"):
     feats, _, _ = build_features(
-        ensure_parallelism(_fact(spark, sf)), FACT_NUMERIC, FACT_CATEGORICAL, "y", normalize=normalize, keep=KEYS
+        _fact(spark, sf), FACT_NUMERIC, FACT_CATEGORICAL, "y", normalize=normalize, keep=KEYS
     )
-    return materialize(ensure_parallelism(feats))
+    return materialize(feats)
 
 
 def _explode_vec(df: DataFrame, vec: str, keep: list[str], nonzero: bool = False, digits: int = 6) -> DataFrame:

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import ensure_parallelism
+
 _INT_VALUE = "CAST(CAST(floor(value) AS BIGINT) AS STRING)"
 _CLOCK = "hour(ts) * 100 + minute(ts)"
 
@@ -53,11 +55,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The driver's files hold one row group each, so a scan is one or a few
+    tasks; spread the scan before the derived columns are computed (a no-op
+    for a real table with many splits)."""
+    return ensure_parallelism(df)
+
+
 def _base_frame(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     if base == "lineitem_orders":
-        li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+        li, o = _spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "orders")
         return li.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-    return table(spark, sf_dir, base)
+    return _spread(table(spark, sf_dir, base))
 
 
 DIRTY_EVENTS = Fixture(

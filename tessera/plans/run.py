@@ -42,9 +42,7 @@ def prepare(
 ) -> PrepResult:
     """Clean a fact table (and join its dimension) into a model-ready frame."""
     t = spec.target
-    # A source with fewer splits than cores (one row group, or a broadcast
-    # join fed by one) would run every preparation pass as a single task.
-    df = clean.drop_columns(ensure_parallelism(fact), spec.leak)
+    df = clean.drop_columns(fact, spec.leak)
     df = clean.drop_missing_target(df, t, NA_SENTINELS)
     if spec.flag:
         df = clean.filter_flag(df, spec.flag, spec.flag_value)
@@ -150,6 +148,8 @@ def run(
     feats, _, _ = build_features(
         prep.df, numeric, categorical, s.target, normalize=normalize, keep=s.key_cols
     )
+    # ``feats`` reads the materialised prepared table through narrow steps only,
+    # so counting its partitions runs no job.
     feats = materialize(ensure_parallelism(feats), materialize_how)
     n_features = feature_count(feats, "normFeatures")
 

@@ -41,12 +41,14 @@ def materialize(df: DataFrame, how: str = "auto") -> DataFrame:
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a frame over at least ``min_partitions`` tasks before iterative fits.
-
-    A small single-row-group file scans as one partition and AQE coalesces small
-    shuffles to one, which makes every training pass single-threaded. Only then
-    is a round-robin repartition added; a large scan already has enough splits
-    and is left alone (no extra full shuffle at scale).
+    """Spread a scan-like frame over at least ``min_partitions`` tasks.
+
+    A small single-row-group file scans as one partition, which makes every
+    later pass single-threaded; only then is a round-robin repartition added. A
+    large scan already has enough splits and is left alone (no extra shuffle
+    at scale). Call it on a file scan, a checkpoint or a cached frame: reading
+    the partition count of a plan that still contains a shuffle would run that
+    shuffle once just to count (under AQE), so such frames are left to AQE.
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
