@@ -575,10 +575,10 @@ def q_string_index(spark, sf):
     "one_hot",
     with_ctes(
         f""", {_rank_ctes()}
-SELECT l_orderkey, l_linenumber, 'o_orderpriority' AS col_name, CAST(a.i AS INTEGER) AS slot, 1.0 AS value
+SELECT l_orderkey, l_linenumber, 'o_orderpriority' AS col_name, CAST(a.i AS INTEGER) AS slot, CAST(1.0 AS DOUBLE) AS value
 FROM fact JOIN o_orderpriority_idx a ON fact.o_orderpriority = a.v WHERE a.i < a.k - 1
 UNION ALL
-SELECT l_orderkey, l_linenumber, 'l_returnflag' AS col_name, CAST(b.i AS INTEGER) AS slot, 1.0 AS value
+SELECT l_orderkey, l_linenumber, 'l_returnflag' AS col_name, CAST(b.i AS INTEGER) AS slot, CAST(1.0 AS DOUBLE) AS value
 FROM fact JOIN l_returnflag_idx b ON fact.l_returnflag = b.v WHERE b.i < b.k - 1""",
         FACT,
     ).replace("\n, ", ",\n", 1),
