@@ -83,14 +83,26 @@ def informative_columns(df: DataFrame, cols: Iterable[str] | None = None) -> Dat
     )
 
 
+def informative_metrics(df: DataFrame, cols: Iterable[str] | None = None) -> tuple[list[str], dict]:
+    """(columns, {metric name: informative aggregate}) for a one-pass test that
+    can also ride along another action (see ``session.materialize_observed``)."""
+    cols = _atomic(df, cols)
+    return cols, {f"informative_{i}": informative_expr(c) for i, c in enumerate(cols)}
+
+
+def constant_from_metrics(cols: list[str], values: dict, exempt: Iterable[str] = ()) -> list[str]:
+    """Single-valued columns from the metrics of ``informative_metrics``."""
+    skip = {e.lower() for e in exempt}
+    return [c for i, c in enumerate(cols) if not values[f"informative_{i}"] and c.lower() not in skip]
+
+
 def constant_columns(df: DataFrame, cols: Iterable[str] | None = None, exempt: Iterable[str] = ()) -> list[str]:
     """Names of single-valued columns (one job; the answer is k booleans)."""
-    cols = _atomic(df, cols)
+    cols, metrics = informative_metrics(df, cols)
     if not cols:
         return []
-    flags = df.agg(*[informative_expr(c).alias(f"c{i}") for i, c in enumerate(cols)]).first()
-    skip = {e.lower() for e in exempt}
-    return [c for i, c in enumerate(cols) if not flags[i] and c.lower() not in skip]
+    row = df.agg(*[m.alias(n) for n, m in metrics.items()]).first().asDict()
+    return constant_from_metrics(cols, row, exempt)
 
 
 def drop_constant_columns(

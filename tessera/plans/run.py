@@ -1,8 +1,9 @@
 """End-to-end run: prepare -> features -> select -> split -> cross-validated models -> report.
 
 Jobs, in order (each a single pass unless noted): key gate (1 global
-aggregate over the key column), materialisation of the joined table (1),
-single-valued test (1), mode + mean surrogates (2), indexer fit (1),
+aggregate over the key column), materialisation of the joined table with the
+single-valued test riding along as observed metrics (1), mode + mean
+surrogates (2), indexer fit (1),
 materialisation of the feature table (1), FDR and FWE fits (2), then the model
 fits; the correlation profile is a lazy one-aggregate frame. Materialising
 means a checkpoint into the shared folder when the cluster names one, else a
@@ -23,7 +24,7 @@ from tessera.operators.features import build_features, feature_count, select_fea
 from tessera.operators.impute import impute
 from tessera.operators.join import entity_age, gated_join
 from tessera.operators.models import MODEL_KINDS, PREDICTION_COLS, add_fold_column, best_params, fit_cv, hash_split
-from tessera.session import ensure_parallelism, materialize
+from tessera.session import ensure_parallelism, materialize, materialize_observed
 from tessera.spec import PrepResult, RunReport, TableSpec, derive_roles
 
 DATE_SENTINELS = ("None", "NA")
@@ -67,14 +68,15 @@ def prepare(
     # Sentinel text -> NULL on every column but the target.
     df = clean.sentinel_to_null(df, [c for c in df.columns if c != t], NA_SENTINELS)
 
-    # Materialise once (the joined, cleaned table is read by every later job),
-    # then find single-valued columns with one aggregate over that copy;
-    # dropping them afterwards is only a projection.
-    df = materialize(df, materialize_how)
+    # Materialise once (the joined, cleaned table is read by every later job);
+    # the single-valued test rides along that write as observed metrics, so it
+    # costs no pass of its own. Dropping the columns is then a projection.
     keys = set(spec.key_cols)
-    df, spec, constant = profile.drop_constant_columns(
-        df, spec, exempt=spec.exempt_constant, cols=[c for c in df.columns if c not in keys]
-    )
+    cols, metrics = profile.informative_metrics(df, [c for c in df.columns if c not in keys])
+    df, values = materialize_observed(df, metrics, materialize_how)
+    constant = profile.constant_from_metrics(cols, values, spec.exempt_constant)
+    df = df.drop(*constant)
+    spec = spec.without(constant)
     if spec.date_col and spec.date_col in constant:
         spec = replace(spec, date_col=None)
 

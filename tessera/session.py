@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,24 +24,65 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def materialize(df: DataFrame, how: str = "auto") -> DataFrame:
     """Cut (or pin) the lineage of a frame that several later jobs read.
 
-    ``auto``: a reliable ``checkpoint()`` into the cluster's shared checkpoint
-    folder when one is configured (a lost executor then costs a re-read, not a
-    re-run of the whole preparation); otherwise ``persist(MEMORY_AND_DISK)``,
-    which still recomputes lost blocks from a deterministic lineage.
-    ``localCheckpoint`` is never used: its blocks die with the executor.
+    ``table``: write the frame as Parquet under the cluster's shared checkpoint
+    folder and read it back. The lineage is cut (a lost executor costs a
+    re-read, not a re-run of the joins and casts before it), and every later
+    job reads only the columns it needs, compressed and columnar.
+    ``checkpoint``: Spark's reliable ``checkpoint()`` into the same folder
+    (row-serialised; used when a column name cannot be stored in Parquet).
+    ``persist``: ``MEMORY_AND_DISK``; lost blocks are recomputed from a
+    deterministic lineage. ``auto`` = ``table`` when the session names a
+    checkpoint folder, else ``persist``. ``localCheckpoint`` is never used:
+    its blocks die with the executor.
     """
     spark = df.sparkSession
     if how == "none":
         return df
-    if how in ("auto", "checkpoint") and checkpoint_dir(spark):
+    folder = checkpoint_dir(spark)
+    if how in ("auto", "table", "checkpoint") and folder:
+        if how != "checkpoint":
+            path = f"{folder.rstrip('/')}/tessera_tables/{uuid.uuid4().hex}"
+            try:
+                df.write.mode("error").parquet(path)
+            except Exception as e:  # noqa: BLE001 - e.g. a name Parquet cannot store
+                if "INVALID_COLUMN_NAME" not in str(e) and "invalid character" not in str(e).lower():
+                    raise
+            else:
+                return spark.read.parquet(path)
         if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
+            spark.sparkContext.setCheckpointDir(folder)
         return df.checkpoint(eager=True)
-    if how == "checkpoint":
-        raise ValueError("checkpoint requested but spark.checkpoint.dir is not set")
+    if how in ("table", "checkpoint"):
+        raise ValueError(f"{how} requested but spark.checkpoint.dir is not set")
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def materialize_observed(df: DataFrame, metrics: dict, how: str = "auto") -> tuple[DataFrame, dict]:
+    """``materialize`` plus aggregate ``metrics`` (name -> aggregate Column)
+    computed over the same rows.
+
+    On the table path the metrics ride along the write through an
+    ``Observation``: no extra pass over the data. Otherwise they are one
+    aggregate over the materialised copy.
+    """
+    from pyspark.sql import Observation
+
+    spark = df.sparkSession
+    if not metrics:
+        return materialize(df, how), {}
+    named = [c.alias(n) for n, c in metrics.items()]
+    if how in ("auto", "table") and checkpoint_dir(spark):
+        obs = Observation(f"tessera_{uuid.uuid4().hex[:8]}")
+        out = materialize(df.observe(obs, *named), "table")
+        values = obs.get
+        if values:
+            return out, dict(values)
+        # A fallback to checkpoint() does not report observations: recompute.
+        return out, out.agg(*named).first().asDict()
+    out = materialize(df, how)
+    return out, out.agg(*named).first().asDict()
+
+
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread a scan-like frame over at least ``min_partitions`` tasks.
 
