@@ -298,8 +298,14 @@ def test_evaluate_one_pass_equals_evaluator(spark):
     assert evaluate(const, "y", "p").first().r2 is None
 
 
-def test_materialize_checkpoints_when_dir_set(spark):
+def test_materialize_cuts_lineage_into_checkpoint_folder(spark):
+    from tessera.session import checkpoint_dir, materialize_observed
+
     df = spark.range(100).withColumn("x", F.col("id") * 2)
-    out = materialize(df)
-    assert out.count() == 100
-    assert "LogicalRDD" in out._jdf.queryExecution().analyzed().toString() or out.is_cached
+    out = materialize(df)  # a checkpoint folder is set by conftest: Parquet table there
+    files = out.inputFiles()
+    assert out.count() == 100 and files and all(checkpoint_dir(spark).rstrip("/").split(":")[-1] in f for f in files)
+    ck = materialize(df, "checkpoint")
+    assert "LogicalRDD" in ck._jdf.queryExecution().analyzed().toString()
+    out2, vals = materialize_observed(df, {"n": F.count(F.lit(1)), "mx": F.max("x")})
+    assert vals == {"n": 100, "mx": 198} and out2.count() == 100
