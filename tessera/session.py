@@ -32,13 +32,16 @@ def materialize(df: DataFrame, how: str = "auto") -> DataFrame:
     (row-serialised; used when a column name cannot be stored in Parquet).
     ``persist``: ``MEMORY_AND_DISK``; lost blocks are recomputed from a
     deterministic lineage. ``auto`` = ``table`` when the session names a
-    checkpoint folder, else ``persist``. ``localCheckpoint`` is never used:
+    checkpoint folder (``checkpoint`` if the frame holds ML vectors, which
+    decode faster from rows than from Parquet structs), else ``persist``. ``localCheckpoint`` is never used:
     its blocks die with the executor.
     """
     spark = df.sparkSession
     if how == "none":
         return df
     folder = checkpoint_dir(spark)
+    if how == "auto" and folder and _has_udt(df):
+        how = "checkpoint"  # vectors: opaque blobs, nothing to prune, cheaper to read as rows
     if how in ("auto", "table", "checkpoint") and folder:
         if how != "checkpoint":
             path = f"{folder.rstrip('/')}/tessera_tables/{uuid.uuid4().hex}"
@@ -57,6 +60,10 @@ def materialize(df: DataFrame, how: str = "auto") -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _has_udt(df: DataFrame) -> bool:
+    return any(isinstance(f.dataType, T.UserDefinedType) for f in df.schema.fields)
+
+
 def materialize_observed(df: DataFrame, metrics: dict, how: str = "auto") -> tuple[DataFrame, dict]:
     """``materialize`` plus aggregate ``metrics`` (name -> aggregate Column)
     computed over the same rows.
@@ -71,7 +78,7 @@ def materialize_observed(df: DataFrame, metrics: dict, how: str = "auto") -> tup
     if not metrics:
         return materialize(df, how), {}
     named = [c.alias(n) for n, c in metrics.items()]
-    if how in ("auto", "table") and checkpoint_dir(spark):
+    if how in ("auto", "table") and checkpoint_dir(spark) and not _has_udt(df):
         obs = Observation(f"tessera_{uuid.uuid4().hex[:8]}")
         out = materialize(df.observe(obs, *named), "table")
         values = obs.get
