@@ -12,6 +12,7 @@ persist. All metrics come out of one final job.
 
 from __future__ import annotations
 
+import time
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -144,7 +145,9 @@ def run(
     pick the same slots, the FWE fits reuse the FDR models (identical inputs
     and seeds give identical models), so the work is not done twice.
     """
+    clock = _Clock()
     prep = prepare(fact, dim, spec, materialize_how=materialize_how, **prep_options)
+    clock.lap("prepare")
     s = prep.spec
     numeric, categorical = derive_roles(prep.df.columns, s)
     feats, _, _ = build_features(
@@ -154,10 +157,12 @@ def run(
     # so counting its partitions runs no job.
     feats = materialize(ensure_parallelism(feats), materialize_how)
     n_features = feature_count(feats, "normFeatures")
+    clock.lap("features")
 
     fdr_df, fdr_idx, _ = select_features(feats, "normFeatures", s.target, "fdr", out="sel_fdr")
     both, fwe_idx, _ = select_features(fdr_df, "normFeatures", s.target, "fwe", out="sel_fwe")
     selected = {"fdr": fdr_idx, "fwe": fwe_idx}
+    clock.lap("select")
 
     key = list(s.key_cols)
     train, test = hash_split(both, key, fraction, seed)
@@ -186,7 +191,27 @@ def run(
             preds[name] = pred
             params[name] = best_params(model, feats.sparkSession)
             results.append(ModelResult(kind, sel, pred, s.target, pred_col))
+        clock.lap(f"cv_{kind}")
     summary = model_summary(results)
     return RunReport(
-        summary=summary, prep=prep, n_features=n_features, selected=selected, best_params=params, predictions=preds
+        summary=summary,
+        prep=prep,
+        n_features=n_features,
+        selected=selected,
+        best_params=params,
+        predictions=preds,
+        timings=clock.laps,
     )
+
+
+class _Clock:
+    """Driver wall-clock per phase (each phase ends with an action)."""
+
+    def __init__(self):
+        self.laps: dict[str, float] = {}
+        self._t = time.perf_counter()
+
+    def lap(self, name: str) -> None:
+        now = time.perf_counter()
+        self.laps[name] = round(now - self._t, 3)
+        self._t = now
