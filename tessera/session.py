@@ -21,7 +21,7 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
-def materialize(df: DataFrame, how: str = "auto") -> DataFrame:
+def materialize(df: DataFrame, how: str = "auto", eager: bool = False) -> DataFrame:
     """Cut (or pin) the lineage of a frame that several later jobs read.
 
     ``table``: write the frame as Parquet under the cluster's shared checkpoint
@@ -33,7 +33,8 @@ def materialize(df: DataFrame, how: str = "auto") -> DataFrame:
     ``persist``: ``MEMORY_AND_DISK``; lost blocks are recomputed from a
     deterministic lineage. ``auto`` = ``table`` when the session names a
     checkpoint folder (``checkpoint`` if the frame holds ML vectors, which
-    decode faster from rows than from Parquet structs), else ``persist``. ``localCheckpoint`` is never used:
+    decode faster from rows than from Parquet structs), else ``persist``
+    (lazy unless ``eager``; the other modes always run at once). ``localCheckpoint`` is never used:
     its blocks die with the executor.
     """
     spark = df.sparkSession
@@ -57,7 +58,11 @@ def materialize(df: DataFrame, how: str = "auto") -> DataFrame:
         return df.checkpoint(eager=True)
     if how in ("table", "checkpoint"):
         raise ValueError(f"{how} requested but spark.checkpoint.dir is not set")
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if eager:
+        # Fill the cache now, before concurrent readers race to compute it.
+        out.count()
+    return out
 
 
 def _has_udt(df: DataFrame) -> bool:
