@@ -726,7 +726,7 @@ def _cv_predictions(spark, sf, kind):
     train, test = hash_split(feats, KEYS, 0.7, 10)
     train = add_fold_column(train, KEYS, 5, 10)
     pred_col = PREDICTION_COLS[kind]
-    model = fit_cv(train, kind, "normFeatures", "y", folds=5, seed=10, fold_col="fold", parallelism=4)
+    model = fit_cv(train, kind, "normFeatures", "y", folds=5, seed=10, fold_col="fold")
     return model, model.transform(test).select(*KEYS, "y", F.col(pred_col).alias("prediction"))
 
 

@@ -14,7 +14,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tessera.session import ensure_parallelism
 
@@ -64,8 +63,13 @@ def _spread(df: DataFrame) -> DataFrame:
 
 def _base_frame(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     if base == "lineitem_orders":
-        li, o = _spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "orders")
-        return li.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+        from tessera.operators.join import dim_join
+
+        # The library's size-checked join: orders is broadcast only when a
+        # bounded probe proves it small, else a (salted) sort-merge join runs.
+        li = _spread(table(spark, sf_dir, "lineitem"))
+        o = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+        return dim_join(li, o, "l_orderkey")
     return _spread(table(spark, sf_dir, base))
 
 

@@ -309,3 +309,15 @@ def test_materialize_cuts_lineage_into_checkpoint_folder(spark):
     assert "LogicalRDD" in ck._jdf.queryExecution().analyzed().toString()
     out2, vals = materialize_observed(df, {"n": F.count(F.lit(1)), "mx": F.max("x")})
     assert vals == {"n": 100, "mx": 198} and out2.count() == 100
+
+
+def test_write_report_round_trip(spark):
+    from tessera.operators.evaluate import ModelResult, model_summary
+    from tessera.sources import write_report
+
+    pred = spark.range(50).select(F.col("id").cast("double").alias("y"), (F.col("id") + 1.0).alias("p"))
+    summary = model_summary([ModelResult("linear", "fdr", pred, "y", "p"), ModelResult("tree", "fwe", pred, "y", "p")])
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-report-"), "summary")
+    write_report(summary, path)
+    back = {(r.model, r.selection): (r.rmse, r.n) for r in spark.read.parquet(path).collect()}
+    assert back == {("linear", "fdr"): (1.0, 50), ("tree", "fwe"): (1.0, 50)}
