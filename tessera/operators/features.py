@@ -97,18 +97,24 @@ def build_features(
     handle_invalid: str = "error",
     features_col: str = "normFeatures",
     keep: Sequence[str] = (),
+    fit_filter=None,
 ) -> tuple[DataFrame, PipelineModel, list[str]]:
     """Fit and apply StringIndexer -> OneHotEncoder -> VectorAssembler -> normaliser.
 
     Assembled order: numeric columns first, then the encoded categoricals.
     Returns the frame reduced to ``keep + [target, features_col]``, the fitted
-    ``PipelineModel`` and the assembled input names.
+    ``PipelineModel`` and the assembled input names. ``fit_filter`` (a boolean
+    Column) fits the stages on those rows only (labels unseen there get the
+    extra "keep" index); every row is transformed.
     """
     numeric = present(df, numeric)
     categorical = present(df, categorical)
+    fit_df = df if fit_filter is None else df.filter(fit_filter)
+    if fit_filter is not None and handle_invalid == "error":
+        handle_invalid = "keep"
     stages = []
     if categorical:
-        idx, categorical, _single = _fit_indexer(df, categorical, handle_invalid)
+        idx, categorical, _single = _fit_indexer(fit_df, categorical, handle_invalid)
         stages.append(idx)
         if categorical:
             stages.append(encoder_stage(categorical))
@@ -123,7 +129,7 @@ def build_features(
         stages.append(StandardScaler(inputCol=raw, outputCol=features_col))
     elif normalize is not None:
         raise ValueError("normalize must be None, 'l1' or 'standard'")
-    model = Pipeline(stages=stages).fit(df)
+    model = Pipeline(stages=stages).fit(fit_df)
     out = model.transform(df).select(*present(df, keep), target, features_col)
     return out, model, ass_cols
 
@@ -152,6 +158,7 @@ def select_features(
     threshold: float = 0.05,
     on_empty: str = "all",
     out: str = "selectedFeatures",
+    fit_filter=None,
 ) -> tuple[DataFrame, list[int], UnivariateFeatureSelectorModel]:
     """Univariate F-test selection (continuous features, continuous label).
 
@@ -167,7 +174,8 @@ def select_features(
         selectionMode=mode,
     )
     sel.setFeatureType("continuous").setLabelType("continuous").setSelectionThreshold(threshold)
-    model = sel.fit(df.withColumn(label, F.col(label).cast("double")))
+    fit_df = df if fit_filter is None else df.filter(fit_filter)
+    model = sel.fit(fit_df.withColumn(label, F.col(label).cast("double")))
     picked = sorted(int(i) for i in model.selectedFeatures)
     if not picked:
         if on_empty == "error":

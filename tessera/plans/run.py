@@ -21,7 +21,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import NA_SENTINELS
+from tessera.functions.columns import NA_SENTINELS, hash_bucket
 from tessera.operators import clean, profile
 from tessera.operators.evaluate import ModelResult, model_summary
 from tessera.operators.features import build_features, feature_count, select_features
@@ -43,9 +43,14 @@ def prepare(
     keep_double_mean: bool = False,
     null_policy: str = "zero",
     collinear_threshold: float | None = None,
+    fit_filter=None,
     **join_options,
 ) -> PrepResult:
-    """Clean a fact table (and join its dimension) into a model-ready frame."""
+    """Clean a fact table (and join its dimension) into a model-ready frame.
+
+    ``fit_filter`` (a boolean Column over the key columns) makes the imputers
+    learn from those rows only; by default they see every row, as the
+    original did."""
     t = spec.target
     df = clean.drop_columns(fact, spec.leak)
     df = clean.drop_missing_target(df, t, NA_SENTINELS)
@@ -98,8 +103,8 @@ def prepare(
         df, spec, columns=spec.collinear, threshold=collinear_threshold, cols=numeric, null_policy=null_policy
     )
 
-    df, _ = impute(df, spec.numeric_mode, "mode")
-    df, _ = impute(df, spec.numeric_mean, "mean", keep_double=keep_double_mean)
+    df, _ = impute(df, spec.numeric_mode, "mode", fit_filter=fit_filter)
+    df, _ = impute(df, spec.numeric_mean, "mean", keep_double=keep_double_mean, fit_filter=fit_filter)
 
     extra_numeric: tuple[str, ...] = ()
     if included and spec.date_col and spec.age_year_col:
@@ -139,6 +144,7 @@ def run(
     normalize: str | None = "l1",
     materialize_how: str = "auto",
     concurrent_kinds: bool = True,
+    fit_on: str = "all",
     **prep_options,
 ) -> RunReport:
     """Full comparison: 3 models x {FDR, FWE} selections, k-fold CV each.
@@ -148,14 +154,25 @@ def run(
     makes the FDR and FWE rows the same experiment. Whenever both selections
     pick the same slots, the FWE fits reuse the FDR models (identical inputs
     and seeds give identical models), so the work is not done twice.
+
+    ``fit_on="all"`` fits imputers, encoders and selectors on every row before
+    the split, as the original did (test rows leak into them);
+    ``fit_on="train"`` fits them on the training rows only. The split is a
+    hash of the key, so the training rows are known at every stage without
+    a shuffle.
     """
+    if fit_on not in ("all", "train"):
+        raise ValueError("fit_on must be 'all' or 'train'")
     clock = _Clock()
-    prep = prepare(fact, dim, spec, materialize_how=materialize_how, **prep_options)
+    train_rows = None
+    if fit_on == "train":
+        train_rows = hash_bucket(list(spec.key_cols), seed) < int(round(fraction * 1000))
+    prep = prepare(fact, dim, spec, materialize_how=materialize_how, fit_filter=train_rows, **prep_options)
     clock.lap("prepare")
     s = prep.spec
     numeric, categorical = derive_roles(prep.df.columns, s)
     feats, _, _ = build_features(
-        prep.df, numeric, categorical, s.target, normalize=normalize, keep=s.key_cols
+        prep.df, numeric, categorical, s.target, normalize=normalize, keep=s.key_cols, fit_filter=train_rows
     )
     # ``feats`` reads the materialised prepared table through narrow steps only,
     # so counting its partitions runs no job.
@@ -163,8 +180,8 @@ def run(
     n_features = feature_count(feats, "normFeatures")
     clock.lap("features")
 
-    fdr_df, fdr_idx, _ = select_features(feats, "normFeatures", s.target, "fdr", out="sel_fdr")
-    both, fwe_idx, _ = select_features(fdr_df, "normFeatures", s.target, "fwe", out="sel_fwe")
+    fdr_df, fdr_idx, _ = select_features(feats, "normFeatures", s.target, "fdr", out="sel_fdr", fit_filter=train_rows)
+    both, fwe_idx, _ = select_features(fdr_df, "normFeatures", s.target, "fwe", out="sel_fwe", fit_filter=train_rows)
     selected = {"fdr": fdr_idx, "fwe": fwe_idx}
     clock.lap("select")
 

@@ -57,3 +57,20 @@ def test_flagship_full(spark):
     assert max(r.r2 for r in rows) > 0.5  # the target has signal
     params = {r.param for r in rep.best_params["linear_fdr"].collect()}
     assert {"regParam", "elasticNetParam", "maxIter"} <= params
+
+
+def test_fit_on_train_keeps_test_rows_out_of_fitting(spark):
+    from tessera.functions import hash_bucket
+    from tessera.operators.impute import impute
+
+    df = spark.range(2000).select(F.col("id").alias("k"), F.when(F.col("id") % 4 == 0, None).otherwise(F.col("id")).cast("int").alias("x"))
+    train_rows = hash_bucket(["k"], 10) < 700
+    _, model_all = impute(df, ["x"], "mean")
+    _, model_train = impute(df, ["x"], "mean", fit_filter=train_rows)
+    expect = df.filter(train_rows & F.col("x").isNotNull()).agg(F.avg("x")).first()[0]
+    assert model_train.surrogateDF.first()["x"] == pytest.approx(expect)
+    assert model_all.surrogateDF.first()["x"] != model_train.surrogateDF.first()["x"]
+
+    rep = flagship(spark, SF_SMALL, kinds=("linear",), folds=3, fit_on="train")
+    rows = rep.summary.collect()
+    assert len(rows) == 2 and all(r.n > 0 and r.rmse >= 0 for r in rows)
