@@ -108,7 +108,14 @@ def prepare(
 
     extra_numeric: tuple[str, ...] = ()
     if included and spec.date_col and spec.age_year_col:
-        df = entity_age(df, spec.age_year_col, spec.date_col, spec.age_col, spec.date_format, age_null)
+        # age_null: "drop" rows whose date does not parse (default), or
+        # "impute" the age like the other mean-imputed columns.
+        df = entity_age(
+            df, spec.age_year_col, spec.date_col, spec.age_col, spec.date_format,
+            "keep" if age_null == "impute" else age_null,
+        )
+        if age_null == "impute":
+            df, _ = impute(df, [spec.age_col], "mean", keep_double=keep_double_mean, fit_filter=fit_filter)
         extra_numeric = (spec.age_col,)
 
     cats = [c for c in clean.present(df, spec.categorical) if c not in spec.hhmm_cols]

@@ -74,3 +74,11 @@ def test_fit_on_train_keeps_test_rows_out_of_fitting(spark):
     rep = flagship(spark, SF_SMALL, kinds=("linear",), folds=3, fit_on="train")
     rows = rep.summary.collect()
     assert len(rows) == 2 and all(r.n > 0 and r.rmse >= 0 for r in rows)
+
+
+def test_age_null_impute_keeps_rows(spark):
+    fact, dim = RAW_FACT.frame(spark, SF_SMALL), RAW_DIM.frame(spark, SF_SMALL)
+    dropped = prepare(fact, dim, FLAGSHIP_SPEC, materialize_how="none").df
+    imputed = prepare(fact, dim, FLAGSHIP_SPEC, materialize_how="none", age_null="impute").df
+    assert imputed.count() > dropped.count()
+    assert imputed.filter(F.col("part_age").isNull()).count() == 0
