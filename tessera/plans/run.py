@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import NA_SENTINELS, hash_bucket
 from tessera.operators import clean, profile
-from tessera.operators.evaluate import ModelResult, model_summary
+from tessera.operators.evaluate import evaluate_many
 from tessera.operators.features import build_features, feature_count, select_features
 from tessera.operators.impute import impute
 from tessera.operators.join import entity_age, gated_join
@@ -212,29 +212,36 @@ def run(
             if sel == "fwe" and same:
                 out[sel] = out["fdr"]
                 continue
-            model = fit_cv(
+            out[sel] = fit_cv(
                 table, kind, col, s.target, folds=folds, seed=seed, parallelism=parallelism,
-                fold_col="fold", pred_col=PREDICTION_COLS[kind], materialize_how="none",
+                fold_col="fold", pred_col=f"{PREDICTION_COLS[kind]}_{sel}", materialize_how="none",
             )
-            out[sel] = (model, model.transform(test))
         return kind, out
 
     # The three model kinds are independent: fit them concurrently so one
     # kind's driver-side work (split finding, line search) overlaps the
     # others' passes.
-    results, params, preds = [], {}, {}
     wrap = inheritable_thread_target(feats.sparkSession)
     with ThreadPool(len(kinds) if concurrent_kinds else 1) as pool:
         fitted = dict(pool.imap(wrap(fit_kind), kinds))
+    clock.lap("cv")
+
+    # Every fitted model adds its own prediction column to ONE test frame, and
+    # all metrics come from one aggregate over it: one scan of the test rows.
+    scored = test
+    params, preds, columns = {}, {}, []
     for kind in kinds:
         for sel in ("fdr", "fwe"):
-            model, pred = fitted[kind][sel]
+            model = fitted[kind][sel]
+            pcol = model.bestModel.getPredictionCol()
+            if pcol not in scored.columns:
+                scored = model.transform(scored)
             name = f"{kind}_{sel}"
-            preds[name] = pred
             params[name] = best_params(model, feats.sparkSession)
-            results.append(ModelResult(kind, sel, pred, s.target, PREDICTION_COLS[kind]))
-    clock.lap("cv")
-    summary = model_summary(results)
+            columns.append((kind, sel, pcol))
+    for kind, sel, pcol in columns:
+        preds[f"{kind}_{sel}"] = scored.select(*key, s.target, F.col(pcol).alias(PREDICTION_COLS[kind]))
+    summary = evaluate_many(scored, s.target, columns)
     return RunReport(
         summary=summary,
         prep=prep,

@@ -334,3 +334,18 @@ def test_fit_cv_fold_sources_and_model(spark):
         assert abs(m.bestModel.coefficients[0] - 2.0) < 0.01
     again = fit_cv(df.withColumn("k", F.col("x")), "linear", "f", "y", folds=3, key_cols=["k"])
     assert again.avgMetrics == by_key.avgMetrics  # key folds: same result every run
+
+
+def test_evaluate_many_equals_per_column(spark):
+    from tessera.operators.evaluate import evaluate_many
+
+    df = spark.range(400).select(
+        F.col("id").cast("double").alias("y"),
+        (F.col("id") * 0.9 + 3).alias("p1"),
+        F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") + 2.0).alias("p2"),
+    )
+    many = {(r.model, r.selection): (r.rmse, r.r2, r.n) for r in evaluate_many(df, "y", [("a", "x", "p1"), ("b", "x", "p2")]).collect()}
+    for key, col in ((("a", "x"), "p1"), (("b", "x"), "p2")):
+        one = evaluate(df, "y", col).first()
+        assert math.isclose(many[key][0], one.rmse, rel_tol=1e-12) and math.isclose(many[key][1], one.r2, rel_tol=1e-12)
+        assert many[key][2] == one.n
