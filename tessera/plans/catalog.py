@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import DAY_PARTS, day_part, hash_bucket, parse_date
 from tessera.operators import clean, profile
-from tessera.operators.evaluate import ModelResult, evaluate, model_summary
+from tessera.operators.evaluate import evaluate, evaluate_many
 from tessera.operators.features import (
     assemble,
     build_features,
@@ -762,24 +762,22 @@ def q_predictions_sample(spark, sf):
 @query("model_summary")
 def q_model_summary(spark, sf):
     """Three models on FDR- and FWE-selected features, one plain fit each (the
-    cross-validated versions are ``*_cv``); identical selections share a fit."""
+    cross-validated versions are ``*_cv``); identical selections share a fit.
+    All models score one test frame; the report is one aggregate over it."""
     feats = _fact_features(spark, sf)
     fdr, fdr_idx, _ = select_features(feats, "normFeatures", "y", "fdr", out="sel_fdr")
     both, fwe_idx, _ = select_features(fdr, "normFeatures", "y", "fwe", out="sel_fwe")
     train, test = hash_split(both, KEYS, 0.7, 10)
-    results = []
+    scored, columns = test, []
     for kind in ("linear", "tree", "forest"):
-        preds = {}
         for sel in ("fdr", "fwe"):
-            if sel == "fwe" and fdr_idx == fwe_idx:
-                pred = preds["fdr"]
-            else:
+            pcol = f"{PREDICTION_COLS[kind]}_{'fdr' if fdr_idx == fwe_idx else sel}"
+            if pcol not in scored.columns:
                 params = {"regParam": 0.01, "elasticNetParam": 0.25, "maxIter": 10} if kind == "linear" else {}
-                m = estimator(kind, f"sel_{sel}", "y", **params).fit(train)
-                pred = m.transform(test)
-            preds[sel] = pred
-            results.append(ModelResult(kind, sel, pred, "y", PREDICTION_COLS[kind]))
-    return model_summary(results)
+                m = estimator(kind, f"sel_{sel}", "y", pred_col=pcol, **params).fit(train)
+                scored = m.transform(scored)
+            columns.append((kind, sel, pcol))
+    return evaluate_many(scored, "y", columns)
 
 
 @query("flagship")
