@@ -180,8 +180,10 @@ def q_preview(spark, sf):
 
 
 _DUCK_TYPES = (
-    "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
-    "WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END"
+    "CASE WHEN column_type = 'BIGINT' THEN 'bigint' WHEN column_type = 'INTEGER' THEN 'int' "
+    "WHEN column_type = 'DOUBLE' THEN 'double' WHEN column_type = 'VARCHAR' THEN 'string' "
+    "WHEN column_type LIKE 'TIMESTAMP WITH TIME ZONE%' THEN 'timestamp' "
+    "WHEN column_type LIKE 'TIMESTAMP%' THEN 'timestamp_ntz' ELSE lower(column_type) END"
 )
 
 
