@@ -27,8 +27,6 @@ SALT_BUCKETS = 32
 MAX_HOT_KEYS = 10_000
 
 _SALT = "__tessera_salt"
-_HOT = "__tessera_hot"
-_HOT_KEY = "__tessera_hot_key"
 
 
 def _key(df: DataFrame, on: str, side: str) -> str:
@@ -77,44 +75,36 @@ def dim_join(
 def _salted_join(
     fact: DataFrame, dim: DataFrame, key: str, hot_key_rows: int, salt_buckets: int, max_hot_keys: int
 ) -> DataFrame:
-    # Hot keys: partial (map-side) counts, then a top-k; the list is bounded by
-    # ``max_hot_keys`` rows, so broadcasting it is safe. A hot key beyond the
-    # top-k is still joined correctly, only without salting.
-    hot = (
-        fact.where(F.col(key).isNotNull())
+    # Hot keys: one job of partial (map-side) counts, then a top-k. The list is
+    # bounded by ``max_hot_keys`` rows, so it is collected once and used as an
+    # IN-set on both sides (no extra joins, no second aggregation). A hot key
+    # beyond the top-k is still joined correctly, only without salting.
+    hot = [
+        r[0]
+        for r in fact.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= F.lit(hot_key_rows))
         .orderBy(F.desc("n"))
         .limit(max_hot_keys)
-        .select(F.col(key).alias(_HOT_KEY), F.lit(True).alias(_HOT))
-    )
-    hot_b = F.broadcast(hot)
-    # Salt from a hash of the whole row: deterministic, so a recomputed task
-    # sends each row to the same reducer.
-    f = (
-        fact.join(hot_b, F.col(key) == F.col(_HOT_KEY), "left")
-        .withColumn(
-            _SALT,
-            F.when(F.col(_HOT), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(salt_buckets)))
-            .otherwise(F.lit(0))
-            .cast("int"),
-        )
-        .drop(_HOT_KEY, _HOT)
-    )
-    d = (
-        dim.join(hot_b, F.col(key) == F.col(_HOT_KEY), "left")
-        .withColumn(
-            _SALT,
-            F.explode(
-                F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))
-            ),
-        )
-        .drop(_HOT_KEY, _HOT)
-    )
+        .select(key)
+        .collect()
+    ]
     # This path runs when the dimension is not provably small, so the join must
     # not fall back to a broadcast chosen from size estimates: force a
     # sort-merge join (AQE may still split a skewed partition further).
+    if not hot:
+        return fact.join(dim.hint("merge"), on=key, how="inner")
+    is_hot = F.col(key).isin(hot)
+    # Salt from a hash of the whole row: deterministic, so a recomputed task
+    # sends each row to the same reducer.
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+    f = fact.withColumn(_SALT, F.when(is_hot, F.pmod(row_hash, F.lit(salt_buckets))).otherwise(F.lit(0)).cast("int"))
+    # A hot key's dimension rows are copied to every salt (explode, not a cross join).
+    d = dim.withColumn(
+        _SALT,
+        F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))),
+    )
     return f.join(d.hint("merge"), on=[key, _SALT], how="inner").drop(_SALT)
 
 
