@@ -145,11 +145,6 @@ def feature_count(df: DataFrame, vec_col: str) -> int:
     return int(row["n"]) if row else 0
 
 
-def vector_size_expr(vec_col: str):
-    """Per-row vector size as a column (for a check without collecting)."""
-    return F.size(vector_to_array(F.col(vec_col)))
-
-
 def select_features(
     df: DataFrame,
     features_col: str,

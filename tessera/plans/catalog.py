@@ -18,7 +18,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import DAY_PARTS, day_part, hash_bucket, parse_date
+from tessera.functions.columns import DAY_PARTS, day_part, parse_date
 from tessera.operators import clean, profile
 from tessera.operators.evaluate import evaluate, evaluate_many
 from tessera.operators.features import (

@@ -1,7 +1,6 @@
 """Physical-plan properties: pushdown through the cleaning expressions, column
 pruning, no Python evaluation, one-pass profiles, checked broadcasts."""
 
-from pyspark.sql import functions as F
 
 from tessera.operators import clean, profile
 from tessera.operators.join import dim_join
