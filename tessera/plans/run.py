@@ -3,11 +3,12 @@
 Jobs, in order (each a single pass unless noted): key gate (1 global
 aggregate over the key column), materialisation of the joined table with the
 single-valued test riding along as observed metrics (1), mode + mean
-surrogates (2), indexer fit (1),
-materialisation of the feature table (1), FDR and FWE fits (2), then the model
+surrogates (2), indexer fit (1), materialisation of the feature table (1),
+FDR and FWE fits (2), the shared cross-validation table (1), then the model
 fits; the correlation profile is a lazy one-aggregate frame. Materialising
-means a checkpoint into the shared folder when the cluster names one, else a
-persist. All metrics come out of one final job.
+means a Parquet table (or, for vectors, a reliable checkpoint) in the shared
+folder when the cluster names one, else a persist. All metrics come out of
+one aggregate over one scan of the test rows.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from dataclasses import replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
