@@ -53,3 +53,27 @@ def test_dimension_broadcast_only_when_proven_small(spark):
     assert "SortMergeJoin [l_partkey" in capped and "BroadcastHashJoin" not in capped
     salted = _plan(dim_join(li, part, "l_partkey", broadcast_max_rows=10, hot_key_rows=5, salt_buckets=4))
     assert "SortMergeJoin [l_partkey" in salted and "__tessera_salt" in salted and "BroadcastHashJoin" not in salted
+
+
+def test_salting_spreads_a_key_holding_a_third_of_rows(spark):
+    from pyspark.sql import functions as F
+
+    fact = spark.range(0, 30000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("k")
+    )
+    dim = spark.range(0, 500).select(F.col("id").alias("k"), (F.col("id") * 10).alias("attr"))
+
+    def largest_share(df):
+        counts = [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        return max(counts) / sum(counts)
+
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # measure our salting, not AQE's skew split
+    try:
+        plain = dim_join(fact, dim, "k", broadcast=False, hot_key_rows=10**9)
+        salted = dim_join(fact, dim, "k", broadcast=False, hot_key_rows=1000, salt_buckets=16)
+        assert plain.count() == salted.count() == 30000
+        assert largest_share(plain) > 0.33  # the hot key lands on one reducer
+        assert largest_share(salted) < 0.2  # spread over the salts
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
