@@ -1,6 +1,6 @@
 """Sources (CSV / Parquet tables) and sinks (report frames, parquet)."""
 
-from tessera.sources.sinks import predictions_sample, preview, schema_report, write_report
+from tessera.sources.sinks import predictions_sample, preview, schema_report, write_report, write_run_report
 from tessera.sources.tables import load_tables, read_table, string_schema
 
 __all__ = [
@@ -11,4 +11,5 @@ __all__ = [
     "schema_report",
     "string_schema",
     "write_report",
+    "write_run_report",
 ]

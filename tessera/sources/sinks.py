@@ -43,3 +43,35 @@ def schema_report(df: DataFrame) -> DataFrame:
 def write_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a report frame as parquet (the batch sink; console output is not used)."""
     df.write.mode(mode).parquet(path)
+
+
+def write_run_report(report, root: str, mode: str = "overwrite") -> list[str]:
+    """Persist what an end-to-end run prints in the original program, as Parquet
+    tables under ``root``: ``summary`` (model, selection, rmse, r2, n),
+    ``best_params`` (model, selection, param, value), ``correlations`` (a, b, r)
+    and ``selected`` (selection, slot). Returns the written paths."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    spark = report.summary.sparkSession
+    root = root.rstrip("/")
+    written = []
+
+    def put(name, df):
+        path = f"{root}/{name}"
+        write_report(df, path, mode)
+        written.append(path)
+
+    put("summary", report.summary)
+    params = [
+        df.select(F.lit(name.split("_")[0]).alias("model"), F.lit(name.split("_")[1]).alias("selection"), "param", "value")
+        for name, df in report.best_params.items()
+    ]
+    if params:
+        put("best_params", reduce(lambda a, b: a.unionByName(b), params))
+    if report.prep.correlations is not None:
+        put("correlations", report.prep.correlations)
+    rows = [(sel, int(i)) for sel, idx in report.selected.items() for i in idx]
+    put("selected", spark.createDataFrame(rows, "selection string, slot int"))
+    return written

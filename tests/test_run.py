@@ -82,3 +82,19 @@ def test_age_null_impute_keeps_rows(spark):
     imputed = prepare(fact, dim, FLAGSHIP_SPEC, materialize_how="none", age_null="impute").df
     assert imputed.count() > dropped.count()
     assert imputed.filter(F.col("part_age").isNull()).count() == 0
+
+
+def test_write_run_report(spark):
+    import os
+    import tempfile
+
+    from tessera.sources import write_run_report
+
+    rep = flagship(spark, SF_SMALL, kinds=("linear",), folds=2)
+    root = os.path.join(tempfile.mkdtemp(prefix="tessera-run-"), "report")
+    paths = write_run_report(rep, root)
+    assert [p.rsplit("/", 1)[-1] for p in paths] == ["summary", "best_params", "correlations", "selected"]
+    assert spark.read.parquet(paths[0]).count() == 2
+    params = spark.read.parquet(paths[1])
+    assert {r.model for r in params.select("model").distinct().collect()} == {"linear"}
+    assert spark.read.parquet(paths[3]).count() == len(rep.selected["fdr"]) + len(rep.selected["fwe"])
