@@ -2,8 +2,8 @@
 
 Jobs, in order (each a single pass unless noted): key gate (1 global
 aggregate over the key column), materialisation of the joined table with the
-single-valued test riding along as observed metrics (1), mode + mean
-surrogates (2), indexer fit (1), materialisation of the feature table (1),
+single-valued test and the mean surrogates riding along as observed metrics
+(1), mode surrogates (1), indexer fit (1), materialisation of the feature table (1),
 FDR and FWE fits (2), the shared cross-validation table (1), then the model
 fits; the correlation profile is a lazy one-aggregate frame. Materialising
 means a Parquet table (or, for vectors, a reliable checkpoint) in the shared
@@ -21,7 +21,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import NA_SENTINELS, hash_bucket
+from tessera.functions.columns import NA_SENTINELS, hash_bucket, to_int_typed
 from tessera.operators import clean, profile
 from tessera.operators.evaluate import evaluate_many
 from tessera.operators.features import build_features, feature_count, select_features
@@ -82,7 +82,18 @@ def prepare(
     # costs no pass of its own. Dropping the columns is then a projection.
     keys = set(spec.key_cols)
     cols, metrics = profile.informative_metrics(df, [c for c in df.columns if c not in keys])
+    # The mean surrogates ride along too: the average of each mean-imputed
+    # column, cast as below, over the rows whose target casts to a value (the
+    # rows the imputer would see; with ``fit_filter`` only those rows).
+    types = dict(df.dtypes)
+    t_ok = to_int_typed(t, types[t]).isNotNull()
+    if fit_filter is not None:
+        t_ok = t_ok & fit_filter
+    mean_cols = clean.present(df, spec.numeric_mean)
+    for i, c in enumerate(mean_cols):
+        metrics[f"mean_{i}"] = F.avg(F.when(t_ok, to_int_typed(c, types[c]).cast("double")))
     df, values = materialize_observed(df, metrics, materialize_how)
+    means = {c: values[f"mean_{i}"] for i, c in enumerate(mean_cols)}
     constant = profile.constant_from_metrics(cols, values, spec.exempt_constant)
     df = df.drop(*constant)
     spec = spec.without(constant)
@@ -104,7 +115,7 @@ def prepare(
     )
 
     df, _ = impute(df, spec.numeric_mode, "mode", fit_filter=fit_filter)
-    df, _ = impute(df, spec.numeric_mean, "mean", keep_double=keep_double_mean, fit_filter=fit_filter)
+    df = _fill_means(df, clean.present(df, spec.numeric_mean), means, keep_double_mean)
 
     extra_numeric: tuple[str, ...] = ()
     if included and spec.date_col and spec.age_year_col:
@@ -138,6 +149,18 @@ def prepare(
     )
 
 
+def _fill_means(df: DataFrame, cols: list[str], means: dict, keep_double: bool) -> DataFrame:
+    """Apply mean surrogates the way ``Imputer`` does: NULL -> surrogate, cast to
+    the column's type (an int column truncates, 12.75 -> 12)."""
+    missing = [c for c in cols if means.get(c) is None]
+    if missing:
+        raise ValueError(f"no value to impute from in {missing}")
+    if keep_double:
+        return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c])) for c in cols})
+    types = dict(df.dtypes)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(means[c]).cast(types[c])) for c in cols})
+
+
 def run(
     fact: DataFrame,
     dim: DataFrame | None,

@@ -98,3 +98,18 @@ def test_write_run_report(spark):
     params = spark.read.parquet(paths[1])
     assert {r.model for r in params.select("model").distinct().collect()} == {"linear"}
     assert spark.read.parquet(paths[3]).count() == len(rep.selected["fdr"]) + len(rep.selected["fwe"])
+
+
+def test_observed_mean_surrogates_equal_imputer(spark, monkeypatch):
+    import sys
+
+    from tessera.operators.impute import impute
+
+    run_mod = sys.modules["tessera.plans.run"]  # the package exports a function of the same name
+
+    fact, dim = RAW_FACT.frame(spark, SF_SMALL), RAW_DIM.frame(spark, SF_SMALL)
+    ours = prepare(fact, dim, FLAGSHIP_SPEC).df  # checkpoint folder set: surrogates observed on the write
+    monkeypatch.setattr(run_mod, "_fill_means", lambda df, cols, means, keep_double: impute(df, cols, "mean", keep_double)[0])
+    spark_imputer = prepare(fact, dim, FLAGSHIP_SPEC).df
+    assert ours.columns == spark_imputer.columns
+    assert ours.exceptAll(spark_imputer).count() == 0 and spark_imputer.exceptAll(ours).count() == 0
