@@ -12,7 +12,7 @@ from tessera.operators.clean import (
     require_columns,
     sentinel_to_null,
 )
-from tessera.operators.evaluate import ModelResult, evaluate, model_summary
+from tessera.operators.evaluate import ModelResult, evaluate, evaluate_many, model_summary
 from tessera.operators.features import (
     assemble,
     build_features,
@@ -27,6 +27,7 @@ from tessera.operators.join import dim_join, entity_age, gated_join
 from tessera.operators.models import (
     add_fold_column,
     best_params,
+    cv_table,
     estimator,
     fit_cv,
     hash_split,
@@ -34,6 +35,7 @@ from tessera.operators.models import (
 )
 from tessera.operators.profile import (
     constant_columns,
+    constant_from_metrics,
     corr_matrix,
     corr_target,
     distinct_groups,
@@ -43,6 +45,7 @@ from tessera.operators.profile import (
     group_count,
     informative_columns,
     informative_expr,
+    informative_metrics,
 )
 
 __all__ = [n for n in dir() if not n.startswith("_")]
