@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import simhash
+from tessera.llm import simhash, token_counts
 from tessera.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,7 @@ def _shipped(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     q.__name__: _shipped(q)
     for q in (
+        token_counts.op3_token_counts,
         simhash.op7_simhash_near_dedup,
     )
 }
