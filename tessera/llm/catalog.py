@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import simhash, token_counts
+from tessera.llm import simhash, token_counts, vector_dedup
 from tessera.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         token_counts.op3_token_counts,
         simhash.op7_simhash_near_dedup,
+        vector_dedup.op10_embedding_near_dedup,
     )
 }
 
