@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import simhash, token_counts, vector_dedup
+from tessera.llm import mixing, quality_rules, simhash, token_counts, vector_dedup
 from tessera.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,10 +25,15 @@ def _shipped(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     q.__name__: _shipped(q)
     for q in (
+        mixing.op2_mix_sources,
         token_counts.op3_token_counts,
+        quality_rules.op5_quality_rules,
         simhash.op7_simhash_near_dedup,
         vector_dedup.op10_embedding_near_dedup,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_mix_sources": mixing.SQL,
+    "op5_quality_rules": quality_rules.SQL,
+}
