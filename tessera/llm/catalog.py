@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import mixing, quality_rules, simhash, token_counts, vector_dedup
+from tessera.llm import license_scan, mixing, quality_rules, simhash, token_counts, vector_dedup
 from tessera.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,7 @@ def _shipped(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     q.__name__: _shipped(q)
     for q in (
+        license_scan.op1_license_scan,
         mixing.op2_mix_sources,
         token_counts.op3_token_counts,
         quality_rules.op5_quality_rules,
@@ -34,6 +35,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_license_scan": license_scan.SQL,
     "op2_mix_sources": mixing.SQL,
     "op5_quality_rules": quality_rules.SQL,
 }
