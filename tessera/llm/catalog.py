@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import license_scan, mixing, quality_rules, simhash, token_counts, vector_dedup
+from tessera.llm import license_scan, mixing, quality_rules, simhash, token_counts, toxicity, vector_dedup
 from tessera.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {
         license_scan.op1_license_scan,
         mixing.op2_mix_sources,
         token_counts.op3_token_counts,
+        toxicity.op4_toxicity,
         quality_rules.op5_quality_rules,
         simhash.op7_simhash_near_dedup,
         vector_dedup.op10_embedding_near_dedup,
