@@ -111,7 +111,7 @@ class Index:
     examples: np.ndarray  # postings: example
     values: np.ndarray  # postings: weight
     cuts: np.ndarray  # calibration: votes ...
-    rates: np.ndarray  # ... and the rate from there on
+    rates: np.ndarray  # ... and the rates there
     empty_rate: float
 
     def __getstate__(self) -> dict:
@@ -156,23 +156,25 @@ class Index:
         return float((v * self.labels[found]).sum() / v.sum())
 
     def calibrated(self, vote: float) -> float:
-        return float(self.rates[max(0, int(np.searchsorted(self.cuts, vote + 1e-9)) - 1)]) if len(self.cuts) else self.empty_rate
+        return float(np.interp(vote, self.cuts, self.rates)) if len(self.cuts) else self.empty_rate
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weighted isotonic regression: the x where each level starts, and the levels."""
-    levels: list[list[float]] = []
+    """Weighted isotonic regression: the points of a line that is level where the
+    fit is and straight between its levels."""
+    levels: list[list[float]] = []  # first x, last x, sum of w * y, sum of w
     for i in np.argsort(x, kind="stable"):
-        if levels and levels[-1][0] == x[i]:
-            levels[-1][1] += w[i] * y[i]
-            levels[-1][2] += w[i]
+        if levels and levels[-1][1] == x[i]:
+            levels[-1][2] += w[i] * y[i]
+            levels[-1][3] += w[i]
         else:
-            levels.append([x[i], w[i] * y[i], w[i]])
-        while len(levels) > 1 and levels[-2][1] * levels[-1][2] >= levels[-1][1] * levels[-2][2]:
-            _, p, n = levels.pop()
-            levels[-1][1] += p
-            levels[-1][2] += n
-    return np.array([v[0] for v in levels]), np.array([v[1] / v[2] for v in levels])
+            levels.append([x[i], x[i], w[i] * y[i], w[i]])
+        while len(levels) > 1 and levels[-2][2] * levels[-1][3] >= levels[-1][2] * levels[-2][3]:
+            _, last, p, n = levels.pop()
+            levels[-1][1] = last
+            levels[-1][2] += p
+            levels[-1][3] += n
+    return np.array([e for v in levels for e in v[:2]]), np.repeat([v[2] / v[3] for v in levels], 2)
 
 
 def training_rows(id_col: str) -> F.Column:
