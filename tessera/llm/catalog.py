@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import license_scan, mixing, quality_rules, simhash, token_counts, toxicity, vector_dedup
+from tessera.llm import license_scan, mixing, quality_rules, sentence_pieces, simhash, token_counts, toxicity, vector_dedup
 from tessera.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,7 @@ QUERIES: dict[str, Query] = {
         toxicity.op4_toxicity,
         quality_rules.op5_quality_rules,
         simhash.op7_simhash_near_dedup,
+        sentence_pieces.op8_sentence_pieces,
         vector_dedup.op10_embedding_near_dedup,
     )
 }
