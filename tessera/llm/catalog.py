@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import license_scan, mixing, quality_rules, sentence_pieces, simhash, token_counts, toxicity, vector_dedup
+from tessera.llm import html_extraction, license_scan, mixing, quality_rules, sentence_pieces, simhash, token_counts, toxicity, vector_dedup
 from tessera.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,7 @@ QUERIES: dict[str, Query] = {
         quality_rules.op5_quality_rules,
         simhash.op7_simhash_near_dedup,
         sentence_pieces.op8_sentence_pieces,
+        html_extraction.op9_html_extraction,
         vector_dedup.op10_embedding_near_dedup,
     )
 }
