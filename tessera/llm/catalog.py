@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import html_extraction, license_scan, mixing, quality_rules, sentence_pieces, simhash, token_counts, toxicity, vector_dedup
+from tessera.llm import html_extraction, license_scan, mixing, quality_rules, sentence_pieces, simhash, token_counts, toxicity, vector_dedup, warc
 from tessera.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,7 @@ QUERIES: dict[str, Query] = {
         token_counts.op3_token_counts,
         toxicity.op4_toxicity,
         quality_rules.op5_quality_rules,
+        warc.op6_warc_derivatives,
         simhash.op7_simhash_near_dedup,
         sentence_pieces.op8_sentence_pieces,
         html_extraction.op9_html_extraction,

@@ -42,27 +42,45 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable ``checkpoint()`` in the shared folder that
-    ``spark.checkpoint.dir`` names. Only a local master without that setting
-    (tests) gets a folder of its own; elsewhere its absence is an error."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names
+    it. Only a local master without that setting (tests) gets one of its own;
+    elsewhere its absence is an error."""
     sc = spark.sparkContext
+    folder = checkpoint_dir(spark)
+    if folder is None:
+        if not sc.master.startswith(("local[", "local")) or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="tessera-llm-")
     if sc.getCheckpointDir() is None:
-        folder = checkpoint_dir(spark)
-        if folder is None:
-            if not sc.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-            folder = tempfile.mkdtemp(prefix="tessera-llm-")
         sc.setCheckpointDir(folder)
+    return folder
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable ``checkpoint()`` in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cut lineage by writing ``df`` as a table in the shared folder: columnar, and
+    its size is known to the planner. For what carries texts, or is joined."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/tessera_llm/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def temp_column(name: str) -> str:
     """A column name that cannot clash with those of the caller's frame."""
     return f"__{name}_{uuid.uuid4().hex[:12]}"
 
 
+def quoted(names: list[str]) -> list[F.Column]:
+    """Columns by their exact names, dots and all."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
 def words(text: F.Column) -> F.Column:
     """The words of a text as an array (NULL or blank text: empty array)."""
     trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")

@@ -45,12 +45,12 @@ SELF_CLOSING = {"p": BLOCK_TAGS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt",
 # Containers that are not the article, by tag and by words in class, id or role.
 OTHER_TAGS = frozenset("nav aside footer form menu dialog".split())
 OTHER_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|sidebar"
+    r"(?<![a-z0-9])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|sidebar"
     r"|side|rail|menu|nav|navbar|navigation|topbar|breadcrumbs?|comments?|replies|reply|respond|disqus|shar(?:e|ing)|social|related"
     r"|recommend\w*|newsletter|subscribe|signup|widget|footer|header|masthead|copyright|legal|login|search|pagination|pager|tags"
-    r"|contentinfo|complementary)(?:$|[\s_-])"
+    r"|contentinfo|complementary)(?![a-z0-9])"
 )
-ARTICLE_WORDS = re.compile(r"(?:^|[\s_-])(?:article|main|post|entry|story|content)(?:$|[\s_-])")
+ARTICLE_WORDS = re.compile(r"(?<![a-z0-9])(?:article|main|post|entry|story|content)(?![a-z0-9])")
 
 _TOKEN = re.compile(
     r"<!--(?s:.*?)(?:-->|\Z)"
@@ -123,10 +123,12 @@ class _Reader:
             self.open.pop()
             top = self.open[-1]
         names = " ".join(x for m in _NAMES.findall(attrs) for x in m if x).lower() if attrs else ""
-        article = tag in ("article", "main") or bool(names and ARTICLE_WORDS.search(names) and tag in ("div", "section"))
-        other = tag in OTHER_TAGS or tag == "header" and not top.article or bool(
-            names and tag not in ("body", "html") and not article and OTHER_WORDS.search(names)
-        )
+        named = names and tag in ("div", "section") and ARTICLE_WORDS.search(names)
+        hits = set(OTHER_WORDS.findall(names)) if names and tag not in ("body", "html") else set()
+        if named or top.article:
+            hits.discard("header")  # the article's own
+        article = tag in ("article", "main") or bool(named and not hits)
+        other = bool(hits) or tag in OTHER_TAGS or tag == "header" and not top.article
         self.open.append(_Open(tag, other or top.other, article or top.article))
         self.heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
         if len(self.open) > 500:  # nested beyond sense: fold the oldest levels

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tessera.llm.common import read_table, settle, words
+from tessera.llm.common import read_table, settle, temp_column, words
 
 HALVINGS = 6
 ROUNDS = 5
@@ -149,6 +149,16 @@ def mix_sources(
     )
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
+    """``docs`` as the mixed stream repeats or leaves them (all columns; a row for
+    each epoch that has its id and source)."""
+    i, s = temp_column("id"), temp_column("source")
+    stream = mix_sources(docs, id_col, source_col, **options).select(
+        F.col(id_col).alias(i), F.col(source_col).alias(s), "epoch"
+    ).distinct().drop("epoch")
+    return docs.join(stream, F.col(id_col).eqNullSafe(F.col(i)) & F.col(source_col).eqNullSafe(F.col(s))).drop(i, s)
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixed stream of all documents: entropy 0.99 of the largest, 4 repetitions."""
     return mix_sources(read_table(spark, sf_dir, "documents"))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read_table, settle, temp_column, words
+from tessera.llm.common import quoted, read_table, settle, stored, temp_column, words
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -30,19 +30,19 @@ MAX_HOST_RATE = 0.5
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` plus the five counts (BIGINT) of the whole text."""
+def with_counts(docs: DataFrame, out: str, text_col: str = "text") -> DataFrame:
+    """``docs`` plus the struct ``out`` of the five counts (BIGINT) of the whole text."""
     text, w, tri, order, at = (temp_column(c) for c in ("text", "words", "tri", "order", "at"))
-    out = docs.withColumn(text, F.coalesce(F.col(text_col), F.lit("")))
+    result = docs.withColumn(text, F.coalesce(F.col(text_col), F.lit("")))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    out = out.withColumn(w, words(F.col(text)))
+    result = result.withColumn(w, words(F.col(text)))
     n = F.size(w)
     pairs = F.zip_with(F.col(w), F.slice(w, 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
     windows = F.zip_with(pairs, F.slice(w, 3, n), lambda ab, c: F.concat(ab, F.lit(" "), c))
-    out = out.withColumn(tri, F.when(n >= 3, F.slice(windows, 1, n - 2)))
+    result = result.withColumn(tri, F.when(n >= 3, F.slice(windows, 1, n - 2)))
     # Only texts that repeat a window sort their windows to find where.
     repeats = F.size(F.array_distinct(tri)) < F.size(tri)
-    out = out.withColumn(
+    result = result.withColumn(
         order, F.when(repeats, F.array_sort(F.transform(tri, lambda t, i: F.struct(t.alias("t"), i.alias("i")))))
     )
     nothing = F.lit(None).cast("struct<t:string,i:int>")
@@ -54,22 +54,22 @@ def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         after,
         lambda x, y: F.when(x["hit"] | F.coalesce(x["t"] == y["t"], F.lit(False)), x["i"]),
     )
-    out = out.withColumn(at, F.sort_array(F.filter(same, lambda i: i.isNotNull())))
+    result = result.withColumn(at, F.sort_array(F.filter(same, lambda i: i.isNotNull())))
     # A window covers three words, fewer if the next repeated window starts among them.
     cover = F.zip_with(F.col(at), F.slice(at, 2, F.size(at)), lambda i, j: F.coalesce(F.least(j - i, F.lit(3)), F.lit(3)))
-    return out.withColumns({
-        "n_words": n.cast("long"),
-        "word_chars": F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-        "n_repeat_words": F.coalesce(
-            F.aggregate(cover, F.lit(0).cast("long"), lambda s, x: s + x), F.lit(0)
-        ).cast("long"),
-    }).drop(text, w, tri, order, at)
+    counts = [
+        n, F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")),
+        F.length(text) - F.length(F.translate(text, SYMBOLS, "")),
+        F.size(lines) - F.size(F.array_distinct(lines)),
+        F.coalesce(F.aggregate(cover, F.lit(0).cast("long"), lambda s, x: s + x), F.lit(0)),
+    ]
+    fields = [c.cast("long").alias(name) for name, c in zip(COUNTS, counts)]
+    return result.withColumn(out, F.struct(*fields)).drop(text, w, tri, order, at)
 
 
-def base_failed() -> F.Column:
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+def base_failed(counts: str) -> F.Column:
+    n, repeated = F.col(f"{counts}.n_words"), F.col(f"{counts}.n_repeat_words")
+    return (n < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
 
 
 def host_rates(counted: DataFrame, host_col: str, failed_col: str) -> DataFrame:
@@ -96,27 +96,30 @@ def host_rates(counted: DataFrame, host_col: str, failed_col: str) -> DataFrame:
 
 
 def judge(
-    docs: DataFrame, text_col: str = "text", host_col: str = "source", max_host_rate: float = MAX_HOST_RATE,
-    columns: list[str] | None = None,
+    docs: DataFrame, out: str = "quality", text_col: str = "text", host_col: str = "source",
+    max_host_rate: float = MAX_HOST_RATE, columns: list[str] | None = None,
 ) -> DataFrame:
-    """``columns`` of ``docs`` (all but the text if None) plus the counts,
+    """``columns`` of ``docs`` (all if None) plus the struct ``out``: the counts,
     ``base_failed``, ``host_rate`` and ``kept``."""
-    columns = columns if columns is not None else [c for c in docs.columns if c != text_col]
-    host, failed = temp_column("host"), temp_column("failed")
-    counted = with_counts(docs.select(*columns, F.col(host_col).alias(host), F.col(text_col).alias(text := temp_column("text"))), text)
-    counted = settle(counted.select(*columns, host, *COUNTS, base_failed().alias("base_failed")))
-    rates = settle(host_rates(counted, host, "base_failed").select(F.col("host").alias(failed), F.col("rate").alias("host_rate")))
+    columns = docs.columns if columns is None else columns
+    if out in columns:
+        raise ValueError(f"column {out!r} is there already")
+    host, text, counts, failed, rated, rate = (temp_column(c) for c in ("host", "text", "counts", "failed", "rated", "rate"))
+    counted = with_counts(docs.select(*quoted(columns), F.col(host_col).alias(host), F.col(text_col).alias(text)), counts, text)
+    counted = stored(counted.drop(text).withColumn(failed, base_failed(counts)))
+    rates = stored(host_rates(counted, host, failed).select(F.col("host").alias(rated), F.col("rate").alias(rate)))
+    kept = ~F.col(failed) & (F.col(rate) <= max_host_rate)
+    verdict = F.struct(f"{counts}.*", F.col(failed).alias("base_failed"), F.col(rate).alias("host_rate"), kept.alias("kept"))
     return (
-        counted.join(rates, counted[host].eqNullSafe(rates[failed]), "left").drop(host, failed)
-        .withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= max_host_rate))
+        counted.join(rates, F.col(host).eqNullSafe(F.col(rated)), "left")
+        .withColumn(out, verdict).drop(host, rated, counts, failed, rate)
     )
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
-    docs = read_table(spark, sf_dir, "documents")
-    judged = judge(docs, columns=["doc_id"])
-    return judged.select("doc_id", *COUNTS, "base_failed", "kept")
+    judged = judge(read_table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return judged.select("doc_id", *[f"quality.{c}" for c in [*COUNTS, "base_failed", "kept"]])
 
 
 SQL = r"""

@@ -32,6 +32,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -242,13 +243,25 @@ def near_duplicates(
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """``docs`` with one row of each component: the row whose id is its component
-    id. Of rows repeating one id the smallest text stays; rows without an id stay
-    one per component that has none."""
+    id (of rows repeating that id, the one whose text has the smallest hash). Rows
+    without an id are compared by equal fingerprints only: one stays of those whose
+    fingerprint no row with an id has."""
     ids = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    keep = temp_column("keep")
+    keep, rank, fp = temp_column("keep"), temp_column("rank"), temp_column("fp")
     kept = ids.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(keep)).distinct()
-    survivors = docs.join(kept, docs[id_col] == F.col(keep), "left_semi")
-    return survivors.dropDuplicates([id_col])
+    first = W.partitionBy(id_col).orderBy(F.xxhash64(text_col))
+    named = (
+        docs.join(kept, F.col(id_col) == F.col(keep), "left_semi")
+        .withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank)
+    )
+    nameless = with_fingerprint(docs.where(F.col(id_col).isNull()), text_col, fp, shingle)
+    taken = ids.where(F.col(id_col).isNotNull()).select(F.col("fingerprint").alias(keep)).distinct()
+    first = W.partitionBy(fp).orderBy(F.xxhash64(text_col))
+    nameless = (
+        nameless.join(taken, F.col(fp) == F.col(keep), "left_anti")
+        .withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank, fp)
+    )
+    return named.unionByName(nameless)
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

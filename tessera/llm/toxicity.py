@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tessera.llm.common import read_table, settle, temp_column
+from tessera.llm.common import read_table, settle
 
 SAMPLE_PER_CLASS = 6000
 EXAMPLES_PER_CLASS = 2000
@@ -321,11 +321,12 @@ def learn(
     return index
 
 
-def score(docs: DataFrame, index: Index, text_col: str = "text", k: int = NEIGHBOURS, evidence: int = 3) -> DataFrame:
-    """``docs`` plus ``score`` (0 to 1) and ``evidence``: the nearest labelled
-    examples (id, cosine, label), best first."""
+def score(
+    docs: DataFrame, index: Index, out: str = "toxicity", text_col: str = "text", k: int = NEIGHBOURS, evidence: int = 3
+) -> DataFrame:
+    """``docs`` plus the struct ``out``: ``score`` (0 to 1) and, best first, the
+    ``ids``, ``cosines`` and ``labels`` of the nearest ``evidence`` examples."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
-    out = temp_column("scored")
 
     @pandas_udf("score double, ids array<long>, cosines array<double>, labels array<double>")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -352,12 +353,9 @@ def score(docs: DataFrame, index: Index, text_col: str = "text", k: int = NEIGHB
                 rows.append(known[key])
             yield pd.DataFrame(rows, columns=["score", "ids", "cosines", "labels"])
 
-    return (
-        docs.withColumn(out, scored(F.col(text_col).cast("binary")))
-        .withColumn("score", F.col(out)["score"])
-        .withColumn("evidence", F.arrays_zip(F.col(out)["ids"].alias("id"), F.col(out)["cosines"].alias("cosine"), F.col(out)["labels"].alias("label")))
-        .drop(out)
-    )
+    if out in docs.columns:
+        raise ValueError(f"column {out!r} is there already")
+    return docs.withColumn(out, scored(F.col(text_col).cast("binary")))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,7 +366,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id",
         (~training_rows("doc_id") & F.col("doc_id").isNotNull()).alias("held_out"),
-        "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
-        F.col("evidence")["id"].alias("evidence_ids"),
+        F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= THRESHOLD).cast("int").alias("predicted"),
+        F.col("toxicity.ids").alias("evidence_ids"),
     )
