@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,7 +92,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int = 4 <<
     """Cut Arrow batches so that the given string or binary column holds about
     ``max_bytes`` in each slice (a longer single value stays whole)."""
     for batch in batches:
-        sizes = [n or 0 for n in pa.compute.binary_length(batch.column(column)).to_pylist()]
+        sizes = [n or 0 for n in pc.binary_length(batch.column(column)).to_pylist()]
         start = total = 0
         for i, n in enumerate(sizes):
             if i > start and total + n > max_bytes:
