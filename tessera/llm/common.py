@@ -6,11 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
 from pathlib import Path
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,21 +85,6 @@ def words(text: F.Column) -> F.Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_GAP, -1))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that the given string or binary column holds about
-    ``max_bytes`` in each slice (a longer single value stays whole)."""
-    for batch in batches:
-        sizes = [n or 0 for n in pc.binary_length(batch.column(column)).to_pylist()]
-        start = total = 0
-        for i, n in enumerate(sizes):
-            if i > start and total + n > max_bytes:
-                yield batch.slice(start, i - start)
-                start, total = i, 0
-            total += n
-        if start < len(sizes):
-            yield batch.slice(start)
-
-
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of the undirected graph with edges (``a``, ``b``),
     both BIGINT: rows (node, component) for every node with an edge to another

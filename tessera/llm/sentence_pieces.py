@@ -36,10 +36,10 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from tessera.llm.common import read_table, slices
+from tessera.llm.common import read_table
 
 SPACE = "▁"
 # Fixed value of the format: what an unknown character costs beyond the worst piece.
@@ -218,43 +218,33 @@ def load(path: str) -> Pieces:
     return _loaded[path]
 
 
-def _mapped(df: DataFrame, source: str, out: str, kind: T.DataType, convert) -> DataFrame:
-    """``df`` plus a column made from slices of ``source`` (its last column here)."""
-    if out in df.columns:
-        raise ValueError(f"column {out!r} is there already")
-    at = df.columns.index(source)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = slices([batch], at) if pa.types.is_string(batch.column(at).type) else [batch]
-            for part in parts:
-                yield pa.RecordBatch.from_arrays([*part.columns, convert(part.column(at))], [*part.schema.names, out])
-
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, kind)]))
-
-
 def encode(df: DataFrame, text_col: str, out: str, path: str) -> DataFrame:
     """``df`` plus the piece ids of ``text_col`` (ARRAY<INT>)."""
 
-    def convert(texts: pa.Array) -> pa.Array:
+    @arrow_udf("array<int>")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load(path)
-        flat, ends = array("i"), [0]
-        for t in texts:
-            flat += model.encode(t.as_py())
-            ends.append(len(flat))
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, dtype=np.int32) if flat else [], pa.int32()))
+        for texts in batches:
+            flat, ends = array("i"), [0]
+            for t in texts:
+                flat += model.encode(t.as_py())
+                ends.append(len(flat))
+            values = pa.array(np.frombuffer(flat, dtype=np.int32) if flat else [], pa.int32())
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
-    return _mapped(df, text_col, out, T.ArrayType(T.IntegerType()), convert)
+    return df.withColumn(out, ids(F.col(text_col)))
 
 
 def decode(df: DataFrame, ids_col: str, out: str, path: str) -> DataFrame:
     """``df`` plus the text of the piece ids in ``ids_col`` (NULL: empty text)."""
 
-    def convert(rows: pa.Array) -> pa.Array:
+    @arrow_udf("string")
+    def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load(path)
-        return pa.array([model.decode(r.as_py() or []) for r in rows], pa.string())
+        for rows in batches:
+            yield pa.array([model.decode(r.as_py() or []) for r in rows], pa.string())
 
-    return _mapped(df, ids_col, out, T.StringType(), convert)
+    return df.withColumn(out, text(F.col(ids_col)))
 
 
 def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
