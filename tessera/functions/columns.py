@@ -12,6 +12,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.session import quoted
+
 # --- fixed values (must equal the reference's for identical results) -------
 # Text that counts as "missing" for a target / join attribute.
 NA_SENTINELS: tuple[str, ...] = ("NA",)
@@ -41,7 +43,7 @@ _NUMERIC_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)$"
 
 
 def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return quoted(c) if isinstance(c, str) else c
 
 
 def to_int(c: str | Column) -> Column:
@@ -118,8 +120,11 @@ def hash_bucket(keys: Sequence[str | Column], seed: int, buckets: int = 1000) ->
     """Deterministic bucket in ``[0, buckets)`` from md5 of the key text and a seed.
 
     Independent of partitioning and of row order, so a split or a fold that uses
-    it is reproduced exactly when a lost task is recomputed.
+    it is reproduced exactly when a lost task is recomputed. A NULL key part is
+    a value of its own.
     """
-    parts = [_col(k).cast("string") for k in keys] + [F.lit(str(seed))]
+    if not keys:
+        raise ValueError("a hash bucket needs at least one key column")
+    parts = [F.coalesce(_col(k).cast("string"), F.lit("\u0000")) for k in keys] + [F.lit(str(seed))]
     digest = F.md5(F.concat_ws("#", *parts))
     return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(buckets))

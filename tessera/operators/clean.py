@@ -22,6 +22,7 @@ from tessera.functions.columns import (
 )
 from tessera.functions.columns import null_to_unknown as _null_to_unknown
 from tessera.functions.columns import sentinel_to_null as _sentinel_to_null
+from tessera.session import quoted
 
 
 def present(df: DataFrame, cols: Iterable[str]) -> list[str]:
@@ -35,6 +36,12 @@ def present(df: DataFrame, cols: Iterable[str]) -> list[str]:
     return out
 
 
+def plain_names(df: DataFrame, cols: Iterable[str]) -> dict[str, str]:
+    """Stand-in names for those of ``cols`` that ML stages would misread (they take a
+    dot for a struct field)."""
+    return {c: f"__plain_{i}" for i, c in enumerate(cols) if "." in c or "`" in c}
+
+
 def _string_cols(df: DataFrame, cols: Iterable[str]) -> list[str]:
     types = dict(df.dtypes)
     return [c for c in present(df, cols) if types[c] == "string"]
@@ -49,7 +56,7 @@ def require_columns(df: DataFrame, cols: Iterable[str], sentinels: Iterable[str]
     """Keep rows where every column is non-NULL and not one of ``sentinels``."""
     cond = None
     for c in present(df, cols):
-        p = not_missing(F.col(c), sentinels)
+        p = not_missing(c, sentinels)
         cond = p if cond is None else cond & p
     return df if cond is None else df.filter(cond)
 
@@ -77,7 +84,7 @@ def filter_upper(df: DataFrame, bounds: Mapping[str, float]) -> DataFrame:
     cond = None
     for name, bound in bounds.items():
         for c in present(df, [name]):
-            p = F.col(c) <= F.lit(bound)
+            p = quoted(c) <= F.lit(bound)
             cond = p if cond is None else cond & p
     return df if cond is None else df.filter(cond)
 
@@ -103,7 +110,7 @@ def null_to_unknown(
     """NULL and placeholder text -> ``fill`` in the given (string) columns."""
     s = tuple(sentinels)
     cols = present(df, cols)
-    return df.withColumns({c: _null_to_unknown(F.col(c).cast("string"), s, fill) for c in cols})
+    return df.withColumns({c: _null_to_unknown(quoted(c).cast("string"), s, fill) for c in cols})
 
 
 def day_parts(df: DataFrame, cols: Sequence[str]) -> DataFrame:

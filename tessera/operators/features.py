@@ -18,10 +18,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.clean import present
+from tessera.operators.clean import plain_names, present
+from tessera.session import quoted
 
+# --- fixed values: output names that users of the original read by name --------
 INDEXED_SUFFIX = "Indexed"
 ENCODED_SUFFIX = "Cat"
+FEATURES_COL = "features"
+NORM_COL = "normFeatures"
+SELECTED_COL = "selectedFeatures"
+# ---------------------------------------------------------------------------
 
 
 def indexer_stage(cols: Sequence[str], handle_invalid: str = "error", order: str = "frequencyDesc") -> StringIndexer:
@@ -94,8 +100,8 @@ def build_features(
     categorical: Sequence[str],
     target: str,
     normalize: str | None = "l1",
-    handle_invalid: str = "error",
-    features_col: str = "normFeatures",
+    indexer_invalid: str = "error",
+    features_col: str = NORM_COL,
     keep: Sequence[str] = (),
     fit_filter=None,
 ) -> tuple[DataFrame, PipelineModel, list[str]]:
@@ -103,26 +109,32 @@ def build_features(
 
     Assembled order: numeric columns first, then the encoded categoricals.
     Returns the frame reduced to ``keep + [target, features_col]``, the fitted
-    ``PipelineModel`` and the assembled input names. ``fit_filter`` (a boolean
-    Column) fits the stages on those rows only (labels unseen there get the
-    extra "keep" index); every row is transformed.
+    ``PipelineModel`` and the assembled input names. ``indexer_invalid`` says
+    what the indexer does with labels the fit did not see: ``error`` (the
+    original) or ``keep`` (an index of their own). A NULL numeric always raises:
+    it must not become a NaN slot. ``fit_filter`` (a boolean Column) fits the
+    stages on those rows only, which needs ``keep``; every row is transformed.
     """
+    if fit_filter is not None and indexer_invalid == "error":
+        indexer_invalid = "keep"
     numeric = present(df, numeric)
     categorical = present(df, categorical)
+    plain = plain_names(df, numeric + categorical)
+    named = {v: k for k, v in plain.items()}
+    df = df.withColumnsRenamed(plain)
+    numeric, categorical = [plain.get(c, c) for c in numeric], [plain.get(c, c) for c in categorical]
     fit_df = df if fit_filter is None else df.filter(fit_filter)
-    if fit_filter is not None and handle_invalid == "error":
-        handle_invalid = "keep"
     stages = []
     if categorical:
-        idx, categorical, _single = _fit_indexer(fit_df, categorical, handle_invalid)
+        idx, categorical, _single = _fit_indexer(fit_df, categorical, indexer_invalid)
         stages.append(idx)
         if categorical:
             stages.append(encoder_stage(categorical))
     ass_cols = numeric + [c + ENCODED_SUFFIX for c in categorical]
     if not ass_cols:
         raise ValueError("no feature column left to assemble")
-    raw = "features" if normalize else features_col
-    stages.append(VectorAssembler(inputCols=ass_cols, outputCol=raw, handleInvalid=handle_invalid))
+    raw = FEATURES_COL if normalize else features_col
+    stages.append(VectorAssembler(inputCols=ass_cols, outputCol=raw, handleInvalid="error"))
     if normalize == "l1":
         stages.append(Normalizer(inputCol=raw, outputCol=features_col, p=1.0))
     elif normalize == "standard":
@@ -130,7 +142,9 @@ def build_features(
     elif normalize is not None:
         raise ValueError("normalize must be None, 'l1' or 'standard'")
     model = Pipeline(stages=stages).fit(fit_df)
-    out = model.transform(df).select(*present(df, keep), target, features_col)
+    kept = [quoted(plain.get(c, c)).alias(c) for c in present(df.withColumnsRenamed(named), keep)]
+    out = model.transform(df).select(*kept, quoted(target), features_col)
+    ass_cols = [named.get(c, c) for c in numeric] + [named.get(c, c) + ENCODED_SUFFIX for c in categorical]
     return out, model, ass_cols
 
 
@@ -151,16 +165,17 @@ def select_features(
     label: str,
     mode: str,
     threshold: float = 0.05,
-    on_empty: str = "all",
-    out: str = "selectedFeatures",
+    on_empty: str = "error",
+    out: str = SELECTED_COL,
     fit_filter=None,
 ) -> tuple[DataFrame, list[int], UnivariateFeatureSelectorModel]:
     """Univariate F-test selection (continuous features, continuous label).
 
     ``mode="fdr"``: Benjamini-Hochberg at ``threshold``; ``"fwe"``: p < threshold/k.
     The fit is one summary pass over the data. An empty selection gives a
-    size-0 vector on which tree models fail; ``on_empty="all"`` then passes all
-    features through, ``"error"`` raises.
+    size-0 vector on which tree models fail, so it raises; ``on_empty="all"``
+    passes all features through instead, and the returned indices are then
+    all of them, so that the caller sees what was used.
     """
     sel = UnivariateFeatureSelector(
         featuresCol=features_col,
@@ -170,10 +185,25 @@ def select_features(
     )
     sel.setFeatureType("continuous").setLabelType("continuous").setSelectionThreshold(threshold)
     fit_df = df if fit_filter is None else df.filter(fit_filter)
-    model = sel.fit(fit_df.withColumn(label, F.col(label).cast("double")))
+    model = sel.fit(fit_df.withColumn(label, quoted(label).cast("double")))
     picked = sorted(int(i) for i in model.selectedFeatures)
     if not picked:
-        if on_empty == "error":
+        if on_empty != "all":
             raise ValueError(f"{mode} selection at {threshold} kept no feature")
-        return df.withColumn(out, F.col(features_col)), picked, model
+        return df.withColumn(out, F.col(features_col)), list(range(feature_count(df, features_col))), model
     return model.transform(df), picked, model
+
+
+def selection_report(df: DataFrame, features_col: str, label: str, mode: str, threshold: float = 0.05) -> DataFrame:
+    """Rows (slot, f, selected) of an F-test selection, one for each slot; an
+    empty selection has no selected row."""
+    from tessera.operators.profile import f_regression
+
+    sel = UnivariateFeatureSelector(featuresCol=features_col, labelCol=label, outputCol=SELECTED_COL, selectionMode=mode)
+    sel.setFeatureType("continuous").setLabelType("continuous").setSelectionThreshold(threshold)
+    picked = {int(i) for i in sel.fit(df.withColumn(label, quoted(label).cast("double"))).selectedFeatures}
+    slots = [f"slot_{i}" for i in range(feature_count(df, features_col))]
+    values = df.select(quoted(label).cast("double").alias("label"), vector_to_array(F.col(features_col)).alias("v"))
+    scores = f_regression(values.select("label", *[F.col("v")[i].alias(c) for i, c in enumerate(slots)]), "label", slots)
+    slot = F.substring_index("feature", "_", -1).cast("int")
+    return scores.select(slot.alias("slot"), "f", slot.isin(*picked, -1).alias("selected"))

@@ -1,4 +1,5 @@
-"""Fact ⋈ dimension: a size-checked broadcast, else a skew-salted shuffle join.
+"""Fact ⋈ dimension: a size-checked broadcast, else a shuffle join whose hot keys are
+joined apart.
 
 Semantics are those of an inner equi-join with USING: one key column, taken
 from the fact side and put first; NULL keys never match; fact rows without a
@@ -15,18 +16,11 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import entity_age as _entity_age
 from tessera.operators.clean import drop_columns, present
 from tessera.operators.profile import informative_expr
-from tessera.session import bounded_size
+from tessera.session import bounded_size, quoted
 
 # Default size bound under which a dimension is broadcast (checked, not assumed).
 BROADCAST_MAX_ROWS = 5_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-# Shuffle path: a key with at least this many fact rows is spread over
-# ``salt_buckets`` reducers; at most ``max_hot_keys`` such keys are tracked.
-HOT_KEY_ROWS = 1_000_000
-SALT_BUCKETS = 32
-MAX_HOT_KEYS = 10_000
-
-_SALT = "__tessera_salt"
 
 
 def _key(df: DataFrame, on: str, side: str) -> str:
@@ -43,18 +37,18 @@ def dim_join(
     broadcast: bool | str = "auto",
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
-    hot_key_rows: int = HOT_KEY_ROWS,
-    salt_buckets: int = SALT_BUCKETS,
-    max_hot_keys: int = MAX_HOT_KEYS,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """Inner USING join of a fact table with a dimension table on ``on``.
 
-    ``broadcast="auto"``: the dimension is broadcast only if a bounded probe
-    (reads at most ``broadcast_max_rows + 1`` rows) proves it small; otherwise a
-    shuffle join runs in which keys holding ``hot_key_rows`` or more fact rows
-    are salted over ``salt_buckets`` reducers (their dimension rows are copied
-    to every salt), so one hot key cannot pin a third of the table on one task.
-    ``True`` forces the broadcast, ``False`` forces the salted shuffle.
+    ``broadcast="auto"``: the dimension is broadcast only if its planned size
+    and then a count prove it small; otherwise a shuffle join runs. There, a key
+    is hot if it holds ``hot_share`` or more of the fact rows (default: one
+    shuffle partition's fair share), so there are at most ``1 / hot_share`` of
+    them. The fact rows of hot keys stay where they are and meet a broadcast of
+    just those keys' dimension rows (size-checked as well); all others go
+    through a sort-merge join. ``True`` forces the broadcast, ``False`` the
+    shuffle path.
     """
     fkey = _key(fact, on, "fact")
     dkey = _key(dim, on, "dimension")
@@ -69,43 +63,34 @@ def dim_join(
     )
     if use_broadcast:
         return fact.join(F.broadcast(dim), on=fkey, how="inner")
-    return _salted_join(fact, dim, fkey, hot_key_rows, salt_buckets, max_hot_keys)
+    return _shuffle_join(fact, dim, fkey, hot_share, broadcast_max_rows, broadcast_max_bytes)
+
 
+def hot_keys(fact: DataFrame, key: str, share: float) -> list:
+    """Keys holding ``share`` or more of the rows: at most ``1 / share`` of them, by
+    arithmetic, so the list is bounded. One job of partial counts."""
+    counts = fact.where(quoted(key).isNotNull()).groupBy(quoted(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n").alias("n"))
+    rows = counts.where(F.col("n") >= F.lit(share) * total.scalar()).select("k").collect()
+    return [r["k"] for r in rows]
 
-def _salted_join(
-    fact: DataFrame, dim: DataFrame, key: str, hot_key_rows: int, salt_buckets: int, max_hot_keys: int
+
+def _shuffle_join(
+    fact: DataFrame, dim: DataFrame, key: str, share: float | None, max_rows: int, max_bytes: int
 ) -> DataFrame:
-    # Hot keys: one job of partial (map-side) counts, then a top-k. The list is
-    # bounded by ``max_hot_keys`` rows, so it is collected once and used as an
-    # IN-set on both sides (no extra joins, no second aggregation). A hot key
-    # beyond the top-k is still joined correctly, only without salting.
-    hot = [
-        r[0]
-        for r in fact.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= F.lit(hot_key_rows))
-        .orderBy(F.desc("n"))
-        .limit(max_hot_keys)
-        .select(key)
-        .collect()
-    ]
     # This path runs when the dimension is not provably small, so the join must
     # not fall back to a broadcast chosen from size estimates: force a
     # sort-merge join (AQE may still split a skewed partition further).
-    if not hot:
-        return fact.join(dim.hint("merge"), on=key, how="inner")
-    is_hot = F.col(key).isin(hot)
-    # Salt from a hash of the whole row: deterministic, so a recomputed task
-    # sends each row to the same reducer.
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
-    f = fact.withColumn(_SALT, F.when(is_hot, F.pmod(row_hash, F.lit(salt_buckets))).otherwise(F.lit(0)).cast("int"))
-    # A hot key's dimension rows are copied to every salt (explode, not a cross join).
-    d = dim.withColumn(
-        _SALT,
-        F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))),
-    )
-    return f.join(d.hint("merge"), on=[key, _SALT], how="inner").drop(_SALT)
+    share = share or 1 / int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(fact, key, share)
+    if hot:
+        is_hot = quoted(key).isin(hot)
+        hot_dim = dim.where(is_hot)
+        if bounded_size(hot_dim, max_rows, max_bytes) is not None:
+            apart = fact.where(is_hot).join(F.broadcast(hot_dim), on=key, how="inner")
+            rest = fact.where(~is_hot).join(dim.where(~is_hot).hint("merge"), on=key, how="inner")
+            return apart.unionByName(rest)
+    return fact.join(dim.hint("merge"), on=key, how="inner")
 
 
 def gated_join(
@@ -144,7 +129,7 @@ def entity_age(
     (d,) = present(df, [date_col]) or [None]
     if y is None or d is None:
         return df
-    df = df.withColumnRenamed(d, out).withColumn(out, _entity_age(F.col(y), F.col(out), fmt))
+    df = df.withColumnRenamed(d, out).withColumn(out, _entity_age(y, out, fmt))
     if age_null == "drop":
-        df = df.filter(F.col(out).isNotNull())
+        df = df.filter(quoted(out).isNotNull())
     return df

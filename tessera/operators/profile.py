@@ -1,10 +1,11 @@
-"""One-pass column profiles: groups, single-valued test, correlations, F scores.
+"""Column profiles: groups, single-valued test, correlations, F scores.
 
 The original program ran one job per column for the single-valued test and one
-job per column pair for correlations. Here each profile is a single global
-aggregate: every executor folds its rows into a few numbers per column
-(map-side partial aggregation) and one tiny row comes back. Nothing is shuffled
-by column value, so a skewed value costs nothing extra.
+job per column pair for correlations. Here the tests and scores are single
+global aggregates, and the correlation matrix takes two passes whatever the
+number of columns: means, then the products of the centred columns. Executors
+fold their rows into a few numbers (map-side partial aggregation); nothing is
+shuffled by column value, so a skewed value costs nothing extra.
 """
 
 from __future__ import annotations
@@ -17,16 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.clean import present
+from tessera.session import quoted
 from tessera.spec import TableSpec
 
 NULL_POLICIES = ("zero", "pairwise")
-# Above this many columns a pairwise aggregate gets wide; the matrix path
-# (assembled vector + Correlation.corr, a tree aggregate of the Gram matrix) is used.
-MATRIX_PATH_MIN_COLS = 60
-
-
-def _c(name: str) -> Column:
-    return F.col(f"`{name}`")
 
 
 def informative_expr(c: str) -> Column:
@@ -35,7 +30,7 @@ def informative_expr(c: str) -> Column:
     ``min != max`` (two distinct values) or ``0 < count(c) < count(*)`` (a value
     and a NULL). All-NULL, constant and empty columns give FALSE.
     """
-    col = _c(c)
+    col = quoted(c)
     non_null = F.count(col)
     return F.coalesce(
         (F.min(col) != F.max(col)) | ((non_null > 0) & (non_null < F.count(F.lit(1)))),
@@ -57,7 +52,7 @@ def _atomic(df: DataFrame, cols: Iterable[str] | None) -> list[str]:
 def group_count(df: DataFrame, col: str) -> DataFrame:
     """Rows per value of ``col`` (NULL is a group). Partial + final hash aggregate."""
     (c,) = present(df, [col])
-    return df.groupBy(c).agg(F.count(F.lit(1)).alias("count"))
+    return df.groupBy(quoted(c).alias(c)).agg(F.count(F.lit(1)).alias("count"))
 
 
 def distinct_groups(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
@@ -68,7 +63,7 @@ def distinct_groups(df: DataFrame, cols: Iterable[str] | None = None) -> DataFra
         [
             F.struct(
                 F.lit(c).alias("column"),
-                (F.count_distinct(_c(c)) + F.max(_c(c).isNull().cast("int"))).cast("bigint").alias("groups"),
+                (F.count_distinct(quoted(c)) + F.max(quoted(c).isNull().cast("int"))).cast("bigint").alias("groups"),
             )
             for c in cols
         ],
@@ -115,7 +110,7 @@ def drop_constant_columns(
 
 
 def _corr_expr(a: str, b: str, null_policy: str) -> Column:
-    x, y = _c(a).cast("double"), _c(b).cast("double")
+    x, y = quoted(a).cast("double"), quoted(b).cast("double")
     if null_policy == "zero":
         # NULL read as 0.0, as the per-pair statistic call did.
         x, y = F.coalesce(x, F.lit(0.0)), F.coalesce(y, F.lit(0.0))
@@ -148,27 +143,91 @@ def corr_target(df: DataFrame, target: str, cols: Iterable[str], null_policy: st
 
 
 def corr_matrix(df: DataFrame, cols: Iterable[str], null_policy: str = "zero") -> DataFrame:
-    """Pearson r of every column pair (i < j in list order): rows (a, b, r)."""
+    """Pearson r of every column pair (i < j in list order): rows (a, b, r).
+
+    Two jobs at call time, for two columns or two thousand: the first finds the
+    columns' means and deviations, the second the products of the standardised
+    columns (their cross moments are then of order one, so nothing cancels).
+    ``zero``: NULL counts as 0.0. ``pairwise``: rows with a NULL in a pair are left
+    out of that pair; masks and squares ride along as further columns. A column
+    without variance gives NULL.
+    """
+    if null_policy not in NULL_POLICIES:
+        raise ValueError(f"null_policy must be one of {NULL_POLICIES}")
     cols = present(df, cols)
-    if len(cols) >= MATRIX_PATH_MIN_COLS and null_policy == "zero":
-        return _corr_matrix_gram(df, cols)
-    return _pairs_frame(df, list(combinations(cols, 2)), null_policy)
-
-
-def _corr_matrix_gram(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Wide case: assemble the (NULL -> 0) columns into a vector and let
-    ``Correlation.corr`` tree-aggregate the k x k Gram matrix."""
+    schema = "a string, b string, r double"
+    spark = df.sparkSession
+    pairs = list(combinations(range(len(cols)), 2))
+    if not pairs:
+        return spark.createDataFrame([], schema)
+    x = [quoted(c).cast("double") for c in cols]
+    if null_policy == "zero":
+        x = [F.coalesce(v, F.lit(0.0)) for v in x]
+    n, values = _centred(df, x)
+    if null_policy == "zero" or n == 0:
+        moments = _moments(df, values, n)
+        r = [_ratio(moments[i, j], moments[i, i], moments[j, j]) for i, j in pairs]
+    else:
+        masks = [F.when(v.isNull(), 0.0).otherwise(1.0) for v in x]
+        filled = [F.coalesce(v, F.lit(0.0)) for v in values]
+        squares = [v * v for v in filled]
+        g = _moments(df, filled + masks + squares, n)
+        k = len(cols)
+        r = []
+        for i, j in pairs:
+            both = g[k + i, k + j]
+            if both <= 0:
+                r.append(None)
+                continue
+            sx, sy = g[i, k + j], g[j, k + i]
+            r.append(_ratio(
+                g[i, j] - sx * sy / both, g[2 * k + i, k + j] - sx * sx / both, g[2 * k + j, k + i] - sy * sy / both
+            ))
+    rows = [(cols[i], cols[j], v) for (i, j), v in zip(pairs, r)]
+    return spark.createDataFrame(rows, schema)
+
+
+def _ratio(xy: float, xx: float, yy: float) -> float | None:
+    # Standardised columns have variance 1; what is left of a constant is rounding.
+    if not (xx > 1e-12 and yy > 1e-12):
+        return None
+    return max(-1.0, min(1.0, float(xy / (xx * yy) ** 0.5)))
+
+
+def _centred(df: DataFrame, x: list[Column]) -> tuple[int, list[Column]]:
+    """Row count, and the columns less their means over their deviations (0 for a
+    column of one value)."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, v in enumerate(x):
+        aggs += [F.avg(v).alias(f"m{i}"), F.stddev_pop(v).alias(f"s{i}"), (F.min(v) == F.max(v)).alias(f"c{i}")]
+    row = df.agg(*aggs).first()
+    out = []
+    for i, v in enumerate(x):
+        mean, deviation = row[f"m{i}"], row[f"s{i}"]
+        if mean is None or row[f"c{i}"] or not deviation:
+            out.append(F.when(v.isNotNull(), F.lit(0.0)))
+        else:
+            out.append((v - F.lit(mean)) / F.lit(deviation))
+    return int(row["n"]), out
+
+
+def _moments(df: DataFrame, x: list[Column], n: int):
+    """The means of the products of all pairs of (NULL-free) columns, as a k x k array:
+    Gram sums of vectors, tree-aggregated on the executors."""
+    import numpy as np
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+    from pyspark.ml.stat import Correlation, Summarizer
 
-    filled = df.select(*[F.coalesce(_c(c).cast("double"), F.lit(0.0)).alias(f"c{i}") for i, c in enumerate(cols)])
-    vec = VectorAssembler(inputCols=[f"c{i}" for i in range(len(cols))], outputCol="v").transform(filled)
-    m = Correlation.corr(vec, "v").first()[0].toArray()
-    rows = [
-        (cols[i], cols[j], None if m[i, j] != m[i, j] else float(m[i, j]))
-        for i, j in combinations(range(len(cols)), 2)
-    ]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    if n == 0:
+        return np.zeros((len(x), len(x)))
+    names = [f"c{i}" for i in range(len(x))]
+    frame = df.select(*[v.alias(c) for c, v in zip(names, x)])
+    vec = VectorAssembler(inputCols=names, outputCol="v", handleInvalid="keep").transform(frame).select("v")
+    got = vec.select(Summarizer.metrics("mean", "variance").summary(F.col("v")).alias("s")).select("s.mean", "s.variance").first()
+    mean, variance = got["mean"].toArray(), got["variance"].toArray() * (n - 1) / n
+    r = np.nan_to_num(Correlation.corr(vec, "v").first()[0].toArray())
+    np.fill_diagonal(r, 1.0)
+    return r * np.sqrt(np.outer(variance, variance)) + np.outer(mean, mean)
 
 
 def drop_collinear(
@@ -209,7 +268,7 @@ def f_regression(df: DataFrame, target: str, cols: Iterable[str]) -> DataFrame:
         if c == t:
             continue
         r = _corr_expr(t, c, "pairwise")
-        n = F.count(F.when(_c(t).isNotNull() & _c(c).isNotNull(), F.lit(1)))
+        n = F.count(F.when(quoted(t).isNotNull() & quoted(c).isNotNull(), F.lit(1)))
         structs.append(
             F.struct(
                 F.lit(c).alias("feature"),

@@ -5,10 +5,14 @@ aggregate over the key column), materialisation of the joined table with the
 single-valued test and the mean surrogates riding along as observed metrics
 (1), mode surrogates (1), indexer fit (1), materialisation of the feature table (1),
 FDR and FWE fits (2), the shared cross-validation table (1), then the model
-fits; the correlation profile is a lazy one-aggregate frame. Materialising
-means a Parquet table (or, for vectors, a reliable checkpoint) in the shared
-folder when the cluster names one, else a persist. All metrics come out of
-one aggregate over one scan of the test rows.
+fits. The correlation profile runs only when its frame is asked for (one
+aggregate for the target, two passes for the matrix). Materialising means a
+Parquet table (or, for vectors, a reliable checkpoint) in the shared folder when
+the cluster names one, else a persist; ``RunReport.close()`` releases all of it.
+All metrics come out of one aggregate over one scan of the test rows.
+
+The split and the folds are columns computed from the raw key once, before any
+cleaning, and carried along: a row is on the same side at every stage.
 """
 
 from __future__ import annotations
@@ -24,12 +28,12 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import NA_SENTINELS, hash_bucket, to_int_typed
 from tessera.operators import clean, profile
 from tessera.operators.evaluate import evaluate_many
-from tessera.operators.features import build_features, feature_count, select_features
+from tessera.operators.features import NORM_COL, build_features, feature_count, select_features
 from tessera.operators.impute import impute
 from tessera.operators.join import entity_age, gated_join
-from tessera.operators.models import MODEL_KINDS, PREDICTION_COLS, add_fold_column, best_params, cv_table, fit_cv, hash_split
-from tessera.session import ensure_parallelism, materialize, materialize_observed
-from tessera.spec import PrepResult, RunReport, TableSpec, derive_roles
+from tessera.operators.models import MODEL_KINDS, PREDICTION_COLS, best_params, cv_table, fit_cv, split_cut
+from tessera.session import Scratch, ensure_parallelism, materialize, materialize_observed, quoted
+from tessera.spec import CARRIED, PrepResult, RunReport, TableSpec, derive_roles
 
 DATE_SENTINELS = ("None", "NA")
 
@@ -44,15 +48,25 @@ def prepare(
     null_policy: str = "zero",
     collinear_threshold: float | None = None,
     fit_filter=None,
+    carry: dict | None = None,
+    scratch: Scratch | None = None,
     **join_options,
 ) -> PrepResult:
     """Clean a fact table (and join its dimension) into a model-ready frame.
 
-    ``fit_filter`` (a boolean Column over the key columns) makes the imputers
-    learn from those rows only; by default they see every row, as the
-    original did."""
+    Names in ``spec`` match columns whatever their case; a missing target or key
+    is an error. ``fit_filter`` (a boolean Column over carried columns) makes the
+    imputers learn from those rows only; by default they see every row, as the
+    original did. ``carry``: columns (name -> expression over the raw fact) that
+    pass through untouched."""
+    # The dimension's columns take part in the spelling, but the target and the
+    # keys must be the fact's.
+    spec.resolve(fact.columns)
+    spec = spec.resolve([*(dim.columns if dim is not None else ()), *fact.columns])
     t = spec.target
-    df = clean.drop_columns(fact, spec.leak)
+    carry = {f"{CARRIED}{name}": c for name, c in (carry or {}).items()}
+    df = fact.withColumns(carry) if carry else fact
+    df = clean.drop_columns(df, spec.leak)
     df = clean.drop_missing_target(df, t, NA_SENTINELS)
     if spec.flag:
         df = clean.filter_flag(df, spec.flag, spec.flag_value)
@@ -75,12 +89,13 @@ def prepare(
         spec = replace(spec, date_col=None)
 
     # Sentinel text -> NULL on every column but the target.
-    df = clean.sentinel_to_null(df, [c for c in df.columns if c != t], NA_SENTINELS)
+    df = clean.sentinel_to_null(df, [c for c in df.columns if c != t and c not in carry], NA_SENTINELS)
 
     # Materialise once (the joined, cleaned table is read by every later job);
     # the single-valued test rides along that write as observed metrics, so it
     # costs no pass of its own. Dropping the columns is then a projection.
-    keys = set(spec.key_cols)
+    roles = set(spec.all_roles())
+    keys = {k for k in spec.key_cols if k not in roles} | set(carry)
     cols, metrics = profile.informative_metrics(df, [c for c in df.columns if c not in keys])
     # The mean surrogates ride along too: the average of each mean-imputed
     # column, cast as below, over the rows whose target casts to a value (the
@@ -92,23 +107,24 @@ def prepare(
     mean_cols = clean.present(df, spec.numeric_mean)
     for i, c in enumerate(mean_cols):
         metrics[f"mean_{i}"] = F.avg(F.when(t_ok, to_int_typed(c, types[c]).cast("double")))
-    df, values = materialize_observed(df, metrics, materialize_how)
+    df, values = materialize_observed(df, metrics, materialize_how, scratch)
     means = {c: values[f"mean_{i}"] for i, c in enumerate(mean_cols)}
     constant = profile.constant_from_metrics(cols, values, spec.exempt_constant)
     df = df.drop(*constant)
     spec = spec.without(constant)
-    if spec.date_col and spec.date_col in constant:
+    if spec.date_col and spec.date_col.lower() in {c.lower() for c in constant}:
         spec = replace(spec, date_col=None)
 
     df = clean.cast_numeric(df, spec.numeric + (t,))
-    df = df.filter(F.col(t).isNotNull())
+    df = df.filter(quoted(t).isNotNull())
 
     numeric = clean.present(df, spec.numeric)
-    correlations = None
+    profiled = None
     if numeric:
-        correlations = profile.corr_target(df, t, numeric, null_policy).unionByName(
-            profile.corr_matrix(df, numeric, null_policy)
-        )
+        at = df
+
+        def profiled() -> DataFrame:
+            return profile.corr_target(at, t, numeric, null_policy).unionByName(profile.corr_matrix(at, numeric, null_policy))
 
     df, spec, collinear = profile.drop_collinear(
         df, spec, columns=spec.collinear, threshold=collinear_threshold, cols=numeric, null_policy=null_policy
@@ -145,7 +161,7 @@ def prepare(
         included=included,
         constant_dropped=constant,
         collinear_dropped=collinear,
-        correlations=correlations,
+        profile=profiled,
     )
 
 
@@ -156,9 +172,9 @@ def _fill_means(df: DataFrame, cols: list[str], means: dict, keep_double: bool)
     if missing:
         raise ValueError(f"no value to impute from in {missing}")
     if keep_double:
-        return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(means[c])) for c in cols})
+        return df.withColumns({c: F.coalesce(quoted(c).cast("double"), F.lit(means[c])) for c in cols})
     types = dict(df.dtypes)
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(means[c]).cast(types[c])) for c in cols})
+    return df.withColumns({c: F.coalesce(quoted(c), F.lit(means[c]).cast(types[c])) for c in cols})
 
 
 def run(
@@ -170,11 +186,13 @@ def run(
     folds: int = 5,
     seed: int = 10,
     fraction: float = 0.7,
-    parallelism: int = 6,
+    parallelism: int = 2,
     normalize: str | None = "l1",
     materialize_how: str = "auto",
-    concurrent_kinds: bool = True,
+    concurrent_kinds: bool = False,
     fit_on: str = "all",
+    on_empty: str = "error",
+    indexer_invalid: str = "error",
     **prep_options,
 ) -> RunReport:
     """Full comparison: 3 models x {FDR, FWE} selections, k-fold CV each.
@@ -183,71 +201,89 @@ def run(
     trains every model on all normalised features as the original did, which
     makes the FDR and FWE rows the same experiment. Whenever both selections
     pick the same slots, the FWE fits reuse the FDR models (identical inputs
-    and seeds give identical models), so the work is not done twice.
-
-    ``fit_on="all"`` fits imputers, encoders and selectors on every row before
-    the split, as the original did (test rows leak into them);
-    ``fit_on="train"`` fits them on the training rows only. The split is a
-    hash of the key, so the training rows are known at every stage without
-    a shuffle.
+    and seeds give identical models), so the work is not done twice. A selection
+    that keeps nothing is an error, or all slots with ``on_empty="all"``
+    (``RunReport.selected`` then lists all).
+
+    The split and the folds come from a hash of ``spec.key_cols``, which may also
+    be id columns or features; without key columns they are random numbers, drawn
+    once and stored with the rows. ``fit_on="all"`` fits imputers, encoders and
+    selectors on every row before the split, as the original did (test rows
+    leak into them); ``fit_on="train"`` fits them on the training rows only.
+
+    ``parallelism`` fits run at a time, one model kind after another: a tree fit
+    persists its own copy of the rows, so more of either costs that much memory.
     """
     if fit_on not in ("all", "train"):
         raise ValueError("fit_on must be 'all' or 'train'")
     clock = _Clock()
-    train_rows = None
-    if fit_on == "train":
-        train_rows = hash_bucket(list(spec.key_cols), seed) < int(round(fraction * 1000))
-    prep = prepare(fact, dim, spec, materialize_how=materialize_how, fit_filter=train_rows, **prep_options)
-    clock.lap("prepare")
-    s = prep.spec
-    numeric, categorical = derive_roles(prep.df.columns, s)
-    feats, _, _ = build_features(
-        prep.df, numeric, categorical, s.target, normalize=normalize, keep=s.key_cols, fit_filter=train_rows
-    )
-    # ``feats`` reads the materialised prepared table through narrow steps only,
-    # so counting its partitions runs no job.
-    feats = materialize(ensure_parallelism(feats), materialize_how)
-    n_features = feature_count(feats, "normFeatures")
-    clock.lap("features")
-
-    fdr_df, fdr_idx, _ = select_features(feats, "normFeatures", s.target, "fdr", out="sel_fdr", fit_filter=train_rows)
-    both, fwe_idx, _ = select_features(fdr_df, "normFeatures", s.target, "fwe", out="sel_fwe", fit_filter=train_rows)
-    selected = {"fdr": fdr_idx, "fwe": fwe_idx}
-    clock.lap("select")
-
-    key = list(s.key_cols)
-    train, test = hash_split(both, key, fraction, seed)
-    train = add_fold_column(train, key, folds, seed)
-
-    feature_cols = ["normFeatures"] if features == "normFeatures" else ["sel_fdr", "sel_fwe"]
-    same = features == "normFeatures" or fdr_idx == fwe_idx
-    if same:
-        feature_cols = feature_cols[:1]
-    table = cv_table(train, feature_cols, s.target, "fold")
-    test = test.withColumn(s.target, F.col(s.target).cast("double"))
-
-    def fit_kind(kind):
-        # FWE reuses the FDR model when both selections keep the same slots:
-        # identical inputs and seeds give an identical model.
-        out = {}
-        for sel in ("fdr", "fwe"):
-            col = "normFeatures" if features == "normFeatures" else f"sel_{sel}"
-            if sel == "fwe" and same:
-                out[sel] = out["fdr"]
-                continue
-            out[sel] = fit_cv(
-                table, kind, col, s.target, folds=folds, seed=seed, parallelism=parallelism,
-                fold_col="fold", pred_col=f"{PREDICTION_COLS[kind]}_{sel}", materialize_how="none",
-            )
-        return kind, out
-
-    # The three model kinds are independent: fit them concurrently so one
-    # kind's driver-side work (split finding, line search) overlaps the
-    # others' passes.
-    wrap = inheritable_thread_target(feats.sparkSession)
-    with ThreadPool(len(kinds) if concurrent_kinds else 1) as pool:
-        fitted = dict(pool.imap(wrap(fit_kind), kinds))
-    clock.lap("cv")
+    scratch = Scratch()
+    spec = spec.resolve(fact.columns)
+    keys = list(spec.key_cols)
+    buckets = 1000 if abs(fraction * 1000 - round(fraction * 1000)) < 1e-9 else 1_000_000
+    cut = split_cut(fraction, buckets)
+    if keys:
+        carry = {"split": hash_bucket(keys, seed, buckets), "fold": hash_bucket(keys, f"fold{seed}", folds).cast("int")}
+        carry |= {f"key_{i}": quoted(k) for i, k in enumerate(keys)}
+    else:
+        carry = {
+            "split": F.floor(F.rand(seed) * buckets).cast("bigint"), "fold": F.floor(F.rand(seed + 1) * folds).cast("int"),
+        }
+    in_train = F.col(f"{CARRIED}split") < cut
+    train_rows = in_train if fit_on == "train" else None
+    try:
+        prep = prepare(
+            fact, dim, spec, materialize_how=materialize_how, fit_filter=train_rows, carry=carry, scratch=scratch, **prep_options
+        )
+        clock.lap("prepare")
+        s = prep.spec
+        numeric, categorical = derive_roles(prep.df.columns, s)
+        feats, _, _ = build_features(
+            prep.df, numeric, categorical, s.target, normalize=normalize, keep=[CARRIED + c for c in carry],
+            fit_filter=train_rows, indexer_invalid=indexer_invalid,
+        )
+        # ``feats`` reads the materialised prepared table through narrow steps only,
+        # so counting its partitions runs no job.
+        feats = materialize(ensure_parallelism(feats), materialize_how, scratch=scratch)
+        n_features = feature_count(feats, NORM_COL)
+        clock.lap("features")
+
+        fdr_df, fdr_idx, _ = select_features(feats, NORM_COL, s.target, "fdr", on_empty=on_empty, out="sel_fdr", fit_filter=train_rows)
+        both, fwe_idx, _ = select_features(fdr_df, NORM_COL, s.target, "fwe", on_empty=on_empty, out="sel_fwe", fit_filter=train_rows)
+        selected = {"fdr": fdr_idx, "fwe": fwe_idx}
+        clock.lap("select")
+
+        train, test = both.filter(in_train), both.filter(~in_train)
+        train = train.withColumnRenamed(f"{CARRIED}fold", "fold")
+        feature_cols = [NORM_COL] if features == NORM_COL else ["sel_fdr", "sel_fwe"]
+        same = features == NORM_COL or fdr_idx == fwe_idx
+        if same:
+            feature_cols = feature_cols[:1]
+        table = cv_table(train, feature_cols, s.target, "fold", scratch=scratch)
+        test = test.withColumn(s.target, quoted(s.target).cast("double"))
+
+        def fit_kind(kind):
+            # FWE reuses the FDR model when both selections keep the same slots:
+            # identical inputs and seeds give an identical model.
+            out = {}
+            for sel in ("fdr", "fwe"):
+                col = NORM_COL if features == NORM_COL else f"sel_{sel}"
+                if sel == "fwe" and same:
+                    out[sel] = out["fdr"]
+                    continue
+                out[sel] = fit_cv(
+                    table, kind, col, s.target, folds=folds, seed=seed, parallelism=parallelism,
+                    fold_col="fold", pred_col=f"{PREDICTION_COLS[kind]}_{sel}", materialize_how="none",
+                )
+            return kind, out
+
+        wrap = inheritable_thread_target(feats.sparkSession)
+        with ThreadPool(len(kinds) if concurrent_kinds else 1) as pool:
+            fitted = dict(pool.imap(wrap(fit_kind), kinds))
+        clock.lap("cv")
+    except BaseException:
+        scratch.close()
+        raise
 
     # Every fitted model adds its own prediction column to ONE test frame, and
     # all metrics come from one aggregate over it: one scan of the test rows.
@@ -262,8 +298,9 @@ def run(
             name = f"{kind}_{sel}"
             params[name] = best_params(model, feats.sparkSession)
             columns.append((kind, sel, pcol))
+    own = [F.col(f"{CARRIED}key_{i}").alias(k) for i, k in enumerate(keys)]
     for kind, sel, pcol in columns:
-        preds[f"{kind}_{sel}"] = scored.select(*key, s.target, F.col(pcol).alias(PREDICTION_COLS[kind]))
+        preds[f"{kind}_{sel}"] = scored.select(*own, quoted(s.target), F.col(pcol).alias(PREDICTION_COLS[kind]))
     summary = evaluate_many(scored, s.target, columns)
     return RunReport(
         summary=summary,
@@ -273,6 +310,7 @@ def run(
         best_params=params,
         predictions=preds,
         timings=clock.laps,
+        scratch=scratch,
     )
 
 

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted(name: str) -> F.Column:
+    """The column of exactly this name (dots and other characters are no syntax)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     d = spark.conf.get("spark.checkpoint.dir", None)
@@ -21,7 +26,48 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
-def materialize(df: DataFrame, how: str = "auto", eager: bool = False) -> DataFrame:
+class Scratch:
+    """What a run materialises on its way: ``close()`` unpersists the frames and
+    deletes the tables and checkpoints, after which frames built on them no longer work."""
+
+    def __init__(self) -> None:
+        self._frames: list[DataFrame] = []
+        self._paths: list[tuple[SparkSession, str]] = []
+
+    def hold(self, df: DataFrame) -> None:
+        self._frames.append(df)
+
+    def path(self, spark: SparkSession, path: str) -> None:
+        self._paths.append((spark, path))
+
+    def close(self) -> None:
+        while self._frames:
+            self._frames.pop().unpersist()
+        while self._paths:
+            spark, path = self._paths.pop()
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
+def _checkpoint(df: DataFrame, folder: str, scratch: Scratch | None) -> DataFrame:
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    out = df.checkpoint(eager=True)
+    if scratch is not None:
+        file = out._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if file.isDefined():
+            scratch.path(spark, file.get())
+    return out
+
+
+def materialize(df: DataFrame, how: str = "auto", eager: bool = False, scratch: Scratch | None = None) -> DataFrame:
     """Cut (or pin) the lineage of a frame that several later jobs read.
 
     ``table``: write the frame as Parquet under the cluster's shared checkpoint
@@ -35,7 +81,9 @@ def materialize(df: DataFrame, how: str = "auto", eager: bool = False) -> DataFr
     checkpoint folder (``checkpoint`` if the frame holds ML vectors, which
     decode faster from rows than from Parquet structs), else ``persist``
     (lazy unless ``eager``; the other modes always run at once). ``localCheckpoint`` is never used:
-    its blocks die with the executor.
+    its blocks die with the executor. The folder is the one the cluster names:
+    that all executors share it cannot be told from its name and is trusted.
+    ``scratch`` takes note of what was made, to be released by its ``close()``.
     """
     spark = df.sparkSession
     if how == "none":
@@ -52,13 +100,15 @@ def materialize(df: DataFrame, how: str = "auto", eager: bool = False) -> DataFr
                 if "INVALID_COLUMN_NAME" not in str(e) and "invalid character" not in str(e).lower():
                     raise
             else:
+                if scratch is not None:
+                    scratch.path(spark, path)
                 return spark.read.parquet(path)
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(folder)
-        return df.checkpoint(eager=True)
+        return _checkpoint(df, folder, scratch)
     if how in ("table", "checkpoint"):
         raise ValueError(f"{how} requested but spark.checkpoint.dir is not set")
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if scratch is not None:
+        scratch.hold(out)
     if eager:
         # Fill the cache now, before concurrent readers race to compute it.
         out.count()
@@ -69,7 +119,9 @@ def _has_udt(df: DataFrame) -> bool:
     return any(isinstance(f.dataType, T.UserDefinedType) for f in df.schema.fields)
 
 
-def materialize_observed(df: DataFrame, metrics: dict, how: str = "auto") -> tuple[DataFrame, dict]:
+def materialize_observed(
+    df: DataFrame, metrics: dict, how: str = "auto", scratch: Scratch | None = None
+) -> tuple[DataFrame, dict]:
     """``materialize`` plus aggregate ``metrics`` (name -> aggregate Column)
     computed over the same rows.
 
@@ -81,17 +133,17 @@ def materialize_observed(df: DataFrame, metrics: dict, how: str = "auto") -> tup
 
     spark = df.sparkSession
     if not metrics:
-        return materialize(df, how), {}
+        return materialize(df, how, scratch=scratch), {}
     named = [c.alias(n) for n, c in metrics.items()]
     if how in ("auto", "table") and checkpoint_dir(spark) and not _has_udt(df):
         obs = Observation(f"tessera_{uuid.uuid4().hex[:8]}")
-        out = materialize(df.observe(obs, *named), "table")
+        out = materialize(df.observe(obs, *named), "table", scratch=scratch)
         values = obs.get
         if values:
             return out, dict(values)
         # A fallback to checkpoint() does not report observations: recompute.
         return out, out.agg(*named).first().asDict()
-    out = materialize(df, how)
+    out = materialize(df, how, scratch=scratch)
     return out, out.agg(*named).first().asDict()
 
 
@@ -115,38 +167,60 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
 _FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4, T.DecimalType: 16}
 
 
-def _row_bytes(schema: T.StructType) -> F.Column:
+def _holds_udt(t: T.DataType) -> bool:
+    if isinstance(t, T.UserDefinedType):
+        return True
+    if isinstance(t, T.ArrayType):
+        return _holds_udt(t.elementType)
+    if isinstance(t, T.MapType):
+        return _holds_udt(t.keyType) or _holds_udt(t.valueType)
+    return isinstance(t, T.StructType) and any(_holds_udt(f.dataType) for f in t.fields)
+
+
+def _row_bytes(schema: T.StructType) -> F.Column | None:
     """Size of one row in bytes: strings by octet length, fixed-width types by
-    width, anything nested by the length of its JSON text."""
-    parts = []
+    width, vectors by their dense length, anything nested by the length of its
+    JSON text. None if a column has a type whose size cannot be told."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import VectorUDT
+
+    total = F.lit(0).cast("bigint")
     for f in schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = quoted(f.name)
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8))
+            part = F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8)
+        elif isinstance(f.dataType, VectorUDT):
+            part = F.coalesce(F.size(vector_to_array(c)) * F.lit(8), F.lit(0)) + F.lit(16)
+        elif _holds_udt(f.dataType):
+            return None
         elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + F.lit(16))
+            part = F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + F.lit(16)
         else:
-            parts.append(F.lit(_FIXED_WIDTH.get(type(f.dataType), 8)))
-    if not parts:
-        return F.lit(0)
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
+            part = F.lit(_FIXED_WIDTH.get(type(f.dataType), 8))
+        total = total + part.cast("bigint")
     return total
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The optimiser's estimate of the frame's size (no job)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def bounded_size(df: DataFrame, max_rows: int, max_bytes: int) -> tuple[int, int] | None:
     """(rows, bytes) of ``df`` if it provably holds at most ``max_rows`` rows and
     ``max_bytes`` bytes, else ``None``.
 
-    Reads at most ``max_rows + 1`` rows (a limit, not a full scan), so the check
-    costs little even when the frame is huge.
+    A frame whose planned size is far over the bound (the plan knows file sizes,
+    compressed) is turned down without a job. Otherwise one aggregate counts
+    rows and bytes: partial sums in every task and one small row from each, so
+    no rows move whatever the frame's size.
     """
-    if max_rows <= 0 or max_bytes <= 0:
+    row_bytes = _row_bytes(df.schema)
+    if max_rows <= 0 or max_bytes <= 0 or row_bytes is None:
+        return None
+    if planned_bytes(df) > 4 * max_bytes:
         return None
-    probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df.schema)).alias("b")
-    ).first()
+    probe = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
     n, b = int(probe["n"]), int(probe["b"] or 0)
     if n > max_rows or b > max_bytes:
         return None

@@ -70,8 +70,9 @@ def write_run_report(report, root: str, mode: str = "overwrite") -> list[str]:
     ]
     if params:
         put("best_params", reduce(lambda a, b: a.unionByName(b), params))
-    if report.prep.correlations is not None:
-        put("correlations", report.prep.correlations)
+    correlations = report.prep.correlations
+    if correlations is not None:
+        put("correlations", correlations)
     rows = [(sel, int(i)) for sel, idx in report.selected.items() for i in idx]
     put("selected", spark.createDataFrame(rows, "selection string, slot int"))
     return written

@@ -6,14 +6,30 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import quoted
+
 
 def string_schema(columns: Sequence[str]) -> T.StructType:
     """All-string schema (what a header CSV read without inference yields)."""
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+def _select(df: DataFrame, columns: Sequence[str] | None, there: set[str], where: str) -> DataFrame:
+    """``columns`` by name; names that some file has but this one lacks are NULL."""
+    if columns is None:
+        return df
+    own = {c.lower(): c for c in df.columns}
+    unknown = [c for c in columns if c.lower() not in there]
+    if unknown:
+        raise ValueError(f"no column {unknown} in {where}")
+    return df.select(*[
+        quoted(own[c.lower()]).alias(c) if c.lower() in own else F.lit(None).cast("string").alias(c) for c in columns
+    ])
+
+
 def read_table(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -21,22 +37,39 @@ def read_table(
     columns: Sequence[str] | None = None,
     header: bool = True,
 ) -> DataFrame:
-    """Read one table (or several files with one schema) as a single scan.
+    """Read one table, or several files united by column name.
 
     CSV: header row on, every column string, permissive mode (a short row is
-    padded with NULL, an empty field is NULL). Giving ``columns`` fixes the
-    schema up front, so no header-sniffing job runs before the real one.
+    padded with NULL, an empty field is NULL). Names come from each file's own
+    header (a read of its first line); files with equal headers are one scan.
+    ``columns`` selects by name: a name no file has is an error, one that only
+    some files have is NULL in the others. Without a header, ``columns`` names
+    the columns by position. Parquet: files with equal schemas are one scan,
+    columns are united by name likewise.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    if fmt == "csv":
-        reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
-        if columns is not None:
-            reader = reader.schema(string_schema(columns))
-        return reader.csv(paths)
-    if fmt == "parquet":
-        df = spark.read.parquet(*paths)
-        return df.select(*columns) if columns is not None else df
-    raise ValueError(f"unsupported format {fmt!r} (csv or parquet)")
+    if fmt not in ("csv", "parquet"):
+        raise ValueError(f"unsupported format {fmt!r} (csv or parquet)")
+    if fmt == "csv" and not header:
+        reader = spark.read.option("mode", "PERMISSIVE")
+        return (reader.schema(string_schema(columns)) if columns is not None else reader).csv(paths)
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for p in paths:
+        if fmt == "csv":
+            schema = string_schema(spark.read.option("header", True).option("inferSchema", False).csv(p).columns)
+        else:
+            schema = spark.read.parquet(p).schema
+        groups.setdefault(schema.json(), (schema, []))[1].append(p)
+    there = {c.lower() for schema, _ in groups.values() for c in schema.names}
+    frames = []
+    for schema, members in groups.values():
+        reader = spark.read.schema(schema)
+        if fmt == "csv":
+            df = reader.option("header", True).option("mode", "PERMISSIVE").csv(members)
+        else:
+            df = reader.parquet(*members)
+        frames.append(_select(df, columns, there, ", ".join(paths)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def load_tables(
@@ -49,10 +82,8 @@ def load_tables(
 ) -> DataFrame:
     """Load the tables ``<root>/<name>.<fmt>`` and combine them.
 
-    ``combine="union"``: every source contributes its rows. With a fixed
-    ``columns`` list all files are read by one scan (one file listing, splits
-    spread over the cluster); without it each file keeps its own header and the
-    frames are unioned by name, missing columns as NULL.
+    ``combine="union"``: every source contributes its rows, united by name with
+    missing columns as NULL (see ``read_table``).
     ``combine="last"``: only the last name is read (each earlier read is
     overwritten by the next one in the original program).
     """
@@ -64,7 +95,4 @@ def load_tables(
         return read_table(spark, paths[-1], fmt, columns)
     if combine != "union":
         raise ValueError(f"combine must be 'union' or 'last', not {combine!r}")
-    if columns is not None or len(paths) == 1:
-        return read_table(spark, paths, fmt, columns)
-    frames = [read_table(spark, p, fmt) for p in paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return read_table(spark, paths, fmt, columns)

@@ -91,13 +91,13 @@ def test_dim_join_using_semantics(spark):
     assert sorted(r.id for r in out.collect()) == [1, 2, 3]  # NULL and unmatched keys lost
 
 
-def test_salted_join_equals_broadcast_join(spark):
+def test_shuffle_join_equals_broadcast_join(spark):
     fact = spark.range(0, 3000).select(
         F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k")
     )
     dim = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("attr"))
     a = sorted(tuple(r) for r in dim_join(fact, dim, "k", broadcast=True).collect())
-    b = sorted(tuple(r) for r in dim_join(fact, dim, "k", broadcast=False, hot_key_rows=100, salt_buckets=8).collect())
+    b = sorted(tuple(r) for r in dim_join(fact, dim, "k", broadcast=False, hot_share=0.1).collect())
     assert a == b and len(a) == 3000
 
 
@@ -169,13 +169,31 @@ def test_corr_null_policies_and_constant(spark):
     assert zero[("a", "k")] is None and zero[("b", "k")] is None  # constant: NULL, no error
 
 
-def test_corr_matrix_wide_path_matches_pairs(spark):
-    cols = [f"c{i}" for i in range(profile.MATRIX_PATH_MIN_COLS)]
-    df = spark.range(200).select(*[((F.col("id") * (i + 1)) % (7 + i)).cast("double").alias(c) for i, c in enumerate(cols)])
-    wide = {(r.a, r.b): r.r for r in profile.corr_matrix(df, cols).collect()}
-    narrow = {(r.a, r.b): r.r for r in profile._pairs_frame(df, [("c0", "c1"), ("c3", "c9")], "zero").collect()}
-    for k, v in narrow.items():
-        assert math.isclose(wide[k], v, rel_tol=1e-9, abs_tol=1e-12)
+@pytest.mark.parametrize("policy", ["zero", "pairwise"])
+@pytest.mark.parametrize("k", [2, 64])
+def test_corr_matrix_is_stable_at_any_width(spark, k, policy):
+    """Epoch-like, sparse and NULL-bearing columns against numpy's exact pairs."""
+    import numpy as np
+
+    def expr(i):
+        if i % 4 == 0:
+            return 1.7e9 + (F.col("id") * (i + 3)) % 71
+        if i % 4 == 1:
+            return F.when(F.col("id") % (i + 5) == 0, 1.0).otherwise(0.0)
+        return F.when(F.col("id") % 7 == i % 7, None).otherwise((F.col("id") * (i + 1)) % 29)
+
+    cols = [f"c{i}" for i in range(k)]
+    df = spark.range(2000).select(*[expr(i).cast("double").alias(c) for i, c in enumerate(cols)])
+    x = np.array([[np.nan if v is None else v for v in r] for r in df.collect()]).T
+    for r in profile.corr_matrix(df, cols, policy).collect():
+        a, b = x[int(r.a[1:])], x[int(r.b[1:])]
+        if policy == "zero":
+            a, b = np.nan_to_num(a), np.nan_to_num(b)
+        both = ~np.isnan(a) & ~np.isnan(b)
+        if len(set(a[both])) < 2 or len(set(b[both])) < 2:
+            assert r.r is None
+        else:
+            assert math.isclose(r.r, np.corrcoef(a[both], b[both])[0, 1], abs_tol=1e-7)
 
 
 def test_drop_collinear_threshold_keeps_first(spark):
@@ -264,10 +282,86 @@ def test_selection_fwe_subset_of_fdr_and_empty_guard(spark):
     assert set(fwe) <= set(fdr) and {0, 1} <= set(fdr)
     noise = spark.range(300).select(((F.col("id") * 7) % 11).cast("double").alias("x"), ((F.col("id") * 13) % 17).cast("double").alias("y"))
     nf = assemble(noise, ["x"], "v")
-    out, picked, _ = select_features(nf, "v", "y", "fwe", threshold=1e-12)
-    assert picked == [] and feature_count(out, "selectedFeatures") == 1
+    out, picked, _ = select_features(nf, "v", "y", "fwe", threshold=1e-12, on_empty="all")
+    assert picked == [0] and feature_count(out, "selectedFeatures") == 1  # what was used is reported
+    with pytest.raises(ValueError, match="kept no feature"):
+        select_features(nf, "v", "y", "fwe", threshold=1e-12)
+
+
+def test_null_numeric_raises_even_when_unseen_labels_are_kept(spark):
+    df = spark.createDataFrame([(i, None if i == 3 else float(i), "ab"[i % 2], float(i)) for i in range(40)], "k int, x double, c string, y double")
+    feats, _, _ = build_features(df, ["x"], ["c"], "y", fit_filter=F.col("k") != 3, indexer_invalid="keep")
+    with pytest.raises(Exception, match="null"):
+        feats.collect()
+
+
+def test_names_with_dots(spark):
+    from tessera.operators import clean
+    from tessera.plans.run import prepare
+    from tessera.spec import derive_roles
+
+    rows = [(i, str(i * 3), "NA" if i % 7 == 0 else str(i % 5), "uvw"[i % 3], "0") for i in range(60)]
+    df = spark.createDataFrame(rows, "`id.orig` int, `t.y` string, `n.x` string, `c.a` string, `f.l` string")
+    assert clean.require_columns(df, ["id.orig"]).count() == 60
+    spec = TableSpec(target="t.y", numeric_mean=("n.x",), categorical=("c.a",), flag="f.l", key_cols=("id.orig",))
+    prep = prepare(df, None, spec)
+    numeric, categorical = derive_roles(prep.df.columns, prep.spec)
+    assert (numeric, categorical) == (["n.x"], ["c.a"])
+    feats, _, used = build_features(prep.df, numeric, categorical, "t.y", keep=["id.orig"])
+    assert feats.columns == ["id.orig", "t.y", "normFeatures"] and used == ["n.x", "c.aCat"] and feats.count() == 60
+    assert prep.correlations.collect()[0]["b"] == "n.x"
+
+
+def test_csv_columns_are_taken_by_header_name(spark, tmp_path):
+    from tessera.sources import load_tables, read_table
+
+    (tmp_path / "a.csv").write_text("k,v\n1,x\n2,y\n")
+    (tmp_path / "b.csv").write_text("v,k,w\nz,3,q\n")
+    both = load_tables(spark, str(tmp_path), ["a", "b"], columns=["k", "v"])
+    assert sorted(map(tuple, both.collect())) == [("1", "x"), ("2", "y"), ("3", "z")]
+    wide = load_tables(spark, str(tmp_path), ["a", "b"], columns=["w", "K"])
+    assert sorted(map(tuple, wide.collect()), key=str) == [("q", "3"), (None, "1"), (None, "2")]
+    assert [r.v for r in read_table(spark, str(tmp_path / "a.csv"), columns=["v"]).collect()] == ["x", "y"]
+    with pytest.raises(ValueError, match="nope"):
+        read_table(spark, str(tmp_path / "a.csv"), columns=["nope"])
+    spark.createDataFrame([(1, "x")], "k int, v string").write.parquet(str(tmp_path / "c.parquet"))
+    spark.createDataFrame([("y", 2.0)], "v string, w double").write.parquet(str(tmp_path / "d.parquet"))
+    united = load_tables(spark, str(tmp_path), ["c", "d"], fmt="parquet")
+    assert united.columns == ["k", "v", "w"] and united.count() == 2
+
+
+def test_target_and_roles_ignore_case(spark):
+    from tessera.spec import derive_roles
+
+    spec = TableSpec(target="arrdelay", numeric_mean=("X",))
+    assert derive_roles(["ArrDelay", "x", "cat"], spec) == (["x"], ["cat"])
+    with pytest.raises(ValueError, match="nope"):
+        TableSpec(target="nope").resolve(["a"])
+    with pytest.raises(ValueError, match="key"):
+        TableSpec(target="a", key_cols=("key",)).resolve(["a"])
+
+
+def test_hash_bucket_needs_keys_and_tells_nulls_apart(spark):
+    from tessera.functions import hash_bucket
+
     with pytest.raises(ValueError):
-        select_features(nf, "v", "y", "fwe", threshold=1e-12, on_empty="error")
+        hash_bucket([], 1)
+    df = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
+    assert df.select(hash_bucket(["x", "y"], 1, 1 << 30)).distinct().count() == 2
+
+
+def test_split_fraction_that_empties_a_side(spark):
+    with pytest.raises(ValueError, match="empty"):
+        hash_split(spark.range(10), ["id"], fraction=0.9996)
+
+
+def test_grid_of_two_points_picks_the_better(spark):
+    from tessera.operators.models import best_params, fit_cv
+
+    df = assemble(spark.range(200).select(F.col("id").cast("double").alias("x"), (F.col("id") * 3.0 + 1).alias("y"), "id"), ["x"], "v")
+    model = fit_cv(df, "linear", "v", "y", grid={"regParam": [1e5, 0.0]}, folds=3, key_cols=["id"])
+    assert {r.param: r.value for r in best_params(model).collect()}["regParam"] == "0.0"
+    assert len(model.avgMetrics) == 2 and model.avgMetrics[1] < model.avgMetrics[0] and len(model.foldMetrics) == 3
 
 
 # ----------------------------------------------------------------- models ---

@@ -1,18 +1,16 @@
 """Layer 2: every catalog query against its DuckDB oracle (sf0.001 here; the
 driver runs the same comparison at sf0.01), plus a run of the rows-only keys."""
 
-import math
-
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
 from tests.conftest import SF_SMALL
+from tools.check_oracle import TABLES, digest
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 ORACLE = entry_mod.oracle_sql()
 QUERIES = entry_mod.queries()
-HEAVY = {"flagship", "linreg_cv", "dtree_cv", "rforest_cv", "best_params"}
+HEAVY = {"flagship", "flagship_parity", "linreg_cv", "dtree_cv", "rforest_cv"}
 
 
 @pytest.fixture(scope="module")
@@ -23,19 +21,6 @@ def duck():
     return con
 
 
-def _norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
-        return "NULL"
-    if isinstance(v, float):
-        return repr(round(v, 6) + 0.0)
-    return str(v)
-
-
-def _canon(cols, rows):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted("|".join(_norm(r[i]) for i in order) for r in rows)
-
-
 def test_every_query_has_a_callable():
     assert set(ORACLE) <= set(QUERIES)
     assert len(QUERIES) >= 45
@@ -46,8 +31,8 @@ def test_query_matches_oracle(spark, duck, key):
     df = QUERIES[key](spark, SF_SMALL)
     res = duck.sql(ORACLE[key])
     assert sorted(df.columns) == sorted(res.columns)
-    got = _canon(df.columns, [tuple(r) for r in df.collect()])
-    want = _canon(res.columns, res.fetchall())
+    _, got = digest(df.columns, [tuple(r) for r in df.collect()])
+    _, want = digest(res.columns, res.fetchall())
     assert len(got) == len(want)
     assert got == want
 

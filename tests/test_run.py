@@ -113,3 +113,50 @@ def test_observed_mean_surrogates_equal_imputer(spark, monkeypatch):
     spark_imputer = prepare(fact, dim, FLAGSHIP_SPEC).df
     assert ours.columns == spark_imputer.columns
     assert ours.exceptAll(spark_imputer).count() == 0 and spark_imputer.exceptAll(ours).count() == 0
+
+
+def test_close_releases_everything(spark):
+    import os
+
+    def tables():
+        root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+        return {os.path.join(d, f) for d, _, files in os.walk(root) for f in files}
+
+    jsc = spark.sparkContext._jsc
+    spark.catalog.clearCache()
+    before, held = tables(), set(jsc.getPersistentRDDs().keySet())
+    with flagship(spark, SF_SMALL, folds=2) as rep:
+        assert rep.summary.count() == 6
+        assert tables() - before
+    assert not tables() - before
+    assert not set(jsc.getPersistentRDDs().keySet()) - held
+
+
+def test_few_copies_at_a_time(spark):
+    import threading
+    import time
+
+    jsc, seen, done = spark.sparkContext._jsc, [0], threading.Event()
+    spark.catalog.clearCache()
+    held = len(jsc.getPersistentRDDs())
+
+    def watch():
+        while not done.is_set():
+            seen.append(len(jsc.getPersistentRDDs()) - held)
+            time.sleep(0.05)
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        flagship(spark, SF_SMALL, kinds=("tree", "forest"), folds=2).close()
+    finally:
+        done.set()
+        watcher.join()
+    assert max(seen) <= 3  # the shared table and one bagged copy for each of two fits
+
+
+def test_failed_run_releases_what_it_made(spark):
+    held = set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+    with pytest.raises(KeyError):
+        flagship(spark, SF_SMALL, kinds=("no such kind",))
+    assert not set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) - held
