@@ -34,18 +34,20 @@ import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from tessera.llm.common import read_table
+from tessera.llm.common import read_table, temp_column
 
 SPACE = "▁"
 # Fixed value of the format: what an unknown character costs beyond the worst piece.
 UNKNOWN_PENALTY = 10.0
+NEVER = float("-inf")
 # Words (of at most so many characters) whose pieces a worker remembers.
-REMEMBER = 400_000
+REMEMBER = 600_000
 REMEMBER_CHARS = 48
 REMEMBER_PAIRS = 400_000
 
@@ -64,6 +66,12 @@ class Pieces:
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == kind.UNKNOWN)
         self.hidden = {i for i, p in enumerate(model.pieces) if p.type in (kind.CONTROL, kind.UNKNOWN)}
         self.byte_of = {i: int(p.piece[3:5], 16) for i, p in enumerate(model.pieces) if p.type == kind.BYTE}
+        # What each id shows. ASCII bytes stand for themselves; only longer byte
+        # sequences and pieces without text need care.
+        self.shown = [p.replace(SPACE, " ") for p in self.pieces]
+        for i, b in self.byte_of.items():
+            self.shown[i] = chr(b)
+        self.special = self.hidden | {i for i, b in self.byte_of.items() if b > 0x7F}
         self.byte_ids = {b: i for i, b in self.byte_of.items()} if model.trainer_spec.byte_fallback else {}
         normal = {p.piece: (i, p.score) for i, p in enumerate(model.pieces) if p.type in (kind.NORMAL, kind.USER_DEFINED)}
         self.single = {p for p in normal if len(p) == 1}
@@ -74,7 +82,9 @@ class Pieces:
         self.automaton.make_automaton()
         whole = any(SPACE in p.lstrip(SPACE) for p in normal)
         self.words = re.compile(r"(?s).+" if whole else rf"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.known: dict[str, array] = {}
+        # Words apart by single spaces and newlines can be looked up as they are.
+        self.simple = not whole and self.prefix and not any("\n" in p for p in normal)
+        self.known = _Known(lambda w: self.segment(w if w[:1] == "\n" else SPACE + w).tobytes())
         # BPE: scores of all pieces, and pairs of pieces known to stay apart or not.
         self.merging = model.trainer_spec.model_type == model_pb2.TrainerSpec.BPE
         self.score_of = {p: score for p, (_, score) in normal.items()}
@@ -84,17 +94,21 @@ class Pieces:
         """Whether merging by score (leftmost first) leaves the two pieces as they are."""
         score_of = self.score_of
         parts = [*self.pieces[left], *self.pieces[right]]
-        while len(parts) > 1:
-            score, i = max(
-                ((score_of[a + b], -i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in score_of),
-                default=(0.0, 1),
-            )
-            if i > 0:
+        scores = [score_of.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while scores:
+            best = max(scores)
+            if best == NEVER:
                 break
-            parts[-i : 2 - i] = [parts[-i] + parts[1 - i]]
+            i = scores.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i:
+                scores[i - 1] = score_of.get(parts[i - 1] + parts[i], NEVER)
+            if i < len(scores):
+                scores[i] = score_of.get(parts[i] + parts[i + 1], NEVER)
         if len(self.pairs) >= REMEMBER_PAIRS:
             self.pairs.clear()
-        found = self.pairs[left << 32 | right] = parts == [self.pieces[left], self.pieces[right]]
+        found = self.pairs[left << 32 | right] = len(parts) == 2 and parts[0] == self.pieces[left]
         return found
 
     def _unknown(self, char: str) -> list[int]:
@@ -179,35 +193,53 @@ class Pieces:
         ids = array("i")
         if not text:
             return ids
-        known = self.known
+        if self.simple and text[0] != " " and SPACE not in text:
+            # A newline is no piece, so it ends a word: it goes with what follows.
+            apart = text.replace("\n", " \n")
+            if "  " not in apart:
+                ids.frombytes(b"".join(map(self.known.__getitem__, apart.split(" "))))
+                return ids
         for word in self.words.findall((SPACE if self.prefix else "") + text.replace(" ", SPACE)):
-            found = known.get(word)
-            if found is None:
-                found = self.segment(word)
-                if len(word) <= REMEMBER_CHARS:
-                    if len(known) >= REMEMBER:
-                        known.clear()
-                    known[word] = found
-            ids += found
+            ids += self.segment(word)
         return ids
 
     def decode(self, ids) -> str:
-        out: list[str] = []
-        pending = bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                pending.append(self.byte_of[i])
-                continue
-            if pending:
-                out.append(pending.decode("utf-8", "replace"))
-                pending.clear()
-            if i not in self.hidden:
-                out.append(self.pieces[i])
-        out.append(pending.decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
+        shown = self.shown
+        if self.special.isdisjoint(ids):
+            text = "".join([shown[i] for i in ids])
+        else:
+            out: list[str] = []
+            pending = bytearray()
+            for i in ids:
+                if i in self.byte_of:
+                    pending.append(self.byte_of[i])
+                    continue
+                if pending:
+                    out.append(pending.decode("utf-8", "replace"))
+                    pending.clear()
+                if i not in self.hidden:
+                    out.append(shown[i])
+            out.append(pending.decode("utf-8", "replace"))
+            text = "".join(out)
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+class _Known(dict):
+    """What a function gives for short texts, kept for those seen."""
+
+    def __init__(self, make) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, text: str):
+        found = self.make(text)
+        if len(text) <= REMEMBER_CHARS:
+            if len(self) >= REMEMBER:
+                self.clear()
+            self[text] = found
+        return found
+
+
 _loaded: dict[str, Pieces] = {}
 
 
@@ -218,21 +250,27 @@ def load(path: str) -> Pieces:
     return _loaded[path]
 
 
-def encode(df: DataFrame, text_col: str, out: str, path: str) -> DataFrame:
-    """``df`` plus the piece ids of ``text_col`` (ARRAY<INT>)."""
+def encode(df: DataFrame, text_col: str, out: str, path: str, round_trip: str | None = None) -> DataFrame:
+    """``df`` plus the piece ids of ``text_col`` (ARRAY<INT>). ``round_trip`` names a
+    further column: whether the ids decode to the text (checked where they are made)."""
 
-    @arrow_udf("array<int>")
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @arrow_udf("struct<ids: array<int>, same: boolean>")
+    def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load(path)
         for texts in batches:
-            flat, ends = array("i"), [0]
-            for t in texts:
-                flat += model.encode(t.as_py())
+            flat, ends, same = array("i"), [0], []
+            for t in texts.to_pylist():
+                ids = model.encode(t)
+                flat += ids
                 ends.append(len(flat))
+                same.append(model.decode(ids) == (t or "") if round_trip else None)
             values = pa.array(np.frombuffer(flat, dtype=np.int32) if flat else [], pa.int32())
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            yield pa.StructArray.from_arrays([lists, pa.array(same, pa.bool_())], ["ids", "same"])
 
-    return df.withColumn(out, ids(F.col(text_col)))
+    both = temp_column("pieces")
+    df = df.withColumn(both, pieces(F.col(text_col))).withColumn(out, F.col(both)["ids"])
+    return (df.withColumn(round_trip, F.col(both)["same"]) if round_trip else df).drop(both)
 
 
 def decode(df: DataFrame, ids_col: str, out: str, path: str) -> DataFrame:
@@ -242,7 +280,9 @@ def decode(df: DataFrame, ids_col: str, out: str, path: str) -> DataFrame:
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load(path)
         for rows in batches:
-            yield pa.array([model.decode(r.as_py() or []) for r in rows], pa.string())
+            ends = np.cumsum([0, *(n or 0 for n in pc.list_value_length(rows).to_pylist())])
+            flat = rows.flatten().to_numpy().tolist()
+            yield pa.array([model.decode(flat[i:j]) for i, j in zip(ends, ends[1:])], pa.string())
 
     return df.withColumn(out, text(F.col(ids_col)))
 
@@ -251,8 +291,5 @@ def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(encode(docs, "text", "piece_ids", path), "piece_ids", "decoded", path)
-    return both.select(
-        "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
-    )
+    coded = encode(docs, "text", "piece_ids", path, round_trip="round_trip")
+    return coded.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", "round_trip")
