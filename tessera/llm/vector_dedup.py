@@ -191,37 +191,47 @@ def medoids(x: np.ndarray, n: int) -> list[int]:
 def range_search(
     x: np.ndarray, neighbours: np.ndarray, queries: np.ndarray, start: list[int], beam: int, floor: float
 ) -> np.ndarray:
-    """(query, node) pairs of cosine ``floor`` or more that greedy search meets:
-    the best unexpanded node is expanded until the ``beam`` best are, then every
-    node in range is. ``neighbours``: padded with -1."""
+    """(query, node) pairs of cosine ``floor`` or more that the search meets. Greedy
+    phase: ``beam`` times, each query's best unexpanded node is expanded. Range
+    phase: every node in range is, round by round, until none is left.
+    ``neighbours``: padded with -1."""
     n, q = len(x), len(queries)
     score = np.full((q, n), -np.inf)
     opened = np.zeros((q, n), dtype=bool)
     score[:, start] = queries @ x[start].T
-    active = np.arange(q)
-    step = 0
-    while len(active):
-        step += 1
-        s = np.where(opened[active], -np.inf, score[active])
-        best = np.argmax(s, axis=1)
-        value = s[np.arange(len(active)), best]
-        go = value >= floor
-        if step <= beam:
-            go |= value > -np.inf
-        active, best = active[go], best[go]
+
+    def visit(who: np.ndarray, node: np.ndarray) -> None:
+        for i in range(0, len(who), PAIRS_AT_ONCE // 8):
+            a, b = who[i : i + PAIRS_AT_ONCE // 8], node[i : i + PAIRS_AT_ONCE // 8]
+            score[a, b] = np.einsum("ij,ij->i", queries[a], x[b])
+
+    every = np.arange(q)
+    for _ in range(min(beam, n)):
+        open_score = np.where(opened, -np.inf, score)
+        best = np.argmax(open_score, axis=1)
+        active = every[open_score[every, best] > -np.inf]
         if not len(active):
             break
+        best = best[active]
         opened[active, best] = True
         adjacent = neighbours[best]
-        who = np.repeat(active, adjacent.shape[1])
-        node = adjacent.ravel()
+        who, node = np.repeat(active, adjacent.shape[1]), adjacent.ravel()
         fresh = node >= 0
         who, node = who[fresh], node[fresh]
         fresh = score[who, node] == -np.inf
-        who, node = who[fresh], node[fresh]
-        for i in range(0, len(who), PAIRS_AT_ONCE // 8):
-            a, b = who[i : i + PAIRS_AT_ONCE // 8], node[i : i + PAIRS_AT_ONCE // 8]
-            score[a, b] = np.einsum("ij,ij->i", queries[a], x[b])
+        visit(who[fresh], node[fresh])
+    edges = np.zeros((n, n), dtype=np.float32)
+    at, column = np.nonzero(neighbours >= 0)
+    edges[at, neighbours[at, column]] = 1
+    while True:
+        found = (score >= floor) & ~opened
+        asking = np.flatnonzero(found.any(axis=1))
+        if not len(asking):
+            break
+        opened |= found
+        reached = (found[asking].astype(np.float32) @ edges > 0) & (score[asking] == -np.inf)
+        who, node = np.nonzero(reached)
+        visit(asking[who], node)
     return np.argwhere(score >= floor)
 
 
