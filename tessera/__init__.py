@@ -2,8 +2,8 @@
 
 Layout: ``functions`` (native column expressions), ``sources`` (tables in,
 report frames out), ``operators`` (DataFrame -> DataFrame steps), ``plans``
-(end-to-end runs and the query catalog), ``streaming`` (notes on use with
-streaming frames).
+(end-to-end runs and the query catalog), ``llm`` (training-data operators,
+a subpackage of its own that nothing else here imports).
 """
 
 from tessera.spec import PrepResult, RunReport, TableSpec, derive_roles
