@@ -14,8 +14,8 @@ is enumerated as probes. Of a pair that differs in a mask, only the side whose
 lowest differing bit is 0 probes, so a pair meets once in a segment. Rows of
 equal (segment, value) meet in one sorted run where the complete distance is
 verified; what leaves the task is a spanning forest of the links found there,
-never the pairs. A value held by more than ``run_rows`` fingerprints is cut into
-tiles that together still compare all of them.
+never the pairs. The runs that a value held by more than ``run_rows`` fingerprints
+causes are cut into tiles that together still compare all of them.
 
 Defined results: NULL text counts as empty; a NULL id joins its fingerprint's
 group (component NULL if the group has no id); rows with equal ids are one
@@ -81,9 +81,8 @@ def segment_count(n: int, max_bits: int) -> int:
     return max(2, min(max_bits + 1, BITS // max(1, n.bit_length())))
 
 
-def _probes(prints: DataFrame, segments: int, max_bits: int) -> DataFrame:
-    """(seg, value, probe, fp, rep): the stored rows (probe = false) and the
-    enumerated Hamming balls (probe = true)."""
+def _balls(segments: int, max_bits: int) -> F.Column:
+    """The masks of all segments' Hamming balls: an array of (seg, lo, width, mask, low)."""
     radius = max_bits // segments
     cuts = [round(i * BITS / segments) for i in range(segments + 1)]
     masks = [
@@ -92,42 +91,50 @@ def _probes(prints: DataFrame, segments: int, max_bits: int) -> DataFrame:
         for r in range(radius + 1)
         for flips in combinations(range(hi - lo), r)
     ]
-    table = F.array(*[
-        F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(("seg", "lo", "width", "mask", "low"), m, ("int", "int", "long", "long", "long"))])
-        for m in masks
-    ])
+    names, types = ("seg", "lo", "width", "mask", "low"), ("int", "int", "long", "long", "long")
+    return F.array(*[F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(names, m, types)]) for m in masks])
+
+
+def _probes(prints: DataFrame, balls: F.Column) -> DataFrame:
+    """(seg, value, probe, fp, rep): the stored rows (probe = false) and the
+    enumerated Hamming balls (probe = true)."""
     return (
-        prints.select("fp", "rep", F.explode(table).alias("m"))
+        prints.select("fp", "rep", F.explode(balls).alias("m"))
         .select("fp", "rep", "m.*", F.expr("shiftrightunsigned(fp, m.lo) & m.width").alias("own"))
         .where("own & low = 0")
         .select("seg", F.expr("own ^ mask").alias("value"), (F.col("mask") != 0).alias("probe"), "fp", "rep")
     )
 
 
-def _tiles(rows: DataFrame, run_rows: int) -> DataFrame:
-    """Cut the runs of values that many fingerprints share: ``k`` chunks of
-    stored rows and ``k`` of probes meet in ``k * k`` tiles."""
-    stored = rows.where(~F.col("probe"))
+def _tiles(rows: DataFrame, balls: F.Column, run_rows: int) -> DataFrame:
+    """Cut the runs that hot values cause into tiles. A value that many fingerprints
+    hold has ``ks`` chunks of stored rows; it and every value in its ball, which
+    all of them probe, has ``kp`` chunks of rows that ask. Chunk i of the
+    one meets chunk j of the other in tile (i, j), so all pairs still meet."""
     hot = settle(
-        stored.groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > run_rows)
-        .select("seg", "value", F.ceil(F.col("n") / run_rows).cast("int").alias("k"))
+        rows.where(~F.col("probe")).groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > run_rows)
     )
     if hot.isEmpty():
-        return rows.withColumn("tile", F.lit(0))
-    k = F.coalesce("k", F.lit(1))
-    mine = F.pmod(F.xxhash64("fp"), k).cast("int")
-    all_k = F.sequence(F.lit(0), k - 1)
-    # Stored rows are the columns of the grid; every row, stored ones too, also queries along its row.
-    cells = F.when(k == 1, F.array(F.struct(F.lit(0).alias("tile"), F.col("probe").alias("asks")))).otherwise(
-        F.concat(
-            F.when(F.col("probe"), F.array().cast("array<struct<tile:int,asks:boolean>>")).otherwise(
-                F.transform(all_k, lambda j: F.struct((mine + j * k).cast("int").alias("tile"), F.lit(False).alias("asks")))
-            ),
-            F.transform(all_k, lambda i: F.struct((i + mine * k).cast("int").alias("tile"), F.lit(True).alias("asks"))),
+        return rows.withColumn("tile", F.lit(0).cast("long"))
+    asked = hot.withColumn("m", F.explode(balls)).where("m.seg = seg").groupBy("seg", F.expr("value ^ m.mask").alias("value"))
+    sizes = settle(
+        asked.agg(F.sum("n").alias("load")).join(hot, ["seg", "value"], "left").select(
+            "seg", "value", F.ceil(F.coalesce("n", F.lit(1)) / run_rows).alias("ks"), F.ceil(F.col("load") / (8 * run_rows)).alias("kp")
         )
     )
+    ks, kp = F.coalesce("ks", F.lit(1)), F.coalesce("kp", F.lit(1))
+    i, j = F.pmod(F.xxhash64("fp", F.lit(1)), ks), F.pmod(F.xxhash64("fp", F.lit(2)), kp)
+    upto = lambda k: F.sequence(F.lit(0).cast("long"), k - 1)
+    cell = lambda tile, asks: F.struct(tile.alias("tile"), F.lit(asks).alias("asks"))
+    kind = "array<struct<tile:bigint,asks:boolean>>"
+    cells = F.when(
+        (ks == 1) & (kp == 1), F.array(F.struct(F.lit(0).cast("long").alias("tile"), F.col("probe").alias("asks"))).cast(kind)
+    ).otherwise(F.concat(
+        F.when(F.col("probe"), F.array().cast(kind)).otherwise(F.transform(upto(kp), lambda c: cell(i * kp + c, False)).cast(kind)),
+        F.transform(upto(ks), lambda c: cell(c * kp + j, True)).cast(kind),
+    ))
     return (
-        rows.join(hot, ["seg", "value"], "left").withColumn("cell", F.explode(cells))
+        rows.join(sizes, ["seg", "value"], "left").withColumn("cell", F.explode(cells))
         .select("seg", "value", F.col("cell.asks").alias("probe"), "fp", "rep", F.col("cell.tile").alias("tile"))
     )
 
@@ -190,8 +197,8 @@ def _verify(frame: pd.DataFrame, max_bits: int) -> pd.DataFrame:
 def hamming_links(prints: DataFrame, max_bits: int = 4, segments: int | None = None, run_rows: int = 2048) -> DataFrame:
     """Links (a, b) between ``rep`` values that connect exactly what the links at
     ``max_bits`` or fewer bits connect. ``prints``: distinct ``fp`` and its ``rep``."""
-    segments = segments or segment_count(prints.count(), max_bits)
-    rows = _tiles(_probes(prints, segments, max_bits), run_rows)
+    balls = _balls(segments or segment_count(prints.count(), max_bits), max_bits)
+    rows = _tiles(_probes(prints, balls), balls, run_rows)
 
     def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
