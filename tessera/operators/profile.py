@@ -164,9 +164,11 @@ def corr_matrix(df: DataFrame, cols: Iterable[str], null_policy: str = "zero") -
     if null_policy == "zero":
         x = [F.coalesce(v, F.lit(0.0)) for v in x]
     n, values = _centred(df, x)
-    if null_policy == "zero" or n == 0:
-        moments = _moments(df, values, n)
-        r = [_ratio(moments[i, j], moments[i, i], moments[j, j]) for i, j in pairs]
+    if n == 0:
+        r = [None] * len(pairs)
+    elif null_policy == "zero":
+        found = _correlations(_vectors(df, values))
+        r = [None if found[i, j] != found[i, j] else max(-1.0, min(1.0, float(found[i, j]))) for i, j in pairs]
     else:
         masks = [F.when(v.isNull(), 0.0).otherwise(1.0) for v in x]
         filled = [F.coalesce(v, F.lit(0.0)) for v in values]
@@ -211,21 +213,31 @@ def _centred(df: DataFrame, x: list[Column]) -> tuple[int, list[Column]]:
     return int(row["n"]), out
 
 
-def _moments(df: DataFrame, x: list[Column], n: int):
-    """The means of the products of all pairs of (NULL-free) columns, as a k x k array:
-    Gram sums of vectors, tree-aggregated on the executors."""
-    import numpy as np
+def _vectors(df: DataFrame, x: list[Column]) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation, Summarizer
 
-    if n == 0:
-        return np.zeros((len(x), len(x)))
     names = [f"c{i}" for i in range(len(x))]
     frame = df.select(*[v.alias(c) for c, v in zip(names, x)])
-    vec = VectorAssembler(inputCols=names, outputCol="v", handleInvalid="keep").transform(frame).select("v")
-    got = vec.select(Summarizer.metrics("mean", "variance").summary(F.col("v")).alias("s")).select("s.mean", "s.variance").first()
+    return VectorAssembler(inputCols=names, outputCol="v", handleInvalid="keep").transform(frame).select("v")
+
+
+def _correlations(vectors: DataFrame):
+    """The correlation matrix: Gram sums of the vectors, tree-aggregated on the executors."""
+    from pyspark.ml.stat import Correlation
+
+    return Correlation.corr(vectors, "v").first()[0].toArray()
+
+
+def _moments(df: DataFrame, x: list[Column], n: int):
+    """The sums over rows of the products of all pairs of (NULL-free) columns over n,
+    rebuilt from their correlations, means and variances."""
+    import numpy as np
+    from pyspark.ml.stat import Summarizer
+
+    vectors = _vectors(df, x)
+    got = vectors.select(Summarizer.metrics("mean", "variance").summary(F.col("v")).alias("s")).select("s.mean", "s.variance").first()
     mean, variance = got["mean"].toArray(), got["variance"].toArray() * (n - 1) / n
-    r = np.nan_to_num(Correlation.corr(vec, "v").first()[0].toArray())
+    r = np.nan_to_num(_correlations(vectors))
     np.fill_diagonal(r, 1.0)
     return r * np.sqrt(np.outer(variance, variance)) + np.outer(mean, mean)
 
