@@ -100,7 +100,7 @@ def mixture(
 def realise(docs: DataFrame, mix: DataFrame, total: int, block_tokens: int, seed: int) -> DataFrame:
     """The stream: rows (id, source, tokens, epoch, block, position)."""
     blocks = max(1, math.floor(total / block_tokens + 0.5))
-    per = settle(mix.select(
+    per = settle(mix.where("budget > 0").select(
         F.col("source").alias("s"), F.col("tokens").alias("all"), "budget",
         F.ceil(F.sqrt(F.col("rows").cast("double"))).alias("ranges"),
     ))

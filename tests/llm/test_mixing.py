@@ -99,6 +99,13 @@ def test_impossible_budget(spark):
         mixing.mix_sources(docs, max_repeats=2.0, total=10**6)
 
 
+def test_a_budget_too_small_for_some_sources(spark):
+    docs, rows = corpus(spark)
+    got = stream(mixing.mix_sources(docs, target_entropy=None, max_repeats=None, total=5))
+    assert 0 < len(got) <= 5 and all(r["epoch"] == 0 for r in got)
+    assert "small" not in {r["source"] for r in got}
+
+
 def test_edge_rows(spark):
     docs = docs_frame(spark, EDGE_ROWS)
     got = stream(mixing.mix_sources(docs, target_entropy=None, max_repeats=None))
