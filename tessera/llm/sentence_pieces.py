@@ -47,9 +47,9 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 NEVER = float("-inf")
 # Words (of at most so many characters) whose pieces a worker remembers.
-REMEMBER = 600_000
+REMEMBER = 120_000
 REMEMBER_CHARS = 48
-REMEMBER_PAIRS = 400_000
+REMEMBER_PAIRS = 250_000
 
 
 class Pieces:

@@ -52,7 +52,7 @@ NEIGHBOURS = 25
 BLOCK = 32
 THRESHOLD = 0.3
 # Words, and vectors with their scores, that a task remembers.
-REMEMBER = 100_000
+REMEMBER = 30_000
 
 _FOLD = bytes(
     ord(" ") if chr(i) in string.punctuation or i < 32 or i == 127 else ord(chr(i).lower()) if i < 128 else i
