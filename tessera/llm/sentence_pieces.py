@@ -47,7 +47,7 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 NEVER = float("-inf")
 # Words (of at most so many characters) whose pieces a worker remembers.
-REMEMBER = 120_000
+REMEMBER = 200_000
 REMEMBER_CHARS = 48
 REMEMBER_PAIRS = 250_000
 
