@@ -185,9 +185,19 @@ LABELLED = [
     (0, 1, 12, 0, 8, 0, 60, 0, 1, 1), (0, 1, 6, 0, 1, 1, 45, 0, 1, 1), (0, 1, 90, 0, 12, 0, 80, 0, 0, 1), (0, 1, 2, 0, 80, 0, 30, 0, 0, 1),
     (0, 1, 40, 0.1, 90, 0, 12, 0, 0, 1), (0, 1, 8, 0, 120, 0, 9, 0, 0, 1), (0, 1, 1, 0, 3, 0, 2, 0, 0, 1), (0, 1, 25, 0.5, 60, 0, 40, 0, 0, 1),
     (0, 1, 300, 0, 8, 0, 10, 0, 0, 1), (0, 1, 3, 1, 60, 0, 70, 0, 0, 1), (0, 1, 5, 0, 2, 0, 0, 0, 0, 1), (0, 1, 15, 0, 0, 0, 0, 0, 0, 1),
+    # ... next to links: titles before a linked byline, bylines, linked list items, leads after a menu, last lines before a linked footer
+    (0, 1, 7, 0, 1, 1, 3, 1, 1, 1), (0, 1, 4, 0, 0, 0, 2, 0.5, 1, 1), (0, 1, 3, 0.7, 7, 0, 60, 0, 0, 1), (0, 1, 2, 1, 5, 0, 20, 0, 0, 1),
+    (0, 1, 4, 1, 3, 1, 5, 1, 0, 1), (0, 1, 9, 0.4, 6, 1, 8, 0.5, 0, 1), (0, 1, 1, 1, 1, 1, 1, 1, 0, 1), (0, 1, 12, 0, 4, 1, 6, 1, 0, 1),
+    (0, 1, 14, 0, 1, 1, 70, 0, 0, 1), (0, 1, 24, 0, 2, 1, 55, 0, 0, 1), (0, 1, 6, 0, 1, 1, 0, 0, 0, 1), (0, 1, 20, 0, 3, 0.6, 8, 0, 0, 1),
+    (0, 1, 10, 0, 60, 0, 1, 1, 0, 1), (0, 1, 5, 0, 45, 0, 4, 0.8, 0, 1), (0, 1, 16, 0, 30, 0, 2, 1, 0, 1), (0, 1, 3, 0, 12, 0, 3, 1, 0, 1),
+    (0, 1, 40, 0, 1, 1, 2, 1, 0, 1), (0, 1, 2, 0, 2, 1, 2, 1, 0, 1), (0, 1, 30, 0.9, 50, 0, 40, 0.9, 0, 1), (0, 1, 8, 1, 20, 0, 0, 0, 0, 1),
     # ... and outside it
     (0, 0, 9, 0, 1, 1, 12, 0, 0, 0), (0, 0, 30, 0, 4, 1, 10, 0, 0, 0), (0, 0, 80, 0, 10, 0, 15, 0, 0, 0), (0, 0, 3, 1, 1, 1, 1, 1, 0, 0),
     (0, 0, 14, 0.2, 40, 0, 0, 0, 0, 0), (0, 0, 5, 0, 1, 1, 8, 0, 1, 0), (0, 0, 1, 1, 0, 0, 1, 1, 0, 0), (0, 0, 20, 0, 90, 0, 5, 0, 0, 0),
+    # ... next to links: teasers and notes before a link list, titles of link lists, long texts before or after links
+    (0, 0, 22, 0, 8, 0, 2, 1, 0, 0), (0, 0, 45, 0, 3, 1, 1, 1, 0, 0), (0, 0, 90, 0, 60, 0, 4, 0.8, 0, 0), (0, 0, 18, 0.1, 0, 0, 1, 1, 0, 0),
+    (0, 0, 60, 0, 1, 1, 50, 0, 0, 0), (0, 0, 150, 0, 2, 1, 3, 1, 0, 0), (0, 0, 7, 0, 40, 0, 1, 1, 1, 0), (0, 0, 6, 0, 0, 0, 30, 0, 1, 0),
+    (0, 0, 30, 0, 70, 0, 60, 0, 0, 0), (0, 0, 200, 0, 0, 0, 90, 0, 0, 0), (0, 0, 12, 0, 35, 0, 20, 0, 0, 0), (0, 0, 28, 0.5, 4, 1, 6, 1, 0, 0),
     # containers that are not the article, anywhere
     (1, 0, 1, 1, 1, 1, 1, 1, 0, 0), (1, 0, 10, 0, 1, 1, 12, 0, 0, 0), (1, 0, 45, 0, 60, 0, 30, 0, 0, 0), (1, 0, 120, 0, 90, 0, 10, 0, 0, 0),
     (1, 1, 12, 0, 80, 0, 60, 0, 0, 0), (1, 1, 35, 0.1, 60, 0, 50, 0, 0, 0), (1, 1, 4, 1, 70, 0, 40, 0, 0, 0), (1, 1, 80, 0, 50, 0, 30, 0, 0, 0),
@@ -205,6 +215,7 @@ LABELLED = [
     (0, 0.5, 1, 1, 1, 1, 1, 1, 0, 0), (0, 0.5, 2, 1, 3, 1, 40, 0, 0, 0), (0, 0.5, 5, 0.8, 3, 1, 4, 1, 0, 0), (0, 0.5, 12, 0.9, 60, 0, 10, 0.9, 0, 0),
     (0, 0.5, 30, 0.7, 4, 1, 5, 1, 0, 0), (0, 0.5, 3, 0, 2, 1, 2, 1, 0, 0), (0, 0.5, 4, 0, 1, 1, 3, 0, 0, 0), (0, 0.5, 2, 0, 3, 0, 2, 0, 0, 0),
     (0, 0.5, 8, 0, 3, 1, 2, 1, 0, 0), (0, 0.5, 6, 0.5, 40, 0, 2, 1, 0, 0), (0, 0.5, 9, 0.6, 30, 0, 8, 0.5, 0, 0), (0, 0.5, 60, 0.95, 10, 1, 50, 0.9, 0, 0),
+    (0, 0.5, 8, 0, 3, 1, 5, 1, 0, 0), (0, 0.5, 14, 0, 4, 1, 6, 1, 0, 0), (0, 0.5, 10, 0, 2, 1, 9, 0.9, 0, 0), (0, 0.5, 5, 0, 4, 0.9, 12, 0.8, 0, 0),
     (0, 0.5, 5, 0, 2, 1, 0, 0, 0, 0), (0, 0.5, 7, 0, 4, 1, 0, 0, 0, 0), (0, 0.5, 1, 0, 0, 0, 1, 1, 0, 0), (0, 0.5, 3, 1, 50, 0, 2, 1, 1, 0),
 ]
 

@@ -73,6 +73,35 @@ def test_odd_pages(page, want):
     assert main(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    # a title before a linked byline
+    (f"<article><h1>A short title</h1><p><a href=/who>By Some Body</a></p><p>{LONG}</p></article>", ["A short title", "By Some Body", LONG.strip()]),
+    # a list of linked items
+    (f"<article><p>{LONG}</p><p>See these:</p><ul><li><a href=/a>One thing</a> at last<li><a href=/b>Two</a><li>three <a href=/c>more</a></ul></article>",
+     [LONG.strip(), "See these:", "One thing at last", "Two", "three more"]),
+    # a short lead right after the menu
+    (f"<nav><a href=/a>Home</a></nav><article><p>A lead of a few words only.</p><p>{LONG}</p></article>", ["A lead of a few words only.", LONG.strip()]),
+    # a short last paragraph before a linked footer, and before a list of links without a name
+    (f"<article><p>{LONG}</p><p>That is all.</p></article><footer><a href=/a>Imprint</a></footer>", [LONG.strip(), "That is all."]),
+    (f"<article><p>{LONG}</p><p>That is all.</p></article><ul><li><a href=/a>More</a><li><a href=/b>Pages</a></ul>", [LONG.strip(), "That is all."]),
+    # text outside the article before and after links
+    (f"<p>{LONG}</p><p><a href=/a>Read it</a></p><article><p>Text.</p></article><p><a href=/b>Next</a></p><p>{LONG}</p>", ["Text."]),
+])
+def test_article_blocks_next_to_links(page, want):
+    assert main(f"<html><body>{page}</body></html>").split("\n") == want
+
+
+def test_the_article_element_decides_where_there_is_one():
+    table = np.array(html_extraction.LABELLED, dtype=float)
+    assert (html_extraction.classify(TREE, table[:, :-1]) == table[:, -1].astype(bool)).all()
+    rows = np.array([
+        (0, a, w, x, wb, xb, wa, xa, h)
+        for a in (0, 1) for w in (1, 5, 16, 26, 300) for x in (0, 0.4, 1) for wb in (0, 3, 90) for xb in (0, 0.6, 1)
+        for wa in (0, 3, 90) for xa in (0, 0.3, 1) for h in (0, 1)
+    ])
+    assert (html_extraction.classify(TREE, rows) == rows[:, 1].astype(bool)).all()
+
+
 def test_extract_edges(spark):
     ship(spark)
     rows = [(1, "u", None), (2, None, ""), (2, None, ""), (None, "u", "<article>x</article>"), (3, "u", "<article>" + "w " * 300_000 + "</article>")]
