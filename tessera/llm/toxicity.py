@@ -1,24 +1,26 @@
 """Toxicity scores from the nearest labelled examples.
 
 Terms are words and their first 4, 5 and 6 letters (stems of inflected words).
-Vectors are TF-IDF over a vocabulary of terms that tell the labels apart: from up
-to ``sample_per_class`` labelled texts of each class (smallest hashes of their ids;
-near copies, by a min-hash of their shingles, once) the terms with the largest chi-square statistics above
-``min_chi2`` and an odds ratio of ``min_odds`` or more, either way. Document
-frequencies are counted over all documents.
-
-The examples, up to ``examples_per_class`` of each class, form an inverted index
-whose postings are cut into blocks of consecutive examples with the largest
-weight of each term in each block. A text's cosines are found block by block, in
-order of the upper bounds that these weights give, until no block left can reach
-the ``k``-th best: the ``k`` nearest are exact, ties going to the smaller example
-number. Their labels vote with weight 1 / (0.3 + 1 - cosine), corrected for how
+Vectors are TF-IDF over all terms of the examples, and every term weighs as much as
+it tells the labels apart: by its log odds ratio, shrunk by its squared standard
+error (lo^3 / (lo^2 + SHRINK * var)). So no term is cut, what few texts show counts
+little, and with more texts a term's weight comes up to its own log odds ratio. Odds are
+counted in up to ``sample_per_class`` labelled texts of each class (smallest hashes of
+their ids; near copies, by a min-hash of their shingles, once), document
+frequencies over all documents.
+
+The examples, up to ``examples_per_class`` of each class, form an inverted index. A
+text's terms are taken by the largest part of a cosine that each can give, until the
+terms left cannot lift more than a few examples to the ``k``-th best; those few are
+computed from their vectors. So the ``k`` nearest are exact, ties going to the smaller
+example number. Their labels vote with weight 1 / (0.3 + 1 - cosine), corrected for how
 each class was sampled; leave-one-out votes of the examples themselves, made
 monotone (isotonic regression), turn votes into calibrated scores. A text
-without any vocabulary term gets the positive rate of such examples.
+without any vocabulary term gets the positive rate of such examples, or, if all
+have terms, the score of a text that no toxic example votes for.
 
-Sample, vocabulary and index are bounded by parameters, so they are what goes
-through the driver and is broadcast; every text is read whole.
+Sample and examples are bounded by parameters; their terms and vectors are what goes
+through the driver and is broadcast. Every text is read whole.
 
 Defined results: NULL or empty texts have no term; NULL labels or ids teach
 nothing; copies with different labels are one example with their mean; with
@@ -33,6 +35,7 @@ import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -45,13 +48,12 @@ from tessera.llm.common import read_table, settle
 
 SAMPLE_PER_CLASS = 6000
 EXAMPLES_PER_CLASS = 2000
-MAX_TERMS = 1000
-MIN_CHI2 = 40.0
-MIN_ODDS = 5.0
+SHRINK = 10.0
 NEIGHBOURS = 25
 BLOCK = 32
+STEP = 20_000
 THRESHOLD = 0.3
-# Words, and vectors with their scores, that a task remembers.
+# Words, and texts with their scores, that a task remembers.
 REMEMBER = 30_000
 
 _FOLD = bytes(
@@ -97,59 +99,106 @@ class Terms(dict):
         return found
 
 
+def _runs(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges one after another, and the range of each."""
+    size = last - first
+    of = np.repeat(np.arange(len(size)), size)
+    return np.arange(len(of)) + np.repeat(first - (np.cumsum(size) - size), size), of
+
+
 @dataclass
 class Index:
-    """Block-max inverted index of the examples (numbered so that like ones are near)."""
+    """Inverted index of the examples (numbered so that like ones are near) and their vectors."""
 
     terms: Terms
-    idf: np.ndarray
+    idf: np.ndarray  # of each term, times the term's weight
     ids: np.ndarray  # document id of each example
     labels: np.ndarray
     weights: np.ndarray  # vote weight that undoes the sampling
-    start: np.ndarray  # [term, block]: where the block's postings of the term start
-    most: np.ndarray  # [term, block]: the largest weight among them
+    offsets: np.ndarray  # [term]: where the term's postings start
+    top: np.ndarray  # [term]: the largest weight among them
     examples: np.ndarray  # postings: example
     values: np.ndarray  # postings: weight
+    vector_offsets: np.ndarray  # [example]: where the example's vector starts
+    vector_terms: np.ndarray
+    vector_values: np.ndarray
     cuts: np.ndarray  # calibration: votes ...
     rates: np.ndarray  # ... and the rates there
     empty_rate: float
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"terms": self.terms.vocabulary}
+        kept = {k: v for k, v in self.__dict__.items() if k not in ("start", "most", "_query")}
+        return kept | {"terms": self.terms.vocabulary}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__ = state | {"terms": Terms(state["terms"])}
 
+    def _cells(self) -> tuple[np.ndarray, int]:
+        blocks = -(-len(self.ids) // BLOCK)
+        term = np.repeat(np.arange(len(self.idf)), np.diff(self.offsets))
+        return term * blocks + self.examples // BLOCK, blocks
+
+    @cached_property
+    def start(self) -> np.ndarray:
+        """[term, block]: where the term's postings of a block of examples start."""
+        cell, blocks = self._cells()
+        return np.searchsorted(cell, np.arange(len(self.idf))[:, None] * blocks + np.arange(blocks + 1))
+
+    @cached_property
+    def most(self) -> np.ndarray:
+        """[term, block]: the largest weight among them."""
+        cell, blocks = self._cells()
+        out = np.zeros(len(self.idf) * blocks)
+        np.maximum.at(out, cell, self.values)
+        return out.reshape(len(self.idf), blocks)
+
+    @cached_property
+    def _query(self) -> np.ndarray:
+        return np.zeros(len(self.idf))  # all 0 between uses
+
     def vector(self, text: bytes | None) -> tuple[tuple[int, ...], np.ndarray] | None:
-        """Term numbers and normalised TF-IDF weights; None without a term."""
+        """Term numbers and normalised weights; None without a term."""
         known = self.terms
         counts = Counter([t for w in words_of(text) for t in known[w]])
         if not counts:
             return None
         at = tuple(sorted(counts))
-        w = np.array([1 + math.log(counts[t]) for t in at]) * self.idf[list(at)]
-        return at, w / math.sqrt(float(w @ w))
+        w = (1 + np.log(np.array([counts[t] for t in at], dtype=float))) * self.idf[list(at)]
+        size = math.sqrt(float(w @ w))
+        return (at, w / size) if size else None
 
     def nearest(self, at: tuple[int, ...], w: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine above 0 (without ``but``), best first."""
-        rows = list(at)
-        bound = w @ self.most[rows]
-        best_c, best_e = np.empty(0), np.empty(0, dtype=np.int64)
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or len(best_c) == k and bound[block] < best_c[-1] - 1e-9:
+        rows = np.array(at, dtype=np.int64)
+        part = w * self.top[rows]
+        order = np.argsort(-part, kind="stable")
+        order = order[part[order] > 0]
+        n, ordered = len(self.ids), rows[order]
+        left = np.r_[np.cumsum(part[order][::-1])[::-1], 0]
+        read = np.cumsum(self.offsets[ordered + 1] - self.offsets[ordered])
+        scores, near, done = np.zeros(n), np.empty(0, dtype=np.int64), 0
+        while done < len(order):
+            # As many terms as have STEP postings, one at least.
+            to = max(done + 1, int(np.searchsorted(read, (read[done - 1] if done else 0) + STEP, "right")))
+            some = ordered[done:to]
+            post, of = _runs(self.offsets[some], self.offsets[some + 1])
+            scores += np.bincount(self.examples[post], w[order[done:to]][of] * self.values[post], n)
+            done = to
+            if but >= 0:
+                scores[but] = 0
+            # What the terms left can give, to all and to the k-th best.
+            kth = np.partition(scores, n - k)[n - k] if n > k else 0.0
+            near = np.flatnonzero((scores + left[done] >= kth - 1e-9) & ((scores > 0) | (left[done] > 0)))
+            if len(near) <= 4 * k:
                 break
-            scores = np.zeros(BLOCK)
-            first = block * BLOCK
-            for t, x in zip(rows, w):
-                a, b = self.start[t, block], self.start[t, block + 1]
-                if a < b:
-                    scores[self.examples[a:b] - first] += x * self.values[a:b]
-            hit = np.flatnonzero(scores > 0)
-            hit = hit[hit + first != but]
-            c, e = np.r_[best_c, np.round(scores[hit], 12)], np.r_[best_e, hit + first]
-            order = np.lexsort((e, -c))[:k]
-            best_c, best_e = c[order], e[order]
-        return best_c, best_e
+        near = near[near != but]
+        self._query[rows] = w
+        at_, of = _runs(self.vector_offsets[near], self.vector_offsets[near + 1])
+        exact = np.round(np.bincount(of, self._query[self.vector_terms[at_]] * self.vector_values[at_], len(near)), 12)
+        self._query[rows] = 0
+        best = np.lexsort((near, -exact))[:k]
+        best = best[exact[best] > 0]
+        return exact[best], near[best]
 
     def vote(self, cosines: np.ndarray, found: np.ndarray) -> float:
         v = self.weights[found] / (1.3 - cosines)
@@ -193,30 +242,40 @@ def _sample(labels: DataFrame, id_col: str, label_col: str, per_class: int) -> t
     return settle(picked[0].unionByName(picked[1])), totals
 
 
-def _vocabulary(texts: DataFrame, max_terms: int, min_chi2: float, min_odds: float) -> list[bytes]:
-    """The terms that tell the classes apart; ``texts``: (id, y, t)."""
+def _vocabulary(
+    texts: DataFrame, examples: set[int], max_terms: int | None, min_chi2: float, min_odds: float
+) -> tuple[list[bytes], np.ndarray]:
+    """The terms of the ``examples`` and their weights, counted in ``texts``: (id, y, t)."""
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for y, t in zip(frame["y"], frame["t"]):
+            for i, y, t in zip(frame["id"], frame["y"], frame["t"]):
                 found = list({x for w in set(words_of(bytes(t))) for x in terms(w)})
-                yield pd.DataFrame({"term": found, "y": np.full(len(found), y, dtype=np.float64)})
+                yield pd.DataFrame({"term": found, "y": np.full(len(found), y, dtype=np.float64), "e": i in examples})
 
     n, p = texts.agg(F.count(F.lit(1)), F.sum("y")).first()
     if not n or not p or p == n:
-        return []
+        return [], np.zeros(0)
     a, df = F.col("a"), F.col("df")
     b, c = df - a, F.lit(float(p)) - a
     d = F.lit(float(n - p)) - b
     odds = (a + 0.5) * (d + 0.5) / ((b + 0.5) * (c + 0.5))
     chi2 = F.lit(float(n)) * F.pow(a * d - b * c, F.lit(2)) / (df * (F.lit(float(n)) - df) * F.lit(float(p)) * F.lit(float(n - p)))
-    counted = texts.mapInPandas(each, "term binary, y double").groupBy("term").agg(F.sum("y").alias("a"), F.count(F.lit(1)).cast("double").alias("df"))
-    best = (
-        counted.where(df < n).withColumn("chi2", F.round(chi2, 9)).where(F.col("chi2") >= min_chi2)
-        .where((odds >= min_odds) | (odds <= 1 / min_odds))
-        .orderBy(F.desc("chi2"), "term").limit(max_terms).select("term").collect()
-    )
-    return sorted(bytes(r["term"]) for r in best)
+    counted = texts.mapInPandas(each, "term binary, y double, e boolean").groupBy("term").agg(
+        F.sum("y").alias("a"), F.count(F.lit(1)).cast("double").alias("df"), F.max("e").alias("e")
+    ).where(F.col("e") & (df < n))
+    if max_terms is not None or min_chi2 > 0 or min_odds > 1:  # a caller's smaller vocabulary
+        counted = counted.withColumn("chi2", F.round(chi2, 9)).where(F.col("chi2") >= min_chi2).where((odds >= min_odds) | (odds <= 1 / min_odds))
+        counted = counted if max_terms is None else counted.orderBy(F.desc("chi2"), "term").limit(max_terms)
+    got = counted.select("term", "a", "df").toArrow()
+    names = got["term"].to_pylist()
+    order = sorted(range(len(names)), key=names.__getitem__)
+    a, df = (got[x].to_numpy()[order] for x in ("a", "df"))
+    b, c = df - a, p - a
+    d = n - p - b
+    lo = np.log((a + 0.5) * (d + 0.5) / ((b + 0.5) * (c + 0.5)))
+    var = 1 / (a + 0.5) + 1 / (b + 0.5) + 1 / (c + 0.5) + 1 / (d + 0.5)
+    return [names[i] for i in order], np.abs(lo) * lo**2 / (lo**2 + SHRINK * var)
 
 
 def _document_frequencies(docs: DataFrame, text_col: str, vocabulary: dict[bytes, int]) -> tuple[int, np.ndarray]:
@@ -227,28 +286,25 @@ def _document_frequencies(docs: DataFrame, text_col: str, vocabulary: dict[bytes
         for frame in frames:
             n += len(frame)
             for t in frame["t"]:
-                for i in {i for w in words_of(None if t is None else bytes(t)) for i in known[w]}:
-                    df[i] += 1
+                df[list({i for w in words_of(None if t is None else bytes(t)) for i in known[w]})] += 1
         at = np.flatnonzero(df)
         yield pd.DataFrame({"term": np.r_[-1, at], "n": np.r_[n, df[at]]})
 
     total = np.zeros(len(vocabulary), dtype=np.int64)
     rows = docs.select(F.col(text_col).cast("binary").alias("t")).mapInPandas(count, "term long, n long")
-    n = 0
-    for r in rows.groupBy("term").agg(F.sum("n").alias("n")).collect():
-        if r["term"] < 0:
-            n = r["n"]
-        else:
-            total[r["term"]] = r["n"]
-    return n, total
+    got = rows.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    at, n = got["term"].to_numpy(), got["n"].to_numpy()
+    total[at[at >= 0]] = n[at >= 0]
+    return int(n[at < 0].sum()), total
 
 
 def learn(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    sample_per_class: int = SAMPLE_PER_CLASS, examples_per_class: int = EXAMPLES_PER_CLASS, max_terms: int = MAX_TERMS,
-    min_chi2: float = MIN_CHI2, min_odds: float = MIN_ODDS, k: int = NEIGHBOURS,
+    sample_per_class: int = SAMPLE_PER_CLASS, examples_per_class: int = EXAMPLES_PER_CLASS, max_terms: int | None = None,
+    min_chi2: float = 0.0, min_odds: float = 1.0, k: int = NEIGHBOURS,
 ) -> Index:
-    """Fit the index on training rows of ``labels`` (see ``training_rows``)."""
+    """Fit the index on training rows of ``labels`` (see ``training_rows``). All terms of
+    the examples count unless ``max_terms``, ``min_chi2`` or ``min_odds`` are given."""
     sample, totals = _sample(labels, id_col, label_col, sample_per_class)
     rate = totals.get(1, 0) / max(1, sum(totals.values()))
     chosen = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t")).join(
@@ -263,61 +319,64 @@ def learn(
     texts = settle(
         chosen.groupBy(alike("t").alias("h")).agg(F.min("id").alias("id"), F.avg("y").alias("y"), F.min_by("t", "id").alias("t"))
     )
-    names = _vocabulary(texts, max_terms, min_chi2, min_odds)
+    order = [F.xxhash64("id"), F.col("id")]
+    classes = [(F.col("y") > 0.5), (F.col("y") <= 0.5)]
+    picked = [texts.where(c).orderBy(*order).limit(examples_per_class).select("id") for c in classes]
+    chosen_ids = [{r["id"] for r in p.collect()} for p in picked]
+    names, telling = _vocabulary(texts, chosen_ids[0] | chosen_ids[1], max_terms, min_chi2, min_odds)
     vocabulary = {t: i for i, t in enumerate(names)}
     n, df = _document_frequencies(docs, text_col, vocabulary) if names else (0, np.zeros(0))
-    idf = np.log((1 + n) / (1 + df)) + 1
-    index = Index(Terms(vocabulary), idf, *[np.zeros(0)] * 3, *[np.zeros((0, 1))] * 2, *[np.zeros(0)] * 4, rate)
+    idf = (np.log((1 + n) / (1 + df)) + 1) * telling
+    index = Index(Terms(vocabulary), idf, *[np.zeros(0)] * 3, np.zeros(1, dtype=np.int64), *[np.zeros(0)] * 3,
+                  np.zeros(1, dtype=np.int64), *[np.zeros(0)] * 4, rate)
+    ids = chosen_ids[0] | chosen_ids[1]
 
     def vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [index.vector(bytes(t)) for t in frame["t"]]
+            frame = frame[[i in ids for i in frame["id"]]]
+            found = [index.vector(bytes(t)) or ((), np.zeros(0)) for t in frame["t"]]
             yield pd.DataFrame({
-                "id": frame["id"], "y": frame["y"],
-                "at": [list(v[0]) if v else [] for v in found], "w": [v[1].tolist() if v else [] for v in found],
+                "id": frame["id"].to_numpy(), "y": frame["y"].to_numpy(),
+                "at": [np.array(v[0], dtype=np.int32).tobytes() for v in found], "w": [v[1].astype(np.float32).tobytes() for v in found],
             })
 
-    order = [F.xxhash64("id"), F.col("id")]
-    classes = [(F.col("y") > 0.5), (F.col("y") <= 0.5)]
-    rows = []
-    for is_class in classes:
-        got = (
-            texts.where(is_class).orderBy(*order).limit(examples_per_class).select("id", "y", "t")
-            .mapInPandas(vectors, "id long, y double, at array<int>, w array<double>").collect()
-        )
-        # What one example of this class stands for among the labelled rows.
-        stands = totals.get(int(is_class is classes[0]), 0) / max(1, len(got))
-        rows += [(r["id"], r["y"], r["at"], np.array(r["w"]), stands) for r in got]
+    # What one example of each class stands for among the labelled rows.
+    stands = [totals.get(y, 0) / max(1, len(chosen_ids[1 - y])) for y in (0, 1)]
+    rows = [
+        (r["id"], r["y"], np.frombuffer(r["at"], dtype=np.int32), np.frombuffer(r["w"], dtype=np.float32), stands[int(r["y"] > 0.5)])
+        for r in texts.select("id", "y", "t").mapInPandas(vectors, "id long, y double, at binary, w binary").collect()
+    ]
     if not rows:
         return index
     # Like examples near each other: by their heaviest term, then the next ones.
-    rows.sort(key=lambda r: ([r[2][i] for i in np.argsort(-r[3], kind="stable")[:4]], r[0]))
+    rows.sort(key=lambda r: (r[2][np.argsort(-r[3], kind="stable")[:4]].tolist(), r[0]))
     index.ids = np.array([r[0] for r in rows], dtype=np.int64)
     index.labels = np.array([r[1] for r in rows])
     index.weights = np.array([r[4] for r in rows])
-    blocks = -(-len(rows) // BLOCK)
-    posted = sorted((t, e, w) for e, r in enumerate(rows) for t, w in zip(r[2], r[3]))
-    term = np.array([p[0] for p in posted], dtype=np.int64)
-    index.examples = np.array([p[1] for p in posted], dtype=np.int64)
-    index.values = np.array([p[2] for p in posted])
-    cell = term * blocks + index.examples // BLOCK
-    grid = np.arange(len(names))[:, None] * blocks + np.arange(blocks + 1)
-    index.start = np.searchsorted(cell, grid)
-    index.most = np.zeros(len(names) * blocks)
-    np.maximum.at(index.most, cell, index.values)
-    index.most = index.most.reshape(len(names), blocks)
+    sizes = np.array([len(r[2]) for r in rows])
+    index.vector_offsets = np.r_[0, np.cumsum(sizes)]
+    index.vector_terms = np.concatenate([r[2] for r in rows])
+    index.vector_values = np.concatenate([r[3] for r in rows])
+    by_term = np.argsort(index.vector_terms, kind="stable")
+    index.examples = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)[by_term]
+    index.values = index.vector_values[by_term]
+    index.offsets = np.searchsorted(index.vector_terms[by_term], np.arange(len(names) + 1))
+    index.top = np.zeros(len(names))
+    np.maximum.at(index.top, index.vector_terms, index.vector_values)
     votes, told = [], []
     for e, r in enumerate(rows):
-        if r[2]:
-            cosines, found = index.nearest(tuple(r[2]), r[3], k, but=e)
+        if len(r[2]):
+            cosines, found = index.nearest(tuple(r[2].tolist()), r[3].astype(float), k, but=e)
             if len(found):
                 votes.append(index.vote(cosines, found))
                 told.append(e)
-    none = np.array([not r[2] for r in rows])
+    none = sizes == 0
     if none.any():
         index.empty_rate = float((index.labels * index.weights)[none].sum() / index.weights[none].sum())
     if told:
         index.cuts, index.rates = isotonic(np.array(votes), index.labels[told], index.weights[told])
+        if not none.any():
+            index.empty_rate = index.calibrated(0.0)  # no example votes for it
     return index
 
 
@@ -336,20 +395,16 @@ def score(
         for texts in batches:
             rows = []
             for t in texts:
-                v = None if t is None else index.vector(bytes(t))
-                if v is None or not len(index.ids):
-                    rows.append(nothing)
-                    continue
-                key = (v[0], v[1].tobytes())
+                key = b"" if t is None else xxhash.xxh3_128_digest(bytes(t))
                 if key not in known:
                     if len(known) >= REMEMBER:
                         known.clear()
-                    cosines, found = index.nearest(*v, k)
-                    top = found[:evidence]
-                    known[key] = (
-                        (index.calibrated(index.vote(cosines, found)), index.ids[top].tolist(), cosines[:evidence].tolist(), index.labels[top].tolist())
-                        if len(found) else nothing
-                    )
+                    known[key] = nothing
+                    v = None if t is None else index.vector(bytes(t))
+                    cosines, found = index.nearest(*v, k) if v and len(index.ids) else ([], [])
+                    if len(found):
+                        top = found[:evidence]
+                        known[key] = (index.calibrated(index.vote(cosines, found)), index.ids[top].tolist(), cosines[:evidence].tolist(), index.labels[top].tolist())
                 rows.append(known[key])
             yield pd.DataFrame(rows, columns=["score", "ids", "cosines", "labels"])
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import toxicity
 from tessera.llm.common import read_table, ship
-from tests.conftest import SF_MID
+from tests.conftest import SF_MID, SF_SMALL
 from tests.llm.common import DOCS, EDGE_ROWS, docs_frame
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -109,3 +109,39 @@ def test_without_labels_or_documents(spark):
     assert all(0 <= r["toxicity"]["score"] <= 1 for r in toxicity.score(docs_frame(spark, EDGE_ROWS), one).collect())
     empty = spark.createDataFrame([], DOCS)
     assert toxicity.score(empty, toxicity.learn(empty, spark.createDataFrame([], LABELS))).count() == 0
+
+
+@pytest.mark.parametrize("folder,least", [(SF_SMALL, 0.5), (SF_MID, 0.6)])
+def test_small_tables_find_toxic_texts(spark, folder, least):
+    """With the production parameters every example has terms, and held-out toxic texts are found."""
+    ship(spark)
+    docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    index = toxicity.learn(docs, labels)
+    assert len(index.idf) > 1000 and (np.diff(index.vector_offsets) > 0).all()
+    held = toxicity.op4_toxicity(spark, folder).where("held_out").join(labels.where("toxic = 1"), "doc_id")
+    assert held.agg(F.avg("predicted")).first()[0] >= least
+
+
+def test_rare_toxic_terms_count(spark):
+    """A term of three toxic texts among hundreds of labelled ones decides."""
+    ship(spark)
+    clean = [(i, f"plain talk number {i} about w{i % 7} and w{i % 5}", "s") for i in range(600)]
+    toxic = [(1000 + i, f"plain talk number {i} about {'zorgle' if i < 3 else 'vilexq'} and w{i % 5}", "s") for i in range(60)]
+    docs = docs_frame(spark, clean + toxic)
+    index = toxicity.learn(docs, spark.createDataFrame([(i, 1, int(i >= 1000)) for i, _, _ in clean + toxic], LABELS))
+    r = toxicity.score(docs_frame(spark, [(1, "you zorgle", "s")]), index).first()["toxicity"]
+    assert r["score"] > 0.5 and sorted(r["ids"]) == [1000, 1001, 1002]
+
+
+def test_neighbours_of_all_terms_are_exact(spark):
+    ship(spark)
+    docs = read_table(spark, SF_SMALL, "documents")
+    index = toxicity.learn(docs, read_table(spark, SF_SMALL, "labels"))
+    dense = vectors(index)
+    for text in [r["text"] for r in docs.limit(60).collect()]:
+        at, w = index.vector(text.encode())
+        cosines = np.round(dense[:, list(at)] @ w, 12)
+        want = [e for e in np.lexsort((np.arange(len(cosines)), -cosines))[:5] if cosines[e] > 0]
+        got_c, got_e = index.nearest(at, w, 5)
+        assert np.allclose(got_c, cosines[want], atol=1e-9)
+        assert set(got_e[got_c > got_c[-1] + 1e-9]) == {e for e in want if cosines[e] > got_c[-1] + 1e-9}
