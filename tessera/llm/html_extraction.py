@@ -50,6 +50,10 @@ OTHER_WORDS = re.compile(
     r"|recommend\w*|newsletter|subscribe|signup|widget|footer|header|masthead|copyright|legal|login|search|pagination|pager|tags"
     r"|contentinfo|complementary)(?![a-z0-9])"
 )
+# Names that say how a page is laid out or filed, not what the container is.
+MODIFIERS = re.compile(r"(?<!\S)(?:(?:has|no|with|without|not|is|hide|show|tag|category)-\S+|\S+-(?:open|closed|enabled|disabled|visible|hidden))(?!\S)")
+# Article elements that are not the article are named so by the first part of a name.
+OTHER_ARTICLE = re.compile(r"(?<!\S)(?:comments?|repl(?:y|ies)|related|recommend\w*|teasers?|promo\w*|ad|ads|advert\w*|sponsor\w*)(?![a-z0-9])")
 ARTICLE_WORDS = re.compile(r"(?<![a-z0-9])(?:article|main|post|entry|story|content)(?![a-z0-9])")
 
 _TOKEN = re.compile(
@@ -70,6 +74,7 @@ class Block:
     other: bool
     article: bool
     heading: bool
+    named: int = 0
 
 
 @dataclass
@@ -77,6 +82,16 @@ class _Open:
     tag: str
     other: bool
     article: bool
+    named: int = 0  # the innermost container whose names say it is not the article, 0 for none
+
+
+@dataclass
+class _Named:
+    """Such a container: the one around it, its unlinked words, and whether it has the page's title or article."""
+
+    around: int
+    words: int = 0
+    main: bool = False
 
 
 @dataclass
@@ -89,6 +104,7 @@ class _Reader:
     linked: int = 0
     in_link: int = 0
     heading: bool = False
+    named: list[_Named] = field(default_factory=lambda: [_Named(0)])
 
     def text(self, raw: str) -> None:
         if raw:
@@ -102,7 +118,7 @@ class _Reader:
             if text:
                 top = self.open[-1]
                 words = len(text.split(" "))
-                self.blocks.append(Block(text, words, min(words, self.linked), top.other, top.article, self.heading))
+                self.blocks.append(Block(text, words, min(words, self.linked), top.other, top.article, self.heading, top.named))
             self.parts.clear()
         self.linked = 0
 
@@ -123,13 +139,22 @@ class _Reader:
             self.open.pop()
             top = self.open[-1]
         names = " ".join(x for m in _NAMES.findall(attrs) for x in m if x).lower() if attrs else ""
+        names = MODIFIERS.sub(" ", names) if "-" in names else names
         named = names and tag in ("div", "section") and ARTICLE_WORDS.search(names)
-        hits = set(OTHER_WORDS.findall(names)) if names and tag not in ("body", "html") else set()
+        if tag in ("article", "main"):
+            own = tag == "main" or ARTICLE_WORDS.search(names)
+            hits = set() if own else set(OTHER_ARTICLE.findall(names))
+        else:
+            hits = set(OTHER_WORDS.findall(names)) if names and tag not in ("body", "html") else set()
         if named or top.article:
             hits.discard("header")  # the article's own
         article = tag in ("article", "main") or bool(named and not hits)
-        other = bool(hits) or tag in OTHER_TAGS or tag == "header" and not top.article
-        self.open.append(_Open(tag, other or top.other, article or top.article))
+        other = tag in OTHER_TAGS or tag == "header" and not top.article
+        if tag == "h1" or article and not hits:
+            self.named[top.named].main = True
+        if hits:
+            self.named.append(_Named(top.named))
+        self.open.append(_Open(tag, other or top.other, article or top.article, len(self.named) - 1 if hits else top.named))
         self.heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
         if len(self.open) > 500:  # nested beyond sense: fold the oldest levels
             del self.open[1:250]
@@ -148,6 +173,28 @@ class _Reader:
                 break
 
 
+def _settle_names(found: list[Block], named: list[_Named]) -> None:
+    """Blocks in containers named as other are other, but not by a container around
+    most of the page's unlinked words that has its title or article, or all but
+    what stands in other containers: that is the page's frame."""
+    total = outside = 0
+    for b in found:
+        if not b.other:
+            named[b.named].words += b.words - b.linked
+            total += b.words - b.linked
+            outside += 0 if b.named else b.words - b.linked
+    for n in reversed(named[1:]):  # inner containers come after those around them
+        around = named[n.around]
+        around.words += n.words
+        around.main |= n.main
+    other = [False]
+    for n in named[1:]:
+        frame = 2 * n.words > total and (n.main or not outside)
+        other.append(other[n.around] or not frame)
+    for b in found:
+        b.other = b.other or other[b.named]
+
+
 def blocks(page: str | None) -> list[Block]:
     """The flat text blocks of a page, in order."""
     reader = _Reader()
@@ -160,6 +207,8 @@ def blocks(page: str | None) -> list[Block]:
             (reader.end if m["end"] else lambda t: reader.start(t, m["attrs"]))(m["tag"].lower())
     reader.text(page[at:])
     reader.flush()
+    if len(reader.named) > 1:
+        _settle_names(reader.blocks, reader.named)
     return reader.blocks
 
 
@@ -172,7 +221,7 @@ def features(found: list[Block]) -> np.ndarray:
         return np.zeros((0, len(FEATURES)))
     words = np.array([b.words for b in found], dtype=float)
     links = np.array([b.linked / b.words for b in found])
-    has = any(b.article for b in found)
+    has = any(b.article and not b.other for b in found)
     return np.column_stack([
         [b.other for b in found], [float(b.article) if has else 0.5 for b in found], words, links,
         np.r_[0, words[:-1]], np.r_[0, links[:-1]], np.r_[words[1:], 0], np.r_[links[1:], 0], [b.heading for b in found],

@@ -91,6 +91,31 @@ def test_article_blocks_next_to_links(page, want):
     assert main(f"<html><body>{page}</body></html>").split("\n") == want
 
 
+@pytest.mark.parametrize("names", [
+    "layout has-sidebar", "wrapper no-sidebar", "post comments-open", "post-123 post type-post hentry category-news tag-search",
+    "content-area with-side-menu", "sidebar-right layout",
+])
+@pytest.mark.parametrize("tag", ["div", "article", "main"])
+def test_names_of_the_whole_page_lose_nothing(tag, names):
+    body = f"<h1>A title of some words</h1><p>{LONG}</p><p>{LONG}</p>"
+    noise = f"<div class=comments><p>{'I do not agree. ' * 9}</p></div>"
+    want = ["A title of some words", LONG.strip(), LONG.strip()]
+    assert main(f"<html><body><{tag} class='{names}'>{body}{noise}</{tag}></body></html>").split("\n") == want
+    if tag == "div":
+        assert main(f"<html><body><div class='{names}'><article>{body}</article>{noise}</div></body></html>").split("\n") == want
+
+
+@pytest.mark.parametrize("name", ["comment", "comment-body depth-2", "teaser"])
+def test_articles_that_are_comments_do_not_count(name):
+    page = f"<div><h1>A title of some words</h1><p>{LONG}</p><p>{LONG}</p></div><article class='{name}'><p>{'I agree with it. ' * 12}</p></article>"
+    assert main(f"<html><body>{page}</body></html>").split("\n") == ["A title of some words", LONG.strip(), LONG.strip()]
+
+
+def test_long_comments_stay_out():
+    page = f"<div><p>{LONG}</p></div><div class=comments>" + f"<p>{LONG}</p>" * 20 + "</div>"
+    assert main(f"<html><body>{page}</body></html>") == LONG.strip()
+
+
 def test_the_article_element_decides_where_there_is_one():
     table = np.array(html_extraction.LABELLED, dtype=float)
     assert (html_extraction.classify(TREE, table[:, :-1]) == table[:, -1].astype(bool)).all()
