@@ -120,10 +120,15 @@ def _body(fields: Fields, body: bytes) -> bytes:
         body = bytes(out)
     coding = (_get(fields, "Content-Encoding") or "").lower()
     if coding in ("gzip", "x-gzip", "deflate"):
-        try:
-            return zlib.decompressobj(47 if "gzip" in coding else 15).decompress(body)
-        except zlib.error:
-            return body
+        out, left = b"", body
+        while left:  # a gzip payload may have several members
+            member = zlib.decompressobj(47 if "gzip" in coding else 15)
+            try:
+                out += member.decompress(left)
+            except zlib.error:
+                return out or body
+            left = member.unused_data if "gzip" in coding else b""
+        return out
     return body
 
 
@@ -137,6 +142,15 @@ def http_message(block: bytes) -> tuple[str | None, str | None, Fields, bytes]:
     return (first[1] if len(first) > 1 else None), (first[2] if len(first) > 2 else ""), _fields(lines[1:]), body
 
 
+def _values(fields: Fields) -> dict[str, str | list[str]]:
+    """Fields by name as first written; the values of a repeated name (in any case) are a list."""
+    out: dict[str, list[str]] = {}
+    names: dict[str, str] = {}
+    for name, value in fields:
+        out.setdefault(names.setdefault(name.lower(), name), []).append(value)
+    return {n: v if len(v) > 1 else v[0] for n, v in out.items()}
+
+
 def decode_text(content_type: str, body: bytes) -> str:
     """Text in the charset of the header, else of the page, else UTF-8."""
     named = _CHARSET.search(content_type) or _CHARSET.search(body[:2048].decode("latin-1"))
@@ -183,9 +197,9 @@ def derivatives(record_id: str, source: Fields, block: bytes) -> list[tuple]:
         }
     meta = {
         "Envelope": {
-            "WARC-Header-Metadata": dict(source),
+            "WARC-Header-Metadata": _values(source),
             "Payload-Metadata": {
-                "HTTP-Response-Metadata": {"Status": status, "Reason": reason, "Headers": dict(http), "HTML-Metadata": page},
+                "HTTP-Response-Metadata": {"Status": status, "Reason": reason, "Headers": _values(http), "HTML-Metadata": page},
                 "Entity-Length": len(raw), "Entity-Digest": payload,
             },
             "Block-Digest": digest(block),

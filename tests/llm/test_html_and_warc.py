@@ -184,6 +184,21 @@ def test_codings_and_charsets():
     assert text_of(response(b"x", "Content-Type: text/html; charset=no-such")) == "x"
 
 
+def test_repeated_headers_are_all_kept():
+    source = [("WARC-Type", "response"), ("WARC-Concurrent-To", "<urn:a>"), ("WARC-Concurrent-To", "<urn:b>")]
+    block = response(b"<p>t</p>", "Content-Type: text/html", "Set-Cookie: a=1", "set-cookie: b=2", "Link: </x>")
+    meta = json.loads(warc.derivatives("<urn:x>", source, block)[0][3])["Envelope"]
+    assert meta["WARC-Header-Metadata"] == {"WARC-Type": "response", "WARC-Concurrent-To": ["<urn:a>", "<urn:b>"]}
+    headers = meta["Payload-Metadata"]["HTTP-Response-Metadata"]["Headers"]
+    assert headers == {"Content-Type": "text/html", "Set-Cookie": ["a=1", "b=2"], "Link": "</x>"}
+
+
+def test_all_gzip_members_are_read():
+    kind = ("Content-Type: text/html", "Content-Encoding: gzip")
+    assert text_of(response(gzip.compress(b"<p>one ") + gzip.compress(b"two</p>"), *kind)) == "one two"
+    assert text_of(response(gzip.compress(b"<p>one</p>") + b"\0\0", *kind)) == "one"
+
+
 def test_members_round_trip():
     records = warc.derivatives("<urn:x>", [("WARC-Target-URI", "http://a/"), ("X", "y")], response(b"<p>t</p>", "Content-Type: text/html"))
     data = b"".join(warc.member(h, b) for _, _, h, b in records)
