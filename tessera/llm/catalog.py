@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import html_extraction, license_scan, mixing, quality_rules, sentence_pieces, simhash, token_counts, toxicity, vector_dedup, warc
+from tessera.llm import html_extraction, license_scan, merkle, mixing, quality_rules, sentence_pieces, simhash, token_counts, toxicity, vector_dedup, warc
 from tessera.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,7 @@ QUERIES: dict[str, Query] = {
         sentence_pieces.op8_sentence_pieces,
         html_extraction.op9_html_extraction,
         vector_dedup.op10_embedding_near_dedup,
+        merkle.op12_merkle_manifest,
     )
 }
 
@@ -42,4 +43,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_license_scan": license_scan.SQL,
     "op2_mix_sources": mixing.SQL,
     "op5_quality_rules": quality_rules.SQL,
+    "op12_merkle_manifest": merkle.SQL,
 }
