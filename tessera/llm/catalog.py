@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import html_extraction, license_scan, merkle, mixing, quality_rules, sentence_pieces, simhash, token_counts, toxicity, vector_dedup, warc
+from tessera.llm import html_extraction, license_scan, merkle, mixing, quality_rules, sentence_pieces, simhash, token_alignment, token_counts, toxicity, url_filter, vector_dedup, warc
 from tessera.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,7 +35,9 @@ QUERIES: dict[str, Query] = {
         sentence_pieces.op8_sentence_pieces,
         html_extraction.op9_html_extraction,
         vector_dedup.op10_embedding_near_dedup,
+        token_alignment.op11_token_alignment,
         merkle.op12_merkle_manifest,
+        url_filter.op13_url_filter,
     )
 }
 
