@@ -12,17 +12,19 @@ from tessera.operators.clean import (
     require_columns,
     sentinel_to_null,
 )
+from tessera.operators.dictionary import LabelDictionary, label_dictionary, string_index_distributed
 from tessera.operators.evaluate import ModelResult, evaluate, evaluate_many, model_summary
 from tessera.operators.features import (
     assemble,
     build_features,
+    f_scores,
     feature_count,
     l1_normalize,
     one_hot,
     select_features,
     string_index,
 )
-from tessera.operators.impute import impute, impute_mean, impute_mode
+from tessera.operators.impute import impute, impute_mean, impute_median, impute_mode
 from tessera.operators.join import dim_join, entity_age, gated_join
 from tessera.operators.models import (
     add_fold_column,
@@ -33,6 +35,7 @@ from tessera.operators.models import (
     hash_split,
     random_split,
 )
+from tessera.operators.moments import comoments
 from tessera.operators.profile import (
     constant_columns,
     constant_from_metrics,
@@ -47,5 +50,6 @@ from tessera.operators.profile import (
     informative_expr,
     informative_metrics,
 )
+from tessera.operators.surrogates import medians, modes
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     Normalizer,
@@ -19,7 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.clean import plain_names, present
-from tessera.session import quoted
+from tessera.operators.dictionary import label_dictionary
+from tessera.operators.moments import collected, comoments
+from tessera.session import Scratch, quoted
 
 # --- fixed values: output names that users of the original read by name --------
 INDEXED_SUFFIX = "Indexed"
@@ -27,6 +31,7 @@ ENCODED_SUFFIX = "Cat"
 FEATURES_COL = "features"
 NORM_COL = "normFeatures"
 SELECTED_COL = "selectedFeatures"
+SELECTION_MODES = ("fdr", "fwe")
 # ---------------------------------------------------------------------------
 
 
@@ -104,6 +109,8 @@ def build_features(
     features_col: str = NORM_COL,
     keep: Sequence[str] = (),
     fit_filter=None,
+    indexer: str = "driver",
+    scratch: Scratch | None = None,
 ) -> tuple[DataFrame, PipelineModel, list[str]]:
     """Fit and apply StringIndexer -> OneHotEncoder -> VectorAssembler -> normaliser.
 
@@ -114,7 +121,11 @@ def build_features(
     original) or ``keep`` (an index of their own). A NULL numeric always raises:
     it must not become a NaN slot. ``fit_filter`` (a boolean Column) fits the
     stages on those rows only, which needs ``keep``; every row is transformed.
+    ``indexer="distributed"`` indexes the categories by ``dictionary`` (no label reaches
+    the driver; the same indices) ahead of the pipeline, for columns of very many labels.
     """
+    if indexer not in ("driver", "distributed"):
+        raise ValueError("indexer must be 'driver' or 'distributed'")
     if fit_filter is not None and indexer_invalid == "error":
         indexer_invalid = "keep"
     numeric = present(df, numeric)
@@ -125,7 +136,15 @@ def build_features(
     numeric, categorical = [plain.get(c, c) for c in numeric], [plain.get(c, c) for c in categorical]
     fit_df = df if fit_filter is None else df.filter(fit_filter)
     stages = []
-    if categorical:
+    if categorical and indexer == "distributed":
+        dictionaries = {c: label_dictionary(fit_df, c, scratch) for c in categorical}
+        for c, d in dictionaries.items():
+            df = d.transform(df, c + INDEXED_SUFFIX, indexer_invalid)
+        fit_df = df if fit_filter is None else df.filter(fit_filter)
+        categorical = [c for c, d in dictionaries.items() if d.size + (indexer_invalid == "keep") > 1]
+        if categorical:
+            stages.append(encoder_stage(categorical))
+    elif categorical:
         idx, categorical, _single = _fit_indexer(fit_df, categorical, indexer_invalid)
         stages.append(idx)
         if categorical:
@@ -159,6 +178,63 @@ def feature_count(df: DataFrame, vec_col: str) -> int:
     return int(row["n"]) if row else 0
 
 
+@dataclass(frozen=True)
+class FScores:
+    """The univariate F-test of every slot of a vector column: one table for all selections."""
+
+    n: int
+    r: np.ndarray
+    f: np.ndarray
+    p: np.ndarray
+
+    def picked(self, mode: str, threshold: float = 0.05) -> list[int]:
+        """Slots that pass. ``fdr`` (Benjamini-Hochberg, step-up): all up to the last rank j, by
+        falling significance, with p <= threshold * j / k; ``fwe``: p < threshold / k. A slot
+        without variance has no p-value and never passes."""
+        k = len(self.p)
+        if mode == "fwe":
+            return np.flatnonzero(self.p < threshold / k).tolist()
+        if mode != "fdr":
+            raise ValueError(f"mode must be one of {SELECTION_MODES}")
+        order = np.argsort(self.p, kind="stable")  # NaN last
+        passing = np.flatnonzero(self.p[order] <= threshold * np.arange(1, k + 1) / k)
+        return sorted(order[: passing[-1] + 1].tolist()) if len(passing) else []
+
+
+def f_scores(df: DataFrame, features_col: str, label: str, fit_filter=None) -> FScores:
+    """F-test of every slot against the label, in one pass that holds a few numbers per slot
+    (the label's row of the co-moment matrix). Rows without a label are left out."""
+    k = feature_count(df, features_col)
+    rows = df if fit_filter is None else df.filter(fit_filter)
+    y = quoted(label).cast("double")
+    values = F.concat(vector_to_array(quoted(features_col)), F.array(y))
+    found = collected(comoments(rows.where(y.isNotNull()), values, k + 1, parts=[(k, k + 1, 0)]), k + 1).get(0)
+    if found is None:
+        return FScores(0, np.full(k, np.nan), np.full(k, np.nan), np.full(k, np.nan))
+    n, r = int(found.n[0, 0]), found.correlations()[0, :k]
+    freedom = n - 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        f = r * r / (1.0 - r * r) * freedom
+    p = np.full(k, np.nan)
+    if freedom > 0:
+        fisher = df.sparkSession._jvm.org.apache.commons.math3.distribution.FDistribution(1.0, float(freedom))
+        for i in np.flatnonzero(~np.isnan(f)):
+            p[i] = 0.0 if np.isinf(f[i]) else 1.0 - fisher.cumulativeProbability(float(f[i]))
+    return FScores(n, r, f, p)
+
+
+def _selector(df: DataFrame, features_col: str, label: str, mode: str, threshold: float, out: str, picked: list[int]) -> UnivariateFeatureSelectorModel:
+    """Spark's selector model that keeps the slots ``picked``."""
+    sel = UnivariateFeatureSelector(featuresCol=features_col, labelCol=label, outputCol=out, selectionMode=mode)
+    sel.setFeatureType("continuous").setLabelType("continuous").setSelectionThreshold(threshold)
+    gateway = df.sparkSession.sparkContext._gateway
+    slots = gateway.new_array(gateway.jvm.int, len(picked))
+    for at, slot in enumerate(picked):
+        slots[at] = slot
+    java = gateway.jvm.org.apache.spark.ml.feature.UnivariateFeatureSelectorModel(sel.uid, slots)
+    return sel._copyValues(UnivariateFeatureSelectorModel(java))
+
+
 def select_features(
     df: DataFrame,
     features_col: str,
@@ -168,42 +244,33 @@ def select_features(
     on_empty: str = "error",
     out: str = SELECTED_COL,
     fit_filter=None,
+    scores: FScores | None = None,
 ) -> tuple[DataFrame, list[int], UnivariateFeatureSelectorModel]:
     """Univariate F-test selection (continuous features, continuous label).
 
     ``mode="fdr"``: Benjamini-Hochberg at ``threshold``; ``"fwe"``: p < threshold/k.
-    The fit is one summary pass over the data. An empty selection gives a
+    The test is one pass over the data (``f_scores``); give its ``scores`` to make
+    several selections from it. The slots are those of ``UnivariateFeatureSelector``,
+    and the returned model is its own. An empty selection gives a
     size-0 vector on which tree models fail, so it raises; ``on_empty="all"``
     passes all features through instead, and the returned indices are then
     all of them, so that the caller sees what was used.
     """
-    sel = UnivariateFeatureSelector(
-        featuresCol=features_col,
-        labelCol=label,
-        outputCol=out,
-        selectionMode=mode,
-    )
-    sel.setFeatureType("continuous").setLabelType("continuous").setSelectionThreshold(threshold)
-    fit_df = df if fit_filter is None else df.filter(fit_filter)
-    model = sel.fit(fit_df.withColumn(label, quoted(label).cast("double")))
-    picked = sorted(int(i) for i in model.selectedFeatures)
+    scores = scores or f_scores(df, features_col, label, fit_filter)
+    picked = scores.picked(mode, threshold)
+    model = _selector(df, features_col, label, mode, threshold, out, picked)
     if not picked:
         if on_empty != "all":
             raise ValueError(f"{mode} selection at {threshold} kept no feature")
-        return df.withColumn(out, F.col(features_col)), list(range(feature_count(df, features_col))), model
+        return df.withColumn(out, F.col(features_col)), list(range(len(scores.p))), model
     return model.transform(df), picked, model
 
 
 def selection_report(df: DataFrame, features_col: str, label: str, mode: str, threshold: float = 0.05) -> DataFrame:
-    """Rows (slot, f, selected) of an F-test selection, one for each slot; an
-    empty selection has no selected row."""
-    from tessera.operators.profile import f_regression
-
-    sel = UnivariateFeatureSelector(featuresCol=features_col, labelCol=label, outputCol=SELECTED_COL, selectionMode=mode)
-    sel.setFeatureType("continuous").setLabelType("continuous").setSelectionThreshold(threshold)
-    picked = {int(i) for i in sel.fit(df.withColumn(label, quoted(label).cast("double"))).selectedFeatures}
-    slots = [f"slot_{i}" for i in range(feature_count(df, features_col))]
-    values = df.select(quoted(label).cast("double").alias("label"), vector_to_array(F.col(features_col)).alias("v"))
-    scores = f_regression(values.select("label", *[F.col("v")[i].alias(c) for i, c in enumerate(slots)]), "label", slots)
-    slot = F.substring_index("feature", "_", -1).cast("int")
-    return scores.select(slot.alias("slot"), "f", slot.isin(*picked, -1).alias("selected"))
+    """Rows (slot, f, p, selected) of an F-test selection, one for each slot (NULL without
+    variance); an empty selection has no selected row."""
+    scores = f_scores(df, features_col, label)
+    picked = set(scores.picked(mode, threshold))
+    value = lambda v: None if np.isnan(v) else float(v)
+    rows = [(i, value(f), value(p), i in picked) for i, (f, p) in enumerate(zip(scores.f, scores.p))]
+    return df.sparkSession.createDataFrame(rows, "slot int, f double, p double, selected boolean")

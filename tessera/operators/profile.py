@@ -2,26 +2,31 @@
 
 The original program ran one job per column for the single-valued test and one
 job per column pair for correlations. Here the tests and scores are single
-global aggregates, and the correlation matrix takes two passes whatever the
-number of columns: means, then the products of the centred columns. Executors
-fold their rows into a few numbers (map-side partial aggregation); nothing is
-shuffled by column value, so a skewed value costs nothing extra.
+global aggregates, and the correlation matrix takes one pass whatever the number
+of columns. Executors fold their rows into a few numbers (map-side partial
+aggregation); nothing is shuffled by column value, so a skewed value costs
+nothing extra.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators import moments
 from tessera.operators.clean import present
 from tessera.session import quoted
 from tessera.spec import TableSpec
 
 NULL_POLICIES = ("zero", "pairwise")
+# Pairs whose statistics still fit one native aggregate.
+NARROW_PAIRS = 66
+BITMAP_BITS = 32768  # of Spark's bitmap aggregates
 
 
 def informative_expr(c: str) -> Column:
@@ -55,19 +60,36 @@ def group_count(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(quoted(c).alias(c)).agg(F.count(F.lit(1)).alias("count"))
 
 
-def distinct_groups(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
-    """(column, groups): number of distinct values, NULL counted as one more group."""
+def distinct_groups(df: DataFrame, cols: Iterable[str] | None = None, bound: int | None = None) -> DataFrame:
+    """(column, groups): number of distinct values, NULL counted as one more group; exact.
+
+    Each column is its own distinct set: made in the tasks, hash-partitioned by value,
+    and folded into a count by column. No row is expanded: a column is read on its
+    own, so the scans together read what one scan of all columns would. A frame that
+    is dear to compute is best materialised before.
+
+    ``bound``: a column that provably has more values than that is not counted, its
+    ``groups`` are NULL. The proof is a bitmap of hashed values (one aggregate for all
+    columns): as many occupied bits, as many values at least. It can prove bounds
+    below ``BITMAP_BITS``; columns it leaves open are counted exactly.
+    """
     cols = _atomic(df, cols)
-    return _rows(
-        df,
-        [
-            F.struct(
-                F.lit(c).alias("column"),
-                (F.count_distinct(quoted(c)) + F.max(quoted(c).isNull().cast("int"))).cast("bigint").alias("groups"),
-            )
-            for c in cols
-        ],
-    )
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, groups bigint")
+    over: set[str] = set()
+    if bound is not None:
+        bits = df.agg(*[
+            F.bitmap_count(F.bitmap_construct_agg(F.when(quoted(c).isNotNull(), F.pmod(F.xxhash64(quoted(c)), F.lit(BITMAP_BITS))))).alias(f"b{i}")
+            for i, c in enumerate(cols)
+        ]).first()
+        over = {c for i, c in enumerate(cols) if (bits[f"b{i}"] or 0) > bound}
+    listed = F.explode(F.array(*[F.lit(c) for c in cols])).alias("column")
+    names = df.sparkSession.range(1).select(listed, F.lit(0).alias("one"))
+    sets = [df.select(quoted(c).alias("v")).groupBy("v").agg(F.lit(1).alias("one")).select(F.lit(c).alias("column"), "one") for c in cols if c not in over]
+    counted = reduce(DataFrame.unionByName, sets, names).groupBy("column").agg(F.sum("one").cast("bigint").alias("groups"))
+    if not over:
+        return counted
+    return counted.withColumn("groups", F.when(~F.col("column").isin(list(over)), F.col("groups")))
 
 
 def informative_columns(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
@@ -123,14 +145,14 @@ def _corr_expr(a: str, b: str, null_policy: str) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))
 
 
-def _pairs_frame(df: DataFrame, pairs: Sequence[tuple[str, str]], null_policy: str) -> DataFrame:
+def _pairs_frame(df: DataFrame, pairs: Sequence[tuple[str, str]], null_policy: str, but=lambda a, b, r: r) -> DataFrame:
     schema = "a string, b string, r double"
     if not pairs:
         return df.sparkSession.createDataFrame([], schema)
     return _rows(
         df,
         [
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _corr_expr(a, b, null_policy).alias("r"))
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), but(a, b, _corr_expr(a, b, null_policy)).alias("r"))
             for a, b in pairs
         ],
     )
@@ -145,101 +167,33 @@ def corr_target(df: DataFrame, target: str, cols: Iterable[str], null_policy: st
 def corr_matrix(df: DataFrame, cols: Iterable[str], null_policy: str = "zero") -> DataFrame:
     """Pearson r of every column pair (i < j in list order): rows (a, b, r).
 
-    Two jobs at call time, for two columns or two thousand: the first finds the
-    columns' means and deviations, the second the products of the standardised
-    columns (their cross moments are then of order one, so nothing cancels).
-    ``zero``: NULL counts as 0.0. ``pairwise``: rows with a NULL in a pair are left
-    out of that pair; masks and squares ride along as further columns. A column
-    without variance gives NULL.
+    One pass, whatever the width: counts, means and centred products of the pairs,
+    merged pairwise (no sums of raw products, so epoch-like and sparse columns do not
+    cancel). Up to ``NARROW_PAIRS`` pairs they are one native aggregate, beyond it
+    ``moments.comoments``, whose tiles of the matrix bound what a task holds; no
+    part of the matrix goes through the driver. ``zero``: NULL counts as 0.0.
+    ``pairwise``: rows with a NULL in a pair are left out of that pair. A column
+    without variance, or holding NaN, gives NULL.
     """
     if null_policy not in NULL_POLICIES:
         raise ValueError(f"null_policy must be one of {NULL_POLICIES}")
     cols = present(df, cols)
-    schema = "a string, b string, r double"
-    spark = df.sparkSession
-    pairs = list(combinations(range(len(cols)), 2))
-    if not pairs:
-        return spark.createDataFrame([], schema)
+    pairs = list(combinations(cols, 2))
+    if len(pairs) <= NARROW_PAIRS:
+        nan = {c: F.coalesce(F.max(F.isnan(quoted(c).cast("double"))), F.lit(False)) for c in cols}
+        return _pairs_frame(df, pairs, null_policy, lambda a, b, r: F.when(~(nan[a] | nan[b]), _bounded(r)))
     x = [quoted(c).cast("double") for c in cols]
     if null_policy == "zero":
         x = [F.coalesce(v, F.lit(0.0)) for v in x]
-    n, values = _centred(df, x)
-    if n == 0:
-        r = [None] * len(pairs)
-    elif null_policy == "zero":
-        found = _correlations(_vectors(df, values))
-        r = [None if found[i, j] != found[i, j] else max(-1.0, min(1.0, float(found[i, j]))) for i, j in pairs]
-    else:
-        masks = [F.when(v.isNull(), 0.0).otherwise(1.0) for v in x]
-        filled = [F.coalesce(v, F.lit(0.0)) for v in values]
-        squares = [v * v for v in filled]
-        g = _moments(df, filled + masks + squares, n)
-        k = len(cols)
-        r = []
-        for i, j in pairs:
-            both = g[k + i, k + j]
-            if both <= 0:
-                r.append(None)
-                continue
-            sx, sy = g[i, k + j], g[j, k + i]
-            r.append(_ratio(
-                g[i, j] - sx * sy / both, g[2 * k + i, k + j] - sx * sx / both, g[2 * k + j, k + i] - sy * sy / both
-            ))
-    rows = [(cols[i], cols[j], v) for (i, j), v in zip(pairs, r)]
-    return spark.createDataFrame(rows, schema)
-
-
-def _ratio(xy: float, xx: float, yy: float) -> float | None:
-    # Standardised columns have variance 1; what is left of a constant is rounding.
-    if not (xx > 1e-12 and yy > 1e-12):
-        return None
-    return max(-1.0, min(1.0, float(xy / (xx * yy) ** 0.5)))
-
-
-def _centred(df: DataFrame, x: list[Column]) -> tuple[int, list[Column]]:
-    """Row count, and the columns less their means over their deviations (0 for a
-    column of one value)."""
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i, v in enumerate(x):
-        aggs += [F.avg(v).alias(f"m{i}"), F.stddev_pop(v).alias(f"s{i}"), (F.min(v) == F.max(v)).alias(f"c{i}")]
-    row = df.agg(*aggs).first()
-    out = []
-    for i, v in enumerate(x):
-        mean, deviation = row[f"m{i}"], row[f"s{i}"]
-        if mean is None or row[f"c{i}"] or not deviation:
-            out.append(F.when(v.isNotNull(), F.lit(0.0)))
-        else:
-            out.append((v - F.lit(mean)) / F.lit(deviation))
-    return int(row["n"]), out
-
-
-def _vectors(df: DataFrame, x: list[Column]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-
-    names = [f"c{i}" for i in range(len(x))]
-    frame = df.select(*[v.alias(c) for c, v in zip(names, x)])
-    return VectorAssembler(inputCols=names, outputCol="v", handleInvalid="keep").transform(frame).select("v")
-
-
-def _correlations(vectors: DataFrame):
-    """The correlation matrix: Gram sums of the vectors, tree-aggregated on the executors."""
-    from pyspark.ml.stat import Correlation
-
-    return Correlation.corr(vectors, "v").first()[0].toArray()
-
-
-def _moments(df: DataFrame, x: list[Column], n: int):
-    """The sums over rows of the products of all pairs of (NULL-free) columns over n,
-    rebuilt from their correlations, means and variances."""
-    import numpy as np
-    from pyspark.ml.stat import Summarizer
-
-    vectors = _vectors(df, x)
-    got = vectors.select(Summarizer.metrics("mean", "variance").summary(F.col("v")).alias("s")).select("s.mean", "s.variance").first()
-    mean, variance = got["mean"].toArray(), got["variance"].toArray() * (n - 1) / n
-    r = np.nan_to_num(_correlations(vectors))
-    np.fill_diagonal(r, 1.0)
-    return r * np.sqrt(np.outer(variance, variance)) + np.outer(mean, mean)
+    k = len(cols)
+    found = moments.correlation_rows(moments.comoments(df, F.array(*x), k, pairwise=null_policy == "pairwise"), k)
+    names = F.array(*[F.lit(c) for c in cols])
+    return found.select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), "r")
+
+
+def _bounded(r: Column) -> Column:
+    """Rounding may push |r| past 1."""
+    return F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r)
 
 
 def drop_collinear(

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import DAY_PARTS, day_part, parse_date
 from tessera.operators import clean, profile
+from tessera.operators.bucketed import bucketed_join, write_bucketed
+from tessera.operators.dictionary import string_index_distributed
 from tessera.operators.evaluate import evaluate, evaluate_many
 from tessera.operators.features import (
     assemble,
@@ -46,7 +48,7 @@ from tessera.operators.models import (
 from tessera.plans.fixtures import DIM, DIRTY_EVENTS, FACT, FACT_NO_KEY, RAW_DIM, RAW_FACT, table, with_ctes
 from tessera.session import checkpoint_dir, ensure_parallelism, materialize
 from tessera.sources.sinks import predictions_sample, preview, schema_report
-from tessera.sources.tables import load_tables
+from tessera.sources.tables import load_tables, read_quarantined
 from tessera.spec import derive_roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,6 +190,42 @@ def q_multi_last(spark, sf):
     return _key_stats(df.withColumn("o_orderstatus", F.lit(None).cast("string")))
 
 
+# Lines of a staged file that are short, long or broken, by key arithmetic.
+_BROKEN_LINE = [
+    ("o_orderkey % 7 = 1", "concat_ws(',', o_orderkey, o_custkey)"),
+    ("o_orderkey % 11 = 2", "concat_ws(',', o_orderkey, o_custkey, o_orderstatus, 'more')"),
+    ("o_orderkey % 13 = 3", "concat_ws(',', o_orderkey, concat('\"', o_custkey), o_orderstatus)"),
+]
+_IS_BROKEN = "(" + " OR ".join(w for w, _ in _BROKEN_LINE) + ")"
+
+
+@query(
+    "csv_quarantine",
+    f"""SELECT CAST(o_orderkey % 4 AS INTEGER) AS part, CAST(count(*) FILTER (NOT {_IS_BROKEN}) AS BIGINT) AS n_good,
+       CAST(count(*) FILTER ({_IS_BROKEN}) AS BIGINT) AS n_bad,
+       CAST(sum(CASE WHEN NOT {_IS_BROKEN} THEN o_custkey ELSE 0 END) AS BIGINT) AS cust_sum,
+       CAST(sum(CASE WHEN {_IS_BROKEN} THEN o_orderkey ELSE 0 END) AS BIGINT) AS bad_keys
+FROM orders GROUP BY o_orderkey % 4""",
+)
+def q_csv_quarantine(spark, sf):
+    """Four files with malformed lines: counts per file, the good rows' sums and the bad records'."""
+    root = _staging(spark, "quarantine")
+    line = "CASE " + " ".join(f"WHEN {w} THEN {e}" for w, e in _BROKEN_LINE) + " ELSE concat_ws(',', o_orderkey, o_custkey, o_orderstatus) END"
+    lines = table(spark, sf, "orders").selectExpr("cast(o_orderkey % 4 AS int) AS part", "o_orderkey AS ord", f"{line} AS value")
+    heads = spark.range(4).selectExpr("cast(id AS int) AS part", "cast(-1 AS bigint) AS ord", "'o_orderkey,o_custkey,o_orderstatus' AS value")
+    staged = lines.unionByName(heads).repartition("part").sortWithinPartitions("part", "ord")
+    staged.select("part", "value").write.partitionBy("part").text(root)
+    got = read_quarantined(spark, [f"{root}/part={i}" for i in range(4)])
+    part = F.regexp_extract("file", "part=([0-9]+)", 1).cast("int").alias("part")
+    good = got.good.select((F.col("o_orderkey").cast("bigint") % 4).cast("int").alias("part"), F.col("o_custkey").cast("bigint").alias("cust"))
+    bad = got.bad.select(part, F.substring_index("record", ",", 1).cast("bigint").alias("key"))
+    sums = good.groupBy("part").agg(F.sum("cust").alias("cust_sum")).join(bad.groupBy("part").agg(F.sum("key").alias("bad_keys")), "part", "full")
+    return got.counts.select(part, "n_good", "n_bad").join(sums, "part", "left").select(
+        "part", "n_good", "n_bad", F.coalesce("cust_sum", F.lit(0)).cast("bigint").alias("cust_sum"),
+        F.coalesce("bad_keys", F.lit(0)).cast("bigint").alias("bad_keys"),
+    )
+
+
 @query(
     "preview_limit",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
@@ -299,6 +337,14 @@ def q_dim_join_salted(spark, sf):
     return _join_out(dim_join(_fact(spark, sf), _dim(spark, sf), "L_PARTKEY", broadcast=False, hot_share=0.0006))
 
 
+@query("dim_join_bucketed", with_ctes(_JOIN_SQL, FACT, DIM))
+def q_dim_join_bucketed(spark, sf):
+    """Both tables stored in buckets of the key first; the busiest part keys count as hot."""
+    fact = write_bucketed(_fact(spark, sf), "l_partkey", 8, _staging(spark, "fact"), hot_share=0.0006)
+    dim = write_bucketed(_dim(spark, sf), "l_partkey", 8, _staging(spark, "dim"), hot_share=1.0)
+    return _join_out(bucketed_join(fact, dim))
+
+
 @query(
     "gated_join",
     with_ctes(
@@ -467,6 +513,22 @@ def q_impute_mode(spark, sf):
     return df
 
 
+def _median_sql(c: str) -> str:
+    return (
+        f"coalesce({c}, (SELECT {c} FROM (SELECT {c}, row_number() OVER (ORDER BY {c}) AS k, count(*) OVER () AS n "
+        f"FROM dirty_events WHERE {c} IS NOT NULL) WHERE k = (n + 1) // 2)) AS {c}"
+    )
+
+
+@query(
+    "impute_median",
+    with_ctes(f"SELECT event_id, {_median_sql('mo')}, {_median_sql('amount')}, {_median_sql('amount2')} FROM dirty_events", _E),
+)
+def q_impute_median(spark, sf):
+    cols = ["mo", "amount", "amount2"]
+    return impute(_events(spark, sf).select("event_id", *cols), cols, "median")[0]
+
+
 @query(
     "impute_mean",
     with_ctes(
@@ -628,6 +690,18 @@ def q_string_index(spark, sf):
     return df.select(*KEYS, "o_orderpriorityIndexed", "l_returnflagIndexed")
 
 
+@query(
+    "string_index_wide",
+    """WITH idx AS (SELECT o_custkey, row_number() OVER (ORDER BY count(*) DESC, CAST(o_custkey AS VARCHAR)) - 1 AS i
+             FROM orders GROUP BY o_custkey)
+SELECT o_orderkey, CAST(i AS DOUBLE) AS customerIndexed FROM orders JOIN idx USING (o_custkey)""",
+)
+def q_string_index_wide(spark, sf):
+    """A column of very many labels, whose dictionary is merged, not broadcast."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"))
+    return string_index_distributed(orders, ["customer"], broadcast_max_rows=0)[0].drop("customer")
+
+
 @query(
     "one_hot",
     with_ctes(
@@ -723,28 +797,55 @@ _NOISE = [
 ]
 _SLOTS = FACT_NUMERIC + [n for n, _ in _NOISE]
 SELECTION_ALPHA = 0.05
+# Categories of the two encoded columns, as the driver's tables have them.
+_N_PRIORITIES, _N_FLAGS = 5, 3
 
 
-def _selection_sql(mode: str) -> str:
-    """F of every slot from its correlation; the p-value limits alpha * j / k as limits
-    of F (Student's t quantiles from normal ones, expanded in 1/n)."""
-    k = len(_SLOTS)
+def _chosen_ctes(mode: str, source: str, slots: list[str]) -> str:
+    """CTEs that end in ``ranked`` (slot, f, rank, ok) and the predicate of a chosen slot: F of every
+    slot from its correlation; the p-value limits alpha * j / k as limits of F (Student's t
+    quantiles from normal ones, expanded in 1/n)."""
+    k = len(slots)
     z = [NormalDist().inv_cdf(1 - SELECTION_ALPHA * j / k / 2) for j in range(1, k + 1)]
     limits = ", ".join(f"({j}, {v!r}::DOUBLE)" for j, v in enumerate(z, 1))
-    slots = "\nUNION ALL\n".join(
-        f"SELECT {i} AS slot, corr(y, {c}) AS r, count(*) - 2 AS df FROM fact_noise" for i, c in enumerate(_SLOTS)
-    )
+    scores = "\nUNION ALL\n".join(f"SELECT {i} AS slot, corr(y, {c}) AS r, count(*) - 2 AS df FROM {source}" for i, c in enumerate(slots))
     chosen = "rank <= coalesce((SELECT max(rank) FROM ranked WHERE ok), 0)" if mode == "fdr" else "f > (SELECT lim FROM lims WHERE j = 1)"
-    noise = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in _NOISE)
-    return with_ctes(
-        f""", fact_noise AS (SELECT *, {noise} FROM fact),
-slots AS ({slots}),
+    return f"""slots AS ({scores}),
 scored AS (SELECT slot, r * r / (1 - r * r) * df AS f, df FROM slots),
 lims AS (SELECT j, pow(z + (pow(z, 3) + z) / (4 * df) + (5 * pow(z, 5) + 16 * pow(z, 3) + 3 * z) / (96 * df * df), 2) AS lim
          FROM (VALUES {limits}) v(j, z), (SELECT DISTINCT df FROM scored)),
 ranked AS (SELECT slot, f, rank, f >= lim AS ok
-           FROM (SELECT *, row_number() OVER (ORDER BY f DESC) AS rank FROM scored) JOIN lims ON rank = j)
-SELECT CAST(slot AS INTEGER) AS slot, round(f, 3) AS f, {chosen} AS selected FROM ranked""",
+           FROM (SELECT *, row_number() OVER (ORDER BY f DESC) AS rank FROM scored) JOIN lims ON rank = j),
+chosen AS (SELECT slot, f, {chosen} AS selected FROM ranked)"""
+
+
+def _selection_sql(mode: str) -> str:
+    noise = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in _NOISE)
+    return with_ctes(
+        f""", fact_noise AS (SELECT *, {noise} FROM fact),
+{_chosen_ctes(mode, "fact_noise", _SLOTS)}
+SELECT CAST(slot AS INTEGER) AS slot, round(f, 3) AS f, selected FROM chosen""",
+        FACT,
+    ).replace("\n, ", ",\n", 1)
+
+
+def _selected_vectors_sql(mode: str) -> str:
+    """The pipeline's slots (four numeric ones, then the one-hot ones but each column's last),
+    and of them the chosen ones, numbered anew."""
+    norm = " + ".join(f"abs({c})" for c in FACT_NUMERIC)
+    hot = [("a", i) for i in range(_N_PRIORITIES - 1)] + [("b", i) for i in range(_N_FLAGS - 1)]
+    norm += f" + CASE WHEN a.i < {_N_PRIORITIES - 1} THEN 1 ELSE 0 END + CASE WHEN b.i < {_N_FLAGS - 1} THEN 1 ELSE 0 END"
+    values = [f"CAST({c} AS DOUBLE) / ({norm})" for c in FACT_NUMERIC] + [f"CASE WHEN {t}.i = {i} THEN 1.0 / ({norm}) ELSE 0.0 END" for t, i in hot]
+    names = [f"s{i}" for i in range(len(values))]
+    long = "\nUNION ALL\n".join(f"SELECT l_orderkey, l_linenumber, {i} AS slot, {c} AS value FROM vecs WHERE {c} <> 0" for i, c in enumerate(names))
+    return with_ctes(
+        f""", {_rank_ctes()},
+vecs AS (SELECT l_orderkey, l_linenumber, y, {", ".join(f"{v} AS {n}" for v, n in zip(values, names))}
+         FROM fact JOIN o_orderpriority_idx a ON fact.o_orderpriority = a.v JOIN l_returnflag_idx b ON fact.l_returnflag = b.v),
+{_chosen_ctes(mode, "vecs", names)},
+numbered AS (SELECT slot, row_number() OVER (ORDER BY slot) - 1 AS place FROM chosen WHERE selected),
+long AS ({long})
+SELECT l_orderkey, l_linenumber, CAST(place AS INTEGER) AS slot, round(value, 6) AS value FROM long JOIN numbered USING (slot)""",
         FACT,
     ).replace("\n, ", ",\n", 1)
 
@@ -753,7 +854,7 @@ def _selection_report(spark, sf, mode):
     noisy = _fact(spark, sf).selectExpr("*", *[f"CAST({e} AS DOUBLE) AS {n}" for n, e in _NOISE])
     feats, _, _ = build_features(noisy, _SLOTS, [], "y", normalize=None, features_col="features")
     report = selection_report(materialize(feats), "features", "y", mode, SELECTION_ALPHA)
-    return report.select(F.col("slot").cast("int").alias("slot"), F.round("f", 3).alias("f"), "selected")
+    return report.select("slot", F.round("f", 3).alias("f"), "selected")
 
 
 @query("select_fdr", _selection_sql("fdr"))
@@ -772,12 +873,12 @@ def _selected(spark, sf, mode):
     return _explode_vec(df, "selectedFeatures", KEYS, nonzero=True)
 
 
-@query("select_fdr_vectors")
+@query("select_fdr_vectors", _selected_vectors_sql("fdr"))
 def q_select_fdr_vectors(spark, sf):
     return _selected(spark, sf, "fdr")
 
 
-@query("select_fwe_vectors")
+@query("select_fwe_vectors", _selected_vectors_sql("fwe"))
 def q_select_fwe_vectors(spark, sf):
     return _selected(spark, sf, "fwe")
 

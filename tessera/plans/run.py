@@ -3,10 +3,10 @@
 Jobs, in order (each a single pass unless noted): key gate (1 global
 aggregate over the key column), materialisation of the joined table with the
 single-valued test and the mean surrogates riding along as observed metrics
-(1), mode surrogates (1), indexer fit (1), materialisation of the feature table (1),
-FDR and FWE fits (2), the shared cross-validation table (1), then the model
-fits. The correlation profile runs only when its frame is asked for (one
-aggregate for the target, two passes for the matrix). Materialising means a
+(1), mode surrogates (2), indexer fit (1), materialisation of the feature table (1),
+F-test of both selections (1), the shared cross-validation table (1), then the
+model fits (the linear one from one more pass). The correlation profile runs only
+when its frame is asked for (one aggregate each for the target and the matrix). Materialising means a
 Parquet table (or, for vectors, a reliable checkpoint) in the shared folder when
 the cluster names one, else a persist; ``RunReport.close()`` releases all of it.
 All metrics come out of one aggregate over one scan of the test rows.
@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import NA_SENTINELS, hash_bucket, to_int_typed
 from tessera.operators import clean, profile
 from tessera.operators.evaluate import evaluate_many
-from tessera.operators.features import NORM_COL, build_features, feature_count, select_features
+from tessera.operators.features import NORM_COL, build_features, f_scores, feature_count, select_features
 from tessera.operators.impute import impute
 from tessera.operators.join import entity_age, gated_join
 from tessera.operators.models import MODEL_KINDS, PREDICTION_COLS, best_params, cv_table, fit_cv, split_cut
+from tessera.operators.surrogates import modes
+from tessera.plans.progress import Progress, input_fingerprint
 from tessera.session import Scratch, ensure_parallelism, materialize, materialize_observed, quoted
 from tessera.spec import CARRIED, PrepResult, RunReport, TableSpec, derive_roles
 
@@ -50,6 +52,7 @@ def prepare(
     fit_filter=None,
     carry: dict | None = None,
     scratch: Scratch | None = None,
+    progress: Progress | None = None,
     **join_options,
 ) -> PrepResult:
     """Clean a fact table (and join its dimension) into a model-ready frame.
@@ -58,7 +61,8 @@ def prepare(
     is an error. ``fit_filter`` (a boolean Column over carried columns) makes the
     imputers learn from those rows only; by default they see every row, as the
     original did. ``carry``: columns (name -> expression over the raw fact) that
-    pass through untouched."""
+    pass through untouched. ``progress``: finished parts (the joined table with its
+    observed values, the mode surrogates) are read from there, others kept there."""
     # The dimension's columns take part in the spelling, but the target and the
     # keys must be the fact's.
     spec.resolve(fact.columns)
@@ -72,8 +76,9 @@ def prepare(
         df = clean.filter_flag(df, spec.flag, spec.flag_value)
         df = clean.drop_columns(df, (spec.flag,) + spec.flag_drop)
 
-    included = False
-    if dim is not None and spec.join_key:
+    done = progress.values("joined") if progress else None
+    included = bool(done and done["included"])
+    if done is None and dim is not None and spec.join_key:
         d = clean.drop_columns(dim, spec.dim_drop)
         # Dimension-only predicates go to the dimension before the join (same
         # result for an inner join, fewer rows to broadcast or shuffle).
@@ -88,6 +93,8 @@ def prepare(
     else:
         spec = replace(spec, date_col=None)
 
+    if done is not None:
+        df = progress.table("joined")
     # Sentinel text -> NULL on every column but the target.
     df = clean.sentinel_to_null(df, [c for c in df.columns if c != t and c not in carry], NA_SENTINELS)
 
@@ -107,7 +114,12 @@ def prepare(
     mean_cols = clean.present(df, spec.numeric_mean)
     for i, c in enumerate(mean_cols):
         metrics[f"mean_{i}"] = F.avg(F.when(t_ok, to_int_typed(c, types[c]).cast("double")))
-    df, values = materialize_observed(df, metrics, materialize_how, scratch)
+    if done is not None:
+        values = done["values"]
+    else:
+        df, values = materialize_observed(df, metrics, materialize_how, scratch, progress.path("joined") if progress else None)
+        if progress:
+            progress.finish("joined", {"included": included, "values": values})
     means = {c: values[f"mean_{i}"] for i, c in enumerate(mean_cols)}
     constant = profile.constant_from_metrics(cols, values, spec.exempt_constant)
     df = df.drop(*constant)
@@ -130,7 +142,11 @@ def prepare(
         df, spec, columns=spec.collinear, threshold=collinear_threshold, cols=numeric, null_policy=null_policy
     )
 
-    df, _ = impute(df, spec.numeric_mode, "mode", fit_filter=fit_filter)
+    surrogates = None
+    if progress:
+        rows, mode_cols = df if fit_filter is None else df.filter(fit_filter), clean.present(df, spec.numeric_mode)
+        surrogates = progress.remembered("modes", lambda: modes(rows, mode_cols))
+    df, _ = impute(df, spec.numeric_mode, "mode", fit_filter=fit_filter, surrogates=surrogates)
     df = _fill_means(df, clean.present(df, spec.numeric_mean), means, keep_double_mean)
 
     extra_numeric: tuple[str, ...] = ()
@@ -186,13 +202,15 @@ def run(
     folds: int = 5,
     seed: int = 10,
     fraction: float = 0.7,
-    parallelism: int = 2,
+    parallelism: int | None = None,
     normalize: str | None = "l1",
     materialize_how: str = "auto",
     concurrent_kinds: bool = False,
     fit_on: str = "all",
     on_empty: str = "error",
     indexer_invalid: str = "error",
+    indexer: str = "driver",
+    restart: bool = False,
     **prep_options,
 ) -> RunReport:
     """Full comparison: 3 models x {FDR, FWE} selections, k-fold CV each.
@@ -212,7 +230,13 @@ def run(
     leak into them); ``fit_on="train"`` fits them on the training rows only.
 
     ``parallelism`` fits run at a time, one model kind after another: a tree fit
-    persists its own copy of the rows, so more of either costs that much memory.
+    persists its own copy of the rows, so by default there are as many as the
+    executors' free memory holds (``models.fits_at_a_time``).
+
+    ``restart=True`` keeps the joined and the feature table, with the values learned
+    on the way, in the shared folder until the report is closed: if the run ends before
+    (the driver is lost, a fit fails), the same call goes on behind the last finished
+    table. Other inputs, spec, options or code share nothing with it (``progress``).
     """
     if fit_on not in ("all", "train"):
         raise ValueError("fit_on must be 'all' or 'train'")
@@ -229,27 +253,43 @@ def run(
         carry = {
             "split": F.floor(F.rand(seed) * buckets).cast("bigint"), "fold": F.floor(F.rand(seed + 1) * folds).cast("int"),
         }
+    progress = None
+    if restart:
+        options = dict(seed=seed, fraction=fraction, folds=folds, normalize=normalize, fit_on=fit_on, indexer_invalid=indexer_invalid)
+        progress = Progress(
+            fact.sparkSession, input_fingerprint(fact), input_fingerprint(dim) if dim is not None else "", repr(spec),
+            repr(sorted({**options, **prep_options}.items(), key=str)),
+        )
     in_train = F.col(f"{CARRIED}split") < cut
     train_rows = in_train if fit_on == "train" else None
     try:
         prep = prepare(
-            fact, dim, spec, materialize_how=materialize_how, fit_filter=train_rows, carry=carry, scratch=scratch, **prep_options
+            fact, dim, spec, materialize_how=materialize_how, fit_filter=train_rows, carry=carry, scratch=scratch,
+            progress=progress, **prep_options,
         )
         clock.lap("prepare")
         s = prep.spec
         numeric, categorical = derive_roles(prep.df.columns, s)
-        feats, _, _ = build_features(
-            prep.df, numeric, categorical, s.target, normalize=normalize, keep=[CARRIED + c for c in carry],
-            fit_filter=train_rows, indexer_invalid=indexer_invalid,
-        )
-        # ``feats`` reads the materialised prepared table through narrow steps only,
-        # so counting its partitions runs no job.
-        feats = materialize(ensure_parallelism(feats), materialize_how, scratch=scratch)
+        if progress and progress.values("features") is not None:
+            feats = progress.table("features")
+        else:
+            feats, _, _ = build_features(
+                prep.df, numeric, categorical, s.target, normalize=normalize, keep=[CARRIED + c for c in carry],
+                fit_filter=train_rows, indexer_invalid=indexer_invalid, indexer=indexer, scratch=scratch,
+            )
+            # ``feats`` reads the materialised prepared table through narrow steps only,
+            # so counting its partitions runs no job.
+            spread = feats if indexer == "distributed" else ensure_parallelism(feats)
+            feats = materialize(spread, materialize_how, scratch=scratch, path=progress.path("features") if progress else None)
+            if progress:
+                progress.finish("features")
         n_features = feature_count(feats, NORM_COL)
         clock.lap("features")
 
-        fdr_df, fdr_idx, _ = select_features(feats, NORM_COL, s.target, "fdr", on_empty=on_empty, out="sel_fdr", fit_filter=train_rows)
-        both, fwe_idx, _ = select_features(fdr_df, NORM_COL, s.target, "fwe", on_empty=on_empty, out="sel_fwe", fit_filter=train_rows)
+        # Both selections from one table of p-values.
+        scores = f_scores(feats, NORM_COL, s.target, train_rows)
+        fdr_df, fdr_idx, _ = select_features(feats, NORM_COL, s.target, "fdr", on_empty=on_empty, out="sel_fdr", scores=scores)
+        both, fwe_idx, _ = select_features(fdr_df, NORM_COL, s.target, "fwe", on_empty=on_empty, out="sel_fwe", scores=scores)
         selected = {"fdr": fdr_idx, "fwe": fwe_idx}
         clock.lap("select")
 
@@ -302,6 +342,8 @@ def run(
     for kind, sel, pcol in columns:
         preds[f"{kind}_{sel}"] = scored.select(*own, quoted(s.target), F.col(pcol).alias(PREDICTION_COLS[kind]))
     summary = evaluate_many(scored, s.target, columns)
+    if progress:
+        progress.release(scratch)
     return RunReport(
         summary=summary,
         prep=prep,

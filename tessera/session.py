@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +30,24 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the session (once each), so
+    that they find it wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tessera-ship-")), "tessera_package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 class Scratch:
     """What a run materialises on its way: ``close()`` unpersists the frames and
     deletes the tables and checkpoints, after which frames built on them no longer work."""
@@ -67,7 +89,9 @@ def _checkpoint(df: DataFrame, folder: str, scratch: Scratch | None) -> DataFram
     return out
 
 
-def materialize(df: DataFrame, how: str = "auto", eager: bool = False, scratch: Scratch | None = None) -> DataFrame:
+def materialize(
+    df: DataFrame, how: str = "auto", eager: bool = False, scratch: Scratch | None = None, path: str | None = None
+) -> DataFrame:
     """Cut (or pin) the lineage of a frame that several later jobs read.
 
     ``table``: write the frame as Parquet under the cluster's shared checkpoint
@@ -83,9 +107,13 @@ def materialize(df: DataFrame, how: str = "auto", eager: bool = False, scratch:
     (lazy unless ``eager``; the other modes always run at once). ``localCheckpoint`` is never used:
     its blocks die with the executor. The folder is the one the cluster names:
     that all executors share it cannot be told from its name and is trusted.
-    ``scratch`` takes note of what was made, to be released by its ``close()``.
+    ``scratch`` takes note of what was made, to be released by its ``close()``. A
+    ``path`` asks for a table there, which the caller owns.
     """
     spark = df.sparkSession
+    if path is not None:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
     if how == "none":
         return df
     folder = checkpoint_dir(spark)
@@ -120,7 +148,7 @@ def _has_udt(df: DataFrame) -> bool:
 
 
 def materialize_observed(
-    df: DataFrame, metrics: dict, how: str = "auto", scratch: Scratch | None = None
+    df: DataFrame, metrics: dict, how: str = "auto", scratch: Scratch | None = None, path: str | None = None
 ) -> tuple[DataFrame, dict]:
     """``materialize`` plus aggregate ``metrics`` (name -> aggregate Column)
     computed over the same rows.
@@ -133,11 +161,11 @@ def materialize_observed(
 
     spark = df.sparkSession
     if not metrics:
-        return materialize(df, how, scratch=scratch), {}
+        return materialize(df, how, scratch=scratch, path=path), {}
     named = [c.alias(n) for n, c in metrics.items()]
-    if how in ("auto", "table") and checkpoint_dir(spark) and not _has_udt(df):
+    if path is not None or (how in ("auto", "table") and checkpoint_dir(spark) and not _has_udt(df)):
         obs = Observation(f"tessera_{uuid.uuid4().hex[:8]}")
-        out = materialize(df.observe(obs, *named), "table", scratch=scratch)
+        out = materialize(df.observe(obs, *named), "table", scratch=scratch, path=path)
         values = obs.get
         if values:
             return out, dict(values)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,52 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+HEADER_THREADS = 32
+CORRUPT, FILE = "_corrupt_record", "__file_of_record"
+
+
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line with content of the file (or of the first file in the folder), or None."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    if not fs.exists(at):
+        return None
+    while fs.getFileStatus(at).isDirectory():
+        # As Spark lists: by name, without hidden entries.
+        inside = sorted((f.getPath() for f in fs.listStatus(at)), key=lambda f: f.getName())
+        inside = [f for f in inside if not f.getName().startswith(("_", ".")) and (fs.getFileStatus(f).isDirectory() or fs.getFileStatus(f).getLen())]
+        if not inside:
+            return None
+        at = inside[0]
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+    stream = fs.open(at)
+    try:
+        source = codec.createInputStream(stream) if codec is not None else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"))
+        line = reader.readLine()
+        while line is not None and not line.strip():
+            line = reader.readLine()
+        return line
+    finally:
+        stream.close()
+
+
+def header_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], list[str]]]:
+    """(columns, paths) of CSV files with equal headers, in order of appearance.
+
+    Only first lines are read, by ``HEADER_THREADS`` threads and without a Spark job; one
+    read by Spark for each different header tells its columns. A path that is neither a
+    file nor a folder (a pattern) is read by Spark on its own.
+    """
+    with ThreadPool(max(1, min(HEADER_THREADS, len(paths)))) as pool:
+        lines = pool.map(lambda p: _first_line(spark, p), paths)
+    by_line: dict[str, list[str]] = {}
+    for p, line in zip(paths, lines):
+        by_line.setdefault(line if line is not None else f"\0{p}", []).append(p)
+    return [(spark.read.option("header", True).option("inferSchema", False).csv(ps[0]).columns, ps) for ps in by_line.values()]
+
+
 def _select(df: DataFrame, columns: Sequence[str] | None, there: set[str], where: str) -> DataFrame:
     """``columns`` by name; names that some file has but this one lacks are NULL."""
     if columns is None:
@@ -54,12 +102,12 @@ def read_table(
         reader = spark.read.option("mode", "PERMISSIVE")
         return (reader.schema(string_schema(columns)) if columns is not None else reader).csv(paths)
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for p in paths:
-        if fmt == "csv":
-            schema = string_schema(spark.read.option("header", True).option("inferSchema", False).csv(p).columns)
-        else:
-            schema = spark.read.parquet(p).schema
-        groups.setdefault(schema.json(), (schema, []))[1].append(p)
+    if fmt == "csv":
+        found = [(string_schema(names), ps) for names, ps in header_groups(spark, paths)]
+    else:
+        found = _parquet_groups(spark, paths)
+    for schema, ps in found:
+        groups.setdefault(schema.json(), (schema, []))[1].extend(ps)
     there = {c.lower() for schema, _ in groups.values() for c in schema.names}
     frames = []
     for schema, members in groups.values():
@@ -72,6 +120,60 @@ def read_table(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _parquet_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """(schema, paths): all files under their merged schema, whose footers one job reads. Files whose
+    types cannot be merged are told apart one by one."""
+    if len(paths) > 1:
+        try:
+            return [(spark.read.option("mergeSchema", True).parquet(*paths).schema, list(paths))]
+        except Exception as e:  # noqa: BLE001 - py4j wraps the JVM error
+            if "MERGE" not in str(e).upper():
+                raise
+    return [(spark.read.parquet(p).schema, [p]) for p in paths]
+
+
+@dataclass(frozen=True)
+class Quarantine:
+    """A permissive CSV read, taken apart: ``good`` rows, ``bad`` records (file, record) as they stand
+    in the files, and ``counts`` (file, n_good, n_bad)."""
+
+    good: DataFrame
+    bad: DataFrame
+    counts: DataFrame
+
+
+def read_quarantined(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None) -> Quarantine:
+    """Read CSV files with a header, united by name as ``read_table`` does, setting malformed records apart.
+
+    A record is malformed if it has fewer or more fields than its file's header, or a quote
+    that is never closed. ``read_table`` pads or cuts such records, as the original
+    read did. Nothing runs here but the headers' reads; each of the three frames is one scan.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    groups = header_groups(spark, paths)
+    there = {c.lower() for names, _ in groups for c in names}
+    good, bad, flags = [], [], []
+    for names, members in groups:
+        mark = CORRUPT
+        while mark.lower() in {n.lower() for n in names}:
+            mark += "_"
+        schema = string_schema([*names, mark])
+        reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+        # All fields are parsed whatever a query selects: records are told by their number of fields.
+        reader = reader.option("columnNameOfCorruptRecord", mark).option("columnPruning", False)
+        df = reader.csv(members).select("*", F.col("_metadata.file_path").alias(FILE))
+        # NULL unless the record is malformed; a query on the mark alone is refused by the reader.
+        broken = F.concat(quoted(mark), F.coalesce(quoted(names[0]), F.lit(""))).isNotNull()
+        good.append(_select(df.where(~broken).select(*[quoted(n) for n in names]), columns, there, ", ".join(paths)))
+        bad.append(df.where(broken).select(F.col(FILE).alias("file"), quoted(mark).alias("record")))
+        flags.append(df.select(F.col(FILE).alias("file"), broken.alias("bad")))
+    unite = lambda frames: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    counts = unite(flags).groupBy("file").agg(
+        F.count(F.when(~F.col("bad"), 1)).alias("n_good"), F.count(F.when(F.col("bad"), 1)).alias("n_bad")
+    )
+    return Quarantine(unite(good), unite(bad), counts)
+
+
 def load_tables(
     spark: SparkSession,
     root: str,

@@ -148,13 +148,31 @@ def test_few_copies_at_a_time(spark):
     watcher = threading.Thread(target=watch)
     watcher.start()
     try:
-        flagship(spark, SF_SMALL, kinds=("tree", "forest"), folds=2).close()
+        flagship(spark, SF_SMALL, kinds=("tree", "forest"), folds=2, parallelism=2).close()
     finally:
         done.set()
         watcher.join()
     assert max(seen) <= 3  # the shared table and one bagged copy for each of two fits
 
 
+def test_fits_at_a_time_follow_the_free_memory(spark, monkeypatch):
+    import tessera.operators.models as models
+
+    df = spark.range(1000)
+    assert models.fits_at_a_time(df, 6) == 6  # a small table: all at once
+    monkeypatch.setattr(models, "planned_bytes", lambda _: 10**18)
+    assert models.fits_at_a_time(df, 6) == 1
+    free = [int(v._2()) for v in _values(spark.sparkContext._jsc.sc().getExecutorMemoryStatus())]
+    monkeypatch.setattr(models, "planned_bytes", lambda _: sum(free) // 6)
+    assert models.fits_at_a_time(df, 6) in (2, 3)
+
+
+def _values(scala_map):
+    at = scala_map.values().iterator()
+    while at.hasNext():
+        yield at.next()
+
+
 def test_failed_run_releases_what_it_made(spark):
     held = set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
     with pytest.raises(KeyError):
