@@ -1,37 +1,39 @@
 """Toxicity scores from the nearest labelled examples.
 
 Terms are words and their first 4, 5 and 6 letters (stems of inflected words).
-Vectors are TF-IDF over all terms of the examples, and every term weighs as much as
-it tells the labels apart: by its log odds ratio, shrunk by its squared standard
-error (lo^3 / (lo^2 + SHRINK * var)). So no term is cut, what few texts show counts
-little, and with more texts a term's weight comes up to its own log odds ratio. Odds are
-counted in up to ``sample_per_class`` labelled texts of each class (smallest hashes of
-their ids; near copies, by a min-hash of their shingles, once), document
-frequencies over all documents.
-
-The examples, up to ``examples_per_class`` of each class, form an inverted index. A
-text's terms are taken by the largest part of a cosine that each can give, until the
-terms left cannot lift more than a few examples to the ``k``-th best; those few are
-computed from their vectors. So the ``k`` nearest are exact, ties going to the smaller
+Vectors are TF-IDF over all terms of the examples: 1 + log of the count in the text, times
+the inverse document frequency over all documents. With ``label_weights`` (off unless
+asked for; the registered query asks for them) a term's IDF is multiplied by its log odds ratio
+between the labels, shrunk by its squared standard error (lo^3 / (lo^2 + SHRINK * var)): what
+few texts show counts little, and no term is cut. Odds are counted in up to
+``sample_per_class`` labelled texts of each class (smallest hashes of their ids; equal texts and,
+within a class, near copies once).
+
+The examples, up to ``examples_per_class`` of each class, form a block-max inverted
+index. For a batch of texts, one product of their weights with the blocks' maxima bounds
+the cosine with every example of a block; blocks are scored best bound first until no bound
+reaches the ``k``-th best cosine, and what comes near that is computed again in double
+precision. So the ``k`` nearest are exact, ties going to the smaller
 example number. Their labels vote with weight 1 / (0.3 + 1 - cosine), corrected for how
 each class was sampled; leave-one-out votes of the examples themselves, made
-monotone (isotonic regression), turn votes into calibrated scores. A text
+monotone (isotonic regression, whose inner levels hold ``k`` examples at least), turn votes into calibrated scores. A text
 without any vocabulary term gets the positive rate of such examples, or, if all
 have terms, the score of a text that no toxic example votes for.
 
 Sample and examples are bounded by parameters; their terms and vectors are what goes
 through the driver and is broadcast. Every text is read whole.
 
-Defined results: NULL or empty texts have no term; NULL labels or ids teach
-nothing; copies with different labels are one example with their mean; with
-no example of either class the score is the positive rate (0 without labels);
-repeated rows are scored each; other columns pass through and are never read.
+Defined results: NULL or empty texts have no term, texts of any length are scored whole;
+NULL labels or ids teach nothing; equal texts with different labels are one example with
+their mean; with no example of either class the score is the positive rate (0 without labels);
+repeated rows are scored each; other columns pass through and are never read, and one named
+like the output is an error.
 """
 
 from __future__ import annotations
 
-import math
 import string
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -51,10 +53,13 @@ EXAMPLES_PER_CLASS = 2000
 SHRINK = 10.0
 NEIGHBOURS = 25
 BLOCK = 32
-STEP = 20_000
+HEAVY = 3072
+GROWTH = 32  # of the blocks that are asked for from round to round
+ERROR = 2.5e-4  # bound on the error of a cosine summed up in single precision (terms x 2^-24)
 THRESHOLD = 0.3
 # Words, and texts with their scores, that a task remembers.
-REMEMBER = 30_000
+REMEMBER = 200_000
+BATCH, BATCH_BYTES = 256, 1 << 20
 
 _FOLD = bytes(
     ord(" ") if chr(i) in string.punctuation or i < 32 or i == 127 else ord(chr(i).lower()) if i < 128 else i
@@ -84,19 +89,51 @@ def terms(word: bytes) -> list[bytes]:
     return [word, *(b"~" + letters[:n].encode() for n in STEMS if len(letters) >= n)]
 
 
-class Terms(dict):
-    """The vocabulary numbers of words, kept for words seen (up to ``REMEMBER``)."""
+class Lexicon:
+    """The vocabulary's terms of words, by numbers given to the words seen (begun anew beyond ``REMEMBER``)."""
 
     def __init__(self, vocabulary: dict[bytes, int]) -> None:
-        super().__init__()
         self.vocabulary = vocabulary
-
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        found = tuple(self.vocabulary[t] for t in terms(word) if t in self.vocabulary)
-        if len(self) >= REMEMBER:
-            self.clear()
-        self[word] = found
-        return found
+        self._begin()
+
+    def _begin(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.ends, self.flat = array("q", [0]), array("i")
+
+    def _add(self, word: bytes) -> int:
+        self.number[word] = n = len(self.number)
+        get, flat = self.vocabulary.get, self.flat
+        # The terms of ``terms``, without decoding where a byte is a letter.
+        own = [word, *[b"~" + word[:k] for k in STEMS if len(word) >= k]] if word.isascii() else terms(word)
+        for t in own:
+            i = get(t)
+            if i is not None:
+                flat.append(i)
+        self.ends.append(len(flat))
+        return n
+
+    def counts(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, count) of all texts, ascending."""
+        if len(self.number) > REMEMBER:
+            self._begin()
+        number, add = self.number, self._add
+        words, times, sizes = [], [], []
+        for t in texts:
+            c = Counter(words_of(t))
+            words += [number[w] if w in number else add(w) for w in c]
+            times += c.values()
+            sizes.append(len(c))
+        at = np.array(words, dtype=np.int64)
+        ends = np.frombuffer(self.ends, dtype=np.int64)
+        found, of = _runs(ends[at], ends[at + 1])
+        term = np.frombuffer(self.flat, dtype=np.int32)[found] if len(found) else np.zeros(0, dtype=np.int64)
+        key = np.repeat(np.arange(len(texts)), sizes)[of] * len(self.vocabulary) + term
+        order = np.argsort(key, kind="stable")
+        key, n = key[order], np.array(times, dtype=np.float64)[of][order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=np.int64)
+        key = key[first]
+        width = max(1, len(self.vocabulary))
+        return key // width, key % width, np.add.reduceat(n, first) if len(first) else n
 
 
 def _runs(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,19 +143,34 @@ def _runs(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(of)) + np.repeat(first - (np.cumsum(size) - size), size), of
 
 
+def _slices(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
+    """Runs of at most ``BATCH`` texts with ``BATCH_BYTES`` together, or a single text."""
+    out, held = [], 0
+    for t in texts:
+        size = len(t or b"")
+        if out and (len(out) == BATCH or held + size > BATCH_BYTES):
+            yield out
+            out, held = [], 0
+        out.append(t)
+        held += size
+    if out:
+        yield out
+
+
 @dataclass
 class Index:
-    """Inverted index of the examples (numbered so that like ones are near) and their vectors."""
+    """Block-max inverted index of the examples, numbered so that like ones share blocks.
+
+    Posting lists of the ``HEAVY`` terms with the most examples are kept as the rows of a
+    matrix, all others as lists. For each heavy term and block of ``BLOCK`` examples the
+    largest weight is kept.
+    """
 
-    terms: Terms
-    idf: np.ndarray  # of each term, times the term's weight
+    lexicon: Lexicon
+    idf: np.ndarray  # of each term (times its telling weight, if asked for)
     ids: np.ndarray  # document id of each example
     labels: np.ndarray
     weights: np.ndarray  # vote weight that undoes the sampling
-    offsets: np.ndarray  # [term]: where the term's postings start
-    top: np.ndarray  # [term]: the largest weight among them
-    examples: np.ndarray  # postings: example
-    values: np.ndarray  # postings: weight
     vector_offsets: np.ndarray  # [example]: where the example's vector starts
     vector_terms: np.ndarray
     vector_values: np.ndarray
@@ -127,78 +179,112 @@ class Index:
     empty_rate: float
 
     def __getstate__(self) -> dict:
-        kept = {k: v for k, v in self.__dict__.items() if k not in ("start", "most", "_query")}
-        return kept | {"terms": self.terms.vocabulary}
+        kept = {k: v for k, v in self.__dict__.items() if k in self.__dataclass_fields__}
+        return kept | {"lexicon": self.lexicon.vocabulary}
 
     def __setstate__(self, state: dict) -> None:
-        self.__dict__ = state | {"terms": Terms(state["terms"])}
+        self.__dict__ = state | {"lexicon": Lexicon(state["lexicon"])}
 
-    def _cells(self) -> tuple[np.ndarray, int]:
-        blocks = -(-len(self.ids) // BLOCK)
-        term = np.repeat(np.arange(len(self.idf)), np.diff(self.offsets))
-        return term * blocks + self.examples // BLOCK, blocks
+    @cached_property
+    def _lists(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """[term]: where its postings start; postings: example and weight."""
+        by_term = np.argsort(self.vector_terms, kind="stable")
+        example = np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.vector_offsets))[by_term]
+        starts = np.searchsorted(self.vector_terms[by_term], np.arange(len(self.idf) + 1))
+        return starts, example, self.vector_values[by_term]
 
     @cached_property
-    def start(self) -> np.ndarray:
-        """[term, block]: where the term's postings of a block of examples start."""
-        cell, blocks = self._cells()
-        return np.searchsorted(cell, np.arange(len(self.idf))[:, None] * blocks + np.arange(blocks + 1))
+    def _heavy(self) -> tuple[np.ndarray, np.ndarray]:
+        """[term]: its row among the heavy ones, or -1; their postings as a matrix."""
+        starts, example, value = self._lists
+        heavy = np.sort(np.argsort(-np.diff(starts), kind="stable")[:HEAVY])
+        row = np.full(len(self.idf), -1)
+        row[heavy] = np.arange(len(heavy))
+        matrix = np.zeros((len(heavy), self.blocks * BLOCK), dtype=np.float32)
+        found, of = _runs(starts[heavy], starts[heavy + 1])
+        matrix[of, example[found]] = value[found]
+        return row, matrix
+
+    @property
+    def blocks(self) -> int:
+        return -(-len(self.ids) // BLOCK)
 
     @cached_property
     def most(self) -> np.ndarray:
-        """[term, block]: the largest weight among them."""
-        cell, blocks = self._cells()
-        out = np.zeros(len(self.idf) * blocks)
-        np.maximum.at(out, cell, self.values)
-        return out.reshape(len(self.idf), blocks)
+        """[heavy term, block]: the largest weight among the block's postings."""
+        matrix = self._heavy[1]
+        return matrix.reshape(len(matrix), self.blocks, BLOCK).max(axis=2)
 
     @cached_property
     def _query(self) -> np.ndarray:
         return np.zeros(len(self.idf))  # all 0 between uses
 
-    def vector(self, text: bytes | None) -> tuple[tuple[int, ...], np.ndarray] | None:
-        """Term numbers and normalised weights; None without a term."""
-        known = self.terms
-        counts = Counter([t for w in words_of(text) for t in known[w]])
-        if not counts:
-            return None
-        at = tuple(sorted(counts))
-        w = (1 + np.log(np.array([counts[t] for t in at], dtype=float))) * self.idf[list(at)]
-        size = math.sqrt(float(w @ w))
-        return (at, w / size) if size else None
-
-    def nearest(self, at: tuple[int, ...], w: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine above 0 (without ``but``), best first."""
-        rows = np.array(at, dtype=np.int64)
-        part = w * self.top[rows]
-        order = np.argsort(-part, kind="stable")
-        order = order[part[order] > 0]
-        n, ordered = len(self.ids), rows[order]
-        left = np.r_[np.cumsum(part[order][::-1])[::-1], 0]
-        read = np.cumsum(self.offsets[ordered + 1] - self.offsets[ordered])
-        scores, near, done = np.zeros(n), np.empty(0, dtype=np.int64), 0
-        while done < len(order):
-            # As many terms as have STEP postings, one at least.
-            to = max(done + 1, int(np.searchsorted(read, (read[done - 1] if done else 0) + STEP, "right")))
-            some = ordered[done:to]
-            post, of = _runs(self.offsets[some], self.offsets[some + 1])
-            scores += np.bincount(self.examples[post], w[order[done:to]][of] * self.values[post], n)
-            done = to
-            if but >= 0:
-                scores[but] = 0
-            # What the terms left can give, to all and to the k-th best.
-            kth = np.partition(scores, n - k)[n - k] if n > k else 0.0
-            near = np.flatnonzero((scores + left[done] >= kth - 1e-9) & ((scores > 0) | (left[done] > 0)))
-            if len(near) <= 4 * k:
-                break
-        near = near[near != but]
-        self._query[rows] = w
-        at_, of = _runs(self.vector_offsets[near], self.vector_offsets[near + 1])
-        exact = np.round(np.bincount(of, self._query[self.vector_terms[at_]] * self.vector_values[at_], len(near)), 12)
-        self._query[rows] = 0
-        best = np.lexsort((near, -exact))[:k]
-        best = best[exact[best] > 0]
-        return exact[best], near[best]
+    def vectors(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, weight) of the texts' vectors, each of length 1; none for a text without a term."""
+        text, term, n = self.lexicon.counts(texts)
+        w = (1 + np.log(n)) * self.idf[term]
+        size = np.sqrt(np.bincount(text, w * w, len(texts)))
+        keep = size[text] > 0
+        return text[keep], term[keep], w[keep] / size[text[keep]]
+
+    def nearest(
+        self, vectors: tuple[np.ndarray, np.ndarray, np.ndarray], m: int, k: int, but: np.ndarray | None = None
+    ) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+        """For each of ``m`` texts the cosines and numbers of its k nearest examples with a cosine above 0
+        (without example ``but``), best first; and how many blocks were scored.
+
+        The light terms' parts of all cosines are added up from their lists. What the
+        heavy terms can add to a block is at most their weights times the block's maxima: one
+        product gives all bounds. Blocks are scored best bound first, in rounds, as long as
+        their bound reaches the k-th best cosine found. All this is in single precision;
+        examples within its error of the k-th best are computed again from their vectors.
+        """
+        text, term, w = vectors
+        starts, example, value = self._lists
+        row, matrix = self._heavy
+        width = self.blocks * BLOCK
+        heavy = row[term] >= 0
+        query = np.zeros((m, len(matrix)), dtype=np.float32)
+        query[text[heavy], row[term[heavy]]] = w[heavy]
+        light = ~heavy
+        found, of = _runs(starts[term[light]], starts[term[light] + 1])
+        base, weight = (text[light] * width)[of], w[light].astype(np.float32)[of]
+        part = np.bincount(base + example[found], weight * value[found], m * width).astype(np.float32).reshape(m, width)
+        bound = query @ self.most + part.reshape(m, self.blocks, BLOCK).max(axis=2)
+        order = np.argsort(-bound, axis=1, kind="stable")
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(self.blocks)[None, :], axis=1)
+        scores = np.zeros((m, width), dtype=np.float32)
+        kth = np.zeros(m, dtype=np.float32)
+        done, upto, scored = 0, -(-4 * k // BLOCK), 0
+        while done < self.blocks:
+            asked = (rank >= done) & (rank < upto) & (bound > 0) & (bound >= kth[:, None] - ERROR)
+            if not asked.any():
+                break  # bounds fall along the ranks, and the k-th best only rises
+            for b in np.flatnonzero(asked.any(axis=0)):
+                rows = np.flatnonzero(asked[:, b])
+                at = slice(b * BLOCK, (b + 1) * BLOCK)
+                # Few rows are taken out; with many the product of all is the cheaper one.
+                some = query[rows] @ matrix[:, at] if len(rows) < m // 4 else (query @ matrix[:, at])[rows]
+                scores[rows, at] = part[rows, at] + some
+                scored += len(rows)
+            if but is not None:
+                scores[np.arange(m), but] = 0
+            kth = np.partition(scores, width - k, axis=1)[:, width - k] if width > k else kth
+            done, upto = upto, GROWTH * upto
+        firsts = np.searchsorted(text, np.arange(m + 1))
+        out = []
+        for t in range(m):
+            near = np.flatnonzero(scores[t] > max(kth[t] - 2 * ERROR, 0))
+            mine = slice(firsts[t], firsts[t + 1])
+            self._query[term[mine]] = w[mine]
+            at, of = _runs(self.vector_offsets[near], self.vector_offsets[near + 1])
+            exact = np.round(np.bincount(of, self._query[self.vector_terms[at]] * self.vector_values[at], len(near)), 12)
+            self._query[term[mine]] = 0
+            best = np.lexsort((near, -exact))[:k]
+            best = best[exact[best] > 0]
+            out.append((exact[best], near[best]))
+        return out, scored
 
     def vote(self, cosines: np.ndarray, found: np.ndarray) -> float:
         v = self.weights[found] / (1.3 - cosines)
@@ -208,24 +294,39 @@ class Index:
         return float(np.interp(vote, self.cuts, self.rates)) if len(self.cuts) else self.empty_rate
 
 
-def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray, least: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Weighted isotonic regression: the points of a line that is level where the
-    fit is and straight between its levels."""
-    levels: list[list[float]] = []  # first x, last x, sum of w * y, sum of w
+    fit is and straight between its levels. A level between others with fewer than ``least``
+    points tells little of its own: it joins the neighbour with the nearer rate."""
+    levels: list[list[float]] = []  # first x, last x, sum of w * y, sum of w, points
     for i in np.argsort(x, kind="stable"):
         if levels and levels[-1][1] == x[i]:
             levels[-1][2] += w[i] * y[i]
             levels[-1][3] += w[i]
+            levels[-1][4] += 1
         else:
-            levels.append([x[i], x[i], w[i] * y[i], w[i]])
+            levels.append([x[i], x[i], w[i] * y[i], w[i], 1])
         while len(levels) > 1 and levels[-2][2] * levels[-1][3] >= levels[-1][2] * levels[-2][3]:
-            _, last, p, n = levels.pop()
-            levels[-1][1] = last
-            levels[-1][2] += p
-            levels[-1][3] += n
+            _merge(levels, len(levels) - 2)
+    while True:
+        small = [i for i in range(1, len(levels) - 1) if levels[i][4] < least]
+        if not small:
+            break
+        i = min(small, key=lambda i: levels[i][4])
+        rate = [levels[j][2] / levels[j][3] for j in (i - 1, i, i + 1)]
+        _merge(levels, i - 1 if rate[1] - rate[0] <= rate[2] - rate[1] else i)
     return np.array([e for v in levels for e in v[:2]]), np.repeat([v[2] / v[3] for v in levels], 2)
 
 
+def _merge(levels: list[list[float]], i: int) -> None:
+    """Level ``i`` takes in the next one."""
+    _, last, p, n, points = levels.pop(i + 1)
+    levels[i][1] = last
+    levels[i][2] += p
+    levels[i][3] += n
+    levels[i][4] += points
+
+
 def training_rows(id_col: str) -> F.Column:
     """Rows to learn from: crc32 of the id as text, modulo 4, is not 2."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 != 2, F.lit(False))
@@ -282,11 +383,11 @@ def _document_frequencies(docs: DataFrame, text_col: str, vocabulary: dict[bytes
     """Number of documents, and of those with each term, over all rows."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, df, known = 0, np.zeros(len(vocabulary), dtype=np.int64), Terms(vocabulary)
+        n, df, lexicon = 0, np.zeros(len(vocabulary), dtype=np.int64), Lexicon(vocabulary)
         for frame in frames:
             n += len(frame)
-            for t in frame["t"]:
-                df[list({i for w in words_of(None if t is None else bytes(t)) for i in known[w]})] += 1
+            for texts in _slices(list(frame["t"])):
+                df += np.bincount(lexicon.counts(texts)[1], minlength=len(df))
         at = np.flatnonzero(df)
         yield pd.DataFrame({"term": np.r_[-1, at], "n": np.r_[n, df[at]]})
 
@@ -298,13 +399,32 @@ def _document_frequencies(docs: DataFrame, text_col: str, vocabulary: dict[bytes
     return int(n[at < 0].sum()), total
 
 
+def _distinct(frame: pd.DataFrame) -> pd.DataFrame:
+    """Of labelled texts with one min-hash (id, y, t): equal texts are one with their mean label,
+    and near copies (five-word shingles, Jaccard 0.8 or more) of equal label are one. The smallest id stays."""
+    frame = frame.assign(t=[bytes(t) for t in frame["t"]]).sort_values("id")
+    equal = frame.groupby("t", sort=False).agg(id=("id", "min"), y=("y", "mean")).reset_index()
+    kept: list[tuple[float, set]] = []
+    rows = []
+    for t, i, y in zip(equal["t"], equal["id"], equal["y"]):
+        w = words_of(t)
+        own = {b" ".join(w[j : j + 5]) for j in range(max(1, len(w) - 4))}
+        if any(y == other and len(own & there) >= 0.8 * len(own | there) for other, there in kept):
+            continue
+        kept.append((y, own))
+        rows.append((i, y, t))
+    return pd.DataFrame(rows, columns=["id", "y", "t"])
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     sample_per_class: int = SAMPLE_PER_CLASS, examples_per_class: int = EXAMPLES_PER_CLASS, max_terms: int | None = None,
-    min_chi2: float = 0.0, min_odds: float = 1.0, k: int = NEIGHBOURS,
+    min_chi2: float = 0.0, min_odds: float = 1.0, k: int = NEIGHBOURS, label_weights: bool = False,
 ) -> Index:
     """Fit the index on training rows of ``labels`` (see ``training_rows``). All terms of
-    the examples count unless ``max_terms``, ``min_chi2`` or ``min_odds`` are given."""
+    the examples count unless ``max_terms``, ``min_chi2`` or ``min_odds`` are given. The
+    cosine is that of plain TF-IDF; ``label_weights`` multiplies each term's IDF by how much
+    it tells the labels apart."""
     sample, totals = _sample(labels, id_col, label_col, sample_per_class)
     rate = totals.get(1, 0) / max(1, sum(totals.values()))
     chosen = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t")).join(
@@ -316,9 +436,7 @@ def learn(
         for texts in batches:
             yield pd.Series([min_hash(bytes(t)) for t in texts])
 
-    texts = settle(
-        chosen.groupBy(alike("t").alias("h")).agg(F.min("id").alias("id"), F.avg("y").alias("y"), F.min_by("t", "id").alias("t"))
-    )
+    texts = settle(chosen.groupBy(alike("t").alias("h")).applyInPandas(_distinct, "id long, y double, t binary"))
     order = [F.xxhash64("id"), F.col("id")]
     classes = [(F.col("y") > 0.5), (F.col("y") <= 0.5)]
     picked = [texts.where(c).orderBy(*order).limit(examples_per_class).select("id") for c in classes]
@@ -326,19 +444,20 @@ def learn(
     names, telling = _vocabulary(texts, chosen_ids[0] | chosen_ids[1], max_terms, min_chi2, min_odds)
     vocabulary = {t: i for i, t in enumerate(names)}
     n, df = _document_frequencies(docs, text_col, vocabulary) if names else (0, np.zeros(0))
-    idf = (np.log((1 + n) / (1 + df)) + 1) * telling
-    index = Index(Terms(vocabulary), idf, *[np.zeros(0)] * 3, np.zeros(1, dtype=np.int64), *[np.zeros(0)] * 3,
-                  np.zeros(1, dtype=np.int64), *[np.zeros(0)] * 4, rate)
+    idf = (np.log((1 + n) / (1 + df)) + 1) * (telling if label_weights else 1.0)
+    index = Index(Lexicon(vocabulary), idf, *[np.zeros(0)] * 3, np.zeros(1, dtype=np.int64), *[np.zeros(0)] * 4, rate)
     ids = chosen_ids[0] | chosen_ids[1]
 
     def vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             frame = frame[[i in ids for i in frame["id"]]]
-            found = [index.vector(bytes(t)) or ((), np.zeros(0)) for t in frame["t"]]
-            yield pd.DataFrame({
-                "id": frame["id"].to_numpy(), "y": frame["y"].to_numpy(),
-                "at": [np.array(v[0], dtype=np.int32).tobytes() for v in found], "w": [v[1].astype(np.float32).tobytes() for v in found],
-            })
+            at, w = [], []
+            for texts in _slices([bytes(t) for t in frame["t"]]):
+                text, term, weight = index.vectors(texts)
+                ends = np.searchsorted(text, np.arange(1, len(texts)))
+                at += [p.astype(np.int32).tobytes() for p in np.split(term, ends)]
+                w += [p.astype(np.float32).tobytes() for p in np.split(weight, ends)]
+            yield pd.DataFrame({"id": frame["id"].to_numpy(), "y": frame["y"].to_numpy(), "at": at, "w": w})
 
     # What one example of each class stands for among the labelled rows.
     stands = [totals.get(y, 0) / max(1, len(chosen_ids[1 - y])) for y in (0, 1)]
@@ -357,16 +476,12 @@ def learn(
     index.vector_offsets = np.r_[0, np.cumsum(sizes)]
     index.vector_terms = np.concatenate([r[2] for r in rows])
     index.vector_values = np.concatenate([r[3] for r in rows])
-    by_term = np.argsort(index.vector_terms, kind="stable")
-    index.examples = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)[by_term]
-    index.values = index.vector_values[by_term]
-    index.offsets = np.searchsorted(index.vector_terms[by_term], np.arange(len(names) + 1))
-    index.top = np.zeros(len(names))
-    np.maximum.at(index.top, index.vector_terms, index.vector_values)
     votes, told = [], []
-    for e, r in enumerate(rows):
-        if len(r[2]):
-            cosines, found = index.nearest(tuple(r[2].tolist()), r[3].astype(float), k, but=e)
+    for start in range(0, len(rows), BATCH):
+        some = np.arange(start, min(start + BATCH, len(rows)))
+        at = slice(index.vector_offsets[some[0]], index.vector_offsets[some[-1] + 1])
+        own = (np.repeat(some - start, sizes[some]), index.vector_terms[at].astype(np.int64), index.vector_values[at].astype(np.float64))
+        for e, (cosines, found) in zip(some, index.nearest(own, len(some), k, but=some)[0]):
             if len(found):
                 votes.append(index.vote(cosines, found))
                 told.append(e)
@@ -374,7 +489,7 @@ def learn(
     if none.any():
         index.empty_rate = float((index.labels * index.weights)[none].sum() / index.weights[none].sum())
     if told:
-        index.cuts, index.rates = isotonic(np.array(votes), index.labels[told], index.weights[told])
+        index.cuts, index.rates = isotonic(np.array(votes), index.labels[told], index.weights[told], k)
         if not none.any():
             index.empty_rate = index.calibrated(0.0)  # no example votes for it
     return index
@@ -390,23 +505,28 @@ def score(
     @pandas_udf("score double, ids array<long>, cosines array<double>, labels array<double>")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         index = shared.value
-        known: dict = {}
         nothing = (index.empty_rate, [], [], [])
-        for texts in batches:
+
+        def rows_of(texts: list[bytes]) -> list[tuple]:
             rows = []
-            for t in texts:
-                key = b"" if t is None else xxhash.xxh3_128_digest(bytes(t))
-                if key not in known:
-                    if len(known) >= REMEMBER:
-                        known.clear()
-                    known[key] = nothing
-                    v = None if t is None else index.vector(bytes(t))
-                    cosines, found = index.nearest(*v, k) if v and len(index.ids) else ([], [])
-                    if len(found):
-                        top = found[:evidence]
-                        known[key] = (index.calibrated(index.vote(cosines, found)), index.ids[top].tolist(), cosines[:evidence].tolist(), index.labels[top].tolist())
-                rows.append(known[key])
-            yield pd.DataFrame(rows, columns=["score", "ids", "cosines", "labels"])
+            for cosines, found in index.nearest(index.vectors(texts), len(texts), k)[0]:
+                if len(found):
+                    top = found[:evidence]
+                    row = (index.calibrated(index.vote(cosines, found)), index.ids[top].tolist(), cosines[:evidence].tolist(), index.labels[top].tolist())
+                else:
+                    row = nothing
+                rows.append(row)
+            return rows
+
+        known: dict = {}
+        for texts in batches:
+            keys = [None if t is None else xxhash.xxh3_128_digest(bytes(t)) for t in texts]
+            if len(known) >= REMEMBER // 4:
+                known.clear()
+            new = {key: bytes(t) for key, t in zip(keys, texts) if key is not None and key not in known}
+            for some in _slices(list(new.values())) if len(index.ids) else ():
+                known.update(zip((xxhash.xxh3_128_digest(t) for t in some), rows_of(some)))
+            yield pd.DataFrame([known.get(key, nothing) for key in keys], columns=["score", "ids", "cosines", "labels"])
 
     if out in docs.columns:
         raise ValueError(f"column {out!r} is there already")
@@ -416,7 +536,7 @@ def score(
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document from the labels of the training rows."""
     docs = read_table(spark, sf_dir, "documents")
-    index = learn(docs, read_table(spark, sf_dir, "labels"))
+    index = learn(docs, read_table(spark, sf_dir, "labels"), label_weights=True)
     scored = score(docs.select("doc_id", "text"), index)
     return scored.select(
         "doc_id",

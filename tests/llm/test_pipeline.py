@@ -31,7 +31,7 @@ def test_columns_and_decisions(spark, stages):
 
 
 def test_each_stage_is_its_operator(spark, stages):
-    scores = toxicity.score(stages[0], toxicity.learn(stages[0], read_table(spark, SF_MID, "labels")))
+    scores = toxicity.score(stages[0], toxicity.learn(stages[0], read_table(spark, SF_MID, "labels"), label_weights=True))
     assert ids(stages[1]) == ids(scores.where(F.col("toxicity.score") < 0.3))
     components = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(stages[2]).collect()}
     assert ids(stages[3]) == set(components.values())
@@ -40,6 +40,8 @@ def test_each_stage_is_its_operator(spark, stages):
 def test_run_equals_the_stages(spark, stages):
     key = lambda df: sorted((r["doc_id"], tuple(r["piece_ids"])) for r in df.collect())
     assert key(corpus_pipeline.run(spark, SF_MID)) == key(stages[5])
+    # Ids decode to the text they were made of.
+    assert stages[5].where("round_trip").count() == stages[5].count()
 
 
 def test_edge_documents(spark):

@@ -1,6 +1,10 @@
 """Exact neighbours, calibration, held-out accuracy and edge rows."""
 
+import math
+from collections import Counter
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,45 +24,109 @@ def index(spark):
 
 
 def vectors(index):
-    """The examples as dense rows, rebuilt from the postings."""
+    """The examples as dense rows."""
     dense = np.zeros((len(index.ids), len(index.idf)))
-    blocks = index.most.shape[1]
-    for t in range(len(index.idf)):
-        a, b = index.start[t, 0], index.start[t, blocks]
-        dense[index.examples[a:b], t] = index.values[a:b]
+    for e in range(len(index.ids)):
+        at = slice(index.vector_offsets[e], index.vector_offsets[e + 1])
+        dense[e, index.vector_terms[at]] = index.vector_values[at]
     return dense
 
 
+def nearest(index, text, k):
+    return index.nearest(index.vectors([text.encode()]), 1, k)[0][0]
+
+
+def same(got, cosines, k, tolerance=1e-9):
+    """The k best of dense cosines; sums may differ in their last digits, so near ties are left out."""
+    want = [e for e in np.lexsort((np.arange(len(cosines)), -cosines))[:k] if cosines[e] > tolerance]
+    got_c, got_e = got
+    assert np.allclose(got_c[: len(want)], cosines[want], atol=tolerance) and len(got_c) >= len(want)
+    last = cosines[want[-1]] if want else 0
+    assert {e for e, c in zip(got_e, got_c) if c > last + tolerance} == {e for e in want if cosines[e] > last + tolerance}
+
+
 def test_neighbours_are_exact(spark, index):
     dense = vectors(index)
     texts = [r["text"] for r in read_table(spark, SF_MID, "documents").limit(300).collect()]
     asked = 0
-    for text in texts:
-        v = index.vector(text.encode())
-        if v is None:
-            continue
-        q = np.zeros(dense.shape[1])
-        q[list(v[0])] = v[1]
-        cosines = np.round(dense @ q, 12)
-        want = [e for e in np.lexsort((np.arange(len(cosines)), -cosines))[:25] if cosines[e] > 0]
-        got_c, got_e = index.nearest(*v, 25)
-        # Sums may differ in their last digit: compare what is not a near tie.
-        assert np.allclose(got_c, cosines[want], atol=1e-9)
-        assert set(got_e[got_c > got_c[-1] + 1e-9]) == {e for e in want if cosines[e] > got_c[-1] + 1e-9}
-        asked += 1
+    for some in toxicity._slices([t.encode() for t in texts]):
+        of, term, w = index.vectors(some)
+        got, _ = index.nearest((of, term, w), len(some), 25)
+        for t in range(len(some)):
+            q = np.zeros(dense.shape[1])
+            q[term[of == t]] = w[of == t]
+            same(got[t], np.round(dense @ q, 12), 25)
+            asked += bool(q.any())
     assert asked > 50
 
 
-def test_block_maxima_bound_their_postings(index):
-    dense = vectors(index)
-    for b in range(index.most.shape[1]):
-        assert np.allclose(index.most[:, b], dense[b * toxicity.BLOCK : (b + 1) * toxicity.BLOCK].max(axis=0))
+def plain_tf_idf(docs, labels, index):
+    """Term weights of the examples and of any text, counted from the texts by plain Python."""
+    known, texts = index.lexicon.vocabulary, {r["doc_id"]: r["text"].encode() for r in docs.collect()}
+    bag = lambda t: Counter(x for w in toxicity.words_of(t) for x in toxicity.terms(w) if x in known)
+    df = Counter(x for t in texts.values() for x in bag(t))
+    idf = {x: math.log((1 + len(texts)) / (1 + df[x])) + 1 for x in known}
+
+    def vector(t):
+        v = {x: (1 + math.log(n)) * idf[x] for x, n in bag(t).items()}
+        size = math.sqrt(sum(a * a for a in v.values()))
+        return {x: a / size for x, a in v.items()}
+
+    return vector, [vector(texts[i]) for i in index.ids]
+
+
+def test_neighbours_equal_cosines_from_the_texts(spark):
+    ship(spark)
+    docs, labels = read_table(spark, SF_SMALL, "documents"), read_table(spark, SF_SMALL, "labels")
+    index = toxicity.learn(docs, labels)
+    vector, examples = plain_tf_idf(docs, labels, index)
+    for text in [r["text"] for r in docs.limit(80).collect()]:
+        q = vector(text.encode())
+        cosines = np.array([sum(a * e.get(x, 0.0) for x, a in q.items()) for e in examples])
+        same(nearest(index, text, 7), cosines, 7, 1e-6)
+
+
+def test_blocks_that_cannot_matter_are_not_scored(spark, index):
+    texts = [r["text"].encode() for r in read_table(spark, SF_MID, "documents").limit(200).collect()]
+    v = index.vectors(texts)
+    for k in (1, 5):
+        _, scored = index.nearest(v, len(texts), k)
+        assert 0 < scored < 0.9 * len(texts) * index.blocks, (k, scored)
+
+
+def test_block_maxima_bound_their_postings(index, monkeypatch):
+    monkeypatch.setattr(toxicity, "HEAVY", 50)
+    index.__dict__.pop("_heavy", None), index.__dict__.pop("most", None)
+    dense, row = vectors(index), index._heavy[0]
+    heavy = np.flatnonzero(row >= 0)
+    assert len(heavy) == 50 and (np.count_nonzero(dense[:, heavy], axis=0).min() >= np.count_nonzero(dense[:, row < 0], axis=0).max())
+    for b in range(index.blocks):
+        assert np.allclose(index.most[:, b], dense[b * toxicity.BLOCK : (b + 1) * toxicity.BLOCK, heavy].max(axis=0))
+    # With few heavy terms or all of them the neighbours are the same.
+    text = b"a text of some words " * 3
+    few = index.nearest(index.vectors([text]), 1, 9)[0][0]
+    monkeypatch.undo()
+    index.__dict__.pop("_heavy", None), index.__dict__.pop("most", None)
+    many = index.nearest(index.vectors([text]), 1, 9)[0][0]
+    assert few[0].tolist() == many[0].tolist() and few[1].tolist() == many[1].tolist()
+
+
+def test_labelled_copies(spark):
+    """Equal texts are one example with their mean label; near copies one, but not across labels."""
+    text = " ".join(f"w{i}" for i in range(200))
+    near, other = text + " tail", " ".join(f"w{i}" for i in range(5)) + " " + " ".join(f"v{i}" for i in range(200))
+    frame = pd.DataFrame([(5, 0.0, text), (1, 0.0, text), (2, 1.0, text), (3, 0.0, near), (4, 1.0, near), (6, 1.0, near + " x"), (7, 0.0, other)], columns=["id", "y", "t"])
+    frame["t"] = frame["t"].str.encode("utf-8")
+    got = {r.id: r.y for r in toxicity._distinct(frame).itertuples()}
+    assert got == {1: 1 / 3, 3: 0.5, 6: 1.0, 7: 0.0}
 
 
 def test_isotonic():
     x, y = toxicity.isotonic(np.array([0.1, 0.2, 0.2, 0.5, 0.9]), np.array([0, 1, 0, 0, 1.0]), np.ones(5))
     assert x.tolist() == [0.1, 0.1, 0.2, 0.5, 0.9, 0.9]
     assert np.allclose(y, [0, 0, 1 / 3, 1 / 3, 1, 1])
+    x, y = toxicity.isotonic(np.array([0.1, 0.2, 0.2, 0.5, 0.9]), np.array([0, 1, 0, 0, 1.0]), np.ones(5), 4)
+    assert x.tolist() == [0.1, 0.5, 0.9, 0.9] and np.allclose(y, [1 / 4, 1 / 4, 1, 1])  # the ends stay
 
 
 def test_held_out_accuracy_and_contract(spark):
@@ -81,7 +149,7 @@ def test_held_out_labels_teach_nothing(spark):
     labels = read_table(spark, SF_MID, "labels")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     flipped = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
-    a, b = toxicity.learn(docs, labels), toxicity.learn(docs, flipped)
+    a, b = (toxicity.learn(docs, which, label_weights=True) for which in (labels, flipped))
     assert a.ids.tolist() == b.ids.tolist() and a.rates.tolist() == b.rates.tolist() and a.empty_rate == b.empty_rate
 
 
@@ -91,7 +159,7 @@ def test_planted_words_are_caught_and_clean_texts_left(spark):
     toxic = [(1000 + i, f"plain talk number {i} about vilex{'abcdefg'[i % 7]} and w{i % 5}", "s") for i in range(100)]
     docs = docs_frame(spark, clean + toxic)
     labels = spark.createDataFrame([(i, 1, int(i >= 1000)) for i, _, _ in clean + toxic], LABELS)
-    index = toxicity.learn(docs, labels)
+    index = toxicity.learn(docs, labels, label_weights=True)
     fresh = docs_frame(spark, [(1, "calm words of w3", "s"), (2, "never seen vilexquz here", "s"), *EDGE_ROWS])
     scored = toxicity.score(fresh, index).collect()
     assert len(scored) == fresh.count()
@@ -128,20 +196,6 @@ def test_rare_toxic_terms_count(spark):
     clean = [(i, f"plain talk number {i} about w{i % 7} and w{i % 5}", "s") for i in range(600)]
     toxic = [(1000 + i, f"plain talk number {i} about {'zorgle' if i < 3 else 'vilexq'} and w{i % 5}", "s") for i in range(60)]
     docs = docs_frame(spark, clean + toxic)
-    index = toxicity.learn(docs, spark.createDataFrame([(i, 1, int(i >= 1000)) for i, _, _ in clean + toxic], LABELS))
+    index = toxicity.learn(docs, spark.createDataFrame([(i, 1, int(i >= 1000)) for i, _, _ in clean + toxic], LABELS), label_weights=True)
     r = toxicity.score(docs_frame(spark, [(1, "you zorgle", "s")]), index).first()["toxicity"]
     assert r["score"] > 0.5 and sorted(r["ids"]) == [1000, 1001, 1002]
-
-
-def test_neighbours_of_all_terms_are_exact(spark):
-    ship(spark)
-    docs = read_table(spark, SF_SMALL, "documents")
-    index = toxicity.learn(docs, read_table(spark, SF_SMALL, "labels"))
-    dense = vectors(index)
-    for text in [r["text"] for r in docs.limit(60).collect()]:
-        at, w = index.vector(text.encode())
-        cosines = np.round(dense[:, list(at)] @ w, 12)
-        want = [e for e in np.lexsort((np.arange(len(cosines)), -cosines))[:5] if cosines[e] > 0]
-        got_c, got_e = index.nearest(at, w, 5)
-        assert np.allclose(got_c, cosines[want], atol=1e-9)
-        assert set(got_e[got_c > got_c[-1] + 1e-9]) == {e for e in want if cosines[e] > got_c[-1] + 1e-9}
