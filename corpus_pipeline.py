@@ -20,7 +20,7 @@ from tessera.llm.common import read_table, ship, stored, temp_column
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score under 0.3, learned from the labelled ones."""
     ship(spark)
-    index = toxicity.learn(docs, read_table(spark, sf_dir, "labels"))
+    index = toxicity.learn(docs, read_table(spark, sf_dir, "labels"), label_weights=True)
     scored = toxicity.score(docs, index, out := temp_column("toxicity"), evidence=0)
     return scored.where(F.col(f"{out}.score") < toxicity.THRESHOLD).drop(out)
 
@@ -42,11 +42,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' piece ids."""
+    """The documents' piece ids, and whether they decode to the text."""
     ship(spark)
     path = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = sentence_pieces.encode(docs.select("doc_id", "lang", "source", "text"), "text", "piece_ids", path)
-    return encoded.select("doc_id", "lang", "source", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids")
+    encoded = sentence_pieces.encode(docs.select("doc_id", "lang", "source", "text"), "text", "piece_ids", path, round_trip="round_trip")
+    return encoded.select("doc_id", "lang", "source", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", "round_trip")
 
 
 STAGES = [
