@@ -12,14 +12,16 @@ Character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined in page order by one newline; nothing else is cut.
 
 Defined results: NULL and empty pages have the empty text; unclosed and
-stray tags are tolerated (an end tag closes what was opened inside it); equal
-rows give equal texts; empty tables give empty results; other columns pass through.
+stray tags are tolerated (an end tag closes what was opened inside it), at any depth of
+nesting and any length of page; equal rows give equal texts, ties do not occur (blocks
+keep their order); empty tables give empty results; other columns pass through.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -39,11 +41,13 @@ BLOCK_TAGS = frozenset(
     " th thead tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT_TAGS = "script|style|noscript|template|title|textarea|select|button|svg|math|iframe|object|audio|video|canvas"
+SILENT_TAGS = "script|style|noscript|template|title|textarea|iframe"
+# ... if they are closed; an end that is missing hides nothing.
+CLOSED_SILENT_TAGS = "select|button|svg|object|audio|video|canvas"
 # Elements that a following element of the same kind closes.
 SELF_CLOSING = {"p": BLOCK_TAGS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
 # Containers that are not the article, by tag and by words in class, id or role.
-OTHER_TAGS = frozenset("nav aside footer form menu dialog".split())
+OTHER_TAGS = frozenset("nav aside footer menu dialog".split())
 OTHER_WORDS = re.compile(
     r"(?<![a-z0-9])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|sidebar"
     r"|side|rail|menu|nav|navbar|navigation|topbar|breadcrumbs?|comments?|replies|reply|respond|disqus|shar(?:e|ing)|social|related"
@@ -59,6 +63,7 @@ ARTICLE_WORDS = re.compile(r"(?<![a-z0-9])(?:article|main|post|entry|story|conte
 _TOKEN = re.compile(
     r"<!--(?s:.*?)(?:-->|\Z)"
     r"|<(?P<silent>" + SILENT_TAGS + r")\b(?>[^>\"']|\"[^\"]*\"|'[^']*')*+>(?s:.*?)(?:</(?P=silent)\s*>|\Z)"
+    r"|<(?P<closed>" + CLOSED_SILENT_TAGS + r")\b(?>[^>\"']|\"[^\"]*\"|'[^']*')*+>(?s:.*?)</(?P=closed)\s*>"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?>[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|</?[a-z!?][^>]*(?:>|\Z)",
     re.IGNORECASE,
@@ -105,6 +110,7 @@ class _Reader:
     in_link: int = 0
     heading: bool = False
     named: list[_Named] = field(default_factory=lambda: [_Named(0)])
+    depth: Counter = field(default_factory=Counter)  # open elements of each tag
 
     def text(self, raw: str) -> None:
         if raw:
@@ -136,7 +142,7 @@ class _Reader:
             return
         top = self.open[-1]
         if tag in SELF_CLOSING.get(top.tag, ()):
-            self.open.pop()
+            self.depth[self.open.pop().tag] -= 1
             top = self.open[-1]
         names = " ".join(x for m in _NAMES.findall(attrs) for x in m if x).lower() if attrs else ""
         names = MODIFIERS.sub(" ", names) if "-" in names else names
@@ -148,6 +154,8 @@ class _Reader:
             hits = set(OTHER_WORDS.findall(names)) if names and tag not in ("body", "html") else set()
         if named or top.article:
             hits.discard("header")  # the article's own
+        if tag == "form":  # may be the page's frame, like any container by name
+            hits.add(tag)
         article = tag in ("article", "main") or bool(named and not hits)
         other = tag in OTHER_TAGS or tag == "header" and not top.article
         if tag == "h1" or article and not hits:
@@ -155,9 +163,8 @@ class _Reader:
         if hits:
             self.named.append(_Named(top.named))
         self.open.append(_Open(tag, other or top.other, article or top.article, len(self.named) - 1 if hits else top.named))
+        self.depth[tag] += 1
         self.heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
-        if len(self.open) > 500:  # nested beyond sense: fold the oldest levels
-            del self.open[1:250]
 
     def end(self, tag: str) -> None:
         if tag == "a":
@@ -167,9 +174,11 @@ class _Reader:
             return
         self.flush()
         self.heading = False
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
+        # Every element looked at is closed, so the stack is walked once however deep it is.
+        while self.depth[tag]:
+            closed = self.open.pop().tag
+            self.depth[closed] -= 1
+            if closed == tag:
                 break
 
 

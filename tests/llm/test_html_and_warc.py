@@ -127,6 +127,38 @@ def test_the_article_element_decides_where_there_is_one():
     assert (html_extraction.classify(TREE, rows) == rows[:, 1].astype(bool)).all()
 
 
+@pytest.mark.parametrize("depth", [600, 10_000])
+@pytest.mark.parametrize("closed", [True, False])
+def test_deep_nesting_loses_nothing(depth, closed):
+    inner = "<div>" * depth + f"<p>{LONG}</p>" + "</div>" * depth * closed
+    page = f"<body><nav><a href=/>Home</a></nav><article><h1>A title of some words</h1>{inner}<p>{LONG} again</p></article><p>A note of some words after it, which is not the article.</p></body>"
+    text = " ".join(LONG.split())
+    assert main(page) == f"A title of some words\n{text}\n{text} again"
+
+
+def test_many_stray_end_tags_take_no_time():
+    from time import perf_counter
+
+    start = perf_counter()
+    main("<div>" * 20_000 + "</p></section>" * 20_000 + LONG)
+    assert perf_counter() - start < 5
+
+
+@pytest.mark.parametrize("article", ["<article>%s</article>", "<div>%s</div>"])
+def test_a_form_around_the_page_is_its_frame(article):
+    body = article % f"<h1>A title of some words</h1><p>{LONG}</p><p>{LONG}</p>"
+    page = f"<body><form id=aspnetForm><nav><ul><li><a href=/a>Home</a></ul></nav>{body}<footer>&copy; Somebody</footer></form></body>"
+    text = " ".join(LONG.split())
+    assert main(page) == f"A title of some words\n{text}\n{text}"
+
+
+def test_formulas_and_unclosed_controls_hide_nothing():
+    text = " ".join(LONG.split())
+    assert main(f"<article><p>{LONG}Where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>") == f"{text} Where x=2 holds."
+    assert main(f"<article><p>{LONG}</p><select><p>{LONG}</p><button type=x><p>{LONG}</p></article>") == "\n".join([text] * 3)
+    assert main(f"<article><p>{LONG}</p><select><option>One</select><button>Send</button></article>") == text
+
+
 def test_extract_edges(spark):
     ship(spark)
     rows = [(1, "u", None), (2, None, ""), (2, None, ""), (None, "u", "<article>x</article>"), (3, "u", "<article>" + "w " * 300_000 + "</article>")]
