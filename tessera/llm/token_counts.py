@@ -24,8 +24,9 @@ start (one huge pre-token) pass their entry state on, one round per chunk.
 Special tokens inside a text are handled as the library does by default: each
 occurrence is one token and splits the text. Counts equal the library's.
 
-Defined results: NULL counts as the empty text (0 tokens); empty tables give
-empty results; repeated rows are counted each; all other columns pass through.
+Defined results: NULL counts as the empty text (0 tokens); texts of any length are counted
+whole; empty tables give empty results; repeated rows are counted each (there are no
+ties); all other columns pass through, and one named like the output is replaced.
 """
 
 from __future__ import annotations
@@ -127,8 +128,8 @@ class Merger:
         self._clear()
 
     def _clear(self) -> None:
-        start = self._pack(b"", [(0, -1, 0)])
-        self.states, self.number = [start], {start: START}
+        self.start = self._pack(b"", [(0, -1, 0)])
+        self.states, self.number = [self.start], {self.start: START}
         self.filled = 0
         self._table(1 << 16)
 
@@ -239,6 +240,17 @@ class Merger:
         back[order] = np.arange(len(order))
         return state[back], total[back]
 
+    def packed(self, state: np.ndarray) -> list[bytes]:
+        """States by what they hold: their numbers are good until a restart only."""
+        return [self.states[s] for s in state.tolist()]
+
+    def numbers(self, packed: list[bytes]) -> np.ndarray:
+        for p in packed:
+            if p not in self.number:
+                self.number[p] = len(self.states)
+                self.states.append(p)
+        return np.array([self.number[p] for p in packed], dtype=np.int64)
+
     def _restart(self, state: np.ndarray) -> np.ndarray:
         """Forget all but the states in use; their new numbers."""
         used, flat = np.unique(state, return_inverse=True)
@@ -313,19 +325,72 @@ class Transducer:
         constant = np.where(at < len(marks), marks[np.minimum(at, len(marks) - 1)], len(data))
         constant = np.minimum(constant, end)
         has = constant < end
-        exits = np.full(len(begin), -1, dtype=np.int64)
         emitted = np.zeros(len(begin), dtype=np.int64)
-        exits[has], emitted[has] = self.merger.run(data, resets, constant[has], end[has], np.zeros(int(has.sum()), dtype=np.int64))
-        # Heads: a chunk's entry state is its predecessor's exit state.
+        out, emitted[has] = self.merger.run(data, resets, constant[has], end[has], np.zeros(int(has.sum()), dtype=np.int64))
         waiting = np.flatnonzero(constant > begin)
-        while len(waiting):
-            ready = waiting[exits[waiting - 1] >= 0]
-            out, more = self.merger.run(data, resets, begin[ready], constant[ready], exits[ready - 1])
-            emitted[ready] += more
-            exits[ready] = np.where(has[ready], exits[ready], out)
-            waiting = waiting[~np.isin(waiting, ready)]
+        if len(waiting):
+            exits = dict(zip(np.flatnonzero(has).tolist(), self.merger.packed(out)))
+            emitted[waiting] += self._heads(data, resets, begin, constant, has, exits, waiting)
         return np.bincount(piece, weights=emitted, minlength=len(pieces)).astype(np.int64)
 
+    def _heads(
+        self, data: np.ndarray, resets: np.ndarray, begin: np.ndarray, constant: np.ndarray, has: np.ndarray, exits: dict[int, bytes],
+        waiting: np.ndarray,
+    ) -> np.ndarray:
+        """Tokens emitted by the parts of chunks before their first reset, whose entry state is the
+        exit state of the chunk before.
+
+        A chunk without a reset is a state map. Maps are kept as far as they are known: by
+        chunk (equal bytes share one) and entry state. First every chunk is read from the exit that
+        its predecessor has when begun anew, all in lockstep. Then adjacent maps are composed pairwise, in
+        blocks of 1, 2, 4, ... chunks: where the left block's exit is not the state that the right
+        one was read from, the right one is read again from there until it meets a known
+        state. A merger forgets its entry after a few tokens, so mostly the first chunk does.
+        """
+        known: dict[tuple[bytes, bytes], tuple[bytes, int]] = {}
+        content = {i: data[begin[i] : constant[i]].tobytes() for i in waiting.tolist()}
+
+        def read(chunks: list[int], states: list[bytes]) -> list[tuple[bytes, int]]:
+            keys = [(content[i], s) for i, s in zip(chunks, states)]
+            new = {k: i for k, i in zip(keys, chunks) if k not in known}
+            if new:
+                at = np.fromiter(new.values(), dtype=np.int64)
+                out, more = self.merger.run(data, resets, begin[at], constant[at], self.merger.numbers([s for _, s in new]))
+                known.update(zip(new, zip(self.merger.packed(out), more.tolist())))
+            return [known[k] for k in keys]
+
+        chunks = waiting.tolist()
+        first = [i for i in chunks if has[i - 1]]
+        later = [i for i in chunks if not has[i - 1]]
+        entry = {i: exits[i - 1] for i in first}
+        entry |= zip(later, (s for s, _ in read([i - 1 for i in later], [self.merger.start] * len(later))))
+        emitted: dict[int, int] = {}
+
+        def settle(some: list[int]) -> None:
+            for i, (state, n) in zip(some, read(some, [entry[i] for i in some])):
+                emitted[i] = n
+                if not has[i]:
+                    exits[i] = state
+
+        settle(chunks)
+        # Places in the chains of chunks that wait for each other.
+        place: dict[int, int] = {}
+        for i in chunks:
+            place[i] = 0 if has[i - 1] else place[i - 1] + 1
+        size, longest = 1, max(place.values())
+        while size <= longest:
+            ask = [i for i in later if place[i] % (2 * size) == size]
+            ends = {i: i + size for i in ask}
+            while ask:
+                ask = [i for i in ask if entry[i] != exits[i - 1]]
+                entry |= {i: exits[i - 1] for i in ask}
+                settle(ask)
+                # On into the right block, as far as it reaches and nothing is known to fit.
+                on = {i + 1: ends[i] for i in ask if i + 1 < ends[i] and i + 1 in place and place[i + 1] == place[i] + 1}
+                ask, ends = list(on), on
+            size *= 2
+        return np.array([emitted[i] for i in chunks], dtype=np.int64)
+
 
 _compiled: dict[str, Transducer] = {}
 

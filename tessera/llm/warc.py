@@ -19,8 +19,9 @@ and ``parse`` reads such bytes.
 
 Defined results: records that are no responses have no derivatives; a block that is
 no HTTP message has a metadata record with NULL status and no conversion record;
-missing fields are left out; repeated rows have equal derivatives; empty tables
-give empty results; other columns are never read.
+missing fields are left out; repeated rows have equal derivatives (there are no ties);
+blocks of any length are read whole; empty tables give empty results; other columns are
+never read, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import html
 import json
 import re
 import uuid
@@ -46,6 +48,7 @@ RECORD = "record_id string, record_type string, headers array<struct<name:string
 VERSION = b"WARC/1.0"
 CRLF = b"\r\n"
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.IGNORECASE)
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|(?P<tag><(?P<kind>script|style)\b[^>]*>).*?(?:</(?P=kind)\s*>|\Z)", re.IGNORECASE | re.DOTALL)
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.IGNORECASE | re.DOTALL)
 _META = re.compile(r"<meta\b([^>]*)>", re.IGNORECASE)
 _LINK = re.compile(r"<(a|link|img|script|iframe|area|form)\b([^>]*)>", re.IGNORECASE)
@@ -104,31 +107,49 @@ def _get(fields: Fields, name: str) -> str | None:
     return next((v for n, v in fields if n.lower() == name.lower()), None)
 
 
-def _body(fields: Fields, body: bytes) -> bytes:
-    """The payload without transfer and content coding (as far as it decodes)."""
-    if (_get(fields, "Transfer-Encoding") or "").lower() == "chunked":
-        out, at = bytearray(), 0
-        while (end := body.find(CRLF, at)) >= 0:
-            try:
-                n = int(body[at:end].split(b";")[0], 16)
-            except ValueError:
-                break
-            if n == 0:
-                break
-            out += body[end + 2 : end + 2 + n]
-            at = end + 4 + n
-        body = bytes(out)
-    coding = (_get(fields, "Content-Encoding") or "").lower()
-    if coding in ("gzip", "x-gzip", "deflate"):
-        out, left = b"", body
-        while left:  # a gzip payload may have several members
-            member = zlib.decompressobj(47 if "gzip" in coding else 15)
+def _codings(fields: Fields, name: str) -> list[str]:
+    """The codings that all fields of this name list, in the order they were applied."""
+    return [c.strip().lower() for n, v in fields if n.lower() == name.lower() for c in v.split(",") if c.strip()]
+
+
+def _unchunked(body: bytes) -> bytes:
+    out, at = bytearray(), 0
+    while (end := body.find(CRLF, at)) >= 0:
+        try:
+            n = int(body[at:end].split(b";")[0], 16)
+        except ValueError:
+            break
+        if n == 0:
+            break
+        out += body[end + 2 : end + 2 + n]
+        at = end + 4 + n
+    return bytes(out)
+
+
+def _inflated(body: bytes, gzipped: bool) -> bytes:
+    """gzip with all its members; deflate with or without the zlib header. What does not decode stays as it is."""
+    out, left = b"", body
+    while left:
+        for bits in (47,) if gzipped else (15, -15):
+            member = zlib.decompressobj(bits)
             try:
                 out += member.decompress(left)
+                break
             except zlib.error:
-                return out or body
-            left = member.unused_data if "gzip" in coding else b""
-        return out
+                continue
+        else:
+            return out or body
+        left = member.unused_data if gzipped else b""
+    return out
+
+
+def _body(fields: Fields, body: bytes) -> bytes:
+    """The payload without transfer and content codings (as far as it decodes), the last applied undone first."""
+    for coding in [*reversed(_codings(fields, "Transfer-Encoding")), *reversed(_codings(fields, "Content-Encoding"))]:
+        if coding == "chunked":
+            body = _unchunked(body)
+        elif coding in ("gzip", "x-gzip", "deflate"):
+            body = _inflated(body, "gzip" in coding)
     return body
 
 
@@ -161,7 +182,7 @@ def decode_text(content_type: str, body: bytes) -> str:
 
 
 def _attributes(raw: str) -> dict[str, str]:
-    return {n.lower(): a or b or c for n, a, b, c in _ATTR.findall(raw)}
+    return {n.lower(): html.unescape(a or b or c) for n, a, b, c in _ATTR.findall(raw)}
 
 
 def _derived(source: Fields, record_id: str, kind: str, content_type: str, block: bytes, payload: str | None) -> tuple:
@@ -186,13 +207,15 @@ def derivatives(record_id: str, source: Fields, block: bytes) -> list[tuple]:
     payload = _get(source, "WARC-Payload-Digest") or digest(raw)
     page: dict = {}
     if is_text and ("html" in media):
-        title = _TITLE.search(text)
+        # Comments, scripts and styles hold no links of the page; their own tags may.
+        markup = _HIDDEN.sub(lambda m: m["tag"] or " ", text)
+        title = _TITLE.search(markup)
         page = {
-            "Title": " ".join(title[1].split()) if title else None,
-            "Metas": [_attributes(m) for m in _META.findall(text)],
+            "Title": " ".join(html.unescape(title[1]).split()) if title else None,
+            "Metas": [_attributes(m) for m in _META.findall(markup)],
             "Links": [
                 {"path": f"{tag.lower()}@{_TARGET[tag.lower()]}", "url": url}
-                for tag, raw_attrs in _LINK.findall(text) if (url := _attributes(raw_attrs).get(_TARGET[tag.lower()]))
+                for tag, raw_attrs in _LINK.findall(markup) if (url := _attributes(raw_attrs).get(_TARGET[tag.lower()]))
             ],
         }
     meta = {

@@ -231,6 +231,36 @@ def test_all_gzip_members_are_read():
     assert text_of(response(gzip.compress(b"<p>one</p>") + b"\0\0", *kind)) == "one"
 
 
+def test_codings_are_undone_in_turn():
+    import zlib
+
+    body, kind = b"<p>some text</p>", "Content-Type: text/html"
+    raw = zlib.compressobj(wbits=-15)
+    deflated = raw.compress(body) + raw.flush()
+    chunks = lambda b: b"%x\r\n%s\r\n0\r\n\r\n" % (len(b), b)
+    for coded, *headers in [
+        (deflated, "Content-Encoding: deflate"), (zlib.compress(body), "Content-Encoding: deflate"),
+        (chunks(gzip.compress(body)), "Transfer-Encoding: gzip, chunked"), (chunks(deflated), "Transfer-Encoding: chunked", "Content-Encoding: deflate"),
+        (gzip.compress(zlib.compress(body)), "Content-Encoding: deflate, gzip"), (chunks(gzip.compress(deflated)), "Transfer-Encoding: gzip", "Transfer-Encoding: chunked", "Content-Encoding: Deflate"),
+        (body, "Content-Encoding: br"),
+    ]:
+        assert text_of(response(coded, kind, *headers)) == "some text", headers
+
+
+def test_references_are_decoded_and_hidden_links_left_out():
+    page = (
+        "<!-- <title>no</title><a href=/hidden> --><title>AT&amp;T &#8211; x</title><meta name=d content='a &lt; b'>"
+        "<script src=/s.js?a=1&amp;b=2>document.write('<a href=/written>')</script><style>a{background:url(<img src=/no>)}</style>"
+        "<a href='/x?a=1&amp;b=2'>y</a><img src=/i.png>"
+    )
+    meta = json.loads(warc.derivatives("<urn:x>", [], response(page.encode(), "Content-Type: text/html"))[0][3])
+    found = meta["Envelope"]["Payload-Metadata"]["HTTP-Response-Metadata"]["HTML-Metadata"]
+    assert found["Title"] == "AT&T \u2013 x" and found["Metas"] == [{"name": "d", "content": "a < b"}]
+    assert found["Links"] == [
+        {"path": "script@src", "url": "/s.js?a=1&b=2"}, {"path": "a@href", "url": "/x?a=1&b=2"}, {"path": "img@src", "url": "/i.png"},
+    ]
+
+
 def test_members_round_trip():
     records = warc.derivatives("<urn:x>", [("WARC-Target-URI", "http://a/"), ("X", "y")], response(b"<p>t</p>", "Content-Type: text/html"))
     data = b"".join(warc.member(h, b) for _, _, h, b in records)

@@ -51,6 +51,41 @@ def test_restarts_do_not_matter(library, monkeypatch):
     assert token_counts.Transducer(PATH).counts(texts).tolist() == counted(library, texts)
 
 
+def long_runs(size, seed=4):
+    """Pre-tokens over many chunks: letters at random, of syllables, periodic ones and other scripts."""
+    rng = random.Random(seed)
+    draw = lambda parts, n: "".join(rng.choices(parts, k=n))
+    return [
+        draw("abcdefghijklmnop", size), draw(["the", "ing", "tion", "er", "wh"], size // 3), "a" * size, "ab" * (size // 2) + "c", "abcdefg" * (size // 7),
+        draw("日本語漢字中文", size // 3), draw(["x", "é", "ß", "ing"], size // 2) + " " + draw("XYZ", size // 4), " " * size + "x",
+    ]
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 64])
+def test_maps_of_chunks_without_a_start_compose(library, chunk, monkeypatch):
+    monkeypatch.setattr(token_counts, "CHUNK", chunk)
+    texts = long_runs(1500) + fuzz(20, seed=5)
+    assert token_counts.Transducer(PATH).counts(texts).tolist() == counted(library, texts)
+
+
+def test_restarts_amid_long_runs(library, monkeypatch):
+    monkeypatch.setattr(token_counts, "MAX_STATES", 300)
+    monkeypatch.setattr(token_counts, "CHUNK", 50)
+    texts = long_runs(2000, seed=6)
+    assert token_counts.Transducer(PATH).counts(texts).tolist() == counted(library, texts)
+
+
+def test_a_million_letters_take_seconds(library):
+    from time import perf_counter
+
+    text = "".join(random.Random(8).choices(["the", "ing", "tion", "er", "wh", "st", "en", "ou"], k=400_000))
+    assert len(text) > 990_000
+    machine = token_counts.Transducer(PATH)
+    start = perf_counter()
+    got = machine.counts([text]).tolist()
+    assert perf_counter() - start < 5 and got == counted(library, [text])
+
+
 def test_query_equals_library(spark, library):
     got = {r["doc_id"]: r for r in token_counts.op3_token_counts(spark, SF_SMALL).collect()}
     rows = read_table(spark, SF_SMALL, "documents").select("doc_id", "text").collect()
