@@ -54,6 +54,7 @@ SHRINK = 10.0
 NEIGHBOURS = 25
 BLOCK = 32
 HEAVY = 3072
+TOGETHER = 8  # blocks of one product
 GROWTH = 32  # of the blocks that are asked for from round to round
 ERROR = 2.5e-4  # bound on the error of a cosine summed up in single precision (terms x 2^-24)
 THRESHOLD = 0.3
@@ -89,47 +90,91 @@ def terms(word: bytes) -> list[bytes]:
     return [word, *(b"~" + letters[:n].encode() for n in STEMS if len(letters) >= n)]
 
 
+class _Numbers(dict):
+    """Numbers of the words met; a new one adds its terms to the lexicon."""
+
+    def __init__(self, lexicon: Lexicon) -> None:
+        super().__init__()
+        self.lexicon = lexicon
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        self.lexicon.add(word)
+        return n
+
+
 class Lexicon:
     """The vocabulary's terms of words, by numbers given to the words seen (begun anew beyond ``REMEMBER``)."""
 
     def __init__(self, vocabulary: dict[bytes, int]) -> None:
         self.vocabulary = vocabulary
+        # Whether each term's shorter stems are terms as well: then a stem that is none ends the search.
+        self.closed = all(
+            b"~" + t.strip(b"~")[:k] in vocabulary for t in vocabulary if t.isascii() for k in STEMS if len(t.strip(b"~")) >= k
+        )
         self._begin()
 
     def _begin(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.number = _Numbers(self)
         self.ends, self.flat = array("q", [0]), array("i")
 
-    def _add(self, word: bytes) -> int:
-        self.number[word] = n = len(self.number)
+    def add(self, word: bytes) -> None:
         get, flat = self.vocabulary.get, self.flat
-        # The terms of ``terms``, without decoding where a byte is a letter.
-        own = [word, *[b"~" + word[:k] for k in STEMS if len(word) >= k]] if word.isascii() else terms(word)
-        for t in own:
-            i = get(t)
+        if word.isascii():
+            size = len(word)
+            for k in STEMS:  # the stems of ``terms``, without decoding where a byte is a letter
+                if size < k:
+                    break
+                i = get(b"~" + word[:k])
+                if i is not None:
+                    flat.append(i)
+                elif self.closed:
+                    self.ends.append(len(flat))
+                    return
+            i = get(word)
             if i is not None:
                 flat.append(i)
+        else:
+            flat.extend([i for t in terms(word) if (i := get(t)) is not None])
         self.ends.append(len(flat))
-        return n
 
-    def counts(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, term, count) of all texts, ascending."""
+    def _found(self, words: list[int], sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """(text * terms + term) of each word's terms, and the place of the word."""
+        at = np.array(words, dtype=np.int64)
+        ends = np.frombuffer(self.ends, dtype=np.int64)
+        found, of = _runs(ends[at], ends[at + 1])
+        term = np.frombuffer(self.flat, dtype=np.int32)[found] if len(found) else np.zeros(0, dtype=np.int32)
+        return (np.repeat(np.arange(len(sizes)), sizes) * len(self.vocabulary))[of] + term, of
+
+    def _room(self) -> None:
         if len(self.number) > REMEMBER:
             self._begin()
-        number, add = self.number, self._add
+
+    def present(self, texts: list[bytes | None]) -> np.ndarray:
+        """The terms of each text, once for each text that has them."""
+        self._room()
+        number = self.number.__getitem__
+        words, sizes = [], []
+        for t in texts:
+            w = set(words_of(t))
+            words += map(number, w)
+            sizes.append(len(w))
+        key = np.sort(self._found(words, sizes)[0])
+        return key[np.r_[True, key[1:] != key[:-1]]] % max(1, len(self.vocabulary)) if len(key) else key
+
+    def counts(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, count) of all texts, ascending."""
+        self._room()
+        number = self.number.__getitem__
         words, times, sizes = [], [], []
         for t in texts:
             c = Counter(words_of(t))
-            words += [number[w] if w in number else add(w) for w in c]
+            words += map(number, c)
             times += c.values()
             sizes.append(len(c))
-        at = np.array(words, dtype=np.int64)
-        ends = np.frombuffer(self.ends, dtype=np.int64)
-        found, of = _runs(ends[at], ends[at + 1])
-        term = np.frombuffer(self.flat, dtype=np.int32)[found] if len(found) else np.zeros(0, dtype=np.int64)
-        key = np.repeat(np.arange(len(texts)), sizes)[of] * len(self.vocabulary) + term
-        order = np.argsort(key, kind="stable")
-        key, n = key[order], np.array(times, dtype=np.float64)[of][order]
+        key, of = self._found(words, sizes)
+        order = np.argsort(key)
+        key, n = key[order], np.array(times, dtype=np.float64)[of[order]]
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=np.int64)
         key = key[first]
         width = max(1, len(self.vocabulary))
@@ -261,13 +306,19 @@ class Index:
             asked = (rank >= done) & (rank < upto) & (bound > 0) & (bound >= kth[:, None] - ERROR)
             if not asked.any():
                 break  # bounds fall along the ranks, and the k-th best only rises
-            for b in np.flatnonzero(asked.any(axis=0)):
+            many = asked.sum(axis=0)
+            for b in np.flatnonzero((many > 0) & (many < m // 4)):
                 rows = np.flatnonzero(asked[:, b])
                 at = slice(b * BLOCK, (b + 1) * BLOCK)
-                # Few rows are taken out; with many the product of all is the cheaper one.
-                some = query[rows] @ matrix[:, at] if len(rows) < m // 4 else (query @ matrix[:, at])[rows]
-                scores[rows, at] = part[rows, at] + some
-                scored += len(rows)
+                scores[rows, at] = part[rows, at] + query[rows] @ matrix[:, at]
+            # Blocks that many texts ask for: some of them at once, for all texts.
+            wide = np.flatnonzero(many >= max(1, m // 4))
+            for i in range(0, len(wide), TOGETHER):
+                some = wide[i : i + TOGETHER]
+                at = (some[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+                sums = part[:, at] + query @ matrix[:, at]
+                scores[:, at] = np.where(np.repeat(asked[:, some], BLOCK, axis=1), sums, scores[:, at])
+            scored += int(many.sum())
             if but is not None:
                 scores[np.arange(m), but] = 0
             kth = np.partition(scores, width - k, axis=1)[:, width - k] if width > k else kth
@@ -350,9 +401,14 @@ def _vocabulary(
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for i, y, t in zip(frame["id"], frame["y"], frame["t"]):
-                found = list({x for w in set(words_of(bytes(t))) for x in terms(w)})
-                yield pd.DataFrame({"term": found, "y": np.full(len(found), y, dtype=np.float64), "e": i in examples})
+            for start in range(0, len(frame), BATCH):
+                some = frame.iloc[start : start + BATCH]
+                found = [list({x for w in set(words_of(bytes(t))) for x in terms(w)}) for t in some["t"]]
+                size = [len(f) for f in found]
+                own = np.array([i in examples for i in some["id"]], dtype=bool)
+                yield pd.DataFrame({
+                    "term": [x for f in found for x in f], "y": np.repeat(some["y"].to_numpy(dtype=np.float64), size), "e": np.repeat(own, size),
+                })
 
     n, p = texts.agg(F.count(F.lit(1)), F.sum("y")).first()
     if not n or not p or p == n:
@@ -364,7 +420,7 @@ def _vocabulary(
     chi2 = F.lit(float(n)) * F.pow(a * d - b * c, F.lit(2)) / (df * (F.lit(float(n)) - df) * F.lit(float(p)) * F.lit(float(n - p)))
     counted = texts.mapInPandas(each, "term binary, y double, e boolean").groupBy("term").agg(
         F.sum("y").alias("a"), F.count(F.lit(1)).cast("double").alias("df"), F.max("e").alias("e")
-    ).where(F.col("e") & (df < n))
+    ).where("e")
     if max_terms is not None or min_chi2 > 0 or min_odds > 1:  # a caller's smaller vocabulary
         counted = counted.withColumn("chi2", F.round(chi2, 9)).where(F.col("chi2") >= min_chi2).where((odds >= min_odds) | (odds <= 1 / min_odds))
         counted = counted if max_terms is None else counted.orderBy(F.desc("chi2"), "term").limit(max_terms)
@@ -387,7 +443,7 @@ def _document_frequencies(docs: DataFrame, text_col: str, vocabulary: dict[bytes
         for frame in frames:
             n += len(frame)
             for texts in _slices(list(frame["t"])):
-                df += np.bincount(lexicon.counts(texts)[1], minlength=len(df))
+                df += np.bincount(lexicon.present(texts), minlength=len(df))
         at = np.flatnonzero(df)
         yield pd.DataFrame({"term": np.r_[-1, at], "n": np.r_[n, df[at]]})
 
@@ -409,7 +465,10 @@ def _distinct(frame: pd.DataFrame) -> pd.DataFrame:
     for t, i, y in zip(equal["t"], equal["id"], equal["y"]):
         w = words_of(t)
         own = {b" ".join(w[j : j + 5]) for j in range(max(1, len(w) - 4))}
-        if any(y == other and len(own & there) >= 0.8 * len(own | there) for other, there in kept):
+        if any(
+            y == other and 0.8 * max(len(own), len(there)) <= min(len(own), len(there)) and 1.8 * len(own & there) >= 0.8 * (len(own) + len(there))
+            for other, there in kept
+        ):
             continue
         kept.append((y, own))
         rows.append((i, y, t))
@@ -476,20 +535,30 @@ def learn(
     index.vector_offsets = np.r_[0, np.cumsum(sizes)]
     index.vector_terms = np.concatenate([r[2] for r in rows])
     index.vector_values = np.concatenate([r[3] for r in rows])
-    votes, told = [], []
-    for start in range(0, len(rows), BATCH):
-        some = np.arange(start, min(start + BATCH, len(rows)))
-        at = slice(index.vector_offsets[some[0]], index.vector_offsets[some[-1] + 1])
-        own = (np.repeat(some - start, sizes[some]), index.vector_terms[at].astype(np.int64), index.vector_values[at].astype(np.float64))
-        for e, (cosines, found) in zip(some, index.nearest(own, len(some), k, but=some)[0]):
-            if len(found):
-                votes.append(index.vote(cosines, found))
-                told.append(e)
+    # Each example's vote by the others, where the examples are searched anyway: on the executors.
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(index)
+
+    def left_out(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = shared.value
+        for frame in frames:
+            some = frame["id"].to_numpy()
+            size = np.diff(index.vector_offsets)[some]
+            at, of = _runs(index.vector_offsets[some], index.vector_offsets[some + 1])
+            own = (of, index.vector_terms[at].astype(np.int64), index.vector_values[at].astype(np.float64))
+            near = index.nearest(own, len(some), k, but=some)[0] if size.any() else []
+            told = [(e, index.vote(c, f)) for e, (c, f) in zip(some, near) if len(f)]
+            yield pd.DataFrame(told, columns=["e", "vote"]).astype({"e": "int64", "vote": "float64"})
+
+    parts = -(-len(rows) // BATCH)
+    got = spark.range(0, len(rows), 1, parts).mapInPandas(left_out, "e long, vote double").toArrow()
+    told, votes = got["e"].to_numpy(), got["vote"].to_numpy()
+    votes, told = votes[np.argsort(told)], np.sort(told)
     none = sizes == 0
     if none.any():
         index.empty_rate = float((index.labels * index.weights)[none].sum() / index.weights[none].sum())
-    if told:
-        index.cuts, index.rates = isotonic(np.array(votes), index.labels[told], index.weights[told], k)
+    if len(told):
+        index.cuts, index.rates = isotonic(votes, index.labels[told], index.weights[told], k)
         if not none.any():
             index.empty_rate = index.calibrated(0.0)  # no example votes for it
     return index
