@@ -60,7 +60,7 @@ ERROR = 2.5e-4  # bound on the error of a cosine summed up in single precision (
 THRESHOLD = 0.3
 # Words, and texts with their scores, that a task remembers.
 REMEMBER = 200_000
-BATCH, BATCH_BYTES = 256, 1 << 20
+BATCH, BATCH_BYTES, AT_ONCE = 256, 1 << 20, 32
 
 _FOLD = bytes(
     ord(" ") if chr(i) in string.punctuation or i < 32 or i == 127 else ord(chr(i).lower()) if i < 128 else i
@@ -291,10 +291,17 @@ class Index:
         heavy = row[term] >= 0
         query = np.zeros((m, len(matrix)), dtype=np.float32)
         query[text[heavy], row[term[heavy]]] = w[heavy]
-        light = ~heavy
-        found, of = _runs(starts[term[light]], starts[term[light] + 1])
-        base, weight = (text[light] * width)[of], w[light].astype(np.float32)[of]
-        part = np.bincount(base + example[found], weight * value[found], m * width).astype(np.float32).reshape(m, width)
+        # A few texts at a time: their light postings are many.
+        part = np.empty((m, width), dtype=np.float32)
+        firsts = np.searchsorted(text, np.arange(m + 1))
+        for lo in range(0, m, AT_ONCE):
+            hi = min(lo + AT_ONCE, m)
+            light = np.arange(firsts[lo], firsts[hi])
+            light = light[~heavy[light]]
+            found, of = _runs(starts[term[light]], starts[term[light] + 1])
+            at = ((text[light] - lo) * width)[of] + example[found]
+            sums = np.bincount(at, w[light].astype(np.float32)[of] * value[found], (hi - lo) * width)
+            part[lo:hi] = sums.reshape(hi - lo, width)
         bound = query @ self.most + part.reshape(m, self.blocks, BLOCK).max(axis=2)
         order = np.argsort(-bound, axis=1, kind="stable")
         rank = np.empty_like(order)
@@ -323,7 +330,6 @@ class Index:
                 scores[np.arange(m), but] = 0
             kth = np.partition(scores, width - k, axis=1)[:, width - k] if width > k else kth
             done, upto = upto, GROWTH * upto
-        firsts = np.searchsorted(text, np.arange(m + 1))
         out = []
         for t in range(m):
             near = np.flatnonzero(scores[t] > max(kth[t] - 2 * ERROR, 0))
@@ -458,20 +464,23 @@ def _document_frequencies(docs: DataFrame, text_col: str, vocabulary: dict[bytes
 def _distinct(frame: pd.DataFrame) -> pd.DataFrame:
     """Of labelled texts with one min-hash (id, y, t): equal texts are one with their mean label,
     and near copies (five-word shingles, Jaccard 0.8 or more) of equal label are one. The smallest id stays."""
-    frame = frame.assign(t=[bytes(t) for t in frame["t"]]).sort_values("id")
-    equal = frame.groupby("t", sort=False).agg(id=("id", "min"), y=("y", "mean")).reset_index()
+    equal: dict[bytes, list[tuple[int, float]]] = {}
+    for i, y, t in sorted(zip(frame["id"], frame["y"], map(bytes, frame["t"]))):
+        equal.setdefault(t, []).append((i, y))
     kept: list[tuple[float, set]] = []
     rows = []
-    for t, i, y in zip(equal["t"], equal["id"], equal["y"]):
-        w = words_of(t)
-        own = {b" ".join(w[j : j + 5]) for j in range(max(1, len(w) - 4))}
-        if any(
-            y == other and 0.8 * max(len(own), len(there)) <= min(len(own), len(there)) and 1.8 * len(own & there) >= 0.8 * (len(own) + len(there))
-            for other, there in kept
-        ):
-            continue
-        kept.append((y, own))
-        rows.append((i, y, t))
+    for t, same in equal.items():
+        y = sum(y for _, y in same) / len(same)
+        if len(equal) > 1:
+            w = words_of(t)
+            own = {b" ".join(w[j : j + 5]) for j in range(max(1, len(w) - 4))}
+            if any(
+                y == other and 0.8 * max(len(own), len(there)) <= min(len(own), len(there)) and 1.8 * len(own & there) >= 0.8 * (len(own) + len(there))
+                for other, there in kept
+            ):
+                continue
+            kept.append((y, own))
+        rows.append((same[0][0], y, t))
     return pd.DataFrame(rows, columns=["id", "y", "t"])
 
 
@@ -590,7 +599,7 @@ def score(
         known: dict = {}
         for texts in batches:
             keys = [None if t is None else xxhash.xxh3_128_digest(bytes(t)) for t in texts]
-            if len(known) >= REMEMBER // 4:
+            if len(known) >= REMEMBER // 20:
                 known.clear()
             new = {key: bytes(t) for key, t in zip(keys, texts) if key is not None and key not in known}
             for some in _slices(list(new.values())) if len(index.ids) else ():
