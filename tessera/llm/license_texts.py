@@ -1,4 +1,8 @@
-"""Licence templates. Wording that licences and their notices have."""
+"""Licence templates. Wording that licences and their notices have.
+
+The long licences (Apache, MPL, the GPL family, Creative Commons) are known by their notices,
+not by their full texts.
+"""
 
 from __future__ import annotations
 
@@ -54,6 +58,41 @@ as published by the Free Software Foundation, either version 3 of the License, o
 This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
 warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
 """
+_GPL2_NOTICE = """
+This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+"""
+_LGPL21_NOTICE = """
+This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later
+version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for
+more details.
+"""
+_LGPL3_NOTICE = """
+This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for
+more details.
+"""
+_AGPL_NOTICE = """
+This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public
+License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for
+more details.
+"""
+_UNLICENSE = """
+This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
+compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,
+commercial or non-commercial, and by any means.
+"""
+_CC0_NOTICE = """
+To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.
+"""
 _MPL_NOTICE = """
 This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
 distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.
@@ -61,22 +100,40 @@ distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.
 
 # (licence, template): a licence may have several templates, full texts and short notices.
 TEMPLATES: list[tuple[str, str]] = [
+    ("AGPL-3.0", _AGPL_NOTICE),
+    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Licensed under the Apache License 2.0."),
     ("Apache-2.0", _APACHE_NOTICE),
     ("BSD-2-Clause", _BSD_HEAD + _BSD_TAIL),
     ("BSD-3-Clause", _BSD_HEAD + _BSD_THIRD + _BSD_TAIL),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC0-1.0", _CC0_NOTICE),
+    ("CC0-1.0", "Released under CC0 1.0 Universal."),
+    ("GPL-2.0", _GPL2_NOTICE),
+    ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
+    ("GPL-3.0", "Licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", _GPL_NOTICE),
     ("ISC", _ISC_BODY),
+    ("LGPL-2.1", _LGPL21_NOTICE),
+    ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", _LGPL3_NOTICE),
+    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "This project is licensed under the MIT License."),
+    ("MIT", "Distributed under the MIT License."),
     ("MIT", _MIT_BODY),
     ("MPL-2.0", _MPL_NOTICE),
     ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    ("Unlicense", _UNLICENSE),
 ]
