@@ -59,7 +59,7 @@ GROWTH = 32  # of the blocks that are asked for from round to round
 ERROR = 2.5e-4  # bound on the error of a cosine summed up in single precision (terms x 2^-24)
 THRESHOLD = 0.3
 # Words, and texts with their scores, that a task remembers.
-REMEMBER = 200_000
+REMEMBER = 100_000
 BATCH, BATCH_BYTES, AT_ONCE = 256, 1 << 20, 32
 
 _FOLD = bytes(
@@ -246,8 +246,10 @@ class Index:
         row = np.full(len(self.idf), -1)
         row[heavy] = np.arange(len(heavy))
         matrix = np.zeros((len(heavy), self.blocks * BLOCK), dtype=np.float32)
-        found, of = _runs(starts[heavy], starts[heavy + 1])
-        matrix[of, example[found]] = value[found]
+        for i in range(0, len(heavy), AT_ONCE):  # a few lists at a time: together they are most postings
+            some = heavy[i : i + AT_ONCE]
+            found, of = _runs(starts[some], starts[some + 1])
+            matrix[i + of, example[found]] = value[found]
         return row, matrix
 
     @property
