@@ -51,3 +51,11 @@ def test_least_squares_reads_stored_rows(spark, facts, monkeypatch):
     monkeypatch.setattr(catalog, "materialize", lambda df, *a, **o: stored.append(df.columns) or df)
     row = catalog.q_linreg_ols(spark, "").first()
     assert stored == [["y", "quantity"]] and abs(row["slope"] - 7) < 0.1
+
+
+def test_one_hot_reads_its_rows_once(spark, facts):
+    df = catalog.q_one_hot(spark, "")
+    assert "Union" not in df._jdf.queryExecution().optimizedPlan().toString()
+    counts = {(r["col_name"], r["slot"]): r["count"] for r in df.groupBy("col_name", "slot").count().collect()}
+    assert counts == {("o_orderpriority", 0): 100, ("o_orderpriority", 1): 100, ("o_orderpriority", 2): 100, ("l_returnflag", 0): 200}
+    assert df.schema.simpleString() == "struct<l_orderkey:bigint,l_linenumber:int,col_name:string,slot:int,value:double>"
