@@ -53,6 +53,12 @@ def test_least_squares_reads_stored_rows(spark, facts, monkeypatch):
     assert stored == [["y", "quantity"]] and abs(row["slope"] - 7) < 0.1
 
 
+def test_model_summary_joins_once(spark, facts):
+    rows = {r["model"]: r for r in catalog.q_model_summary(spark, "").collect()}
+    assert len(facts) == 1 and set(rows) == {"linear", "tree", "forest"}
+    assert len({r["n"] for r in rows.values()}) == 1 and rows["linear"]["r2"] > 0.99
+
+
 def test_one_hot_reads_its_rows_once(spark, facts):
     df = catalog.q_one_hot(spark, "")
     assert "Union" not in df._jdf.queryExecution().optimizedPlan().toString()
