@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from tessera.operators import join
 from tessera.operators.join import dim_join, hot_keys
+from tessera.operators.surrogates import modes
 from tessera.plans import catalog
+from tessera.session import materialize_observed
 
 
 @pytest.fixture
@@ -65,3 +67,20 @@ def test_one_hot_reads_its_rows_once(spark, facts):
     counts = {(r["col_name"], r["slot"]): r["count"] for r in df.groupBy("col_name", "slot").count().collect()}
     assert counts == {("o_orderpriority", 0): 100, ("o_orderpriority", 1): 100, ("o_orderpriority", 2): 100, ("l_returnflag", 0): 200}
     assert df.schema.simpleString() == "struct<l_orderkey:bigint,l_linenumber:int,col_name:string,slot:int,value:double>"
+
+
+def test_metrics_come_from_the_stored_table(spark, monkeypatch):
+    def uncompiled(*_):
+        raise AssertionError("observed metrics run row by row")
+
+    monkeypatch.setattr("pyspark.sql.Observation", uncompiled)
+    df = spark.range(10).select("id", F.expr("CASE WHEN id > 3 THEN 'a' END").alias("c"))
+    out, values = materialize_observed(df, {"n": F.count("c"), "top": F.max("id"), "none": F.max(F.expr("CASE WHEN id > 99 THEN 1 END"))})
+    assert values == {"n": 6, "top": 9, "none": None} and out.count() == 10
+    assert materialize_observed(df, {}, "none")[1] == {}
+
+
+def test_candidates_are_counted_without_a_lambda(spark, monkeypatch):
+    monkeypatch.setattr(F, "array_compact", None)
+    df = spark.range(300).select(F.expr("CASE WHEN id % 5 < 2 THEN 7 WHEN id % 5 < 4 THEN 3 END").alias("a"), F.expr("cast(NULL AS int)").alias("b"), (F.col("id") % 2).alias("c"))
+    assert modes(df, ["a", "b", "c"]) == {"a": 3, "b": None, "c": 0}
