@@ -113,3 +113,10 @@ def test_ties_and_empty(spark):
     edge = license_scan.scan(docs_frame(spark, [(1, long, "s")]), templates=[("x", " ".join(f"w{i}" for i in range(11)))]).first()
     assert (edge["license"], edge["dice"]) == ("x", 0.8)
     assert license_scan.scan(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_only_texts_with_a_candidate_are_normalised(spark):
+    """The words that templates have are looked up once for a text; its gaps are replaced under a condition only."""
+    plan = license_scan.scan(docs_frame(spark, [(1, "x", "s")]))._jdf.queryExecution().optimizedPlan().toString()
+    first = [line for line in plan.split("\n") if "array_intersect" in line][-1]  # the project next to the rows
+    assert first.count("array_intersect") == 1 and "regexp_replace" not in first
