@@ -7,11 +7,10 @@ the corpus, and each document tells how its links stand in that count.
 
 Arrow does the work in a task, Spark spreads and merges it:
 
-* Token lists are flattened with their parent indices; byte lengths are looked up
-  by token id, and a cumulative sum, less its value at the document's start, gives
-  each token's end.
-* The two sides meet in Acero hash joins on (document, end). Group texts are joined
-  from lists cut at the shared ends.
+* Token lists are flattened; byte lengths are looked up by token id, and a cumulative
+  sum, less its value at the document's start, gives each token's end.
+* Both sides lie in order of document and end, so they meet by binary search, without a
+  hash table or a sort. Group texts are joined from lists cut at the shared ends.
 * ``Table.group_by`` counts a batch's pairs. The alignments are stored once; a
   second Arrow pass gives partial counts of its pairs, which Spark sums up.
 * Pairs with at least a ``1 / HEAD`` share of all links are at most ``HEAD`` by
@@ -87,6 +86,7 @@ class Vocabularies:
             piece = self.b.id_to_piece(i)
             bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.bytes_a, self.bytes_b = pa.array(bytes_a, pa.binary()), pa.array(bytes_b, pa.binary())
+        self.lengths_a, self.lengths_b = (np.array([len(t) for t in known], np.int64) for known in (bytes_a, bytes_b))
         self.shown = pa.array([str(i) for i in range(max(len(bytes_a), len(bytes_b)))])
 
     def encode(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
@@ -108,20 +108,25 @@ def _offsets(sizes: np.ndarray) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
 
 
-def _ends(doc: pa.Array, length: pa.Array, n_docs: int) -> pa.Array:
-    """Segmented cumulative sum: the byte at which each token of its document ends."""
-    total = pc.cumulative_sum(length)
-    sums = np.bincount(doc.to_numpy(), weights=length.to_numpy(), minlength=n_docs).astype(np.int64)
-    before = pa.array(np.cumsum(sums) - sums)
-    return pc.subtract(total, pc.take(before, doc))
+def _side(lists: pa.ListArray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens of one vocabulary: document, byte at which each ends (a segmented cumulative sum) and id."""
+    sizes = pc.list_value_length(lists).to_numpy()
+    ids = lists.flatten().to_numpy()
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    total = np.concatenate([[0], np.cumsum(lengths[ids])])
+    before = total[np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)] if len(sizes) else total
+    return doc, total[1:] - before[doc], ids
 
 
-def _side(lists: pa.ListArray, lengths: pa.Array, name: str) -> pa.Table:
-    """The tokens of one vocabulary: document, end, place and id."""
-    ids, doc = lists.flatten(), pc.list_parent_indices(lists)
-    ends = _ends(doc, pc.take(lengths, ids), len(lists))
-    at = pa.array(np.arange(len(ids), dtype=np.int64))
-    return pa.table({"doc": doc, "end": ends, f"{name}_at": at, name: ids})
+def _meeting(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all A and B tokens of a document that end together, by A place, then B place. Both sides
+    lie in order of document and end, so those of an A token are a run of B tokens."""
+    span = int(max((e.max(initial=0) for _, e, _ in (a, b)))) + 1
+    of_a, of_b = (doc * span + end for doc, end, _ in (a, b))
+    first = np.searchsorted(of_b, of_a, "left")
+    times = np.searchsorted(of_b, of_a, "right") - first
+    a_at = np.repeat(np.arange(len(of_a)), times)
+    return a_at, np.arange(len(a_at)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first, times)
 
 
 def _joined(lists: pa.ListArray, table: pa.Array, separator) -> pa.Array:
@@ -129,10 +134,10 @@ def _joined(lists: pa.ListArray, table: pa.Array, separator) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(lists.offsets, pc.take(table, lists.values)), separator)
 
 
-def _cut(table: pa.Table, at: str, ids: str, last: pa.Array, shown: pa.Array) -> pa.Array:
+def _cut(ids: np.ndarray, last: np.ndarray, shown: pa.Array) -> pa.Array:
     """The ids of each group as text; ``last``: the place of every group's last token."""
-    offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.add(last, 1).cast(pa.int32())])
-    return _joined(pa.ListArray.from_arrays(offsets, table[ids].combine_chunks()), shown, ",")
+    offsets = pa.array(np.concatenate([[0], last + 1]), pa.int32())
+    return _joined(pa.ListArray.from_arrays(offsets, pa.array(ids)), shown, ",")
 
 
 def align_slice(texts: list[str | None], v: Vocabularies) -> pa.Table:
@@ -146,27 +151,24 @@ def align_slice(texts: list[str | None], v: Vocabularies) -> pa.Table:
     if not pc.all(same).as_py():
         none = pa.scalar([], a.type)
         a, b = pc.if_else(same, a, none), pc.if_else(same, b, none)
-    side_a = _side(a, pc.binary_length(v.bytes_a).cast(pa.int64()), "a")
-    side_b = _side(b, pc.binary_length(v.bytes_b).cast(pa.int64()), "b")
-    links = side_a.join(side_b, keys=["doc", "end"], join_type="inner", use_threads=False).combine_chunks()
-    links = links.sort_by([("a_at", "ascending"), ("b_at", "ascending")])
-    doc, end = links["doc"].combine_chunks(), links["end"].combine_chunks()
+    side_a, side_b = _side(a, v.lengths_a), _side(b, v.lengths_b)
+    a_at, b_at = _meeting(side_a, side_b)
+    doc, end, ids_a = (c[a_at] for c in side_a)
     # The last link of each shared end closes a group (documents end in one).
-    closes = np.ones(len(links), dtype=bool)
-    closes[:-1] = (doc.to_numpy()[1:] != doc.to_numpy()[:-1]) | (end.to_numpy()[1:] != end.to_numpy()[:-1])
-    closing = links.filter(pa.array(closes))
+    closes = np.ones(len(doc), dtype=bool)
+    closes[:-1] = (doc[1:] != doc[:-1]) | (end[1:] != end[:-1])
     groups = pc.binary_join_element_wise(
-        _cut(side_a, "a_at", "a", closing["a_at"].combine_chunks(), v.shown),
-        _cut(side_b, "b_at", "b", closing["b_at"].combine_chunks(), v.shown), "|",
+        _cut(side_a[2], a_at[closes], v.shown), _cut(side_b[2], b_at[closes], v.shown), "|",
     )
-    count = lambda d: np.bincount(d.to_numpy(), minlength=n).astype(np.int64)
-    n_groups = count(closing["doc"])
+    count = lambda d: np.bincount(d, minlength=n).astype(np.int64)
+    n_groups = count(doc[closes])
     written = pc.binary_join(pa.ListArray.from_arrays(_offsets(n_groups), groups), ";")
+    links = pa.table({"doc": doc, "a": ids_a, "b": side_b[2][b_at]})
     pairs = links.group_by(["doc", "a", "b"], use_threads=False).aggregate([([], "count_all")]).sort_by("doc")
-    at = _offsets(count(pairs["doc"]))
+    at = _offsets(count(pairs["doc"].to_numpy()))
     part = lambda c: pa.ListArray.from_arrays(at, pairs[c].combine_chunks().cast(pa.int32()))
     return pa.table({
-        "n_a": count(side_a["doc"]), "n_b": count(side_b["doc"]), "n_groups": n_groups, "n_links": count(links["doc"]),
+        "n_a": count(side_a[0]), "n_b": count(side_b[0]), "n_groups": n_groups, "n_links": count(doc),
         "groups_sha256": [hashlib.sha256(t.encode()).hexdigest() if k else "" for t, k in zip(written.to_pylist(), n_groups)],
         "a": part("a"), "b": part("b"), "times": part("count_all"),
     })

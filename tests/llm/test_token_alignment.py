@@ -4,7 +4,9 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from tessera.llm import token_alignment
@@ -139,3 +141,17 @@ def test_names_of_the_result_are_refused(spark):
     df = spark.createDataFrame([("a", 1)], "text string, n_a long")
     with pytest.raises(ValueError, match="n_a"):
         token_alignment.align(df, "text", A, B, ["n_a"])
+
+
+def test_sides_meet_by_search():
+    """All A and B tokens of a document that end together, empty tokens and documents without tokens included."""
+    rng = np.random.default_rng(3)
+    lengths = np.array([0, 1, 2, 3])
+    lists = [pa.array([rng.integers(0, 4, n).tolist() for n in sizes], pa.list_(pa.int32())) for sizes in ([5, 0, 7, 1, 0], [6, 2, 4, 0, 0])]
+    a, b = (token_alignment._side(side, lengths) for side in lists)
+    ends = lambda side: [(d, e) for d, ids in enumerate(side.to_pylist()) for e in np.cumsum(lengths[ids] if ids else [])]
+    assert [[*zip(s[0].tolist(), s[1].tolist())] for s in (a, b)] == [ends(side) for side in lists]
+    want = [(i, j) for i, x in enumerate(ends(lists[0])) for j, y in enumerate(ends(lists[1])) if x == y]
+    assert [*zip(*(at.tolist() for at in token_alignment._meeting(a, b)))] == want and want
+    none = token_alignment._side(pa.array([[], []], pa.list_(pa.int32())), lengths)
+    assert [len(at) for at in token_alignment._meeting(none, none)] == [0, 0]
