@@ -56,10 +56,9 @@ BLOCK = 32
 HEAVY = 3072
 TOGETHER = 8  # blocks of one product
 GROWTH = 32  # of the blocks that are asked for from round to round
-ERROR = 2.5e-4  # bound on the error of a cosine summed up in single precision (terms x 2^-24)
+ERROR = 2.0**-24  # of a cosine in single precision, for each term of the text
 THRESHOLD = 0.3
-# Words, and texts with their scores, that a task remembers.
-REMEMBER = 100_000
+REMEMBER = 5000  # texts with their scores, in a task
 BATCH, BATCH_BYTES, AT_ONCE = 256, 1 << 20, 32
 
 _FOLD = bytes(
@@ -69,6 +68,7 @@ _FOLD = bytes(
 
 
 STEMS = (4, 5, 6)
+LONGEST_FIRST = STEMS[::-1]
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -90,91 +90,75 @@ def terms(word: bytes) -> list[bytes]:
     return [word, *(b"~" + letters[:n].encode() for n in STEMS if len(letters) >= n)]
 
 
-class _Numbers(dict):
-    """Numbers of the words met; a new one adds its terms to the lexicon."""
-
-    def __init__(self, lexicon: Lexicon) -> None:
-        super().__init__()
-        self.lexicon = lexicon
+class _Vocabulary(dict):
+    """Terms and their numbers. A word that is no term has the number of its longest stem that is one, else their count."""
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        self.lexicon.add(word)
-        return n
+        if word.isascii():  # the stems of ``terms``, without decoding where a byte is a letter
+            stems = [b"~" + word[:k] for k in LONGEST_FIRST if len(word) >= k]
+        else:
+            stems = terms(word)[:0:-1]
+        for stem in stems:
+            if stem in self:
+                return self[stem]
+        return len(self)
 
 
 class Lexicon:
-    """The vocabulary's terms of words, by numbers given to the words seen (begun anew beyond ``REMEMBER``)."""
+    """The vocabulary's terms of words. A word's terms are those of one term, the longest that it has
+    (its own, or its longest stem): each term's own and shorter stems are listed once."""
 
     def __init__(self, vocabulary: dict[bytes, int]) -> None:
-        self.vocabulary = vocabulary
-        # Whether each term's shorter stems are terms as well: then a stem that is none ends the search.
-        self.closed = all(
-            b"~" + t.strip(b"~")[:k] in vocabulary for t in vocabulary if t.isascii() for k in STEMS if len(t.strip(b"~")) >= k
-        )
-        self._begin()
-
-    def _begin(self) -> None:
-        self.number = _Numbers(self)
-        self.ends, self.flat = array("q", [0]), array("i")
-
-    def add(self, word: bytes) -> None:
-        get, flat = self.vocabulary.get, self.flat
-        if word.isascii():
-            size = len(word)
-            for k in STEMS:  # the stems of ``terms``, without decoding where a byte is a letter
-                if size < k:
-                    break
-                i = get(b"~" + word[:k])
-                if i is not None:
-                    flat.append(i)
-                elif self.closed:
-                    self.ends.append(len(flat))
-                    return
-            i = get(word)
-            if i is not None:
-                flat.append(i)
-        else:
-            flat.extend([i for t in terms(word) if (i := get(t)) is not None])
-        self.ends.append(len(flat))
+        self.vocabulary = _Vocabulary(vocabulary)
+        ends, flat = array("q", [0]), array("i")
+        for t in vocabulary:
+            if t.startswith(b"~"):
+                family = [t, *(s for s in terms(t[1:])[1:] if len(s) < len(t))]
+            else:
+                family = terms(t)
+            flat.extend([i for s in family if (i := vocabulary.get(s)) is not None])
+            ends.append(len(flat))
+        ends.append(len(flat))  # no term
+        self.ends, self.flat = np.array(ends, dtype=np.int64), np.array(flat, dtype=np.int32)
+
+    def __getstate__(self) -> tuple[bytes, np.ndarray, np.ndarray]:
+        return b"\n".join(self.vocabulary), self.ends, self.flat  # words hold no white space
+
+    def __setstate__(self, state: tuple[bytes, np.ndarray, np.ndarray]) -> None:
+        names, self.ends, self.flat = state
+        self.vocabulary = _Vocabulary(zip(names.split(b"\n") if names else (), range(len(self.ends))))
 
     def _found(self, words: list[int], sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """(text * terms + term) of each word's terms, and the place of the word."""
+        """(text * terms + term) of each word's terms, and how many terms each word has."""
         at = np.array(words, dtype=np.int64)
-        ends = np.frombuffer(self.ends, dtype=np.int64)
-        found, of = _runs(ends[at], ends[at + 1])
-        term = np.frombuffer(self.flat, dtype=np.int32)[found] if len(found) else np.zeros(0, dtype=np.int32)
-        return (np.repeat(np.arange(len(sizes)), sizes) * len(self.vocabulary))[of] + term, of
-
-    def _room(self) -> None:
-        if len(self.number) > REMEMBER:
-            self._begin()
+        found, size = _runs(self.ends[at], self.ends[at + 1])
+        key = np.repeat(np.repeat(np.arange(len(sizes)) * len(self.vocabulary), sizes), size)
+        key += self.flat[found]
+        return key, size
 
     def present(self, texts: list[bytes | None]) -> np.ndarray:
         """The terms of each text, once for each text that has them."""
-        self._room()
-        number = self.number.__getitem__
+        number = self.vocabulary.__getitem__
         words, sizes = [], []
         for t in texts:
-            w = set(words_of(t))
-            words += map(number, w)
+            w = set(map(number, set(words_of(t))))
+            words += w
             sizes.append(len(w))
         key = np.sort(self._found(words, sizes)[0])
         return key[np.r_[True, key[1:] != key[:-1]]] % max(1, len(self.vocabulary)) if len(key) else key
 
     def counts(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, term, count) of all texts, ascending."""
-        self._room()
-        number = self.number.__getitem__
+        number = self.vocabulary.__getitem__
         words, times, sizes = [], [], []
         for t in texts:
             c = Counter(words_of(t))
             words += map(number, c)
             times += c.values()
             sizes.append(len(c))
-        key, of = self._found(words, sizes)
+        key, size = self._found(words, sizes)
         order = np.argsort(key)
-        key, n = key[order], np.array(times, dtype=np.float64)[of[order]]
+        key, n = key[order], np.repeat(np.array(times, dtype=np.float64), size)[order]
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=np.int64)
         key = key[first]
         width = max(1, len(self.vocabulary))
@@ -182,10 +166,12 @@ class Lexicon:
 
 
 def _runs(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of all ranges one after another, and the range of each."""
+    """The numbers of all ranges one after another, and the size of each."""
     size = last - first
-    of = np.repeat(np.arange(len(size)), size)
-    return np.arange(len(of)) + np.repeat(first - (np.cumsum(size) - size), size), of
+    ends = np.cumsum(size)
+    at = np.arange(ends[-1] if len(ends) else 0)
+    at += np.repeat(first - (ends - size), size)
+    return at, size
 
 
 def _slices(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
@@ -206,7 +192,7 @@ def _slices(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
 class Index:
     """Block-max inverted index of the examples, numbered so that like ones share blocks.
 
-    Posting lists of the ``HEAVY`` terms with the most examples are kept as the rows of a
+    Posting lists of the ``HEAVY`` terms with the most examples are kept as the columns of a
     matrix, all others as lists. For each heavy term and block of ``BLOCK`` examples the
     largest weight is kept.
     """
@@ -224,33 +210,30 @@ class Index:
     empty_rate: float
 
     def __getstate__(self) -> dict:
-        kept = {k: v for k, v in self.__dict__.items() if k in self.__dataclass_fields__}
-        return kept | {"lexicon": self.lexicon.vocabulary}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__ = state | {"lexicon": Lexicon(state["lexicon"])}
+        return {k: v for k, v in self.__dict__.items() if k in self.__dataclass_fields__}
 
     @cached_property
-    def _lists(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """[term]: where its postings start; postings: example and weight."""
-        by_term = np.argsort(self.vector_terms, kind="stable")
-        example = np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.vector_offsets))[by_term]
-        starts = np.searchsorted(self.vector_terms[by_term], np.arange(len(self.idf) + 1))
-        return starts, example, self.vector_values[by_term]
-
-    @cached_property
-    def _heavy(self) -> tuple[np.ndarray, np.ndarray]:
-        """[term]: its row among the heavy ones, or -1; their postings as a matrix."""
-        starts, example, value = self._lists
-        heavy = np.sort(np.argsort(-np.diff(starts), kind="stable")[:HEAVY])
-        row = np.full(len(self.idf), -1)
-        row[heavy] = np.arange(len(heavy))
-        matrix = np.zeros((len(heavy), self.blocks * BLOCK), dtype=np.float32)
-        for i in range(0, len(heavy), AT_ONCE):  # a few lists at a time: together they are most postings
-            some = heavy[i : i + AT_ONCE]
-            found, of = _runs(starts[some], starts[some + 1])
-            matrix[i + of, example[found]] = value[found]
-        return row, matrix
+    def _heavy(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """[term]: its column among the heavy ones, or -1; the heavy weights as a matrix, a row for each
+        example; [term]: where its light postings start; light postings: example and weight."""
+        often = np.bincount(self.vector_terms, minlength=len(self.idf))
+        heavy = np.sort(np.argsort(-often, kind="stable")[:HEAVY])
+        column = np.full(len(self.idf), -1)
+        column[heavy] = np.arange(len(heavy))
+        matrix = np.zeros((self.blocks * BLOCK, len(heavy)), dtype=np.float32)
+        light = np.zeros(len(self.vector_terms), dtype=bool)
+        for i in range(0, len(self.ids), AT_ONCE):  # a few examples at a time: together they are most postings
+            size = np.diff(self.vector_offsets[i : i + AT_ONCE + 1])
+            at = slice(self.vector_offsets[i], self.vector_offsets[i] + size.sum())
+            place = column[self.vector_terms[at]]
+            light[at] = place < 0
+            example = i + np.repeat(np.arange(len(size)), size)
+            matrix[example[place >= 0], place[place >= 0]] = self.vector_values[at][place >= 0]
+        term = self.vector_terms[light]
+        by_term = np.argsort(term, kind="stable")
+        example = np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.vector_offsets))[light][by_term]
+        starts = np.r_[0, np.cumsum(np.bincount(term, minlength=len(self.idf)))]
+        return column, matrix, starts, example, self.vector_values[light][by_term]
 
     @property
     def blocks(self) -> int:
@@ -260,11 +243,7 @@ class Index:
     def most(self) -> np.ndarray:
         """[heavy term, block]: the largest weight among the block's postings."""
         matrix = self._heavy[1]
-        return matrix.reshape(len(matrix), self.blocks, BLOCK).max(axis=2)
-
-    @cached_property
-    def _query(self) -> np.ndarray:
-        return np.zeros(len(self.idf))  # all 0 between uses
+        return np.ascontiguousarray(matrix.reshape(self.blocks, BLOCK, matrix.shape[1]).max(axis=1).T)
 
     def vectors(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, term, weight) of the texts' vectors, each of length 1; none for a text without a term."""
@@ -283,26 +262,30 @@ class Index:
         The light terms' parts of all cosines are added up from their lists. What the
         heavy terms can add to a block is at most their weights times the block's maxima: one
         product gives all bounds. Blocks are scored best bound first, in rounds, as long as
-        their bound reaches the k-th best cosine found. All this is in single precision;
-        examples within its error of the k-th best are computed again from their vectors.
+        their bound reaches the k-th best cosine found. Bounds and heavy terms' parts are in single
+        precision; examples within its error of the k-th best get theirs again in double precision.
         """
         text, term, w = vectors
-        starts, example, value = self._lists
-        row, matrix = self._heavy
+        column, matrix, starts, example, value = self._heavy
         width = self.blocks * BLOCK
-        heavy = row[term] >= 0
-        query = np.zeros((m, len(matrix)), dtype=np.float32)
-        query[text[heavy], row[term[heavy]]] = w[heavy]
+        at = column[term]
+        heavy, light = at >= 0, np.flatnonzero(at < 0)
+        h_column, h_weight, h_first = at[heavy], w[heavy], np.searchsorted(text[heavy], np.arange(m + 1))
+        query = np.zeros((m, matrix.shape[1]), dtype=np.float32)
+        query[text[heavy], h_column] = h_weight
+        # What two sums of a text's terms can be off together.
+        error = 2 * ERROR * (np.bincount(text, minlength=m) + 8)
         # A few texts at a time: their light postings are many.
-        part = np.empty((m, width), dtype=np.float32)
-        firsts = np.searchsorted(text, np.arange(m + 1))
+        part = np.empty((m, width))
+        l_text, l_term, l_weight = text[light], term[light], w[light]
+        l_first = np.searchsorted(l_text, np.arange(m + 1))
         for lo in range(0, m, AT_ONCE):
             hi = min(lo + AT_ONCE, m)
-            light = np.arange(firsts[lo], firsts[hi])
-            light = light[~heavy[light]]
-            found, of = _runs(starts[term[light]], starts[term[light] + 1])
-            at = ((text[light] - lo) * width)[of] + example[found]
-            sums = np.bincount(at, w[light].astype(np.float32)[of] * value[found], (hi - lo) * width)
+            some = slice(l_first[lo], l_first[hi])
+            found, size = _runs(starts[l_term[some]], starts[l_term[some] + 1])
+            at = np.repeat((l_text[some] - lo) * width, size)
+            at += example[found]
+            sums = np.bincount(at, np.repeat(l_weight[some], size) * value[found], (hi - lo) * width)
             part[lo:hi] = sums.reshape(hi - lo, width)
         bound = query @ self.most + part.reshape(m, self.blocks, BLOCK).max(axis=2)
         order = np.argsort(-bound, axis=1, kind="stable")
@@ -312,20 +295,20 @@ class Index:
         kth = np.zeros(m, dtype=np.float32)
         done, upto, scored = 0, -(-4 * k // BLOCK), 0
         while done < self.blocks:
-            asked = (rank >= done) & (rank < upto) & (bound > 0) & (bound >= kth[:, None] - ERROR)
+            asked = (rank >= done) & (rank < upto) & (bound > 0) & (bound >= (kth - error)[:, None])
             if not asked.any():
                 break  # bounds fall along the ranks, and the k-th best only rises
             many = asked.sum(axis=0)
             for b in np.flatnonzero((many > 0) & (many < m // 4)):
                 rows = np.flatnonzero(asked[:, b])
                 at = slice(b * BLOCK, (b + 1) * BLOCK)
-                scores[rows, at] = part[rows, at] + query[rows] @ matrix[:, at]
+                scores[rows, at] = part[rows, at] + query[rows] @ matrix[at].T
             # Blocks that many texts ask for: some of them at once, for all texts.
             wide = np.flatnonzero(many >= max(1, m // 4))
             for i in range(0, len(wide), TOGETHER):
                 some = wide[i : i + TOGETHER]
                 at = (some[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-                sums = part[:, at] + query @ matrix[:, at]
+                sums = part[:, at] + query @ matrix[at].T
                 scores[:, at] = np.where(np.repeat(asked[:, some], BLOCK, axis=1), sums, scores[:, at])
             scored += int(many.sum())
             if but is not None:
@@ -334,12 +317,9 @@ class Index:
             done, upto = upto, GROWTH * upto
         out = []
         for t in range(m):
-            near = np.flatnonzero(scores[t] > max(kth[t] - 2 * ERROR, 0))
-            mine = slice(firsts[t], firsts[t + 1])
-            self._query[term[mine]] = w[mine]
-            at, of = _runs(self.vector_offsets[near], self.vector_offsets[near + 1])
-            exact = np.round(np.bincount(of, self._query[self.vector_terms[at]] * self.vector_values[at], len(near)), 12)
-            self._query[term[mine]] = 0
+            near = np.flatnonzero(scores[t] > max(kth[t] - error[t], 0))
+            mine = slice(h_first[t], h_first[t + 1])
+            exact = np.round(part[t, near] + matrix[near[:, None], h_column[mine]] @ h_weight[mine], 12)
             best = np.lexsort((near, -exact))[:k]
             best = best[exact[best] > 0]
             out.append((exact[best], near[best]))
@@ -443,11 +423,13 @@ def _vocabulary(
     return [names[i] for i in order], np.abs(lo) * lo**2 / (lo**2 + SHRINK * var)
 
 
-def _document_frequencies(docs: DataFrame, text_col: str, vocabulary: dict[bytes, int]) -> tuple[int, np.ndarray]:
+def _document_frequencies(docs: DataFrame, text_col: str, lexicon: Lexicon) -> tuple[int, np.ndarray]:
     """Number of documents, and of those with each term, over all rows."""
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, df, lexicon = 0, np.zeros(len(vocabulary), dtype=np.int64), Lexicon(vocabulary)
+        lexicon = shared.value
+        n, df = 0, np.zeros(len(lexicon.vocabulary), dtype=np.int64)
         for frame in frames:
             n += len(frame)
             for texts in _slices(list(frame["t"])):
@@ -455,11 +437,12 @@ def _document_frequencies(docs: DataFrame, text_col: str, vocabulary: dict[bytes
         at = np.flatnonzero(df)
         yield pd.DataFrame({"term": np.r_[-1, at], "n": np.r_[n, df[at]]})
 
-    total = np.zeros(len(vocabulary), dtype=np.int64)
+    total = np.zeros(len(lexicon.vocabulary), dtype=np.int64)
     rows = docs.select(F.col(text_col).cast("binary").alias("t")).mapInPandas(count, "term long, n long")
     got = rows.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     at, n = got["term"].to_numpy(), got["n"].to_numpy()
     total[at[at >= 0]] = n[at >= 0]
+    shared.unpersist()
     return int(n[at < 0].sum()), total
 
 
@@ -512,10 +495,10 @@ def learn(
     picked = [texts.where(c).orderBy(*order).limit(examples_per_class).select("id") for c in classes]
     chosen_ids = [{r["id"] for r in p.collect()} for p in picked]
     names, telling = _vocabulary(texts, chosen_ids[0] | chosen_ids[1], max_terms, min_chi2, min_odds)
-    vocabulary = {t: i for i, t in enumerate(names)}
-    n, df = _document_frequencies(docs, text_col, vocabulary) if names else (0, np.zeros(0))
+    lexicon = Lexicon({t: i for i, t in enumerate(names)})
+    n, df = _document_frequencies(docs, text_col, lexicon) if names else (0, np.zeros(0))
     idf = (np.log((1 + n) / (1 + df)) + 1) * (telling if label_weights else 1.0)
-    index = Index(Lexicon(vocabulary), idf, *[np.zeros(0)] * 3, np.zeros(1, dtype=np.int64), *[np.zeros(0)] * 4, rate)
+    index = Index(lexicon, idf, *[np.zeros(0)] * 3, np.zeros(1, dtype=np.int64), *[np.zeros(0)] * 4, rate)
     ids = chosen_ids[0] | chosen_ids[1]
 
     def vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -554,9 +537,8 @@ def learn(
         index = shared.value
         for frame in frames:
             some = frame["id"].to_numpy()
-            size = np.diff(index.vector_offsets)[some]
-            at, of = _runs(index.vector_offsets[some], index.vector_offsets[some + 1])
-            own = (of, index.vector_terms[at].astype(np.int64), index.vector_values[at].astype(np.float64))
+            at, size = _runs(index.vector_offsets[some], index.vector_offsets[some + 1])
+            own = (np.repeat(np.arange(len(some)), size), index.vector_terms[at].astype(np.int64), index.vector_values[at].astype(np.float64))
             near = index.nearest(own, len(some), k, but=some)[0] if size.any() else []
             told = [(e, index.vote(c, f)) for e, (c, f) in zip(some, near) if len(f)]
             yield pd.DataFrame(told, columns=["e", "vote"]).astype({"e": "int64", "vote": "float64"})
@@ -601,7 +583,7 @@ def score(
         known: dict = {}
         for texts in batches:
             keys = [None if t is None else xxhash.xxh3_128_digest(bytes(t)) for t in texts]
-            if len(known) >= REMEMBER // 20:
+            if len(known) >= REMEMBER:
                 known.clear()
             new = {key: bytes(t) for key, t in zip(keys, texts) if key is not None and key not in known}
             for some in _slices(list(new.values())) if len(index.ids) else ():

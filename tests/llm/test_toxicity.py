@@ -1,7 +1,9 @@
 """Exact neighbours, calibration, held-out accuracy and edge rows."""
 
 import math
+import pickle
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -111,6 +113,36 @@ def test_block_maxima_bound_their_postings(index, monkeypatch):
     assert few[0].tolist() == many[0].tolist() and few[1].tolist() == many[1].tolist()
 
 
+def test_lexicon_finds_every_term_and_keeps_no_words():
+    """The terms of a word are those the vocabulary has, whichever of its stems it lacks; words met leave nothing behind."""
+    known = [b"walking", b"~walk", b"~walkin", b"run", b"~runn", b"~runni", "größere".encode(), "~größ".encode(), "~größer".encode(), b"~lone"]
+    lexicon = toxicity.Lexicon({t: i for i, t in enumerate(known)})
+    copy = pickle.loads(pickle.dumps(lexicon))
+    size = len(pickle.dumps(vars(lexicon)))
+    texts = ["Walking, walking walker wal!", "", None, "running run runs runn", "größere größten größ lonely über", "x" * 9, " ".join(f"w{i} lone{i}" for i in range(3000))]
+    texts = [t if t is None else t.encode() for t in texts]
+    want = []
+    for t in texts:
+        bag = Counter(x for w in toxicity.words_of(t) for x in toxicity.terms(w) if x in known)
+        want.append({known.index(x): n for x, n in bag.items()})
+    for some in (lexicon, copy):
+        text, term, n = some.counts(texts)
+        assert [dict(zip(term[text == i].tolist(), n[text == i].tolist())) for i in range(len(texts))] == want
+        assert Counter(some.present(texts).tolist()) == Counter(i for w in want for i in w)
+    assert len(pickle.dumps(vars(lexicon))) == size
+
+
+def test_neighbours_need_no_vectors(index):
+    """Once its postings stand, the index searches without the examples' vectors: a copy without them finds the same."""
+    texts = [b"a text of some words " * 3, b"", b"some other words of a text"]
+    want = index.nearest(index.vectors(texts), 3, 9)[0]
+    bare = replace(index)
+    bare.most  # its postings
+    bare.vector_terms = bare.vector_values = np.zeros(0)
+    for (c, e), (d, f) in zip(want, bare.nearest(bare.vectors(texts), 3, 9)[0]):
+        assert c.tolist() == d.tolist() and e.tolist() == f.tolist()
+
+
 def test_labelled_copies(spark):
     """Equal texts are one example with their mean label; near copies one, but not across labels."""
     text = " ".join(f"w{i}" for i in range(200))
