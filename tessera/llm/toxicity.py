@@ -41,10 +41,11 @@ from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf, pandas_udf
 
 from tessera.llm.common import read_table, settle
 
@@ -60,6 +61,8 @@ ERROR = 2.0**-24  # of a cosine in single precision, for each term of the text
 THRESHOLD = 0.3
 REMEMBER = 5000  # texts with their scores, in a task
 BATCH, BATCH_BYTES, AT_ONCE = 256, 1 << 20, 32
+HELD = 1024  # texts of an Arrow batch that are Python objects at a time
+RESULT = [pa.field("score", pa.float64()), pa.field("ids", pa.list_(pa.int64())), *(pa.field(x, pa.list_(pa.float64())) for x in ("cosines", "labels"))]
 
 _FOLD = bytes(
     ord(" ") if chr(i) in string.punctuation or i < 32 or i == 127 else ord(chr(i).lower()) if i < 128 else i
@@ -245,6 +248,12 @@ class Index:
         matrix = self._heavy[1]
         return np.ascontiguousarray(matrix.reshape(self.blocks, BLOCK, matrix.shape[1]).max(axis=1).T)
 
+    def search_only(self) -> None:
+        """Build what ``nearest`` reads and let the examples' vectors go."""
+        if len(self.vector_terms):
+            self.most  # and the postings
+            self.vector_terms, self.vector_values = self.vector_terms[:0].copy(), self.vector_values[:0].copy()
+
     def vectors(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, term, weight) of the texts' vectors, each of length 1; none for a text without a term."""
         text, term, n = self.lexicon.counts(texts)
@@ -564,9 +573,11 @@ def score(
     ``ids``, ``cosines`` and ``labels`` of the nearest ``evidence`` examples."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
-    @pandas_udf("score double, ids array<long>, cosines array<double>, labels array<double>")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @arrow_udf("score double, ids array<long>, cosines array<double>, labels array<double>")
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = shared.value
+        if len(index.ids):
+            index.search_only()
         nothing = (index.empty_rate, [], [], [])
 
         def rows_of(texts: list[bytes]) -> list[tuple]:
@@ -581,14 +592,19 @@ def score(
             return rows
 
         known: dict = {}
-        for texts in batches:
-            keys = [None if t is None else xxhash.xxh3_128_digest(bytes(t)) for t in texts]
-            if len(known) >= REMEMBER:
-                known.clear()
-            new = {key: bytes(t) for key, t in zip(keys, texts) if key is not None and key not in known}
-            for some in _slices(list(new.values())) if len(index.ids) else ():
-                known.update(zip((xxhash.xxh3_128_digest(t) for t in some), rows_of(some)))
-            yield pd.DataFrame([known.get(key, nothing) for key in keys], columns=["score", "ids", "cosines", "labels"])
+        for batch in batches:
+            rows = []
+            for start in range(0, len(batch), HELD):  # some of the batch as Python objects at a time
+                texts = batch.slice(start, HELD).to_pylist()
+                keys = [None if t is None else xxhash.xxh3_128_digest(t) for t in texts]
+                if len(known) >= REMEMBER:
+                    known.clear()
+                new = {key: t for key, t in zip(keys, texts) if key is not None and key not in known}
+                for some in _slices(list(new.values())) if len(index.ids) else ():
+                    known.update(zip((xxhash.xxh3_128_digest(t) for t in some), rows_of(some)))
+                rows += [known.get(key, nothing) for key in keys]
+            columns = zip(RESULT, zip(*rows) if rows else [()] * len(RESULT))
+            yield pa.StructArray.from_arrays([pa.array(list(v), f.type) for f, v in columns], fields=RESULT)
 
     if out in docs.columns:
         raise ValueError(f"column {out!r} is there already")

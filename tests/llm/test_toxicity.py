@@ -137,12 +137,23 @@ def test_neighbours_need_no_vectors(index):
     texts = [b"a text of some words " * 3, b"", b"some other words of a text"]
     want = index.nearest(index.vectors(texts), 3, 9)[0]
     bare = replace(index)
-    bare.most  # its postings
-    bare.vector_terms = bare.vector_values = np.zeros(0)
+    bare.search_only()
+    bare.search_only()
+    assert not len(bare.vector_terms) and len(index.vector_terms)
     for (c, e), (d, f) in zip(want, bare.nearest(bare.vectors(texts), 3, 9)[0]):
         assert c.tolist() == d.tolist() and e.tolist() == f.tolist()
 
 
+def test_texts_are_taken_from_a_batch_a_few_at_a_time(spark, index, monkeypatch):
+    """Scores don't depend on how many texts are held at a time, or forgotten."""
+    docs = docs_frame(spark, EDGE_ROWS).select("doc_id", "text").unionByName(read_table(spark, SF_SMALL, "documents").select("doc_id", "text"))
+    rows = lambda: sorted(map(str, toxicity.score(docs.coalesce(1), index).select("doc_id", "toxicity").collect()))
+    want = rows()
+    monkeypatch.setattr(toxicity, "HELD", 7)
+    monkeypatch.setattr(toxicity, "REMEMBER", 20)
+    assert rows() == want and len(want) > 100
+
+
 def test_labelled_copies(spark):
     """Equal texts are one example with their mean label; near copies one, but not across labels."""
     text = " ".join(f"w{i}" for i in range(200))
