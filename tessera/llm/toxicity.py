@@ -36,6 +36,7 @@ import string
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from copy import copy
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -195,9 +196,9 @@ def _slices(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
 class Index:
     """Block-max inverted index of the examples, numbered so that like ones share blocks.
 
-    Posting lists of the ``HEAVY`` terms with the most examples are kept as the columns of a
-    matrix, all others as lists. For each heavy term and block of ``BLOCK`` examples the
-    largest weight is kept.
+    The search reads the examples' vectors as posting lists. Those of the ``HEAVY`` terms with the
+    most examples are the columns of a matrix besides. For each heavy term and block of ``BLOCK``
+    examples the largest weight is kept.
     """
 
     lexicon: Lexicon
@@ -213,30 +214,31 @@ class Index:
     empty_rate: float
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k in self.__dataclass_fields__}
+        # Postings go along where they stand for the vectors.
+        kept = {*self.__dataclass_fields__} if len(self.vector_terms) else {*self.__dataclass_fields__, "_postings"}
+        return {k: v for k, v in self.__dict__.items() if k in kept}
 
     @cached_property
-    def _heavy(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """[term]: its column among the heavy ones, or -1; the heavy weights as a matrix, a row for each
-        example; [term]: where its light postings start; light postings: example and weight."""
-        often = np.bincount(self.vector_terms, minlength=len(self.idf))
-        heavy = np.sort(np.argsort(-often, kind="stable")[:HEAVY])
-        column = np.full(len(self.idf), -1)
+    def _postings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """[term]: where its postings start; postings: example, ascending, and weight."""
+        by_term = np.argsort(self.vector_terms, kind="stable").astype(np.int32 if len(self.vector_terms) < 1 << 31 else np.int64)
+        number = np.arange(len(self.ids), dtype=np.uint16 if len(self.ids) <= 1 << 16 else np.int32)
+        example = np.repeat(number, np.diff(self.vector_offsets))[by_term]
+        starts = np.r_[0, np.cumsum(np.bincount(self.vector_terms, minlength=len(self.idf)))]
+        return starts, example, self.vector_values[by_term]
+
+    @cached_property
+    def _heavy(self) -> tuple[np.ndarray, np.ndarray]:
+        """[term]: its column among the heavy ones, or -1; the heavy weights as a matrix, a row for each example."""
+        starts, example, value = self._postings
+        heavy = np.sort(np.argsort(-np.diff(starts), kind="stable")[:HEAVY])
+        column = np.full(len(self.idf), -1, dtype=np.int32)
         column[heavy] = np.arange(len(heavy))
         matrix = np.zeros((self.blocks * BLOCK, len(heavy)), dtype=np.float32)
-        light = np.zeros(len(self.vector_terms), dtype=bool)
-        for i in range(0, len(self.ids), AT_ONCE):  # a few examples at a time: together they are most postings
-            size = np.diff(self.vector_offsets[i : i + AT_ONCE + 1])
-            at = slice(self.vector_offsets[i], self.vector_offsets[i] + size.sum())
-            place = column[self.vector_terms[at]]
-            light[at] = place < 0
-            example = i + np.repeat(np.arange(len(size)), size)
-            matrix[example[place >= 0], place[place >= 0]] = self.vector_values[at][place >= 0]
-        term = self.vector_terms[light]
-        by_term = np.argsort(term, kind="stable")
-        example = np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.vector_offsets))[light][by_term]
-        starts = np.r_[0, np.cumsum(np.bincount(term, minlength=len(self.idf)))]
-        return column, matrix, starts, example, self.vector_values[light][by_term]
+        for place, t in enumerate(heavy):
+            own = slice(starts[t], starts[t + 1])
+            matrix[example[own], place] = value[own]
+        return column, matrix
 
     @property
     def blocks(self) -> int:
@@ -249,11 +251,26 @@ class Index:
         return np.ascontiguousarray(matrix.reshape(self.blocks, BLOCK, matrix.shape[1]).max(axis=1).T)
 
     def search_only(self) -> None:
-        """Build what ``nearest`` reads and let the examples' vectors go."""
+        """Keep the examples' vectors as postings only."""
         if len(self.vector_terms):
-            self.most  # and the postings
+            self._postings
+            self.vector_offsets = np.zeros_like(self.vector_offsets)
             self.vector_terms, self.vector_values = self.vector_terms[:0].copy(), self.vector_values[:0].copy()
 
+    def rest(self) -> None:
+        """Let go what the next search builds again from the postings."""
+        self.__dict__.pop("_heavy", None)
+        self.__dict__.pop("most", None)
+
+    def own_vectors(self, examples: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place among ``examples``, term, weight), ascending: their vectors, from the postings."""
+        starts, example, value = self._postings
+        place = np.full(len(self.ids), -1, dtype=np.int32)
+        place[examples] = np.arange(len(examples))
+        at = np.flatnonzero((place >= 0)[example])
+        at = at[np.argsort(place[example[at]], kind="stable")]
+        return place[example[at]].astype(np.int64), np.searchsorted(starts, at, side="right") - 1, value[at].astype(np.float64)
+
     def vectors(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, term, weight) of the texts' vectors, each of length 1; none for a text without a term."""
         text, term, n = self.lexicon.counts(texts)
@@ -275,7 +292,8 @@ class Index:
         precision; examples within its error of the k-th best get theirs again in double precision.
         """
         text, term, w = vectors
-        column, matrix, starts, example, value = self._heavy
+        starts, example, value = self._postings
+        column, matrix = self._heavy
         width = self.blocks * BLOCK
         at = column[term]
         heavy, light = at >= 0, np.flatnonzero(at < 0)
@@ -538,22 +556,25 @@ def learn(
     index.vector_offsets = np.r_[0, np.cumsum(sizes)]
     index.vector_terms = np.concatenate([r[2] for r in rows])
     index.vector_values = np.concatenate([r[3] for r in rows])
+    del rows
     # Each example's vote by the others, where the examples are searched anyway: on the executors.
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(index)
+    bare = copy(index)
+    bare.search_only()
+    shared = spark.sparkContext.broadcast(bare)
 
     def left_out(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = shared.value
         for frame in frames:
             some = frame["id"].to_numpy()
-            at, size = _runs(index.vector_offsets[some], index.vector_offsets[some + 1])
-            own = (np.repeat(np.arange(len(some)), size), index.vector_terms[at].astype(np.int64), index.vector_values[at].astype(np.float64))
-            near = index.nearest(own, len(some), k, but=some)[0] if size.any() else []
+            own = index.own_vectors(some)
+            near = index.nearest(own, len(some), k, but=some)[0] if len(own[0]) else []
             told = [(e, index.vote(c, f)) for e, (c, f) in zip(some, near) if len(f)]
             yield pd.DataFrame(told, columns=["e", "vote"]).astype({"e": "int64", "vote": "float64"})
 
-    parts = -(-len(rows) // BATCH)
-    got = spark.range(0, len(rows), 1, parts).mapInPandas(left_out, "e long, vote double").toArrow()
+    parts = -(-len(sizes) // BATCH)
+    got = spark.range(0, len(sizes), 1, parts).mapInPandas(left_out, "e long, vote double").toArrow()
+    shared.unpersist()
     told, votes = got["e"].to_numpy(), got["vote"].to_numpy()
     votes, told = votes[np.argsort(told)], np.sort(told)
     none = sizes == 0
@@ -571,13 +592,13 @@ def score(
 ) -> DataFrame:
     """``docs`` plus the struct ``out``: ``score`` (0 to 1) and, best first, the
     ``ids``, ``cosines`` and ``labels`` of the nearest ``evidence`` examples."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    bare = copy(index)
+    bare.search_only()
+    shared = docs.sparkSession.sparkContext.broadcast(bare)
 
     @arrow_udf("score double, ids array<long>, cosines array<double>, labels array<double>")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = shared.value
-        if len(index.ids):
-            index.search_only()
         nothing = (index.empty_rate, [], [], [])
 
         def rows_of(texts: list[bytes]) -> list[tuple]:
@@ -605,6 +626,7 @@ def score(
                 rows += [known.get(key, nothing) for key in keys]
             columns = zip(RESULT, zip(*rows) if rows else [()] * len(RESULT))
             yield pa.StructArray.from_arrays([pa.array(list(v), f.type) for f, v in columns], fields=RESULT)
+        index.rest()  # the worker and its broadcasts outlive the task
 
     if out in docs.columns:
         raise ValueError(f"column {out!r} is there already")

@@ -144,6 +144,26 @@ def test_neighbours_need_no_vectors(index):
         assert c.tolist() == d.tolist() and e.tolist() == f.tolist()
 
 
+def test_search_needs_postings_alone(index):
+    """What is sent to score holds each posting once; a worker between tasks holds no matrix."""
+    texts = [b"a text of some words " * 3, b"", b"some other words of a text"]
+    want = index.nearest(index.vectors(texts), 3, 9)[0]
+    bare = replace(index)
+    bare.search_only()
+    sent = pickle.loads(pickle.dumps(bare))
+    for _ in range(2):
+        got = sent.nearest(sent.vectors(texts), 3, 9)[0]
+        assert [(c.tolist(), e.tolist()) for c, e in got] == [(c.tolist(), e.tolist()) for c, e in want]
+        sent.rest()
+        arrays = [x for v in sent.__dict__.values() for x in (v if isinstance(v, tuple) else [v]) if isinstance(x, np.ndarray)]
+        assert max(x.nbytes for x in arrays) <= max(index.vector_values.nbytes, 8 * (len(index.idf) + 1))
+    some = np.array([3, 0, 7])
+    place, term, value = sent.own_vectors(some)
+    dense = np.zeros((3, len(index.idf)))
+    dense[place, term] = value
+    assert (dense == vectors(index)[some]).all() and (np.diff(place) >= 0).all()
+
+
 def test_texts_are_taken_from_a_batch_a_few_at_a_time(spark, index, monkeypatch):
     """Scores don't depend on how many texts are held at a time, or forgotten."""
     docs = docs_frame(spark, EDGE_ROWS).select("doc_id", "text").unionByName(read_table(spark, SF_SMALL, "documents").select("doc_id", "text"))
