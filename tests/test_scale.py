@@ -1,5 +1,6 @@
 """What the queries over large tables must not do twice, or shuffle at all."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +62,36 @@ def test_model_summary_joins_once(spark, facts):
     assert len({r["n"] for r in rows.values()}) == 1 and rows["linear"]["r2"] > 0.99
 
 
+def test_model_summary_compares_whole_models(spark, facts, monkeypatch):
+    models, tested = {}, []
+    plain = catalog.fit_cv
+
+    def fit_cv(train, kind, *a, **o):
+        models[kind] = plain(train, kind, *a, **o)
+        return models[kind]
+
+    split = catalog.hash_split
+    monkeypatch.setattr(catalog, "fit_cv", fit_cv)
+    monkeypatch.setattr(catalog, "hash_split", lambda df, *a: tested.append(split(df, *a)[1].collect()) or split(df, *a))
+    report = {r["model"]: r for r in catalog.q_model_summary(spark, "").collect()}
+    best = {kind: m.bestModel for kind, m in models.items()}
+    assert {k: len(m.foldMetrics) for k, m in models.items()} == {"linear": 5, "tree": 5, "forest": 5}
+    assert all(m.numFeatures == 5 for m in best.values())  # the quantity, four priorities and two flags less one each
+    assert (best["linear"].getRegParam(), best["linear"].getElasticNetParam(), best["linear"].getMaxIter()) == (0.01, 0.25, 10)
+    assert best["tree"].depth == 5 and best["tree"].getMaxBins() == 32
+    forest = best["forest"]
+    assert forest.getNumTrees == 20 and max(t.depth for t in forest.trees) == 5
+    assert forest.getBootstrap() and forest.getFeatureSubsetStrategy() == "auto"
+    # The report's figures, from the models' predictions row by row.
+    y = np.array([r["y"] for r in tested[0]])
+    for kind, model in best.items():
+        error = y - np.array([model.predict(r["features"]) for r in tested[0]])
+        row = report[kind]
+        assert row["selection"] == "features" and row["n"] == len(y)
+        assert row["rmse"] == pytest.approx(np.sqrt((error**2).mean()), abs=1e-4)
+        assert row["r2"] == pytest.approx(1 - (error**2).mean() / y.var(), abs=1e-6)
+
+
 def test_one_hot_reads_its_rows_once(spark, facts):
     df = catalog.q_one_hot(spark, "")
     assert "Union" not in df._jdf.queryExecution().optimizedPlan().toString()
